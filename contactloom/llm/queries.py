@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import rules, sharding, simhash
+from . import ctw, rules, sharding, simhash, token_counts
+
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +20,16 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return ctw.score_texts(_table(spark, sf_dir, "documents"), held_out)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def op5_exact_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = sharding.exact_shuffle(_table(spark, sf_dir, "documents"), shards=16, plain_read=True)
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -30,5 +44,5 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("doc_id", *[f"measures.{m}" for m in rules.MEASURES[:5]], base.alias("base_failed"), (~base & F.col("kept")).alias("kept"), "failures")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op5_exact_sharding, op7_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op7_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
