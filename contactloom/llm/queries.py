@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, rules, sharding, simhash, token_counts
+from . import ctw, decontam, rules, secrets, sharding, simhash, token_counts, zstd_quality
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,5 +44,29 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("doc_id", *[f"measures.{m}" for m in rules.MEASURES[:5]], base.alias("base_failed"), (~base & F.col("kept")).alias("kept"), "failures")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op7_quality_rules)}
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontam.is_contaminated().alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"))
+
+
+def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = zstd_quality.fit(docs, _table(spark, sf_dir, "labels").where(zstd_quality.in_training()))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return zstd_quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op7_quality_rules, op8_secret_scan, op9_decontamination, op10_compression_quality)}
 ORACLE_SQL: dict[str, str] = {}
