@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontam, rules, secrets, sharding, simhash, token_counts, zstd_quality
+from . import ctw, decontam, html_template, packing, rules, secrets, sharding, simhash, token_counts, zstd_quality
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,6 +20,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op3_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return ctw.score_texts(_table(spark, sf_dir, "documents"), held_out)
@@ -38,6 +42,10 @@ def op5_exact_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract_main_text(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rules.apply_policy(rules.ledger(_table(spark, sf_dir, "documents")), "v2")
     base = F.col("failures").bitwiseAND(F.lit(rules.mask_of(rules.BASE)).cast("long")) != 0
@@ -68,5 +76,5 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op7_quality_rules, op8_secret_scan, op9_decontamination, op10_compression_quality)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_curve_packing, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op6_main_text, op7_quality_rules, op8_secret_scan, op9_decontamination, op10_compression_quality)}
 ORACLE_SQL: dict[str, str] = {}
