@@ -74,15 +74,17 @@ class Block:
             yield pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, ARROW)], schema=ARROW)
 
 
-def encoded(docs: DataFrame, encoder: Callable[[], Callable], buckets: int, block_bytes: int) -> DataFrame:
+def encoded(docs: DataFrame, encoder: Callable[[], tuple[Callable, Callable]], buckets: int, block_bytes: int) -> DataFrame:
     """Document and dictionary rows of ``docs`` (doc_id, text as binary, then what ``encode`` reads).
 
-    ``encoder()`` makes ``encode(block, row) -> (longs, codes)`` in each task; a null text is empty.
+    ``encoder()`` makes ``encode(block, row) -> (longs, codes)`` in each task, and what sees the texts of a
+    batch before that; a null text is empty.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, block = encoder(), Block()
+        (encode, prepare), block = encoder(), Block()
         number = TaskContext.get().partitionId() << 24
         for batch in batches:
+            prepare([t or b"" for t in batch.column(1).to_pylist()])
             for doc_id, text, *more in zip(*[c.to_pylist() for c in batch.columns]):
                 text = text or b""
                 longs, codes = encode(block, text, *more)

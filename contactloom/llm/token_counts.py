@@ -58,7 +58,7 @@ def chunk_split(tokenizer, special: list[str]) -> Callable[[str], list[str] | No
 
 def _encoder(path: str) -> Callable:
     """Documents to codes of their pre-tokens; those that are one vocabulary piece are only counted."""
-    def make() -> Callable:
+    def make() -> tuple[Callable, Callable]:
         tokenizer, special = load(path)
         split, cut = pre_tokens(tokenizer), chunk_split(tokenizer, special)
         marks = re.compile("|".join(f"({re.escape(s)})" for s in special)) if special else None
@@ -90,7 +90,7 @@ def _encoder(path: str) -> Callable:
             rest = codes[codes > 0]
             return (len(raw), len(codes) - len(rest)), rest
 
-        return encode
+        return encode, lambda texts: None
 
     return make
 
