@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontam, html_template, packing, rules, secrets, sharding, simhash, token_counts, zstd_quality
+from . import ctw, decontam, html_template, packing, rules, secret_scan, sharding, simhash, token_counts, zstd_quality
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,7 +53,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
     base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
