@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm import decontam, packing, scratch, secrets, simhash, zstd_quality
+from contactloom.llm import decontam, packing, scratch, secret_scan as scan, simhash, zstd_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
@@ -34,7 +34,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret in a text becomes ``[kind]``; n_chars follows the text."""
-    clean = secrets.redact(docs)
+    clean = scan.redact(docs)
     return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
 
 
