@@ -11,7 +11,7 @@ from .names import SPACE, trimmed
 # References that are decoded, in this order.
 ENTITIES = (("(?i)&nbsp;", " "), ("(?i)&amp;", "&"), ("(?i)&quot;", '"'), ("(?i)&#0?39;|&apos;", "'"), ("(?i)&lt;", "<"), ("(?i)&gt;", ">"))
 ASSET_PATH = r"(?i)\.(?:css|js|json|xml|pdf|jpe?g|png|gif|webp|svg|ico|woff2?|zip|mp4)\z"
-LOAD_MORE = r"(?i)\b(?:load|show|view|see)\s+(?:more|all)\b|\bmore\s+(?:results|doctors|people|team)\b"
+LOAD_MORE = r"(?i)(?<![A-Za-z0-9_])(?:(?:load|show|view|see)\s+(?:more|all)|more\s+(?:results|doctors|people|team))(?![A-Za-z0-9_])"
 
 
 def _character(code: Column) -> Column:

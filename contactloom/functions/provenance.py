@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .let import let
+
 # Wording of the deliverables.
 READY, VERIFY = "Ready to send", "Needs verification"
-KEY_SHAPED = r"(?i)\b(?:sk|fc|xai|gsk)-[A-Za-z0-9_*-]{4,}"
+KEY_SHAPED = r"(?i)(?<![A-Za-z0-9_])(?:sk|fc|xai|gsk)-[A-Za-z0-9_*-]{4,}"
 URL_TOKEN = r"(?<=https?://[^\s\"'<>]{0,400}/)[A-Za-z0-9_-]{16,}(?=/|[\s\"'<>]|\z)"
 
 
 def parse_basis(basis: Column) -> Column:
     """(stem, ai, unverified): the two flags may stand in either order."""
-    given = F.trim(F.coalesce(basis, F.lit("")))
-    flags = F.regexp_extract(given, r"((?:\(ai\)|\(unverified-domain\))*)\z", 1)
-    stem = F.substring(given, F.lit(1), F.length(given) - F.length(flags))
-    return F.struct(stem.alias("stem"), flags.contains("(ai)").alias("ai"), flags.contains("(unverified-domain)").alias("unverified"))
+    def peeled(b: Column) -> Column:
+        stem = F.substring(b["given"], F.lit(1), F.length(b["given"]) - F.length(b["flags"]))
+        return F.struct(stem.alias("stem"), b["flags"].contains("(ai)").alias("ai"), b["flags"].contains("(unverified-domain)").alias("unverified"))
+
+    flags = lambda g: F.regexp_extract(g, r"((?:\(ai\)|\(unverified-domain\))*)\z", 1)
+    return let(let(F.trim(F.coalesce(basis, F.lit(""))), lambda g: F.struct(g.alias("given"), flags(g).alias("flags"))), peeled)
 
 
 def basis_status(basis: Column) -> Column:
     """(status, source, sendable).  Only a published or a found address can be sent; what isn't known never is."""
-    parsed = parse_basis(basis)
+    return let(F.struct(basis.alias("given"), parse_basis(basis).alias("parsed")), lambda b: _meaning(b["given"], b["parsed"]))
+
+
+def _meaning(basis: Column, parsed: Column) -> Column:
     stem, ai, unverified = parsed["stem"], parsed["ai"], parsed["unverified"]
     meaning = lambda status, source, ok: F.struct(F.lit(status).alias("status"), source.alias("source"), F.lit(ok).alias("sendable"))
     confidence = F.when(stem == "web-found:", F.lit("low")).otherwise(F.substring(stem, 11, 1000))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..functions.let import with_fields
 from ..functions.provenance import basis_status
 
 MOST_CANDIDATES = 18
@@ -33,11 +34,12 @@ def with_domains(master: DataFrame, cache: DataFrame) -> DataFrame:
 def decide(master: DataFrame, cache: DataFrame, patterns: DataFrame, ascii_only: bool = False) -> DataFrame:
     """Master with best_email, basis, candidates (at most 18) and the learned pattern's source."""
     known = with_domains(master, cache).join(patterns.select("domain", "pattern", F.col("confidence").alias("_by"), F.col("source").alias("learned_source")), "domain", "left")
-    known = known.withColumn("_tokens", names.name_tokens(F.col("name"), ascii_only))
+    known = with_fields(known, F.struct(names.name_tokens(F.col("name"), ascii_only).alias("_tokens")))
     known = known.withColumn("_fl", names.first_last(F.col("_tokens")))
     domain, flag = F.col("win_domain"), F.when(F.col("confirmed").isNull(), F.lit("(unverified-domain)")).otherwise("")
-    listed = F.transform(names.candidates(F.col("_fl.first"), F.col("_fl.last")), lambda c: F.concat(c["local"], F.lit("@"), domain))
-    learned = names.build_email(F.col("pattern"), F.col("_tokens"), domain)
+    made = F.transform(names.candidates(F.col("_fl.first"), F.col("_fl.last")), lambda c: F.concat(c["local"], F.lit("@"), domain))
+    known = with_fields(known, F.struct(made.alias("_listed"), names.build_email(F.col("pattern"), F.col("_tokens"), domain).alias("_learned")))
+    listed, learned = F.col("_listed"), F.col("_learned")
     hoisted = F.when(learned.isNotNull(), F.concat(F.array(learned), F.filter(listed, lambda c: c != learned))).otherwise(listed)
     pick = lambda email, basis, several: F.struct(email.alias("best_email"), basis.alias("basis"), several.alias("candidates"))
     none, nobody = F.array().cast("array<string>"), F.lit(None).cast("string")
@@ -51,7 +53,7 @@ def decide(master: DataFrame, cache: DataFrame, patterns: DataFrame, ascii_only:
         .when(learned.isNotNull(), pick(learned, F.concat(F.lit("learned:"), F.col("pattern"), F.when(F.col("_by") == "ai", "(ai)").otherwise(""), flag), F.slice(hoisted, 1, MOST_CANDIDATES)))
         .otherwise(pick(F.get(listed, F.lit(0)), F.concat(F.lit("default:first.last"), flag), F.slice(listed, 1, MOST_CANDIDATES)))
     )
-    return known.withColumn("_c", choice).drop("_tokens", "_fl", "_by", "pattern").select("*", "_c.*").drop("_c")
+    return with_fields(known, choice).drop("_tokens", "_fl", "_listed", "_learned", "_by", "pattern")
 
 
 def person_rows(decided: DataFrame) -> DataFrame:
@@ -59,9 +61,10 @@ def person_rows(decided: DataFrame) -> DataFrame:
     meaning = basis_status(F.col("basis"))
     shown = names.display_name(F.col("name"))
     proof = F.when(F.col("basis") == "known", F.col("email_source_url")).when(F.startswith("basis", F.lit("web-found:")), F.col("web_found_source")).when(F.startswith("basis", F.lit("learned:")), F.col("learned_source"))
-    return decided.where(F.coalesce("best_email", F.lit("")) != "").withColumn("_m", meaning).withColumn("_d", shown).select(
+    rows = with_fields(decided.where(F.coalesce("best_email", F.lit("")) != ""), F.struct(meaning.alias("_m"), shown.alias("_d"), F.coalesce(proof, F.lit("")).alias("proof")))
+    return rows.select(
         F.col("_d.first").alias("first_name"), F.col("_d.last").alias("last_name"), F.col("best_email").alias("email"), "title", "company", "domain", "website",
-        F.col("_m.status").alias("status"), F.col("_m.source").alias("source"), F.coalesce(proof, F.lit("")).alias("proof"), "business_email", "all_business_emails",
+        F.col("_m.status").alias("status"), F.col("_m.source").alias("source"), "proof", "business_email", "all_business_emails",
         F.array_join("candidates", "; ").alias("all_predicted_emails"), F.col("_m.sendable").alias("sendable"), "basis")
 
 

@@ -62,9 +62,7 @@ def _numbered(df: DataFrame, order: str) -> DataFrame:
     total = df.count()
     width = max(1, total // 256)
     bounds = df.stat.approxQuantile(order, [i / 256 for i in range(1, 256)], 0.001) if total > width else []
-    block = F.lit(0)
-    for b in sorted(set(bounds)):
-        block = block + (F.col(order) > b).cast("int")
+    block = F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(bounds))]), lambda b: b < F.col(order))) if bounds else F.lit(0)
     placed = df.withColumn("_block", block)
     counts = {r["_block"]: r["n"] for r in placed.groupBy("_block").agg(F.count("*").alias("n")).collect()}
     starts, at = {}, 0
