@@ -120,7 +120,7 @@ def looked_up(table: DataFrame, value_of: Callable[[dict[bytes, int]], np.ndarra
         values = np.asarray(value_of(dict(zip(place, total.tolist()))), "<u8")
         blocks = [r["block"] for r in rows] + [None]
         codes = [r["codes"] for r in rows] + [b""]
-        found = [numbers(values[at]) for at in spots] + [int((total > 0).sum()).to_bytes(8, "little")]
+        found = [numbers(values[at]) for at in spots] + [int((total > 0).sum()).to_bytes(8, "big")]
         return pa.table({"block": pa.array(blocks, pa.int64()), "codes": pa.array(codes, pa.binary()), "found": pa.array(found, pa.binary())})
 
     strings = table.where("bucket is not null").select("bucket", "block", "codes", "pieces", "counts")
