@@ -181,9 +181,9 @@ b AS (SELECT domain, arg_max('b' || event_id || '@example.com', event_id) AS bas
 r AS (SELECT domain, 'b' || event_id || '@example.com' AS email, 1 AS kind, event_id FROM e WHERE event_type = 'view'),
 l AS (SELECT domain, 'o' || (user_id % 3) || '@example.com' AS email, 2 AS kind, event_id FROM e WHERE event_type = 'purchase'),
 rel AS (SELECT domain, arg_max('r' || event_id || '@example.net', event_id) AS rel FROM e WHERE event_type = 'purchase' GROUP BY 1),
-added AS (SELECT domain, email, min((kind, event_id)) AS at FROM (FROM r UNION ALL FROM l) GROUP BY 1, 2),
-listed AS (SELECT domain, base AS email, (0, 0) AS at FROM b UNION ALL SELECT a.domain, a.email, a.at FROM added a LEFT JOIN b USING (domain) WHERE a.email IS DISTINCT FROM base),
-firsts AS (SELECT domain, string_agg(email, '; ' ORDER BY at) AS all_emails, arg_min(email, at) AS own, count(*) AS n FROM listed GROUP BY 1)"""
+added AS (SELECT domain, email, min((kind, event_id)) AS ord FROM (FROM r UNION ALL FROM l) GROUP BY 1, 2),
+listed AS (SELECT domain, base AS email, (0, 0) AS ord FROM b UNION ALL SELECT a.domain, a.email, a.ord FROM added a LEFT JOIN b USING (domain) WHERE a.email IS DISTINCT FROM base),
+firsts AS (SELECT domain, string_agg(email, '; ' ORDER BY ord) AS all_emails, arg_min(email, ord) AS own, count(*) AS n FROM listed GROUP BY 1)"""
 
 
 @query(f"""WITH {_INBOX_SQL} SELECT domain, own AS email, all_emails AS all_business_emails, coalesce(rel, '') AS related_email FROM firsts LEFT JOIN rel USING (domain)""")
