@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import urls
+from .let import let
 from .names import SPACE, trimmed
 
 # References that are decoded, in this order.
@@ -70,11 +71,15 @@ def extract_links(source: Column, page_url: Column, cap: int = 150) -> Column:
 
 
 def first_of_each(items: Column, key) -> Column:
-    """The first item of every key, in order."""
+    """The first item of every key, in order; sorts by key, so a page with very many items takes no square of them."""
     def within(a: Column) -> Column:
-        return F.transform(F.array(F.transform(a, key)), lambda keys: F.filter(a, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1))[0]
+        return let(F.array_sort(F.transform(a, lambda x, i: F.struct(key(x).alias("k"), i.alias("i")))), lambda order: firsts(a, order))
 
-    return F.transform(F.array(items), within)[0]
+    def firsts(a: Column, order: Column) -> Column:
+        new = F.filter(order, lambda o, i: (i == 0) | (o["k"] != F.get(order, i - 1)["k"]))
+        return F.transform(F.array_sort(F.transform(new, lambda o: o["i"])), lambda i: F.get(a, i))
+
+    return let(items, within)
 
 
 def data_urls(source: Column, page_url: Column, cap: int = 20) -> Column:
