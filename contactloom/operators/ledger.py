@@ -51,8 +51,8 @@ def histogram(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
 
 def stride_sample(df: DataFrame, order: str, size: int) -> DataFrame:
     """Every n-th row in the order of a unique column, ``size`` rows: numbered by partition counts, not in one task."""
-    ranged = df.repartitionByRange(order).sortWithinPartitions(order)
-    return _numbered(ranged, order).where(F.col("_n") % F.greatest(F.lit(1), F.floor(F.col("_total") / size)) == 0).where(F.floor(F.col("_n") / F.greatest(F.lit(1), F.floor(F.col("_total") / size))) < size).drop("_n", "_total")
+    stride = F.greatest(F.lit(1), F.floor(F.col("_total") / size))
+    return _numbered(df, order).where((F.col("_n") % stride == 0) & (F.floor(F.col("_n") / stride) < size)).drop("_n", "_total")
 
 
 def _numbered(df: DataFrame, order: str) -> DataFrame:

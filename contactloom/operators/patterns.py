@@ -9,24 +9,32 @@ from ..functions import names
 
 
 def learn_patterns(people: DataFrame, evidence: DataFrame, ascii_only: bool = False, by_rank: bool = False) -> DataFrame:
-    """(domain, pattern, votes, confidence, source, evidence) by votes of names times patterns times addresses.
+    """(domain, pattern, votes, confidence, source) by votes of names times patterns times addresses.
 
     ``people`` (domain, name, pos) and ``evidence`` (domain, email, pos).  The most votes win; a tie goes
     to the pattern whose first vote came first (address, then name, then rank), or with ``by_rank`` to
-    the higher ranked.  Candidates meet addresses in an equi-join on domain and local part; nothing is
+    the higher ranked.  The source is the first address that any pattern gave.  Candidates meet addresses in an equi-join on domain and local part; nothing is
     multiplied out.
     """
+    hits = _hits(people, evidence, ascii_only)
+    votes = hits.groupBy("domain", "pattern", "rank").agg(F.count("*").alias("votes"), F.min(F.struct("email_pos", "name_pos", "rank")).alias("first"), F.min(F.struct("email_pos", "email")).alias("proof"))
+    tie = F.col("rank") if by_rank else F.col("first")
+    best = votes.groupBy("domain").agg(F.min_by(F.struct("pattern", "votes"), F.struct(-F.col("votes"), tie.alias("t"))).alias("b"), F.min("proof").alias("p"))
+    return best.select("domain", "b.pattern", "b.votes", F.lit("deterministic").alias("confidence"), F.col("p.email").alias("source"))
+
+
+def _hits(people: DataFrame, evidence: DataFrame, ascii_only: bool) -> DataFrame:
+    """A row for each name and pattern that gives a published address."""
     split = people.select("domain", F.col("pos").alias("name_pos"), names.first_last(names.name_tokens(F.col("name"), ascii_only)).alias("n")).where("n is not null")
     built = F.array(*[F.struct(names.local_part(p, F.col("n.first"), F.col("n.last")).alias("local"), F.lit(i).alias("rank"), F.lit(p).alias("pattern")) for i, p in enumerate(names.PATTERNS)])
     made = split.select("domain", "name_pos", F.explode(built).alias("c")).select("domain", "name_pos", "c.*")
     given = evidence.select("domain", "email", F.col("pos").alias("email_pos"), F.split("email", "@")[0].alias("local"))
-    hits = made.join(given, ["domain", "local"])
-    votes = hits.groupBy("domain", "pattern", "rank").agg(F.count("*").alias("votes"), F.min(F.struct("email_pos", "name_pos", "rank")).alias("first"))
-    tie = F.col("rank") if by_rank else F.col("first")
-    best = votes.groupBy("domain").agg(F.min_by(F.struct("pattern", "votes"), F.struct(-F.col("votes"), tie.alias("t"))).alias("b"))
-    proof = hits.groupBy("domain").agg(F.array_sort(F.collect_set(F.struct("email_pos", "email"))).alias("p"))
-    return best.join(proof, "domain").select(
-        "domain", "b.pattern", "b.votes", F.lit("deterministic").alias("confidence"), F.col("p")[0]["email"].alias("source"), F.transform("p", lambda x: x["email"]).alias("evidence"))
+    return made.join(given, ["domain", "local"])
+
+
+def matched_evidence(people: DataFrame, evidence: DataFrame, ascii_only: bool = False) -> DataFrame:
+    """(domain, email, pos): the published addresses that some name and pattern give, a row for each."""
+    return _hits(people, evidence, ascii_only).select("domain", "email", F.col("email_pos").alias("pos")).distinct()
 
 
 def proof_gate(proposed: DataFrame, people: DataFrame, evidence: DataFrame, ascii_only: bool = False) -> DataFrame:

@@ -216,3 +216,10 @@ def rank_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest good record of every user by an incremental run over the events, started twice: the second finds nothing new."""
     return resume.resumed_summary(spark, sf_dir, "events.parquet")
+
+
+@query(_LEARN_SQL + " SELECT DISTINCT domain, local || '@' || domain AS email FROM hits")
+def matched_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published addresses that some name and format give."""
+    rows, emails = _evidence(spark, sf_dir)
+    return patterns.matched_evidence(rows, emails, ascii_only=True).select("domain", "email")
