@@ -175,14 +175,15 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 def site_templates(pages: DataFrame, url_col: str, html_col: str, min_pages: int, share: float) -> DataFrame:
     """(host, templates array<long>): subtrees on ``min_pages`` different pages and ``share`` of all different pages of a host.
 
-    Pages of one title count once, so copies of an article don't make its paragraphs a template.
+    Pages of one title (or first heading, or where they have neither, of one text) count once, so copies
+    of an article don't make its paragraphs a template.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             marks, found = [], []
             for source in b.column(1).to_pylist():
                 page = Page(source or "")
-                heads = page.title or next((t for e, t, _ in page.blocks if page.tag[e] == "h1"), "") or (page.blocks[0][1] if page.blocks else "")
+                heads = page.title or next((t for e, t, _ in page.blocks if page.tag[e] == "h1"), "") or "\n".join(t for _, t, _ in page.blocks)
                 marks.append(xxhash.xxh64_intdigest(heads.encode("utf-8", "surrogatepass")) >> 1)
                 hashes = page.hashes()
                 found.append(sorted({h for e, h in enumerate(hashes) if h and not page.dropped[e] and page.tag[e] not in ("html", "body", *MAIN)}))
