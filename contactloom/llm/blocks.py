@@ -18,9 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIELDS = 4  # longs that a document row carries besides its codes
-SCHEMA = "block long, doc_id long, " + ", ".join(f"f{i} long" for i in range(FIELDS)) + ", codes binary, bucket int, pieces binary, counts binary"
-ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), *[(f"f{i}", pa.int64()) for i in range(FIELDS)], ("codes", pa.binary()), ("bucket", pa.int32()), ("pieces", pa.binary()), ("counts", pa.binary())])
+FIELDS = 3  # longs that a document carries
+#: Documents of a block, packed by column, or a bucket of its dictionary.
+SCHEMA = "block long, total0 long, total1 long, ids binary, nulls binary, " + ", ".join(f"f{i} binary" for i in range(FIELDS)) + ", sizes binary, codes binary, times binary, bucket int, pieces binary, counts binary"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split() for c in SCHEMA.split(", "))])
+DOCUMENTS_A_ROW = 4000
 
 
 def pack(pieces: list[bytes]) -> bytes:
@@ -35,7 +38,13 @@ def unpack(packed: bytes) -> list[bytes]:
 
 
 def numbers(values: np.ndarray) -> bytes:
-    return zstandard.compress(values.tobytes(), 1)
+    """Values as compressed byte planes: the high bytes of small numbers cost next to nothing."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes() if len(values) else b"", 3)
+
+
+def read_numbers(packed: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(width, -1).T.tobytes(), kind)
 
 
 class Block:
@@ -46,6 +55,7 @@ class Block:
         self.memo: dict = {}
         self.documents: list[tuple] = []
         self.counts = np.zeros(1024, np.int64)
+        self.totals = [0, 0]
         self.bytes = 0
 
     def code(self, piece: bytes) -> int:
@@ -57,42 +67,55 @@ class Block:
         found = np.bincount(codes)
         self.counts[: len(found)] += found
 
+    def add(self, doc_id: int | None, longs: tuple, codes: np.ndarray) -> None:
+        """A document as the frequencies of its strings: distinct codes in order, by their gaps, and how often each stands there."""
+        distinct, times = np.unique(codes, return_counts=True)
+        self.documents.append((doc_id, longs, np.diff(distinct, prepend=0).astype("<u4"), times.astype("<u4")))
+
     def rows(self, number: int, buckets: int) -> Iterator[pa.RecordBatch]:
         """Rows of the documents, then one row for each bucket of the dictionary."""
-        for at in range(0, len(self.documents), 2000):
-            part = self.documents[at : at + 2000]
-            none = [None] * len(part)
-            cols = [[number] * len(part), [d[0] for d in part], *[[d[1][i] if i < len(d[1]) else None for d in part] for i in range(FIELDS)], [d[2] for d in part], none, none, none]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, ARROW)], schema=ARROW)
+        for at in range(0, len(self.documents), DOCUMENTS_A_ROW):
+            part = self.documents[at : at + DOCUMENTS_A_ROW]
+            ids, longs, gaps, times = zip(*part)
+            fields = np.zeros((FIELDS, len(part)), "<i8")
+            for k, own in enumerate(longs):
+                fields[: len(own), k] = own
+            yield _row(
+                block=number, total0=self.totals[0] if at == 0 else 0, total1=self.totals[1] if at == 0 else 0, ids=numbers(np.array([i or 0 for i in ids], "<i8")), nulls=numbers(np.array([i is None for i in ids], np.uint8)),
+                **{f"f{i}": numbers(fields[i]) for i in range(FIELDS)}, sizes=numbers(np.array([len(g) for g in gaps], "<u4")), codes=numbers(np.concatenate(gaps)), times=numbers(np.concatenate(times)))
         if not self.code_of:
             return
         pieces = list(self.code_of)
         of = np.fromiter((zlib.crc32(p) % buckets for p in pieces), np.int32, len(pieces))
         order = np.argsort(of, kind="stable")
         for group in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-            row = [number, None, *[None] * FIELDS, numbers(group.astype("<u4")), int(of[group[0]]), pack([pieces[i] for i in group]), numbers(self.counts[group].astype("<u8")) if self.counts.any() else None]
-            yield pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, ARROW)], schema=ARROW)
+            yield _row(block=number, codes=numbers(group.astype("<u4")), bucket=int(of[group[0]]), pieces=pack([pieces[i] for i in group]), counts=numbers(self.counts[group].astype("<u8")) if self.counts.any() else None)
+
 
+def _row(**values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([values.get(t.name)], t.type) for t in ARROW], schema=ARROW)
 
-def encoded(docs: DataFrame, encoder: Callable[[], tuple[Callable, Callable]], buckets: int, block_bytes: int) -> DataFrame:
+
+def encoded(docs: DataFrame, encoder: Callable[[], tuple[Callable, Callable]], buckets: int, block_bytes: int, rows_at_once: int = 500) -> DataFrame:
     """Document and dictionary rows of ``docs`` (doc_id, text as binary, then what ``encode`` reads).
 
-    ``encoder()`` makes ``encode(block, row) -> (longs, codes)`` in each task, and what sees the texts of a
-    batch before that; a null text is empty.
+    ``encoder()`` makes ``encode(block, row) -> (longs, codes)`` in each task, and what sees the texts of
+    ``rows_at_once`` rows before that; a null text is empty.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (encode, prepare), block = encoder(), Block()
         number = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            prepare([t or b"" for t in batch.column(1).to_pylist()])
-            for doc_id, text, *more in zip(*[c.to_pylist() for c in batch.columns]):
-                text = text or b""
-                longs, codes = encode(block, text, *more)
-                block.documents.append((doc_id, longs, codes.astype("<u4").tobytes()))
-                block.bytes += len(text)
-                if block.bytes >= block_bytes:
-                    yield from block.rows(number, buckets)
-                    number, block = number + 1, Block()
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows_at_once):
+                part = whole.slice(at, rows_at_once)
+                texts = [t or b"" for t in part.column(1).to_pylist()]
+                prepare(texts)
+                for doc_id, text, *more in zip(part.column(0).to_pylist(), texts, *[c.to_pylist() for c in part.columns[2:]]):
+                    block.add(doc_id, *encode(block, text, *more))
+                    block.bytes += len(text)
+                    if block.bytes >= block_bytes:
+                        yield from block.rows(number, buckets)
+                        number, block = number + 1, Block()
         yield from block.rows(number, buckets)
 
     return docs.mapInArrow(rows, SCHEMA)
@@ -115,7 +138,7 @@ def looked_up(table: DataFrame, value_of: Callable[[dict[bytes, int]], np.ndarra
             if len(place) > len(total):
                 total = np.concatenate([total, np.zeros(len(place), np.int64)])
             if r["counts"] is not None:
-                np.add.at(total, at, np.frombuffer(zstandard.decompress(r["counts"]), "<u8").astype(np.int64))
+                np.add.at(total, at, read_numbers(r["counts"], "<u8").astype(np.int64))
         total = total[: len(place)]
         values = np.asarray(value_of(dict(zip(place, total.tolist()))), "<u8")
         blocks = [r["block"] for r in rows] + [None]
@@ -127,24 +150,37 @@ def looked_up(table: DataFrame, value_of: Callable[[dict[bytes, int]], np.ndarra
     return strings.groupBy("bucket").applyInArrow(bucket, "block long, codes binary, found binary")
 
 
-def summed(table: DataFrame, values: DataFrame, per_document: Callable[[np.ndarray], Callable], schema: str) -> DataFrame:
-    """Documents of each block with its values: ``per_document(values)`` makes ``f(codes, row) -> output row``."""
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def block(documents: pa.Table, found: pa.Table) -> pa.Table:
-        parts = [(np.frombuffer(zstandard.decompress(r["codes"]), "<u4"), np.frombuffer(zstandard.decompress(r["found"]), "<u8")) for r in found.to_pylist()]
-        value = np.zeros(sum(len(c) for c, _ in parts), np.int64)
-        for codes, v in parts:
-            value[codes] = v
-        one = per_document(value)
-        out = [one(np.frombuffer(r["codes"], "<u4"), r) for r in documents.to_pylist()]
-        return pa.Table.from_pylist([dict(zip(names, r)) for r in out], schema=arrow)
+def summed(table: DataFrame, values: DataFrame, per_block: Callable[[np.ndarray], tuple[list[np.ndarray], Callable]], schema: str) -> DataFrame:
+    """A row for each document from the sums over its strings.
 
+    ``per_block(values)`` gives arrays by code to be summed for each document, and what makes the columns
+    after doc_id from these sums and the documents' longs.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
-    documents = table.where("bucket is null").select("block", "doc_id", *[f"f{i}" for i in range(FIELDS)], "codes")
+
+    def block(documents: pa.Table, found: pa.Table) -> pa.Table:
+        parts = [(read_numbers(r["codes"], "<u4"), read_numbers(r["found"], "<u8")) for r in found.to_pylist()]
+        value = np.zeros(sum(len(c) for c, _ in parts), np.int64)
+        for codes, v in parts:
+            value[codes] = v
+        weights, columns = per_block(value)
+        out = []
+        for r in documents.to_pylist():
+            sizes, gaps, times = (read_numbers(r[c], "<u4").astype(np.int64) for c in ("sizes", "codes", "times"))
+            starts = np.cumsum(sizes) - sizes
+            # Gaps start anew with each document.
+            run = np.concatenate([[0], np.cumsum(gaps)])
+            codes, of = run[1:] - np.repeat(run[starts], sizes), np.repeat(np.arange(len(sizes)), sizes)
+            sums = [np.bincount(of, weights=w[codes] * times, minlength=len(sizes)) for w in weights]
+            ids = pa.array(read_numbers(r["ids"], "<i8"), mask=read_numbers(r["nulls"], np.uint8) != 0)
+            made = columns(sums, [read_numbers(r[f"f{i}"], "<i8") for i in range(FIELDS)])
+            out.append(pa.table([ids, *made], schema=arrow))
+        return pa.concat_tables(out) if out else arrow.empty_table()
+
+    documents = table.where("bucket is null").select("block", "ids", "nulls", *[f"f{i}" for i in range(FIELDS)], "sizes", "codes", "times")
     return documents.groupBy("block").cogroup(values.where("block is not null").groupBy("block")).applyInArrow(block, schema)
 
 
