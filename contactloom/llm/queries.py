@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontam, html_template, packing, rules, secret_scan, sharding, simhash, token_counts, zstd_quality
+from . import ctw, decontam, html_template, oracle, packing, rules, secret_scan, sharding, simhash, token_counts, zstd_quality
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -77,4 +77,4 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_curve_packing, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op6_main_text, op7_quality_rules, op8_secret_scan, op9_decontamination, op10_compression_quality)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op7_quality_rules": oracle.RULES_SQL, "op9_decontamination": oracle.DECONTAMINATION_SQL}
