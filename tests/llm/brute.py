@@ -8,6 +8,12 @@ import zlib
 
 import xxhash
 
+#: Nulls, empty and long texts, repeated rows, a null id, accents and special strings.
+AWKWARD = [
+    (1, None), (2, ""), (3, "   \t\n "), (4, "one"), (5, "Two words"), (6, "the quick brown fox jumps over the lazy dog"), (7, "THE QUICK brown fox jumps over the lazy dog"), (8, "the quick brown fox jumps over the lazy dog"),
+    (8, "the quick brown fox jumps over the lazy dog"), (None, "no id here at all"), (9, "naïve Ünïcode   text \U0001f600 with wide blanks <|endoftext|> inside's we'll"), (10, "again and again and again and again\nline\nline\n\nline x\n" * 40), (11, "word " * 20_000), (12, "tail\r\nend  "),
+]
+
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 

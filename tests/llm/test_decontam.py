@@ -1,5 +1,5 @@
 import brute
-from conftest import AWKWARD
+from brute import AWKWARD
 
 from contactloom.llm import decontam, queries
 

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from conftest import AWKWARD
+from brute import AWKWARD
 from tokenizers import Tokenizer
 
 from contactloom.llm import packing, queries
@@ -62,3 +62,13 @@ def test_hilbert_curve_visits_every_cell_by_neighbours():
     assert sorted(keys) == list(range(512))
     walk = points[np.argsort(keys)]
     assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
+
+
+def test_fast_ids_are_those_of_the_library_on_noise():
+    import random
+
+    draw, encode, tokenizer = random.Random(11), packing._encoder(PATH), Tokenizer.from_file(PATH)
+    pieces = ["the", " ing", "q", "zx", "'ll", "'", "’", "é", "ß", "  ", "\n\n", "\t", "123", "<|endoftext|>", "\U0001f600", "aaaa", "ﬁ", "١٢", "_", "%%%", "\x1c", "\x85", " ", "x" * 500, " " * 450]
+    for _ in range(3000):
+        text = "".join(draw.choices(pieces, k=draw.randint(0, 12))) + "".join(draw.choices("abcdefghijklmnopqrstuvwxyzäöüéèñ ", k=draw.randint(0, 40)))
+        assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes(), text

@@ -1,6 +1,6 @@
 import brute
 import pytest
-from conftest import AWKWARD
+from brute import AWKWARD
 
 from contactloom.llm import queries, rules
 

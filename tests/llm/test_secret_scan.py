@@ -2,7 +2,7 @@ import random
 import re
 
 import brute
-from conftest import AWKWARD
+from brute import AWKWARD
 
 from contactloom.llm import queries, secret_scan
 

@@ -2,7 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import AWKWARD
+from brute import AWKWARD
 
 from contactloom.llm import queries, sharding
 

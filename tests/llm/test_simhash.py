@@ -1,7 +1,7 @@
 import random
 
 import brute
-from conftest import AWKWARD
+from brute import AWKWARD
 
 from contactloom.llm import queries, simhash
 

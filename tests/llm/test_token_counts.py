@@ -1,5 +1,5 @@
 import public_tokenizers
-from conftest import AWKWARD
+from brute import AWKWARD
 from tokenizers import Tokenizer
 
 from contactloom.llm import queries, token_counts
