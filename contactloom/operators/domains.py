@@ -65,3 +65,17 @@ def resolve_domains(targets: DataFrame, records: DataFrame, raw: str = "raw") ->
         F.when(mail, True).when(F.col("confidence") == "none", False).alias("has_mx"), "confidence", F.when(mail, F.col("mx")).otherwise(F.array().cast("array<string>")).alias("mx"),
         F.when(F.col("confidence") == "invalid", "unparseable-domain").when(F.col("confidence") == "error", "lookup-failed").when(F.col("confidence") == "none", "no-mx")
         .when(F.col("confidence") == "high", F.concat(F.lit("provider-mx:"), "p")).otherwise("mx-present").alias("signal"))
+
+
+def domain_report(targets: DataFrame, resolved: DataFrame) -> DataFrame:
+    """(company, domain, email_domain, provider, confidence) of every target that was looked up, by company."""
+    looked = resolved.where("domain is not null").select("domain", "email_domain", "provider", "confidence")
+    return targets.select(F.col("key").alias("domain"), "company").join(looked, "domain").select("company", "domain", "email_domain", "provider", "confidence").orderBy(F.collate("company", "UNICODE"), "domain")
+
+
+def predictable_counts(master: DataFrame, resolved: DataFrame) -> DataFrame:
+    """One row: domains without any address, how many of them take mail, and how many are dead."""
+    held = F.coalesce(F.bool_or((F.coalesce("email", F.lit("")) != "") | (F.coalesce("business_email", F.lit("")) != "")), F.lit(False))
+    bare = master.groupBy("domain").agg(held.alias("_held")).where(~F.col("_held")).select("domain")
+    told = bare.join(resolved.where("domain is not null").select("domain", "confidence").distinct(), "domain", "left")
+    return told.agg(F.count("*").alias("without_email"), F.count_if(F.col("confidence").isin("high", "medium")).alias("predictable"), F.count_if(F.col("confidence") == "none").alias("dead"))

@@ -223,3 +223,19 @@ def matched_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published addresses that some name and format give."""
     rows, emails = _evidence(spark, sf_dir)
     return patterns.matched_evidence(rows, emails, ascii_only=True).select("domain", "email")
+
+
+@query(f"""WITH {_MX_SQL} SELECT s_name AS company, domain, CASE WHEN bad IS NULL THEN domain END AS email_domain, coalesce(bad, CASE WHEN p IS NULL THEN 'medium' ELSE 'high' END) AS confidence FROM told JOIN supplier ON k = s_suppkey WHERE domain IS NOT NULL""")
+def domain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mail domain of every supplier that was looked up."""
+    targets = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey", F.lit(".example.com")).alias("key"), F.col("s_name").alias("company"))
+    return domains.domain_report(targets, _resolved(spark, sf_dir)).drop("provider")
+
+
+@query(f"""WITH {_MX_SQL}, bare AS (SELECT told.* FROM told JOIN supplier ON k = s_suppkey WHERE domain IS NOT NULL AND s_acctbal <= 5000)
+SELECT count(*) AS without_email, count_if(bad IS NULL) AS predictable, count_if(bad = 'none') AS dead FROM bare""")
+def predictable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' domains without an address, and how many of them take mail or are dead."""
+    k = F.col("s_suppkey")
+    master = table(spark, sf_dir, "supplier").where(k % 9 != 8).select(F.concat(F.lit("s"), k, F.lit(".example.com")).alias("domain"), F.when(F.col("s_acctbal") > 5000, "a@example.com").alias("email"), F.lit("").alias("business_email"))
+    return domains.predictable_counts(master, _resolved(spark, sf_dir))
