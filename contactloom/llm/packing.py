@@ -7,7 +7,6 @@ stretch of the curve, and laid end to end into sequences: neighbours on the curv
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -18,36 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import write_table
-from .token_counts import chunk_split, load, pre_tokens
+from .token_counts import ids_of, load
 
-MEMO = 300_000
 DIMENSIONS, ORDER, BUCKETS = 4, 15, 1 << 12
 
 
 def _encoder(path: str) -> Callable[[str], bytes]:
-    """A text's ids as little-endian bytes, as the library gives them; its ids for repeated words are kept."""
-    tokenizer, special = load(path)
-    split, cut = pre_tokens(tokenizer), chunk_split(tokenizer, special)
-    kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-    memo: dict[str, bytes] = {}
-
-    def whole(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(text: str) -> bytes:
-        chunks = cut(text)
-        if chunks is None:
-            marks = [text] if not special else [p for p in re.split("(" + "|".join(map(re.escape, special)) + ")", text) if p]
-            chunks = [c for p in marks for c in ([p] if p in special else split(p))]
-        new = list(set(chunks).difference(memo))
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(set(chunks))
-            memo.update(zip(new, whole(new)))
-        return b"".join(map(memo.__getitem__, chunks))
-
-    return encode
+    """A text's ids as little-endian bytes."""
+    ids, kind = ids_of(path), "<u2" if load(path)[0].get_vocab_size() <= 1 << 16 else "<u4"
+    return lambda text: np.array(ids(text), kind).tobytes()
 
 
 def hilbert(points: np.ndarray, order: int) -> np.ndarray:
