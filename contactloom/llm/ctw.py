@@ -3,8 +3,8 @@
 A node is a context (the last ``d`` bytes, d from 0 to ``depth``) with the bits of the next byte so
 far.  Its Krichevsky-Trofimov estimate comes from the counts of its next bit; its weighted
 probability is half that estimate's block probability and half the product over its children one
-byte longer.  Counts of (context, byte) strings are summed over the corpus in Spark and the tree is
-weighted bottom-up, one aggregation a level.  Every node then has an estimate and the posterior
+byte longer.  Counts of (context, byte) strings are summed over the corpus in buckets that hold
+whole subtrees, and the tree is weighted bottom-up.  Every node then has an estimate and the posterior
 weight of stopping there; a bit's probability mixes the estimates along its path by these weights.
 """
 
@@ -16,14 +16,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, as_bytes, bucket_count, encoded, looked_up, summed
+from .blocks import Block, as_bytes, bucket_count, encoded, looked_up, numbers, read_numbers, summed
 from .scratch import write_table
 
 EDGE = 0xFF  # never in UTF-8: stands before a text's start and is its last symbol
 AT_ONCE = 1 << 21
+#: Documents of a block, or a bucket of its distinct grams.
+GRAM_SCHEMA = "block long, ids binary, nulls binary, outs binary, sizes binary, text binary, bucket int, codes binary, grams binary, counts binary"
+GRAM_ARROW = pa.schema([(name, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[kind]) for name, kind in (c.split() for c in GRAM_SCHEMA.split(", "))])
 
 
 def normal(text: bytes) -> bytes:
@@ -157,71 +162,213 @@ def log10_probabilities(found: np.ndarray, depth: int, keys: np.ndarray, p1: np.
     return total
 
 
-class Scorer:
-    """log10 probabilities of texts with their ends; what a byte costs is worked out once for each gram."""
-
-    def __init__(self, model, depth: int) -> None:
-        self.model, self.depth = model, depth
-        self.known, self.cost = np.zeros(0, np.int64), np.zeros(0)
+def packed_grams(texts: Iterator[tuple[int, bytes]], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams of numbered texts that ``normal`` has been through, and the numbers of their texts, in parts of bounded size."""
+    held: list[np.ndarray] = []
+    owners: list[int] = []
+    size = 0
+    for owner, text in texts:
+        for part in grams(text, depth):
+            held.append(part)
+            owners.append(owner)
+            size += len(part)
+            if size >= AT_ONCE:
+                yield np.concatenate(held), np.repeat(owners, [len(h) for h in held])
+                held, owners, size = [], [], 0
+    if held:
+        yield np.concatenate(held), np.repeat(owners, [len(h) for h in held])
+
+
+def merged(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order and the sums of their counts."""
+    value, count = np.concatenate(values), np.concatenate(counts)
+    order = np.argsort(value, kind="stable")
+    value, count = value[order], count[order]
+    first = np.flatnonzero(np.diff(value, prepend=-1))
+    return value[first], np.add.reduceat(count, first) if len(first) else count
+
+
+def gram_blocks(docs: DataFrame, depth: int, shared: int, buckets: int, block_bytes: int) -> DataFrame:
+    """Documents (doc_id, text, held_out) in blocks, and each block's distinct grams with their counts in training texts.
+
+    A block's grams are dealt into buckets by the last ``shared`` bytes of their context, so that all nodes with
+    that many bytes of context or more have their grams in one bucket.
+    """
+    def row(**values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([values.get(t.name)], t.type) for t in GRAM_ARROW], schema=GRAM_ARROW)
+
+    def block_rows(number: int, documents: list[tuple]) -> Iterator[pa.RecordBatch]:
+        ids, texts, outs = zip(*documents)
+        yield row(block=number, ids=numbers(np.array([i or 0 for i in ids], "<i8")), nulls=numbers(np.array([i is None for i in ids], np.uint8)), outs=numbers(np.array(outs, np.uint8)),
+                  sizes=numbers(np.array([len(t) for t in texts], "<u8")), text=zstandard.compress(b"".join(texts), 3))
+        values: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        learns = ~np.array(outs, bool)
+        for part, owner in packed_grams(enumerate(texts), depth):
+            codes, distinct = pd.factorize(part)
+            values.append(distinct.astype(np.int64))
+            counts.append(np.bincount(codes, weights=learns[owner], minlength=len(distinct)).astype(np.int64))
+            if sum(map(len, values)) > 4 * AT_ONCE:
+                values, counts = ([x] for x in merged(values, counts))
+        gram, count = merged(values, counts)
+        prefix = gram >> 8 * (depth + 1 - shared)
+        of = (prefix * 2654435761 % (1 << 32) >> 8) % buckets
+        order = np.argsort(of, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+            yield row(block=number, bucket=int(of[group[0]]), codes=numbers(np.diff(group, prepend=0).astype("<u4")), grams=numbers(np.diff(gram[group], prepend=0).astype("<u8")), counts=numbers(count[group].astype("<u8")))
 
-    def prepare(self, texts: list[bytes]) -> None:
-        """Work out what the texts' grams cost, many texts at once."""
-        held: list[np.ndarray] = []
-        size = 0
-        for text in texts:
-            for part in grams(normal(text), self.depth):
-                held.append(part)
-                size += len(part)
-                if size >= 2 * AT_ONCE:
-                    self._learn(held)
-                    held, size = [], 0
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 24, [], 0
+        for batch in batches:
+            for doc_id, text, out in zip(*[c.to_pylist() for c in batch.columns]):
+                held.append((doc_id, normal(text or b""), out))
+                size += len(held[-1][1]) + 1
+                if size >= block_bytes:
+                    yield from block_rows(number, held)
+                    number, held, size = number + 1, [], 0
         if held:
-            self._learn(held)
-
-    def _learn(self, parts: list[np.ndarray]) -> None:
-        values = np.sort(pd.unique(np.concatenate(parts)).astype(np.int64))
-        if len(self.known) > 4_000_000:
-            self.known, self.cost = np.zeros(0, np.int64), np.zeros(0)
-        new = values[~np.isin(values, self.known, assume_unique=True)]
-        if len(new):
-            known = np.concatenate([self.known, new])
-            cost = np.concatenate([self.cost, log10_probabilities(new, self.depth, *self.model)])
-            order = np.argsort(known, kind="stable")
-            self.known, self.cost = known[order], cost[order]
-
-    def score(self, text: bytes) -> float:
-        """Of a text that ``normal`` has been through; its grams are learned first where they aren't known."""
-        total = 0.0
-        for part in grams(text, self.depth):
-            codes, values = pd.factorize(part)
-            values = values.astype(np.int64)
-            at = np.minimum(np.searchsorted(self.known, values), max(0, len(self.known) - 1))
-            if not len(self.known) or not np.array_equal(self.known[at], values):
-                self._learn([part])
-                at = np.searchsorted(self.known, values)
-            total += float(np.dot(self.cost[at], np.bincount(codes)))
-        return total
-
-
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 4, max_nodes: int = 4_000_000, block_bytes: int = 16 << 20) -> DataFrame:
+            yield from block_rows(number, held)
+
+    return docs.mapInArrow(rows, GRAM_SCHEMA)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    y = x + 6
+    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3)
+    return series - np.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
+
+
+class Level:
+    """Nodes with the same number of bytes and bits: key (context and bits so far), counts, estimate, weight of stopping."""
+
+    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> None:
+        self.key, self.zeros, self.ones = key, zeros, ones
+        estimate = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - math.log(math.pi)
+        self.weighted = estimate if below is None else np.logaddexp(estimate, below) - math.log(2)
+        self.stop = np.ones(len(key)) if below is None else np.exp(estimate - math.log(2) - self.weighted)
+        self.p1 = (ones + 0.5) / (zeros + ones + 1.0)
+
+    def parents(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys one byte shorter, their counts and the sums below them, and each node's place among them."""
+        key, of = np.unique((self.key >> 16 << 8) + (self.key & 255), return_inverse=True)
+        return (key, *(np.bincount(of, weights=w, minlength=len(key)) for w in (self.zeros, self.ones, self.weighted)), of)
+
+    def passed(self, p: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The mixture down to these nodes and what of it is left for those below, from the same for their parents."""
+        return p + left * self.stop * self.p1, left * (1 - self.stop)
+
+
+def climbed(gram: np.ndarray, count: np.ndarray, k: int, depth: int, shared: int) -> tuple[list[Level], list[np.ndarray]]:
+    """Levels from ``depth`` to ``shared`` bytes of the nodes with ``k`` bits over distinct sorted grams; the places of the grams, then of each level's nodes, in the next."""
+    byte = gram & 255
+    key = (gram >> 8 << 8) + (1 << k) + (byte >> (8 - k))
+    new = np.diff(key, prepend=-1) != 0
+    first, ones = np.flatnonzero(new), count * ((byte >> (7 - k)) & 1)
+    ones, total = np.add.reduceat(ones, first).astype(float), np.add.reduceat(count, first).astype(float)
+    levels, places = [Level(key[first], total - ones, ones, None)], [np.cumsum(new) - 1]
+    for _ in range(depth - shared):
+        *node, of = levels[-1].parents()
+        levels.append(Level(*node))
+        places.append(of)
+    return levels, places
+
+
+def _bucket_grams(rows: list[dict]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The grams of each row, then the distinct ones of all rows and their counts."""
+    own = [np.cumsum(read_numbers(r["grams"], "<u8").astype(np.int64)) for r in rows]
+    return own, *merged(own, [read_numbers(r["counts"], "<u8").astype(np.int64) for r in rows])
+
+
+def top_of_tree(table: DataFrame, depth: int, shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys of the nodes with one byte fewer than ``shared``, the mixture down to each, and what is left for the nodes below.
+
+    There are at most 256^(shared-1) * 255 such nodes, whatever the corpus.
+    """
+    def bucket(group: pa.Table) -> pa.Table:
+        _, gram, count = _bucket_grams(group.to_pylist())
+        found = [climbed(gram, count, k, depth, shared)[0][-1].parents()[:4] for k in range(8)]
+        return pa.table(dict(zip(("key", "zeros", "ones", "below"), (np.concatenate(c) for c in zip(*found)))))
+
+    nodes = table.where("bucket is not null").select("bucket", "grams", "counts").groupBy("bucket").applyInArrow(bucket, "key long, zeros double, ones double, below double")
+    got = nodes.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).orderBy("key").toArrow()
+    levels, places = [Level(*[got[c].to_numpy() for c in ("key", "zeros", "ones", "below")])], []
+    for _ in range(shared - 1):
+        *node, of = levels[-1].parents()
+        levels.append(Level(*node))
+        places.append(of)
+    p, left = levels[-1].passed(np.zeros(1), np.ones(1))
+    for level, of in zip(levels[-2::-1], places[::-1]):
+        p, left = level.passed(p[of], left[of])
+    return levels[0].key, p, left
+
+
+def gram_costs(gram: np.ndarray, count: np.ndarray, depth: int, shared: int, top: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """log10 of each gram's byte given its context; a node without counts estimates one half, and so do all below it."""
+    keys, top_p, top_left = top
+    total = np.zeros(len(gram))
+    for k in range(8):
+        levels, places = climbed(gram, count, k, depth, shared)
+        at = np.searchsorted(keys, (levels[-1].key >> 16 << 8) + (levels[-1].key & 255))
+        p, left = levels[-1].passed(top_p[at], top_left[at])
+        for level, of in zip(levels[-2::-1], places[:0:-1]):
+            p, left = level.passed(p[of], left[of])
+        one = p[places[0]]
+        total += np.log10(np.where((gram >> (7 - k)) & 1 == 1, one, 1 - one))
+    return total
+
+
+def tree_scores(docs: DataFrame, depth: int, buckets: int, block_bytes: int) -> DataFrame:
+    """(doc_id, text as ``normal`` leaves it, held_out, score) for every row of ``docs`` (doc_id, text as binary, held_out).
+
+    Every distinct gram of the corpus, held-out texts included, meets all nodes of its path: those of fewer than
+    ``shared`` bytes of context come from a table of bounded size, the others stand in the gram's own bucket.
+    """
+    shared = min(2, depth)
+    table = write_table(gram_blocks(docs, depth, shared, buckets, block_bytes), "gram-blocks")
+    top = docs.sparkSession.sparkContext.broadcast(top_of_tree(table, depth, shared))
+
+    def bucket(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        own, gram, count = _bucket_grams(rows)
+        cost = gram_costs(gram, count, depth, shared, top.value).astype("<f4")
+        return pa.table({"block": group["block"], "codes": group["codes"], "grams": group["grams"], "cost": pa.array([numbers(cost[np.searchsorted(gram, g)]) for g in own], pa.binary())})
+
+    def block(documents: pa.Table, found: pa.Table) -> pa.Table:
+        parts = [[read_numbers(r["codes"], "<u4").astype(np.int64).cumsum(), read_numbers(r["grams"], "<u8").astype(np.int64).cumsum(), read_numbers(r["cost"], "<f4")] for r in found.to_pylist()]
+        gram, cost = np.zeros(sum(len(c) for c, *_ in parts), np.int64), np.zeros(sum(len(c) for c, *_ in parts))
+        for codes, g, c in parts:
+            gram[codes], cost[codes] = g, c
+        (r,) = documents.to_pylist()
+        ends = read_numbers(r["sizes"], "<u8").astype(np.int64).cumsum()
+        whole = zstandard.decompress(r["text"])
+        texts = [whole[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        score = np.zeros(len(texts))
+        for part, owner in packed_grams(enumerate(texts), depth):
+            codes, distinct = pd.factorize(part)
+            score += np.bincount(owner, weights=cost[np.searchsorted(gram, distinct.astype(np.int64))][codes], minlength=len(texts))
+        return pa.table({"doc_id": pa.array(read_numbers(r["ids"], "<i8"), mask=read_numbers(r["nulls"], np.uint8) != 0), "text": pa.array(texts, pa.binary()), "held_out": pa.array(read_numbers(r["outs"], np.uint8) != 0), "score": pa.array(score)})
+
+    costs = table.where("bucket is not null").select("bucket", "block", "codes", "grams", "counts").groupBy("bucket").applyInArrow(bucket, "block long, codes binary, grams binary, cost binary")
+    documents = table.where("bucket is null").select("block", "ids", "nulls", "outs", "sizes", "text")
+    return documents.groupBy("block").cogroup(costs.groupBy("block")).applyInArrow(block, "doc_id long, text binary, held_out boolean, score double")
+
+
+def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 4, block_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
-    The tree and the add-one word model learn from all whole texts whose ``held_out`` isn't true.
+    The tree and the add-one word model learn from all whole texts whose ``held_out`` isn't true; the
+    tree is whole, whatever its size.
     ``score`` is the log10 probability that the tree gives to the lower-cased words, joined by single
     spaces, and the end; divided by -log10(2) and the bytes it is the code length per byte.  ``base_score`` sums log10((c+1)/(N+V+1)) over words
     and one end.  Null and empty texts have only the end; repeated rows get a row each; an empty table
     gives an empty result; other columns are ignored.  Without training rows every count is 0.
     """
-    out = F.coalesce(held_out, F.lit(False))
-    train = docs.where(~out).select(F.col(text_col).cast("binary"))
-    counts = write_table(gram_counts(train, depth), "grams")
-    model = docs.sparkSession.sparkContext.broadcast(kept_nodes(tree(counts, depth), max_nodes))
+    buckets = bucket_count(docs)
+    scored = tree_scores(docs.select(*as_bytes(docs, id_col, text_col), F.coalesce(held_out, F.lit(False)).alias("held_out")), depth, buckets, block_bytes)
 
     def encoder() -> tuple[Callable, Callable]:
-        scorer = Scorer(model.value, depth)
-
-        def encode(block: Block, text: bytes, is_out: bool) -> tuple[tuple, np.ndarray]:
-            words = text.lower().split()
+        def encode(block: Block, text: bytes, is_out: bool, score: float) -> tuple[tuple, np.ndarray]:
+            words = text.split()
             place = block.code_of
             codes = np.fromiter((place.setdefault(w, len(place)) for w in words), np.int64, len(words))
             if not is_out:
@@ -230,11 +377,11 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                 if len(codes):
                     block.add_counts(codes)
             # A double's bits go in a long field.
-            return (int(is_out), len(words) + 1, int(np.float64(scorer.score(b" ".join(words))).view(np.int64))), codes
+            return (int(is_out), len(words) + 1, int(np.float64(score).view(np.int64))), codes
 
-        return encode, scorer.prepare
+        return encode, lambda texts: None
 
-    table = write_table(encoded(docs.select(*as_bytes(docs, id_col, text_col), out.alias("held_out")), encoder, bucket_count(docs), block_bytes, rows_at_once=4000), "words")
+    table = write_table(encoded(scored, encoder, buckets, block_bytes), "words")
     values = write_table(looked_up(table, lambda counted: np.fromiter(counted.values(), np.int64, len(counted))), "word-counts")
     trained = table.agg(F.coalesce(F.sum("total0"), F.lit(0)).alias("ends"), F.coalesce(F.sum("total1"), F.lit(0)).alias("tokens")).first()
     distinct = values.where("block is null").agg(F.coalesce(F.sum(F.conv(F.hex("found"), 16, 10).cast("long")), F.lit(0))).first()[0]

@@ -112,3 +112,15 @@ def test_awkward_rows(awkward, empty):
     assert sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows) == sorted((d or -1, n, k, t, round(b, 5)) for d, n, k, t, b in base_scores(AWKWARD))
     assert all(r.score < 0 for r in rows)
     assert ctw.score_texts(empty, F.lit(False), depth=2).collect() == []
+
+
+def test_no_node_is_dropped_from_a_large_tree(spark):
+    draw = np.random.default_rng(5)
+    texts = {1: bytes(draw.integers(33, 123, 600_000, np.uint8)).decode().lower(), 2: "some held-out text"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    counts = ctw.gram_counts(docs.where("doc_id = 1").select(F.col("text").cast("binary")), 4)
+    model = ctw.kept_nodes(ctw.tree(counts, 4), 1 << 40)
+    assert len(model[0]) > 4_000_000
+    for r in ctw.score_texts(docs, F.col("doc_id") == 2).collect():
+        found, times = np.unique(np.concatenate(list(ctw.grams(texts[r.doc_id].encode(), 4))), return_counts=True)
+        assert math.isclose(r.score, float(np.dot(ctw.log10_probabilities(found, 4, *model), times)), rel_tol=1e-5), r
