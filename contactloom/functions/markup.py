@@ -125,8 +125,8 @@ def is_markup(text: Column) -> Column:
     return F.coalesce(F.substring(text, 1, 4000).rlike(r"(?i)<(?:!doctype|html|head|body|div|p|a|span|table)\b"), F.lit(False))
 
 
-def chunks(text: Column, size: int = 50_000, most: int = 24) -> Column:
-    """Chunks of whole lines of about ``size`` characters, at most ``most``; those of CSV repeat its header."""
+def chunks(text: Column, size: int = 50_000, most: int | None = 24) -> Column:
+    """Chunks of whole lines of about ``size`` characters, at most ``most`` (None for all); those of CSV repeat its header."""
     def packed(lines: Column, header: Column) -> Column:
         start = F.length(header)
         empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"), start.cast("int").alias("size"), F.lit(0).alias("n"))
@@ -140,7 +140,8 @@ def chunks(text: Column, size: int = 50_000, most: int = 24) -> Column:
                 F.when(full, 1).otherwise(s["n"] + 1).alias("n"))
 
         bodies = F.aggregate(lines, empty, add, lambda s: F.when(s["n"] > 0, F.concat(s["done"], F.array(s["now"]))).otherwise(s["done"]))
-        return F.slice(F.transform(bodies, lambda b: F.when(header != "", F.concat(header, F.lit("\n"), b)).otherwise(b)), 1, most)
+        whole = F.transform(bodies, lambda b: F.when(header != "", F.concat(header, F.lit("\n"), b)).otherwise(b))
+        return whole if most is None else F.slice(whole, 1, most)
 
     lines = F.split(text, "\n")
     with_header = F.when(is_csv(text), packed(F.slice(lines, 2, 1 << 30), F.get(lines, F.lit(0)))).otherwise(packed(lines, F.lit("")))

@@ -2,6 +2,7 @@ import brute_text
 from pyspark.sql import functions as F
 
 from contactloom.functions import addresses, markup, provenance, urls
+from contactloom.plans import page_queries
 
 
 def one(spark, expr, value, *more):
@@ -60,6 +61,16 @@ def test_chunks_against_brute_force(spark):
     assert one(spark, markup.chunks, None) is None
 
 
+def test_chunk_query_keeps_the_whole_of_long_texts(spark, tmp_path):
+    texts = ["\n".join(f"line {i} " + "x" * (i % 90) for i in range(3000)), "a,b,c\n" + "\n".join(f"{i},2,3" for i in range(20_000))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for i, text in enumerate(texts):
+        got = [r.text for r in page_queries.chunk_text(spark, str(tmp_path)).where(f"doc_id = {i}").orderBy("chunk").collect()]
+        assert len(got) > 24
+        header = "a,b,c\n" if i else ""
+        assert header + "\n".join(c.removeprefix(header) for c in got) == text
+
+
 def test_load_more_and_data_urls(spark):
     page = '<button class="btn load-btn" id="more">Load <b>more</b></button><a class="x1">View all</a><div>show me</div><span>see more</span><script src="/app.js?v=1"></script><script src="https://cdn.example.org/x.js"></script> "/data/team.json" `/api/people`'
     assert [(c.selector, c.text) for c in one(spark, markup.load_more, page)] == [("#more", "Load more"), ("a.x1", "View all")]
