@@ -1,8 +1,8 @@
 """Main text of HTML pages: site templates go by subtree counts, the rest of the frame by its markup.
 
 A page becomes a list of elements and text blocks.  Every element's subtree (tag, text, children) is
-hashed; Spark counts by host on how many different pages each hash stands, and subtrees that recur on
-many of a host's pages are deleted.  Elements that HTML or their names mark as menus, headers,
+hashed; Spark counts by host, and by section of a host, on how many different pages each hash stands,
+and subtrees that recur on many of either's pages are deleted.  Elements that HTML or their names mark as menus, headers,
 footers, sidebars, notices, adverts, forms or reader comments are deleted on any page.
 """
 
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import write_table
@@ -146,12 +146,15 @@ class Page:
                 found[e] = h - (1 << 64) if h >> 63 else h
         return found
 
-    def text(self, templates: frozenset[int]) -> str:
-        """Blocks that stay, joined by two line feeds: those of article or main where the page has such text."""
+    def text(self, templates: frozenset[int], outside: frozenset[int] = frozenset()) -> str:
+        """Blocks that stay, joined by two line feeds: those of article or main where the page has such text.
+
+        Subtrees in ``templates`` go anywhere, those in ``outside`` only outside article and main.
+        """
         gone = list(self.dropped)
-        if templates:
+        if templates or outside:
             for e, h in enumerate(self.hashes()):
-                gone[e] = gone[e] or h in templates and self.tag[e] not in ("html", "body", *MAIN)
+                gone[e] = gone[e] or (h in templates or h in outside and not self.main[e]) and self.tag[e] not in ("html", "body", *MAIN)
         for e in range(1, len(gone)):
             gone[e] = gone[e] or gone[self.parent[e]]
         stay = [(e, t, n) for e, t, n in self.blocks if not gone[e] and not self._in_header(e)]
@@ -170,32 +173,50 @@ class Page:
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+FOLDER = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]+/)"
+
+
+def scopes(url: Column) -> tuple[Column, Column]:
+    """A URL's host, and its section: the host with the first folder of the path."""
+    url = F.coalesce(url, F.lit(""))
+    host = F.lower(F.regexp_extract(url, HOST, 1))
+    return host, F.concat(host, F.coalesce(F.nullif(F.regexp_extract(url, FOLDER, 1), F.lit("")), F.lit("/")))
 
 
 def site_templates(pages: DataFrame, url_col: str, html_col: str, min_pages: int, share: float) -> DataFrame:
-    """(host, templates array<long>): subtrees on ``min_pages`` different pages and ``share`` of all different pages of a host.
+    """(scope, templates array<long>): subtrees on ``min_pages`` different pages and ``share`` of all different pages of a host or a section.
 
-    Pages of one title (or first heading, or where they have neither, of one text) count once, so copies
-    of an article don't make its paragraphs a template.
+    Pages differ by the blocks of their article or main, or where they have none, by all blocks that their
+    markup doesn't drop; so copies of an article count once, and pages of one title each count.  A section's
+    are only counted outside article and main: a line that a few of its articles share is text.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            marks, found = [], []
-            for source in b.column(1).to_pylist():
+            marks, found, outside = [], [], []
+            for source in b.column(2).to_pylist():
                 page = Page(source or "")
-                heads = page.title or next((t for e, t, _ in page.blocks if page.tag[e] == "h1"), "") or "\n".join(t for _, t, _ in page.blocks)
-                marks.append(xxhash.xxh64_intdigest(heads.encode("utf-8", "surrogatepass")) >> 1)
+                stay = [(e, t) for e, t, _ in page.blocks if not page.dropped[e]]
+                own = "\n".join([t for e, t in stay if page.main[e]] or [t for _, t in stay])
+                marks.append(xxhash.xxh64_intdigest(own.encode("utf-8", "surrogatepass")) >> 1)
                 hashes = page.hashes()
-                found.append(sorted({h for e, h in enumerate(hashes) if h and not page.dropped[e] and page.tag[e] not in ("html", "body", *MAIN)}))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["host", "page", "subtrees"])
+                kept = [(h, page.main[e]) for e, h in enumerate(hashes) if h and not page.dropped[e] and page.tag[e] not in ("html", "body", *MAIN)]
+                found.append(sorted({h for h, _ in kept}))
+                outside.append(sorted({h for h, main in kept if not main}))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(marks, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(outside, pa.list_(pa.int64()))], ["host", "section", "page", "subtrees", "outside"])
+
+    host, section = scopes(F.col(url_col))
+    seen = write_table(pages.select(host.alias("host"), section.alias("section"), html_col).mapInArrow(rows, "host string, section string, page long, subtrees array<long>, outside array<long>"), "subtrees")
+
+    def frequent(scope: str, subtrees: str) -> DataFrame:
+        own = seen.select(F.col(scope).alias("scope"), "page", F.col(subtrees).alias("subtrees"))
+        totals = own.select("scope", "page").distinct().groupBy("scope").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+        counts = own.select("scope", "page", F.explode("subtrees").alias("subtree")).distinct().groupBy("scope", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+        return counts.join(totals, "scope").where(F.col("n") >= share * F.col("pages")).select("scope", "subtree")
 
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), HOST, 1)).alias("host")
-    seen = write_table(pages.select(host, html_col).mapInArrow(rows, "host string, page long, subtrees array<long>"), "subtrees")
-    totals = seen.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    counts = seen.select("host", "page", F.explode("subtrees").alias("subtree")).distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    often = counts.join(totals, "host").where(F.col("n") >= share * F.col("pages"))
-    # At most the mean number of a page's subtrees over ``share`` pass for a host, so the list is bounded.
-    return write_table(often.groupBy("host").agg(F.collect_list("subtree").alias("templates")), "templates")
+    # At most the mean number of a page's subtrees over ``share`` pass for a host or a section, so the lists are bounded.
+    by_host = write_table(frequent("host", "subtrees"), "host-templates")
+    by_section = frequent("section", "outside").withColumn("host", F.substring_index("scope", "/", 1)).join(by_host.withColumnRenamed("scope", "host"), ["host", "subtree"], "left_anti")
+    return write_table(by_host.unionByName(by_section.drop("host")).groupBy("scope").agg(F.collect_list("subtree").alias("templates")), "templates")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5, share: float = 0.3) -> DataFrame:
@@ -209,10 +230,12 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [Page(s or "").text(frozenset(t or ())) for s, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            texts = [Page(s or "").text(frozenset(t or ()), frozenset(u or ())) for s, t, u in zip(*[c.to_pylist() for c in b.columns[2:5]])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), HOST, 1))
-    keyed = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
+    host, section = scopes(F.col(url_col))
+    keyed = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"), section.alias("section"))
+    of_host = templates.where(~F.col("scope").contains("/")).select(F.col("scope").alias("host"), F.col("templates").alias("of_host"))
+    of_section = templates.where(F.col("scope").contains("/")).select(F.col("scope").alias("section"), F.col("templates").alias("of_section"))
     # Spark broadcasts the written templates if their size allows it, and else splits a large host.
-    return keyed.join(templates, "host", "left").select("page_id", "url", "html", "templates").mapInArrow(rows, "page_id long, url string, text string")
+    return keyed.join(of_host, "host", "left").join(of_section, "section", "left").select("page_id", "url", "html", "of_host", "of_section").mapInArrow(rows, "page_id long, url string, text string")

@@ -38,3 +38,21 @@ def test_empty_table_and_query_columns(spark):
     assert len(rows) == spark.read.parquet(f"{folder}/pages.parquet").count()
     for r in rows:
         assert r.n_chars == len(r.text) and r.text == r.text.strip() and "</" not in r.text
+
+
+def test_pages_of_one_title_have_templates(spark):
+    rows = [(i, f"https://f.example.com/{i}", f"<title>My site</title><body><div><span>Plain frame line</span></div><p>Own words of {i}</p></body>") for i in range(12)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(r.text for r in html_template.extract_main_text(docs).collect()) == sorted(f"Own words of {i}" for i in range(12))
+
+
+def test_a_section_has_its_own_templates(spark):
+    rows = [(i, f"https://g.example.com/{'news' if i < 10 else 'blog'}/{i}", f"<title>T{i}</title><body>{'<div><span>Line of the news</span></div>' if i < 10 else ''}<p>Own words of {i}</p></body>") for i in range(60)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(r.text for r in html_template.extract_main_text(docs).collect()) == sorted(f"Own words of {i}" for i in range(60))
+
+
+def test_a_line_of_a_sections_articles_is_text(spark):
+    rows = [(i, f"https://h.example.com/{'news' if i < 10 else 'blog'}/{i}", f"<body><article><p>Own words of {i}</p>{'<p>A line of some articles</p>' if i < 6 else ''}</article></body>") for i in range(60)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sum("A line of some articles" in r.text for r in html_template.extract_main_text(docs).collect()) == 6
