@@ -125,8 +125,9 @@ def _encoder(path: str) -> Callable:
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for every row of ``docs``, as the tokenizer's library counts whole texts.
 
-    Special strings inside texts are one token each, the library's default.  Every distinct pre-token
-    of the corpus is counted once, by the library, and joined to the documents' pre-token frequencies.
+    Special strings inside texts are one token each, the library's default.  A pre-token that is one vocabulary
+    piece counts as one in its own task; every other distinct pre-token of the corpus is counted once, by the
+    library, and joined to the documents' pre-token frequencies.
     Null and empty texts have no tokens; repeated rows get a row each; an empty table gives an empty
     result; other columns are ignored.
     """
