@@ -35,7 +35,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_exact_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shuffled = sharding.exact_shuffle(_table(spark, sf_dir, "documents"), shards=16, plain_read=True)
+    shuffled = sharding.exact_shuffle(_table(spark, sf_dir, "documents"), shards=16)
     text = F.coalesce(F.col("text"), F.lit(""))
     return shuffled.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),

@@ -43,3 +43,29 @@ def test_every_row_reaches_every_shard_evenly(spark):
 def test_matrix_margins(rows_in, rows_out):
     m = sharding.communication_matrix(np.array(rows_in), np.array(rows_out), 3)
     assert m.sum(1).tolist() == rows_in and m.sum(0).tolist() == rows_out
+
+
+def test_same_shards_under_other_splits_and_clashing_names(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("id doc_id", "cast(id as string) text", "id _file", "id _at", "id _cell", "id _key", "id _start", "id n", "id _place", "id shard")
+    rows.repartition(3).write.parquet(f"file://{tmp_path}/docs")
+    docs = spark.read.parquet(f"file://{tmp_path}/docs")
+    seen = []
+    for first, second in (("128m", "128m"), ("128m", "6k"), ("6k", "128m")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", first)
+        try:
+            out = sharding.exact_shuffle(docs, shards=4, cell_rows=300)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", second)
+            seen.append(sorted((r.doc_id, r.shard, r.slot, r._cell, r._place, r.n) for r in out.collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 5000
+    assert all(d == c == p == n for d, _, _, c, p, n in seen[0]) and set(docs.columns) <= set(out.columns)
+    assert sorted((s, k) for _, s, k, *_ in seen[0]) == [(s, k) for s in range(4) for k in range(1250)]
+
+
+def test_filtered_read_is_written_first(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id % 3 = 0")
+    rows = sharding.exact_shuffle(docs, shards=3).collect()
+    n = docs.count()
+    assert sorted(Counter(r.shard for r in rows).values()) == sorted(n // 3 + (k < n % 3) for k in range(3))
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.collect())
