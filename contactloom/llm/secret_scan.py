@@ -1,10 +1,10 @@
 """Secret scan with one deterministic automaton for all rules.
 
-Every rule's trigger, a regex for what any secret of the rule must hold, becomes a small
-nondeterministic automaton; their union, open at the start, is made deterministic by subset
-construction and minimised into one transition array over bytes.  A text passes through that array
-once and comes out with the rules it triggered.  Where a rule was triggered, its own minimal
-automaton finds the leftmost longest spans.
+Every rule's regex, turned round, becomes a small nondeterministic automaton; their union, open at
+any byte, is made deterministic by subset construction and minimised into one transition array.  A
+text passes through that array once, from its last byte to its first, and after each byte the state
+tells for which rules a match starts there.  From those places, and only there, the rule's own minimal
+automaton reads on to the longest end; so spans are leftmost, longest and not overlapping by rule.
 """
 
 from __future__ import annotations
@@ -20,16 +20,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern``: literals, classes [...], groups (a|b), and ?, +, {n}; ``trigger`` occurs in every match that counts.
+    """``pattern``: literals, classes [...], groups (a|b), and ?, *, +, {n}.
 
     ``least``: least length in characters of the match, or where ``tail`` is set of what follows its head;
-    the head ends before the first byte that completes the pattern.
+    the head ends before the first byte that completes the pattern.  Shorter matches are dropped, but what
+    they cover is passed over.
     """
 
     kind: str
     pattern: str
-    trigger: str
-    least: int
+    least: int = 0
     tail: bool = False
     any_case: bool = False
 
@@ -38,15 +38,15 @@ WORD = "[A-Za-z0-9+/_.=-]"
 KEY = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 #: The first three are the base rules; the others add spans.  Fixed values: prefixes of public key formats.
 RULES = (
-    Rule("assign", KEY + WORD + "+", KEY + WORD, 12, tail=True, any_case=True),
-    Rule("access", "AKIA[A-Z0-9]+", "AKIA[A-Z0-9]", 18),
-    Rule("hex", "[0-9a-f]+", "[0-9a-f]{16}", 16),
-    Rule("github", "gh(p|o|u|s|r)_[A-Za-z0-9]+", "gh(p|o|u|s|r)_[A-Za-z0-9]", 40),
-    Rule("slack", "xox(b|a|p|r|s)-[A-Za-z0-9-]+", "xox(b|a|p|r|s)-[A-Za-z0-9-]", 15),
-    Rule("google", "AIza[A-Za-z0-9_-]+", "AIza[A-Za-z0-9_-]", 39),
-    Rule("stripe", "(sk|rk)_live_[A-Za-z0-9]+", "(sk|rk)_live_[A-Za-z0-9]", 24),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", r"eyJ[A-Za-z0-9_-]", 30),
-    Rule("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", "-----BEGIN ", 20),
+    Rule("assign", KEY + WORD + "+", 12, tail=True, any_case=True),
+    Rule("access", "AKIA[A-Z0-9]+", 18),
+    Rule("hex", "[0-9a-f]{16}[0-9a-f]*"),
+    Rule("github", "gh(p|o|u|s|r)_[A-Za-z0-9]+", 40),
+    Rule("slack", "xox(b|a|p|r|s)-[A-Za-z0-9-]+", 15),
+    Rule("google", "AIza[A-Za-z0-9_-]+", 39),
+    Rule("stripe", "(sk|rk)_live_[A-Za-z0-9]+", 24),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),
+    Rule("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
 )
 
 
@@ -126,6 +126,17 @@ class _Nfa:
         self.on[a].append((frozenset(chars), b))
         return a, b
 
+    def turn(self) -> None:
+        """Every edge the other way."""
+        free: list[list[int]] = [[] for _ in self.free]
+        on: list[list[tuple[frozenset[int], int]]] = [[] for _ in self.on]
+        for s, (ways, steps) in enumerate(zip(self.free, self.on)):
+            for t in ways:
+                free[t].append(s)
+            for chars, t in steps:
+                on[t].append((chars, s))
+        self.free, self.on = free, on
+
     def _char(self) -> int:
         c = self.text[self.at]
         self.at += 1
@@ -143,19 +154,22 @@ class _Nfa:
         return found
 
 
-def automaton(patterns: list[tuple[str, bool]], anywhere: bool) -> tuple[list[int], list[int]]:
+def automaton(patterns: list[tuple[str, bool]], anywhere: bool, backward: bool = False) -> tuple[list[int], list[int]]:
     """Transition array (state * 256 + byte to next state * 256) and accepted patterns of each state as a bitmask.
 
     ``anywhere``: a match may start at any byte; otherwise only at the first one, and state 0 is dead.
+    ``backward``: bytes are read from the last to the first.
     The start is state 0 when ``anywhere``, else state 1.  States are those of the minimal automaton.
     """
     nfa = _Nfa()
     ends = {}
     begins = []
     for i, (p, any_case) in enumerate(patterns):
-        a, b = nfa.add(p, any_case)
+        a, b = nfa.add(p, any_case)[:: -1 if backward else 1]
         begins.append(a)
         ends[b] = ends.get(b, 0) | 1 << i
+    if backward:
+        nfa.turn()
 
     def closed(states) -> frozenset[int]:
         seen, left = set(states), list(states)
@@ -206,8 +220,9 @@ def automaton(patterns: list[tuple[str, bool]], anywhere: bool) -> tuple[list[in
 
 
 def compiled(rules: tuple[Rule, ...]) -> tuple:
-    """The arrays of the triggers' common automaton and of each rule's own."""
-    return automaton([(r.trigger, r.any_case) for r in rules], anywhere=True), [automaton([(r.pattern, r.any_case)], anywhere=False) for r in rules]
+    """The arrays of the automaton that all rules share, read backward, and of each rule's own."""
+    patterns = [(r.pattern, r.any_case) for r in rules]
+    return automaton(patterns, anywhere=True, backward=True), [automaton([p], anywhere=False) for p in patterns]
 
 
 class Scanner:
@@ -217,42 +232,32 @@ class Scanner:
         self.rules, self.arrays = rules, arrays or compiled(rules)
         (self.step, self.accepts), self.each = self.arrays
         self.first = 256 * next(k for k, a in enumerate(self.accepts) if a)
-        self.begin = [frozenset(b for b in range(256) if step[256 + b]) for step, _ in self.each]
 
-    def triggered(self, data: bytes) -> int:
-        """Bitmask of the rules whose trigger occurs: one pass over the bytes through one array."""
-        step, first, state, seen = self.step, self.first, 0, set()
-        visit = seen.add
-        for b in data:
+    def starts(self, data: bytes) -> list[tuple[int, int]]:
+        """(place, bitmask of the rules with a match that starts there), ascending: one pass over the bytes through one array."""
+        step, first, accepts, last, state, found = self.step, self.first, self.accepts, len(data) - 1, 0, []
+        for i, b in enumerate(reversed(data)):
             state = step[state + b]
             if state >= first:
-                visit(state)
-        found = 0
-        for s in seen:
-            found |= self.accepts[s >> 8]
+                found.append((last - i, accepts[state >> 8]))
+        found.reverse()
         return found
 
-    def _rule_spans(self, k: int, data: bytes) -> list[tuple[int, int]]:
+    def _rule_spans(self, k: int, starts: list[int], data: bytes) -> list[tuple[int, int]]:
         """Byte spans of a rule: leftmost, longest, not overlapping; too short ones are then left out."""
         step, accepts = self.each[k]
-        begin, tail, least = self.begin[k], self.rules[k].tail, self.rules[k].least
-        out, at, n = [], 0, len(data)
-        while at < n:
-            if data[at] not in begin:
-                at += 1
+        tail, least = self.rules[k].tail, self.rules[k].least
+        out, after, n = [], 0, len(data)
+        for at in starts:
+            if at < after:
                 continue
-            state, i, end = 256, at, -1
+            state, i = 256, at
             while i < n and (state := step[state + data[i]]):
                 i += 1
                 if accepts[state >> 8]:
-                    end = i
-            if end < 0:
-                at += 1
-                continue
-            size = end - at - (self._head(k, data, at) if tail else 0)
-            if size >= least:
-                out.append((at, end))
-            at = end
+                    after = i
+            if after - at - (self._head(k, data, at) if tail else 0) >= least:
+                out.append((at, after))
         return out
 
     def _head(self, k: int, data: bytes, at: int) -> int:
@@ -266,8 +271,10 @@ class Scanner:
                 return i - 1 - at
 
     def spans(self, data: bytes) -> list[tuple[str, int, int]]:
-        found = self.triggered(data)
-        hits = [(a, k, b) for k in range(len(self.rules)) if found >> k & 1 for a, b in self._rule_spans(k, data)]
+        starts = self.starts(data)
+        if not starts:
+            return []
+        hits = [(a, k, b) for k in range(len(self.rules)) for a, b in self._rule_spans(k, [at for at, rules in starts if rules >> k & 1], data)]
         out, byte, point = [], 0, 0
         for a, k, b in sorted(hits):
             point += len(data[byte:a].decode())
@@ -299,7 +306,8 @@ SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end"
 def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs``, all rows and columns, with every span of ``text_col`` replaced by ``[kind]``; overlapping spans go as one.
 
-    A null text stays null.
+    A null text stays null and an empty one empty; repeated rows stay; an empty table stays empty; columns of
+    any names stay as they are.
     """
     arrays = docs.sparkSession.sparkContext.broadcast(compiled(rules))
 
