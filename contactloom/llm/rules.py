@@ -6,11 +6,15 @@ Only DataFrame functions stand on this path.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPACE = r"[\x20\x09-\x0D]+"
+from .scratch import fresh
+
+BLANK = r"\x20\x09-\x0D"
+SPACE = f"[{BLANK}]+"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_caps_words", "n_mark_words", "n_alpha_words")
 
 
@@ -23,13 +27,18 @@ def _repeat_words(words: Column) -> Column:
     """Words in windows of three that the text holds twice or more, the first included."""
     def covered(order: Column) -> Column:
         n = F.size(order)
-        same = lambda i, j: (F.get(order, i)["a"] == F.get(order, j)["a"]) & (F.get(order, i)["b"] == F.get(order, j)["b"]) & (F.get(order, i)["c"] == F.get(order, j)["c"])
+        same = lambda i, j: reduce(Column.__and__, (F.get(order, i)[c] == F.get(order, j)[c] for c in "habc"))
         twice = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ((i > 0) & same(i, i - 1)) | ((i < n - 1) & same(i, i + 1)))
         at = F.array_sort(F.transform(twice, lambda i: F.get(order, i)["i"]))
         # Each window adds the words that the window before it in the text has not covered yet.
         return _let(at, lambda p: F.aggregate(F.transform(p, lambda x, k: F.when(k == 0, 3).otherwise(F.least(F.lit(3), x - F.get(p, k - 1)))), F.lit(0), lambda s, x: s + x))
 
-    windows = lambda w: F.array_sort(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.get(w, i).alias("a"), F.get(w, i + 1).alias("b"), F.get(w, i + 2).alias("c"), i.alias("i"))))
+    def window(w: Column, i: Column) -> Column:
+        three = [F.get(w, i + k if k else i) for k in range(3)]
+        # The hash stands first, so words are compared only where hashes are equal.
+        return F.struct(F.xxhash64(*three).alias("h"), *[x.alias(c) for x, c in zip(three, "abc")], i.alias("i"))
+
+    windows = lambda w: F.array_sort(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: window(w, i)))
     return F.when(F.size(words) < 4, 0).otherwise(_let(words, lambda w: _let(windows(w), covered)))
 
 
@@ -37,21 +46,24 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with a struct column ``measures`` (long each); a null text has no words, so all are 0."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.filter(F.split(text, SPACE), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    held = docs.withColumn("_words", words).withColumn("_lines", lines)
-    count = lambda test: F.size(F.filter("_words", test))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(rf"[^{BLANK}]"))
+    held_words, held_lines = fresh("_words", docs), fresh("_lines", docs)
+    held = docs.withColumn(held_words, words).withColumn(held_lines, lines)
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    without = lambda chars: count(rf"(?<![^{BLANK}])[^{chars}{BLANK}]++(?![^{BLANK}])")  # noqa: E731  words that hold none of chars
+    n_words = F.size(held_words)
     values = {
-        "n_words": F.size("_words"),
-        "word_chars": F.length(F.array_join("_words", "")),
-        "n_symbols": F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]", "")),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": _repeat_words(F.col("_words")),
-        "n_lines": F.size("_lines"),
-        "n_caps_words": count(lambda w: w.rlike(r"[A-Z]") & ~w.rlike(r"[a-z]")),
-        "n_mark_words": count(lambda w: w.rlike(r"[#*$%&|<>!]")),
-        "n_alpha_words": count(lambda w: w.rlike(r"[A-Za-z\x{80}-\x{10FFFF}]")),
+        "n_words": n_words,
+        "word_chars": F.length(F.array_join(held_words, "")),
+        "n_symbols": count(r"[#*$%&|<>]"),
+        "n_dup_lines": F.size(held_lines) - F.size(F.array_distinct(held_lines)),
+        "n_repeat_words": _repeat_words(F.col(held_words)),
+        "n_lines": F.size(held_lines),
+        "n_caps_words": without("a-z") - without("A-Za-z"),
+        "n_mark_words": count(rf"[#*$%&|<>!][^{BLANK}]*+"),
+        "n_alpha_words": n_words - without(r"A-Za-z\x{80}-\x{10FFFF}"),
     }
-    return held.withColumn("measures", F.struct(*[values[m].cast("long").alias(m) for m in MEASURES])).drop("_words", "_lines")
+    return held.withColumn("measures", F.struct(*[values[m].cast("long").alias(m) for m in MEASURES])).drop(held_words, held_lines)
 
 
 @dataclass(frozen=True)
