@@ -17,15 +17,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import write_table
-from .token_counts import ids_of, load
+from .token_counts import Spec, chunk_split, ids_of, load
 
 DIMENSIONS, ORDER, BUCKETS = 4, 15, 1 << 12
 
 
-def _encoder(path: str) -> Callable[[str], bytes]:
-    """A text's ids as little-endian bytes."""
-    ids, kind = ids_of(path), "<u2" if load(path)[0].get_vocab_size() <= 1 << 16 else "<u4"
-    return lambda text: np.array(ids(text), kind).tobytes()
+MEMO = 1 << 18  # chunks whose ids a task remembers
+
+
+def _encoder(spec: Spec) -> Callable[[str], bytes]:
+    """A text's ids as little-endian bytes.
+
+    Pre-tokens end before a single space, so a plain text's chunks between them are encoded one by one, and frequent ones once a task.
+    """
+    ids, cut, kind = ids_of(spec), chunk_split(spec.special), f"<u{spec.width}"
+    memo: dict[str, bytes] = {}
+
+    def encode(text: str) -> bytes:
+        chunks = cut(text)
+        if chunks is None:
+            return np.array(ids(text), kind).tobytes()
+        if len(memo) > MEMO:
+            memo.clear()
+        for c in set(chunks).difference(memo):
+            memo[c] = np.array(ids(c), kind).tobytes()
+        return b"".join(map(memo.__getitem__, chunks))
+
+    return encode
 
 
 def hilbert(points: np.ndarray, order: int) -> np.ndarray:
@@ -72,36 +90,39 @@ def curve_keys(ids: list[np.ndarray], seed: int = 3) -> np.ndarray:
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, end_id: int = 0) -> DataFrame:
-    """(key, doc_id, tie, ids) for every row; the ids end with ``end_id``."""
+    """(key, doc_id, tie, width, ids) for every row; the ids end with ``end_id``."""
+    sent = docs.sparkSession.sparkContext.broadcast(load(tokenizer_path))  # one tokenizer file
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer_path)
-        width = 2 if load(tokenizer_path)[0].get_vocab_size() <= 1 << 16 else 4
+        encode, width = _encoder(sent.value), sent.value.width
         end = end_id.to_bytes(width, "little")
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 raw = [encode(t or "") + end for t in part.column(1).to_pylist()]
                 keys = curve_keys([np.frombuffer(r, f"<u{width}") for r in raw])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), part.column(0), pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array([width] * len(raw), pa.int32()), pa.array(raw, pa.binary())], ["key", "doc_id", "tie", "width", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), part.column(0), pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array([width] * len(raw), pa.int32()), pa.array(raw, pa.binary()), pa.array([len(r) for r in raw], pa.int64())], ["key", "doc_id", "tie", "width", "ids", "size"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(rows, "key long, doc_id long, tie long, width int, ids binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(rows, "key long, doc_id long, tie long, width int, ids binary, size long")
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 1024, partitions: int | None = None, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 1024, partition_bytes: int = 32 << 20, with_ids: bool = False) -> DataFrame:
     """One row for each piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]).
 
     A document is its ids and one id 0; every id lies in exactly one piece, and a sequence is filled
-    by neighbouring documents without gaps.  Each partition is one stretch of the curve; what is left
-    at its end goes into sequences of a power of two, so no sequence needs padding.  Null and empty
+    by neighbouring documents without gaps.  Each partition is one stretch of the curve, of about
+    ``partition_bytes`` of ids; what is left at its end goes into sequences of a power of two, so no
+    sequence needs padding.  Null and empty
     texts are the id 0 alone; repeated rows are packed each; an empty table gives an empty result;
     other columns are ignored.
     """
     table = write_table(tokenized(docs, tokenizer_path, id_col, text_col), "token-ids")
-    count = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = table.repartitionByRange(count, "key", "tie", "doc_id").sortWithinPartitions("key", "tie", "doc_id")
+    held = table.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    count = max(1, -(-held // partition_bytes))
+    ordered = table.drop("size").repartitionByRange(count, "key", "tie", "doc_id").sortWithinPartitions("key", "tie", "doc_id")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence, used = TaskContext.get().partitionId() << 40, 0

@@ -1,17 +1,24 @@
-"""Token counts from the distinct pre-tokens of the corpus, without token ids for any document."""
+"""Token counts from the distinct pre-tokens of the corpus, without token ids for any document.
+
+Tasks gather documents into blocks of bounded text.  A document is its pre-token frequencies, as codes of
+its block; a block's distinct pre-tokens are rows of (block, code, piece).  Every distinct piece of the corpus
+is counted once, the counts are joined to the blocks' pieces, and each block sums them over its documents.
+"""
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .blocks import Block, as_bytes, bucket_count, encoded, looked_up, summed
 from .scratch import write_table
 
 # The split of byte-level BPE before its merges, and the same for texts whose
@@ -34,43 +41,80 @@ def pre_tokens(tokenizer) -> Callable[[str], list[str]]:
     return split
 
 
-def load(path: str):
-    """The tokenizer of a .json file; it must be byte-level BPE with its usual split and no normalizer."""
-    from tokenizers import Tokenizer
+@dataclass(frozen=True)
+class Spec:
+    """What tasks need of a tokenizer's file, read once on the driver: its text, special strings, and byte ranks if they may stand in for its merges."""
+
+    text: str
+    special: tuple[str, ...]
+    ranks: dict[bytes, int] | None
+
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.text)
 
-    kind = json.load(open(path, encoding="utf-8"))
+    @property
+    def width(self) -> int:
+        """Bytes of an id."""
+        return 2 if max(json.loads(self.text)["model"]["vocab"].values(), default=0) < 1 << 16 else 4
+
+
+def load(path: str) -> Spec:
+    """A .json file; it must be byte-level BPE with its usual split and no normalizer."""
+    text = open(path, encoding="utf-8").read()
+    kind = json.loads(text)
     before = kind.get("pre_tokenizer") or {}
     if kind["model"]["type"] != "BPE" or kind.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
         raise ValueError("pre-token counting needs a byte-level BPE tokenizer without normalizer and prefix space")
-    return Tokenizer.from_file(path), [t["content"] for t in kind.get("added_tokens", [])]
+    return Spec(text, tuple(t["content"] for t in kind.get("added_tokens", [])), _byte_ranks(kind["model"]))
 
 
-def _byte_ranks(path: str) -> dict[bytes, int] | None:
-    """The vocabulary's pieces as bytes, if its ids follow the order of its merges; else null."""
-    kind = json.load(open(path, encoding="utf-8"))["model"]
+def _byte_ranks(model: dict) -> dict[bytes, int] | None:
+    """The vocabulary's pieces as bytes, if merging by rank gives the ids that merging by pairs gives; else null.
+
+    That is so if ids follow the order of the merges and every piece is reached by its own merges: then
+    two neighbours that make up a piece are always the pair of its last merge.
+    """
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed values: bytes that stand for themselves
     byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
-    pairs = [m.split(" ") if isinstance(m, str) else m for m in kind["merges"]]
-    vocabulary = kind["vocab"]
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    vocabulary, rank = model["vocab"], {p: i for i, p in enumerate(pairs)}
     if any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)) or any(c not in vocabulary for c in byte_of):
         return None
+
+    def reached(piece: str) -> bool:
+        parts = list(piece)
+        while len(parts) > 1:
+            best = min(zip(parts, parts[1:]), key=lambda p: rank.get(p, len(rank)))
+            if best not in rank:
+                return False
+            joined, i = [], 0
+            while i < len(parts):
+                both = tuple(parts[i : i + 2]) == best
+                joined.append("".join(best) if both else parts[i])
+                i += 1 + both
+            parts = joined
+        return True
+
+    if not all(reached(a + b) for a, b in pairs):
+        return None
     return {bytes(map(byte_of.__getitem__, piece)): i for piece, i in vocabulary.items() if i < 256 + len(pairs)}
 
 
-def ids_of(path: str) -> Callable[[str], list[int]]:
+def ids_of(spec: Spec) -> Callable[[str], list[int]]:
     """A text's ids as the library gives them.
 
     The same merges over byte ranks give the same ids several times faster; texts with characters on
     whose class two splits may not agree, special strings or very long runs go to the library itself.
     """
-    tokenizer, special = load(path)
-    ranks = _byte_ranks(path)
-    fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary if ranks else None
-    odd = re.compile("|".join([NOT_PLAIN.pattern, r"\S{400}", r"\s{400}", *map(re.escape, special)])).search
+    tokenizer = spec.tokenizer()
+    fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=spec.ranks, special_tokens={}).encode_ordinary if spec.ranks else None
+    odd = re.compile("|".join([NOT_PLAIN.pattern, r"\S{400}", r"\s{400}", *map(re.escape, spec.special)])).search
     return lambda text: fast(text) if fast and odd(text) is None else tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def chunk_split(tokenizer, special: list[str]) -> Callable[[str], list[str] | None]:
+def chunk_split(special: tuple[str, ...]) -> Callable[[str], list[str] | None]:
     """Cuts a text before single spaces, where pre-tokens always end; None if the text has another shape."""
     odd = re.compile("|".join([r"  | \Z", *map(re.escape, special)]))
 
@@ -83,63 +127,111 @@ def chunk_split(tokenizer, special: list[str]) -> Callable[[str], list[str] | No
     return cut
 
 
-def _encoder(path: str) -> Callable:
-    """Documents to codes of their pre-tokens; those that are one vocabulary piece are only counted."""
-    def make() -> tuple[Callable, Callable]:
-        tokenizer, special = load(path)
-        split, cut = pre_tokens(tokenizer), chunk_split(tokenizer, special)
-        marks = re.compile("|".join(f"({re.escape(s)})" for s in special)) if special else None
-        whole = {p for p in tokenizer.decode_batch([[i] for i in range(tokenizer.get_vocab_size())], skip_special_tokens=False) if p not in special}
-        one: dict[str, bool] = {}
+FREQUENCIES = "block long, doc_id long, n_bytes long, codes array<int>, times array<int>, code int, piece string"
+_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("codes", pa.list_(pa.int32())), ("times", pa.list_(pa.int32())), ("code", pa.int32()), ("piece", pa.string())])
+ROWS_AT_ONCE = 4000
 
-        def single(piece: str) -> bool:
-            if piece not in whole:
-                return False
-            if piece not in one:
-                one[piece] = len(tokenizer.encode(piece, add_special_tokens=False).ids) == 1
-            return one[piece]
 
-        def codes_of(block: Block, text: str) -> bytes:
-            return np.array([0 if single(p) else block.code(p.encode()) for p in split(text)], "<u4").tobytes()
+class _Block:
+    """Documents as pre-token frequencies, and the codes of the block's distinct pre-tokens in order of their first use."""
+
+    def __init__(self, number: int) -> None:
+        self.number, self.bytes = number, 0
+        self.code_of: dict[str, int] = {}
+        self.memo: dict[str, bytes] = {}
+        self.documents: list[tuple] = []
+
+    def codes(self, pieces: list[str]) -> bytes:
+        place = self.code_of
+        return np.fromiter((place.setdefault(p, len(place)) for p in pieces), np.int32, len(pieces)).tobytes()
 
-        def encode(block: Block, raw: bytes) -> tuple[tuple, np.ndarray]:
-            block.code(b"")  # code 0 stands for any single vocabulary piece
-            text, memo = raw.decode(), block.memo
-            chunks = cut(text)
+    def add(self, doc_id: int | None, n_bytes: int, codes: bytes) -> None:
+        distinct, times = np.unique(np.frombuffer(codes, np.int32), return_counts=True)
+        self.documents.append((doc_id, n_bytes, distinct, times))
+        self.bytes += n_bytes
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        def batch(n: int, **columns: pa.Array) -> pa.RecordBatch:
+            columns["block"] = pa.array(np.full(n, self.number, np.int64))
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in _ARROW], schema=_ARROW)
+
+        for at in range(0, len(self.documents), ROWS_AT_ONCE):
+            ids, sizes, codes, times = zip(*self.documents[at : at + ROWS_AT_ONCE])
+            ends = pa.array(np.cumsum([0, *map(len, codes)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int32())) for x in (codes, times)]
+            yield batch(len(ids), doc_id=pa.array(ids, pa.int64()), n_bytes=pa.array(sizes, pa.int64()), codes=lists[0], times=lists[1])
+        pieces = list(self.code_of)
+        for at in range(0, len(pieces), 10 * ROWS_AT_ONCE):
+            part = pieces[at : at + 10 * ROWS_AT_ONCE]
+            yield batch(len(part), code=pa.array(np.arange(at, at + len(part)), pa.int32()), piece=pa.array(part, pa.string()))
+
+
+def frequencies(docs: DataFrame, spec: Spec, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
+    """Rows of documents (block, doc_id, n_bytes, codes, times) and of the blocks' distinct pre-tokens (block, code, piece)."""
+    sent = docs.sparkSession.sparkContext.broadcast(spec)  # one tokenizer file
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        special = sent.value.special
+        split, cut = pre_tokens(sent.value.tokenizer()), chunk_split(special)
+        marks = re.compile("|".join(f"({re.escape(s)})" for s in special)) if special else None
+        block = _Block(TaskContext.get().partitionId() << 24)
+
+        def codes(text: str) -> bytes:
+            chunks, memo = cut(text), block.memo
             if chunks is None:
                 parts = [p for p in (marks.split(text) if marks else [text]) if p]
-                found = b"".join(bytes(4) if marks and marks.fullmatch(p) else codes_of(block, p) for p in parts)
-            else:
-                for c in set(chunks).difference(memo):
-                    memo[c] = codes_of(block, c)
-                found = b"".join(map(memo.__getitem__, chunks))
-            codes = np.frombuffer(found, "<u4")
-            rest = codes[codes > 0]
-            return (len(raw), len(codes) - len(rest)), rest
+                return b"".join(block.codes([p] if marks and marks.fullmatch(p) else split(p)) for p in parts)
+            for c in set(chunks).difference(memo):
+                memo[c] = block.codes(split(c))
+            return b"".join(map(memo.__getitem__, chunks))
 
-        return encode, lambda texts: None
+        for batch in batches:
+            for doc_id, text in zip(*[c.to_pylist() for c in batch.columns]):
+                block.add(doc_id, len((text or "").encode()), codes(text or ""))
+                if block.bytes >= block_bytes:
+                    yield from block.rows()
+                    block = _Block(block.number + 1)
+        yield from block.rows()
 
-    return make
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(rows, FREQUENCIES)
+
+
+def piece_counts(pieces: DataFrame, spec: Spec) -> DataFrame:
+    """(piece, tokens) of distinct pre-tokens, as the tokenizer's library counts each alone."""
+    sent = pieces.sparkSession.sparkContext.broadcast(spec)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = sent.value.tokenizer().encode_batch_fast
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.column(0).slice(at, 1000)
+                found = [len(e.ids) for e in encode(part.to_pylist(), add_special_tokens=False)]
+                yield pa.RecordBatch.from_arrays([part, pa.array(found, pa.int64())], ["piece", "tokens"])
+
+    return pieces.mapInArrow(rows, "piece string, tokens long")
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for every row of ``docs``, as the tokenizer's library counts whole texts.
 
-    Special strings inside texts are one token each, the library's default.  A pre-token that is one vocabulary
-    piece counts as one in its own task; every other distinct pre-token of the corpus is counted once, by the
-    library, and joined to the documents' pre-token frequencies.
+    Special strings inside texts are one token each, the library's default.  Every distinct pre-token of
+    the corpus is counted once, by the library, and joined to the documents' pre-token frequencies.
     Null and empty texts have no tokens; repeated rows get a row each; an empty table gives an empty
     result; other columns are ignored.
     """
-    held: list[Callable] = []  # one encoder for all buckets of a task
-
-    def pieces_of(distinct: dict[bytes, int]) -> np.ndarray:
-        if not held:
-            held.append(ids_of(tokenizer_path))
-        return np.fromiter((len(held[0](p.decode())) for p in distinct), np.int64, len(distinct))
-
-    def per_block(value: np.ndarray) -> tuple[list[np.ndarray], Callable]:
-        return [value], lambda sums, longs: [pa.array(longs[0]), pa.array(longs[1] + sums[0].astype(np.int64))]
-
-    table = write_table(encoded(docs.select(*as_bytes(docs, id_col, text_col)), _encoder(tokenizer_path), bucket_count(docs), block_bytes), "pre-tokens")
-    return summed(table, looked_up(table, pieces_of), per_block, "doc_id long, n_bytes long, n_tokens long")
+    spec = load(tokenizer_path)
+    table = write_table(frequencies(docs, spec, id_col, text_col, block_bytes), "pre-tokens")
+    pieces = table.where("piece is not null").select("block", "code", "piece")
+    counted = write_table(piece_counts(pieces.select("piece").distinct(), spec), "piece-counts")
+
+    def block(documents: pa.Table, values: pa.Table) -> pa.Table:
+        tokens = np.zeros(values.num_rows, np.int64)
+        tokens[values["code"].to_numpy()] = values["tokens"].to_numpy()
+        codes, times = (documents[c].combine_chunks() for c in ("codes", "times"))
+        of = np.repeat(np.arange(documents.num_rows), codes.value_lengths().to_numpy(zero_copy_only=False))
+        total = np.bincount(of, weights=tokens[codes.flatten().to_numpy()] * times.flatten().to_numpy(), minlength=documents.num_rows)
+        return pa.table({"doc_id": documents["doc_id"], "n_bytes": documents["n_bytes"], "n_tokens": pa.array(total.astype(np.int64))})
+
+    documents = table.where("codes is not null").select("block", "doc_id", "n_bytes", "codes", "times")
+    values = pieces.join(counted, "piece").select(F.col("block").alias("of"), "code", "tokens")
+    return documents.groupBy("block").cogroup(values.groupBy("of")).applyInArrow(block, "doc_id long, n_bytes long, n_tokens long")

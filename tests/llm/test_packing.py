@@ -7,6 +7,7 @@ from brute import AWKWARD
 from tokenizers import Tokenizer
 
 from contactloom.llm import packing, queries
+from contactloom.llm.token_counts import load
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -67,8 +68,16 @@ def test_hilbert_curve_visits_every_cell_by_neighbours():
 def test_fast_ids_are_those_of_the_library_on_noise():
     import random
 
-    draw, encode, tokenizer = random.Random(11), packing._encoder(PATH), Tokenizer.from_file(PATH)
+    draw, encode, tokenizer = random.Random(11), packing._encoder(load(PATH)), Tokenizer.from_file(PATH)
     pieces = ["the", " ing", "q", "zx", "'ll", "'", "’", "é", "ß", "  ", "\n\n", "\t", "123", "<|endoftext|>", "\U0001f600", "aaaa", "ﬁ", "١٢", "_", "%%%", "\x1c", "\x85", " ", "x" * 500, " " * 450]
     for _ in range(3000):
         text = "".join(draw.choices(pieces, k=draw.randint(0, 12))) + "".join(draw.choices("abcdefghijklmnopqrstuvwxyzäöüéèñ ", k=draw.randint(0, 40)))
         assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes(), text
+
+
+def test_chunked_ids_are_the_library_s():
+    """Ids put together from chunks equal those of whole texts, odd ones included."""
+    tokenizer, encode = Tokenizer.from_file(PATH), packing._encoder(load(PATH))
+    texts = [t or "" for _, t in AWKWARD] + [" lead", "a  b", "tail ", "x\n y", "it's 'quoted' we'll ", "ünï cödé", "tab\tx", "#1 a-b", "word " * 3 + "end", "<|endoftext|> and on"]
+    for t in texts + texts:
+        assert np.frombuffer(encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
