@@ -3,32 +3,33 @@
 A node is a context (the last ``d`` bytes, d from 0 to ``depth``) with the bits of the next byte so
 far.  Its Krichevsky-Trofimov estimate comes from the counts of its next bit; its weighted
 probability is half that estimate's block probability and half the product over its children one
-byte longer.  Counts of (context, byte) strings are summed over the corpus in buckets that hold
-whole subtrees, and the tree is weighted bottom-up.  Every node then has an estimate and the posterior
-weight of stopping there; a bit's probability mixes the estimates along its path by these weights.
+byte longer.  Every node then has an estimate and the posterior weight of stopping there; a bit's
+probability mixes the estimates along its path by these weights.
+
+A gram is a context of ``depth`` bytes, the last one first, and the byte after it.  The corpus's distinct grams
+stand in order, cut into parts of bounded size, so a part holds whole subtrees but for those of its first
+and its last context at every depth.  Parts weigh their own subtrees; the nodes of the cut contexts, a few
+for each part, are summed and weighted by Spark level by level and go back to the parts, which then know
+the cost of every gram.  Costs are joined to the grams of each block of documents.  No node is left out.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, as_bytes, bucket_count, encoded, looked_up, numbers, read_numbers, summed
 from .scratch import write_table
 
 EDGE = 0xFF  # never in UTF-8: stands before a text's start and is its last symbol
 AT_ONCE = 1 << 21
-#: Documents of a block, or a bucket of its distinct grams.
-GRAM_SCHEMA = "block long, ids binary, nulls binary, outs binary, sizes binary, text binary, bucket int, codes binary, grams binary, counts binary"
-GRAM_ARROW = pa.schema([(name, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[kind]) for name, kind in (c.split() for c in GRAM_SCHEMA.split(", "))])
+BITS_AT = 48  # a node's key: the bits so far, then up to six bytes of context
 
 
 def normal(text: bytes) -> bytes:
@@ -52,116 +53,6 @@ def grams(text: bytes, depth: int) -> Iterator[np.ndarray]:
         yield out
 
 
-def gram_counts(texts: DataFrame, depth: int) -> DataFrame:
-    """(gram long, n long) over all rows of ``texts`` (text as binary)."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: pd.Series | None = None
-        held: list[np.ndarray] = []
-
-        def added() -> pd.Series:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            more = pd.Series(counts, index=values.astype(np.int64))
-            held.clear()
-            return more if total is None else total.add(more, fill_value=0)
-
-        size = 0
-        for text in (t or b"" for b in batches for t in b.column(0).to_pylist()):
-            for part in grams(normal(text), depth):
-                held.append(part)
-                size += len(part)
-                if size >= AT_ONCE:
-                    total, size = added(), 0
-                    if len(total) > 2_000_000:
-                        yield _counted(total)
-                        total = None
-        if held:
-            total = added()
-        if total is not None:
-            yield _counted(total)
-
-    return texts.mapInArrow(rows, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _counted(held: pd.Series) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(held.index.to_numpy(np.int64)), pa.array(held.to_numpy().astype(np.int64))], ["gram", "n"])
-
-
-def log_gamma(x: Column) -> Column:
-    """Natural logarithm of the gamma function for x > 0, by Stirling's series at x + 6."""
-    y = x + 6
-    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y)
-    return series - F.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
-
-
-def tree(counts: DataFrame, depth: int) -> DataFrame:
-    """(key long, n long, p1 double, stop double) for every node; key holds depth, context and bits so far."""
-    byte = F.col("gram").bitwiseAND(255)
-    bits = F.explode(F.array(*[F.struct((F.shiftright(byte, 8 - k) + (1 << k)).alias("bits"), F.shiftright(byte, 7 - k).bitwiseAND(1).alias("bit")) for k in range(8)])).alias("b")
-    level = counts.select(F.shiftright("gram", 8).alias("context"), "n", bits).groupBy("context", "b.bits").agg(
-        F.sum(F.when(F.col("b.bit") == 0, F.col("n")).otherwise(0)).alias("zeros"), F.sum(F.when(F.col("b.bit") == 1, F.col("n")).otherwise(0)).alias("ones"), F.lit(None).cast("double").alias("below"))
-    found = None
-    for d in range(depth, -1, -1):
-        estimate = log_gamma(F.col("zeros") + 0.5) + log_gamma(F.col("ones") + 0.5) - log_gamma(F.col("zeros") + F.col("ones") + 1.0) - math.log(math.pi)
-        top = F.greatest("estimate", "below")
-        mixed = top + F.log(F.exp(F.col("estimate") - top) + F.exp(F.col("below") - top)) - math.log(2)
-        level = level.withColumn("estimate", estimate).withColumn("weighted", F.when(F.col("below").isNull(), F.col("estimate")).otherwise(mixed))
-        level = write_table(level, f"tree-{d}")
-        nodes = level.select(
-            (F.lit(d << 56).cast("long") + F.col("context") * 256 + F.col("bits")).alias("key"), (F.col("zeros") + F.col("ones")).alias("n"),
-            ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)).alias("p1"),
-            F.when(F.col("below").isNull(), 1.0).otherwise(F.exp(F.col("estimate") - math.log(2) - F.col("weighted"))).alias("stop"))
-        found = nodes if found is None else found.union(nodes)
-        if d:
-            level = level.groupBy(F.shiftright("context", 8).alias("context"), "bits").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
-    return found
-
-
-def kept_nodes(nodes: DataFrame, max_nodes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
-    """Sorted keys, estimates, stop weights, and whether these are all nodes.
-
-    At most ``max_nodes`` come to the driver: their numbers by order of count are taken first, and
-    only nodes of at least the least such count that fits are gathered.
-    """
-    order = F.floor(F.log2("n")).cast("int")
-    sizes = {r["order"]: r["count"] for r in nodes.groupBy(order.alias("order")).count().collect()}
-    least = 0
-    while sum(c for o, c in sizes.items() if o >= least) > max_nodes:
-        least += 1
-    got = nodes.where(order >= least).select("key", "p1", "stop").toArrow()
-    keys = got["key"].to_numpy()
-    at = np.argsort(keys)
-    return keys[at], got["p1"].to_numpy()[at].astype(np.float32), got["stop"].to_numpy()[at].astype(np.float32), not any(o < least for o in sizes)
-
-
-def log10_probabilities(found: np.ndarray, depth: int, keys: np.ndarray, p1: np.ndarray, stop: np.ndarray, whole: bool) -> np.ndarray:
-    """log10 of each gram's byte given its context.
-
-    A node without counts estimates one half for either bit and so does everything below it; in a
-    tree that isn't whole, a missing node takes the estimate of the deepest one kept above it.
-    """
-    gram = found.astype(np.int64)
-    byte, context, total = gram & 255, gram >> 8, np.zeros(len(gram))
-    for k in range(8):
-        # Grams are sorted, so those that share context and bits so far stand together.
-        bits = (1 << k) + (byte >> (8 - k))
-        node = context * 256 + bits
-        first = np.flatnonzero(np.diff(node, prepend=-1))
-        place, node_bits, node_context = np.cumsum(np.diff(node, prepend=-1) != 0) - 1, bits[first], context[first]
-        left, p, last = np.ones(len(first)), np.zeros(len(first)), np.full(len(first), 0.5)
-        for d in range(depth + 1):
-            key = (d << 56) + (node_context >> 8 * (depth - d)) * 256 + node_bits
-            at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-            here = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-            missing = 0.5 if whole else last
-            last = np.where(here, p1[at], missing) if len(keys) else np.full(len(key), 0.5)
-            weight = np.where(here, stop[at], 1.0) if len(keys) else np.ones(len(key))
-            p += left * weight * last
-            left *= 1 - weight
-        one = p[place]
-        total += np.log10(np.where((byte >> (7 - k)) & 1 == 1, one, 1 - one))
-    return total
-
-
 def packed_grams(texts: Iterator[tuple[int, bytes]], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Grams of numbered texts that ``normal`` has been through, and the numbers of their texts, in parts of bounded size."""
     held: list[np.ndarray] = []
@@ -188,39 +79,52 @@ def merged(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return value[first], np.add.reduceat(count, first) if len(first) else count
 
 
-def gram_blocks(docs: DataFrame, depth: int, shared: int, buckets: int, block_bytes: int) -> DataFrame:
-    """Documents (doc_id, text, held_out) in blocks, and each block's distinct grams with their counts in training texts.
+GATHERED = "block long, doc_id long, held_out boolean, text binary, word binary, gram long, n long"
+_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+
+
+def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
+    """Documents (doc_id, text, held_out) in blocks of bounded text, as rows of three kinds.
 
-    A block's grams are dealt into buckets by the last ``shared`` bytes of their context, so that all nodes with
-    that many bytes of context or more have their grams in one bucket.
+    (block, doc_id, held_out, text as ``normal`` leaves it) for each document; (block, word, n) and (block, gram, n)
+    for each distinct word and gram of a block, with their counts in its training texts.
     """
-    def row(**values) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([values.get(t.name)], t.type) for t in GRAM_ARROW], schema=GRAM_ARROW)
+    def batch(size: int, number: int, **columns: pa.Array) -> pa.RecordBatch:
+        columns["block"] = pa.array(np.full(size, number, np.int64))
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _ARROW], schema=_ARROW)
 
     def block_rows(number: int, documents: list[tuple]) -> Iterator[pa.RecordBatch]:
-        ids, texts, outs = zip(*documents)
-        yield row(block=number, ids=numbers(np.array([i or 0 for i in ids], "<i8")), nulls=numbers(np.array([i is None for i in ids], np.uint8)), outs=numbers(np.array(outs, np.uint8)),
-                  sizes=numbers(np.array([len(t) for t in texts], "<u8")), text=zstandard.compress(b"".join(texts), 3))
+        for at in range(0, len(documents), 1000):
+            ids, texts, outs = zip(*documents[at : at + 1000])
+            yield batch(len(ids), number, doc_id=pa.array(ids, pa.int64()), held_out=pa.array(outs, pa.bool_()), text=pa.array(texts, pa.binary()))
+        learnt: dict[bytes, int] = {}
+        for _, text, out in documents:
+            if out:
+                for w in text.split():
+                    learnt.setdefault(w, 0)
+            else:
+                for w in text.split():
+                    learnt[w] = learnt.get(w, 0) + 1
+        if learnt:
+            yield batch(len(learnt), number, word=pa.array(learnt, pa.binary()), n=pa.array(learnt.values(), pa.int64()))
         values: list[np.ndarray] = []
         counts: list[np.ndarray] = []
-        learns = ~np.array(outs, bool)
-        for part, owner in packed_grams(enumerate(texts), depth):
+        learns = ~np.array([out for *_, out in documents], bool)
+        for part, owner in packed_grams(((i, t) for i, (_, t, _) in enumerate(documents)), depth):
             codes, distinct = pd.factorize(part)
             values.append(distinct.astype(np.int64))
             counts.append(np.bincount(codes, weights=learns[owner], minlength=len(distinct)).astype(np.int64))
             if sum(map(len, values)) > 4 * AT_ONCE:
                 values, counts = ([x] for x in merged(values, counts))
         gram, count = merged(values, counts)
-        prefix = gram >> 8 * (depth + 1 - shared)
-        of = (prefix * 2654435761 % (1 << 32) >> 8) % buckets
-        order = np.argsort(of, kind="stable")
-        for group in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-            yield row(block=number, bucket=int(of[group[0]]), codes=numbers(np.diff(group, prepend=0).astype("<u4")), grams=numbers(np.diff(gram[group], prepend=0).astype("<u8")), counts=numbers(count[group].astype("<u8")))
+        for at in range(0, len(gram), 100_000):
+            own = gram[at : at + 100_000]
+            yield batch(len(own), number, gram=pa.array(own), n=pa.array(count[at : at + 100_000]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 24, [], 0
-        for batch in batches:
-            for doc_id, text, out in zip(*[c.to_pylist() for c in batch.columns]):
+        for b in batches:
+            for doc_id, text, out in zip(*[c.to_pylist() for c in b.columns]):
                 held.append((doc_id, normal(text or b""), out))
                 size += len(held[-1][1]) + 1
                 if size >= block_bytes:
@@ -229,7 +133,14 @@ def gram_blocks(docs: DataFrame, depth: int, shared: int, buckets: int, block_by
         if held:
             yield from block_rows(number, held)
 
-    return docs.mapInArrow(rows, GRAM_SCHEMA)
+    return docs.mapInArrow(rows, GATHERED)
+
+
+def log_gamma(x: Column) -> Column:
+    """Natural logarithm of the gamma function for x > 0, by Stirling's series at x + 6."""
+    y = x + 6
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y)
+    return series - F.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -239,161 +150,194 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """Nodes with the same number of bytes and bits: key (context and bits so far), counts, estimate, weight of stopping."""
+    """A part's nodes with the same number of bytes and bits, by key; ``edge`` marks those of its first and last context, which other parts may share."""
 
-    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> None:
-        self.key, self.zeros, self.ones = key, zeros, ones
+    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None, edge: np.ndarray) -> None:
+        self.key, self.zeros, self.ones, self.edge = key, zeros, ones, edge
+        self.below = np.zeros(len(key)) if below is None else below
         estimate = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - math.log(math.pi)
         self.weighted = estimate if below is None else np.logaddexp(estimate, below) - math.log(2)
         self.stop = np.ones(len(key)) if below is None else np.exp(estimate - math.log(2) - self.weighted)
         self.p1 = (ones + 0.5) / (zeros + ones + 1.0)
 
-    def parents(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Keys one byte shorter, their counts and the sums below them, and each node's place among them."""
-        key, of = np.unique((self.key >> 16 << 8) + (self.key & 255), return_inverse=True)
-        return (key, *(np.bincount(of, weights=w, minlength=len(key)) for w in (self.zeros, self.ones, self.weighted)), of)
-
     def passed(self, p: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The mixture down to these nodes and what of it is left for those below, from the same for their parents."""
         return p + left * self.stop * self.p1, left * (1 - self.stop)
 
 
-def climbed(gram: np.ndarray, count: np.ndarray, k: int, depth: int, shared: int) -> tuple[list[Level], list[np.ndarray]]:
-    """Levels from ``depth`` to ``shared`` bytes of the nodes with ``k`` bits over distinct sorted grams; the places of the grams, then of each level's nodes, in the next."""
+def levels_of(gram: np.ndarray, count: np.ndarray, k: int, depth: int) -> tuple[list[Level], list[np.ndarray]]:
+    """Levels from ``depth`` bytes to none of the nodes with ``k`` bits over distinct ascending grams; the places of the grams, then of each level's nodes, in the next.
+
+    Keys are ordered by bits, then context; so parents, one byte shorter, come in order too.
+    """
+    mask = (1 << BITS_AT) - 1
     byte = gram & 255
-    key = (gram >> 8 << 8) + (1 << k) + (byte >> (8 - k))
-    new = np.diff(key, prepend=-1) != 0
-    first, ones = np.flatnonzero(new), count * ((byte >> (7 - k)) & 1)
-    ones, total = np.add.reduceat(ones, first).astype(float), np.add.reduceat(count, first).astype(float)
-    levels, places = [Level(key[first], total - ones, ones, None)], [np.cumsum(new) - 1]
-    for _ in range(depth - shared):
-        *node, of = levels[-1].parents()
-        levels.append(Level(*node))
-        places.append(of)
+    bits = (1 << k) + (byte >> (8 - k))
+    order = np.argsort(bits.astype(np.uint8), kind="stable")
+    key = (bits << BITS_AT | gram >> 8)[order]
+    one = (count * ((byte >> (7 - k)) & 1))[order].astype(float)
+    zero = count[order] - one
+    ends = int(gram[0]) >> 8, int(gram[-1]) >> 8
+    levels: list[Level] = []
+    places: list[np.ndarray] = []
+    below, climbing = None, None
+    for d in range(depth, -1, -1):
+        new = np.diff(key, prepend=-1) != 0
+        first, of = np.flatnonzero(new), np.cumsum(new) - 1
+        key, zero, one = key[first], np.add.reduceat(zero, first), np.add.reduceat(one, first)
+        if climbing is not None:
+            below = np.add.reduceat(climbing, first)
+        context = key & mask
+        edge = (context == ends[0] >> 8 * (depth - d)) | (context == ends[1] >> 8 * (depth - d))
+        level = Level(key, zero, one, below, edge)
+        levels.append(level)
+        if d == depth:
+            places.append(np.empty(len(order), np.int64))
+            places[0][order] = of
+        else:
+            places.append(of)
+        climbing = np.where(edge, 0.0, level.weighted)
+        key = key >> BITS_AT << BITS_AT | context >> 8
     return levels, places
 
 
-def _bucket_grams(rows: list[dict]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The grams of each row, then the distinct ones of all rows and their counts."""
-    own = [np.cumsum(read_numbers(r["grams"], "<u8").astype(np.int64)) for r in rows]
-    return own, *merged(own, [read_numbers(r["counts"], "<u8").astype(np.int64) for r in rows])
+def cut_nodes(parts: DataFrame, depth: int) -> DataFrame:
+    """(part, d, key, zeros, ones, below) of each part's first and last context at every depth; ``below`` sums the children that no other part shares."""
+    def part(group: pa.Table) -> pa.Table:
+        order = np.argsort(group["gram"].to_numpy())
+        gram, count = group["gram"].to_numpy()[order], group["n"].to_numpy()[order]
+        found: list[tuple] = []
+        for k in range(8):
+            for d, level in zip(range(depth, -1, -1), levels_of(gram, count, k, depth)[0]):
+                at = level.edge
+                found.append((np.full(at.sum(), d, np.int32), level.key[at], level.zeros[at], level.ones[at], level.below[at]))
+        d, key, zeros, ones, below = (np.concatenate(c) for c in zip(*found))
+        return pa.table({"part": pa.array(np.full(len(key), group["part"][0].as_py(), np.int32)), "d": d, "key": key, "zeros": zeros, "ones": ones, "below": below})
 
+    return parts.groupBy("part").applyInArrow(part, "part int, d int, key long, zeros double, ones double, below double")
 
-def top_of_tree(table: DataFrame, depth: int, shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys of the nodes with one byte fewer than ``shared``, the mixture down to each, and what is left for the nodes below.
 
-    There are at most 256^(shared-1) * 255 such nodes, whatever the corpus.
-    """
-    def bucket(group: pa.Table) -> pa.Table:
-        _, gram, count = _bucket_grams(group.to_pylist())
-        found = [climbed(gram, count, k, depth, shared)[0][-1].parents()[:4] for k in range(8)]
-        return pa.table(dict(zip(("key", "zeros", "ones", "below"), (np.concatenate(c) for c in zip(*found)))))
-
-    nodes = table.where("bucket is not null").select("bucket", "grams", "counts").groupBy("bucket").applyInArrow(bucket, "key long, zeros double, ones double, below double")
-    got = nodes.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).orderBy("key").toArrow()
-    levels, places = [Level(*[got[c].to_numpy() for c in ("key", "zeros", "ones", "below")])], []
-    for _ in range(shared - 1):
-        *node, of = levels[-1].parents()
-        levels.append(Level(*node))
-        places.append(of)
-    p, left = levels[-1].passed(np.zeros(1), np.ones(1))
-    for level, of in zip(levels[-2::-1], places[::-1]):
-        p, left = level.passed(p[of], left[of])
-    return levels[0].key, p, left
-
-
-def gram_costs(gram: np.ndarray, count: np.ndarray, depth: int, shared: int, top: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """log10 of each gram's byte given its context; a node without counts estimates one half, and so do all below it."""
-    keys, top_p, top_left = top
-    total = np.zeros(len(gram))
-    for k in range(8):
-        levels, places = climbed(gram, count, k, depth, shared)
-        at = np.searchsorted(keys, (levels[-1].key >> 16 << 8) + (levels[-1].key & 255))
-        p, left = levels[-1].passed(top_p[at], top_left[at])
-        for level, of in zip(levels[-2::-1], places[:0:-1]):
-            p, left = level.passed(p[of], left[of])
-        one = p[places[0]]
-        total += np.log10(np.where((gram >> (7 - k)) & 1 == 1, one, 1 - one))
-    return total
-
-
-def tree_scores(docs: DataFrame, depth: int, buckets: int, block_bytes: int) -> DataFrame:
-    """(doc_id, text as ``normal`` leaves it, held_out, score) for every row of ``docs`` (doc_id, text as binary, held_out).
-
-    Every distinct gram of the corpus, held-out texts included, meets all nodes of its path: those of fewer than
-    ``shared`` bytes of context come from a table of bounded size, the others stand in the gram's own bucket.
+def _parent(key: Column) -> Column:
+    context = key.bitwiseAND(F.lit((1 << BITS_AT) - 1).cast("long"))
+    return F.shiftleft(F.shiftright(key, BITS_AT), BITS_AT).bitwiseOR(F.shiftright(context, 8))
+
+
+def weighted_cut_nodes(nodes: DataFrame, depth: int) -> DataFrame:
+    """(d, key, p, left) of the cut contexts' nodes: the mixture down to each, and what of it is left for those below.
+
+    Counts of all parts are summed, then levels are weighted from the longest contexts up and passed down again.
     """
-    shared = min(2, depth)
-    table = write_table(gram_blocks(docs, depth, shared, buckets, block_bytes), "gram-blocks")
-    top = docs.sparkSession.sparkContext.broadcast(top_of_tree(table, depth, shared))
-
-    def bucket(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        own, gram, count = _bucket_grams(rows)
-        cost = gram_costs(gram, count, depth, shared, top.value).astype("<f4")
-        return pa.table({"block": group["block"], "codes": group["codes"], "grams": group["grams"], "cost": pa.array([numbers(cost[np.searchsorted(gram, g)]) for g in own], pa.binary())})
-
-    def block(documents: pa.Table, found: pa.Table) -> pa.Table:
-        parts = [[read_numbers(r["codes"], "<u4").astype(np.int64).cumsum(), read_numbers(r["grams"], "<u8").astype(np.int64).cumsum(), read_numbers(r["cost"], "<f4")] for r in found.to_pylist()]
-        gram, cost = np.zeros(sum(len(c) for c, *_ in parts), np.int64), np.zeros(sum(len(c) for c, *_ in parts))
-        for codes, g, c in parts:
-            gram[codes], cost[codes] = g, c
-        (r,) = documents.to_pylist()
-        ends = read_numbers(r["sizes"], "<u8").astype(np.int64).cumsum()
-        whole = zstandard.decompress(r["text"])
-        texts = [whole[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-        score = np.zeros(len(texts))
-        for part, owner in packed_grams(enumerate(texts), depth):
-            codes, distinct = pd.factorize(part)
-            score += np.bincount(owner, weights=cost[np.searchsorted(gram, distinct.astype(np.int64))][codes], minlength=len(texts))
-        return pa.table({"doc_id": pa.array(read_numbers(r["ids"], "<i8"), mask=read_numbers(r["nulls"], np.uint8) != 0), "text": pa.array(texts, pa.binary()), "held_out": pa.array(read_numbers(r["outs"], np.uint8) != 0), "score": pa.array(score)})
+    levels: dict[int, DataFrame] = {}
+    risen = None
+    for d in range(depth, -1, -1):
+        own = nodes.where(F.col("d") == d).select("key", "zeros", "ones", "below")
+        own = own if risen is None else own.unionByName(risen)
+        level = own.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")])
+        estimate = log_gamma(F.col("zeros") + 0.5) + log_gamma(F.col("ones") + 0.5) - log_gamma(F.col("zeros") + F.col("ones") + 1.0) - math.log(math.pi)
+        level = level.withColumn("estimate", estimate)
+        top = F.greatest("estimate", "below")
+        mixed = top + F.log(F.exp(F.col("estimate") - top) + F.exp(F.col("below") - top)) - math.log(2)
+        level = level.withColumn("weighted", F.col("estimate") if d == depth else mixed)
+        stop = F.lit(1.0) if d == depth else F.exp(F.col("estimate") - math.log(2) - F.col("weighted"))
+        p1 = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
+        levels[d] = write_table(level.select("key", _parent(F.col("key")).alias("parent"), "weighted", stop.alias("stop"), p1.alias("p1")), f"cut-level-{d}")
+        zero = F.lit(0.0)
+        risen = levels[d].select(F.col("parent").alias("key"), zero.alias("zeros"), zero.alias("ones"), F.col("weighted").alias("below"))
+    found, above = None, None
+    for d in range(depth + 1):
+        if above is None:
+            level = levels[d].withColumn("p_", F.lit(0.0)).withColumn("left_", F.lit(1.0))
+        else:
+            level = levels[d].join(above.select(F.col("key").alias("parent"), F.col("p").alias("p_"), F.col("left").alias("left_")), "parent")
+        passed = level.select("key", (F.col("p_") + F.col("left_") * F.col("stop") * F.col("p1")).alias("p"), (F.col("left_") * (1 - F.col("stop"))).alias("left"))
+        above = write_table(passed, f"cut-passed-{d}")
+        found = above.select(F.lit(d).alias("d"), "*") if found is None else found.unionByName(above.select(F.lit(d).alias("d"), "*"))
+    return found
 
-    costs = table.where("bucket is not null").select("bucket", "block", "codes", "grams", "counts").groupBy("bucket").applyInArrow(bucket, "block long, codes binary, grams binary, cost binary")
-    documents = table.where("bucket is null").select("block", "ids", "nulls", "outs", "sizes", "text")
-    return documents.groupBy("block").cogroup(costs.groupBy("block")).applyInArrow(block, "doc_id long, text binary, held_out boolean, score double")
 
+def gram_costs(grams: DataFrame, depth: int, part_grams: int) -> DataFrame:
+    """(gram, cost) of distinct grams (gram long, n long): log10 of each gram's byte given its context.
 
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 4, block_bytes: int = 16 << 20) -> DataFrame:
+    A node without counts estimates one half, and so do all below it.
+    """
+    distinct = write_table(grams, "grams")
+    count = max(1, -(-distinct.count() // part_grams))
+    parts = write_table(distinct.repartitionByRange(count, "gram").select(F.spark_partition_id().alias("part"), "gram", "n"), "gram-parts")
+    cut = write_table(cut_nodes(parts, depth), "cut-nodes")
+    known = weighted_cut_nodes(cut, depth)
+    given = cut.select(F.col("part").alias("of"), "d", "key").join(known, ["d", "key"])
+
+    def part(group: pa.Table, edges: pa.Table) -> pa.Table:
+        if not group.num_rows:
+            return pa.table({"gram": pa.array([], pa.int64()), "cost": pa.array([], pa.float64())})
+        order = np.argsort(group["gram"].to_numpy())
+        gram, n = group["gram"].to_numpy()[order], group["n"].to_numpy()[order]
+        depths, keys, ps, lefts = (edges[c].to_numpy() for c in ("d", "key", "p", "left"))
+        table = []
+        for d in range(depth + 1):
+            at = np.flatnonzero(depths == d)
+            at = at[np.argsort(keys[at])]
+            table.append((keys[at], ps[at], lefts[at]))
+        total = np.zeros(len(gram))
+        for k in range(8):
+            levels, places = levels_of(gram, n, k, depth)
+            p, left = np.zeros(1), np.ones(1)
+            for d in range(depth + 1):
+                level = levels[depth - d]
+                if d:
+                    of = places[depth - d + 1]
+                    p, left = level.passed(p[of], left[of])
+                else:
+                    p, left = np.zeros(len(level.key)), np.ones(len(level.key))
+                at = np.flatnonzero(level.edge)
+                place = np.searchsorted(table[d][0], level.key[at])
+                p[at], left[at] = table[d][1][place], table[d][2][place]
+            one = p[places[0]]
+            total += np.log10(np.where((gram >> (7 - k)) & 1 == 1, one, 1 - one))
+        return pa.table({"gram": pa.array(gram), "cost": pa.array(total)})
+
+    return parts.groupBy("part").cogroup(given.groupBy("of")).applyInArrow(part, "gram long, cost double")
+
+
+def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, block_bytes: int = 32 << 20, part_grams: int = 1 << 19) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     The tree and the add-one word model learn from all whole texts whose ``held_out`` isn't true; the
-    tree is whole, whatever its size.
+    tree is whole, whatever its size; ``depth`` is at most 6.
     ``score`` is the log10 probability that the tree gives to the lower-cased words, joined by single
     spaces, and the end; divided by -log10(2) and the bytes it is the code length per byte.  ``base_score`` sums log10((c+1)/(N+V+1)) over words
     and one end.  Null and empty texts have only the end; repeated rows get a row each; an empty table
     gives an empty result; other columns are ignored.  Without training rows every count is 0.
     """
-    buckets = bucket_count(docs)
-    scored = tree_scores(docs.select(*as_bytes(docs, id_col, text_col), F.coalesce(held_out, F.lit(False)).alias("held_out")), depth, buckets, block_bytes)
-
-    def encoder() -> tuple[Callable, Callable]:
-        def encode(block: Block, text: bytes, is_out: bool, score: float) -> tuple[tuple, np.ndarray]:
-            words = text.split()
-            place = block.code_of
-            codes = np.fromiter((place.setdefault(w, len(place)) for w in words), np.int64, len(words))
-            if not is_out:
-                block.totals[0] += 1
-                block.totals[1] += len(words) + 1
-                if len(codes):
-                    block.add_counts(codes)
-            # A double's bits go in a long field.
-            return (int(is_out), len(words) + 1, int(np.float64(score).view(np.int64))), codes
-
-        return encode, lambda texts: None
-
-    table = write_table(encoded(scored, encoder, buckets, block_bytes), "words")
-    values = write_table(looked_up(table, lambda counted: np.fromiter(counted.values(), np.int64, len(counted))), "word-counts")
-    trained = table.agg(F.coalesce(F.sum("total0"), F.lit(0)).alias("ends"), F.coalesce(F.sum("total1"), F.lit(0)).alias("tokens")).first()
-    distinct = values.where("block is null").agg(F.coalesce(F.sum(F.conv(F.hex("found"), 16, 10).cast("long")), F.lit(0))).first()[0]
-    ends, tokens = trained["ends"], trained["tokens"]
-    total = math.log10(tokens + distinct + (ends > 0) + 1)
-
-    def per_block(value: np.ndarray) -> tuple[list[np.ndarray], Callable]:
-        def columns(sums: list[np.ndarray], longs: list[np.ndarray]) -> list[pa.Array]:
-            out, n, score = longs
-            base = sums[0] + math.log10(ends + 1) - n * total
-            return [pa.array(out != 0), pa.array(n), pa.array(sums[1].astype(np.int64) + (ends > 0)), pa.array(np.full(len(n), tokens, np.int64)), pa.array(base), pa.array(score.view(np.float64))]
-
-        return [np.log10(value + 1.0), (value > 0).astype(np.int64)], columns
-
-    return summed(table, values, per_block, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    table = write_table(gathered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")), depth, block_bytes), "gathered")
+    documents = table.where("text is not null").select("block", "doc_id", "held_out", "text")
+    words, grams = (table.where(f"{c} is not null").select("block", c, "n") for c in ("word", "gram"))
+    counts = write_table(words.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+    told = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count_if(F.col("c") > 0).alias("distinct")).first()
+    ends = documents.where("not held_out").count()
+    tokens, distinct = told["tokens"] + ends, told["distinct"] + (ends > 0)
+    total = math.log10(tokens + distinct + 1)
+    costs = gram_costs(grams.groupBy("gram").agg(F.sum("n").alias("n")), depth, part_grams)
+    of_grams = grams.join(costs, "gram").select(F.col("block").alias("of"), F.lit(None).cast("binary").alias("word"), "gram", "cost")
+    of_words = words.join(counts, "word").select(F.col("block").alias("of"), "word", F.lit(None).cast("long").alias("gram"), F.col("c").cast("double").alias("cost"))
+
+    def block(documents: pa.Table, values: pa.Table) -> pa.Table:
+        texts, of_gram = documents["text"].to_pylist(), values["gram"].is_valid().to_numpy()
+        cost = values["cost"].to_numpy()
+        known = dict(zip(values["word"].drop_null().to_pylist(), cost[~of_gram].tolist()))
+        gram, cost = values["gram"].drop_null().to_numpy(), cost[of_gram]
+        order = np.argsort(gram)
+        gram, cost = gram[order], cost[order]
+        score = np.zeros(len(texts))
+        for part, owner in packed_grams(enumerate(texts), depth):
+            codes, found = pd.factorize(part)
+            score += np.bincount(owner, weights=cost[np.searchsorted(gram, found.astype(np.int64))][codes], minlength=len(texts))
+        n, seen, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            c = np.fromiter((known[w] for w in text.split()), float)
+            n[i], seen[i] = len(c) + 1, (c > 0).sum() + (ends > 0)
+            base[i] = np.log10(c + 1).sum() + math.log10(ends + 1) - n[i] * total
+        return pa.table({
+            "doc_id": documents["doc_id"], "held_out": documents["held_out"], "n_tokens": n, "n_known": seen, "train_tokens": np.full(len(texts), tokens, np.int64), "base_score": base, "score": score})
+
+    return documents.groupBy("block").cogroup(of_grams.unionByName(of_words).groupBy("of")).applyInArrow(block, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -3,7 +3,6 @@ from collections import Counter, defaultdict
 from functools import lru_cache
 
 import brute
-import numpy as np
 from brute import AWKWARD
 from pyspark.sql import functions as F
 
@@ -89,6 +88,11 @@ def test_query_base_and_held_out(spark):
     assert sum(r.score for r in held) > -0.35 * math.log10(256) * sum(size[r.doc_id] for r in held)
 
 
+def test_held_out_text_is_likelier_than_by_words(spark):
+    rows = queries.QUERIES["op3_context_tree_scores"](spark, "/root/testdata/sf0.1").where("held_out").select("score", "base_score").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
 def test_scores_are_those_of_a_tree_built_by_hand(spark):
     texts = {1: "abracadabra", 2: "Abra  cad", 3: None, 4: "xyz ünï", 5: "the cat the hat", 6: "the bat"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
@@ -98,13 +102,24 @@ def test_scores_are_those_of_a_tree_built_by_hand(spark):
         assert math.isclose(r.score, cost(ctw.normal((texts[r.doc_id] or "").encode())), rel_tol=1e-4, abs_tol=1e-4), r
 
 
-def test_probabilities_of_all_bytes_sum_to_one(spark):
-    docs = spark.createDataFrame([(1, "some text to learn from, some more text")], "doc_id long, text string")
-    counts = ctw.gram_counts(docs.select(F.col("text").cast("binary")), 3)
-    for most in (10_000, 40):
-        model = ctw.kept_nodes(ctw.tree(counts, 3), most)
-        grams = np.array([(int.from_bytes(b"txe"[::1], "big") << 8) + b for b in range(256)])
-        assert math.isclose((10 ** ctw.log10_probabilities(grams, 3, *model)).sum(), 1, rel_tol=1e-5)
+def test_scores_are_the_same_however_the_grams_are_cut(spark):
+    """Parts of a few grams, so that most contexts are cut at every depth."""
+    texts = {i: " ".join(f"word{i * k % 7} {'ab' * (k % 4)}é" for k in range(12)) for i in range(1, 9)} | {9: "", 10: "zz top"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    cost = tree_cost([ctw.normal(t.encode()) for i, t in texts.items() if i % 2], 4)
+    for parts in (7, 60, 1 << 19):
+        rows = ctw.score_texts(docs, F.col("doc_id") % 2 == 0, depth=4, part_grams=parts, block_bytes=150).collect()
+        assert len(rows) == 10
+        for r in rows:
+            assert math.isclose(r.score, cost(ctw.normal(texts[r.doc_id].encode())), rel_tol=1e-7), (parts, r)
+
+
+def test_depth_six_is_the_longest(spark):
+    texts = {1: "abcdefgh abcdefgh ünï", 2: "abcdefgz ü"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    cost = tree_cost([texts[1].encode()], 6)
+    for r in ctw.score_texts(docs, F.col("doc_id") == 2, depth=6, part_grams=5).collect():
+        assert math.isclose(r.score, cost(texts[r.doc_id].encode()), rel_tol=1e-7)
 
 
 def test_awkward_rows(awkward, empty):
@@ -112,15 +127,3 @@ def test_awkward_rows(awkward, empty):
     assert sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows) == sorted((d or -1, n, k, t, round(b, 5)) for d, n, k, t, b in base_scores(AWKWARD))
     assert all(r.score < 0 for r in rows)
     assert ctw.score_texts(empty, F.lit(False), depth=2).collect() == []
-
-
-def test_no_node_is_dropped_from_a_large_tree(spark):
-    draw = np.random.default_rng(5)
-    texts = {1: bytes(draw.integers(33, 123, 600_000, np.uint8)).decode().lower(), 2: "some held-out text"}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    counts = ctw.gram_counts(docs.where("doc_id = 1").select(F.col("text").cast("binary")), 4)
-    model = ctw.kept_nodes(ctw.tree(counts, 4), 1 << 40)
-    assert len(model[0]) > 4_000_000
-    for r in ctw.score_texts(docs, F.col("doc_id") == 2).collect():
-        found, times = np.unique(np.concatenate(list(ctw.grams(texts[r.doc_id].encode(), 4))), return_counts=True)
-        assert math.isclose(r.score, float(np.dot(ctw.log10_probabilities(found, 4, *model), times)), rel_tol=1e-5), r
