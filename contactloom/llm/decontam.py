@@ -1,174 +1,197 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is partitioned by documents, as a search cluster's is: each shard holds, for every term of
-the test items, the ascending positions at which its documents have that term.  It is written once
-and queried by shard: for each window of test words the lists are shifted by the words' offsets and
-intersected, the rarest term of the whole corpus first.
+The index is partitioned by documents, as a search cluster's is: each shard holds, for every term of its
+documents, the ascending positions at which they have that term.  It is written once.  A test set is asked
+by joins: the windows of its items, each word with its offset and its frequency in the whole corpus, go to
+the shards that hold their rarest term; there the lists are shifted by the offsets and intersected, rarest first.
+Neither the index's terms nor the windows pass through the driver.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import write_table
+from .scratch import Rows, fresh, write_table
 
 #: Words are runs of [0-9a-z] and of characters beyond ASCII, after A-Z are lower-cased.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 GAP = 128  # free positions between documents, so that nothing reaches from one into the next
 
-INDEX = "shard long, doc_id long, base long, n_words long, term int, places binary, n long"
-ARROW = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("base", pa.int64()), ("n_words", pa.int64()), ("term", pa.int32()), ("places", pa.binary()), ("n", pa.int64())])
-FOUND = "doc_id long, n_words long, n_hit long, items array<string>, near_items array<string>"
+INDEX = "shard long, doc_id long, file long, at long, base int, n_words long, term string, places array<int>"
+_ARROW = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("file", pa.int64()), ("at", pa.int64()), ("base", pa.int32()), ("n_words", pa.int64()), ("term", pa.string()), ("places", pa.list_(pa.int32()))])
+_SPANS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
-def windows_of(items: list[tuple], size: int) -> dict[tuple[bytes, ...], set[str]]:
-    """Windows of ``size`` consecutive words to the ids of the items that hold them; a shorter item is one window."""
-    found: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-    for item_id, text in items:
-        words = words_of(text or b"")
-        for i in range(max(1, len(words) - size + 1) if words else 0):
-            found[tuple(words[i : i + size])].add(str(item_id))
-    return found
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16 << 20, name: Column | None = None) -> DataFrame:
+    """The index as a written table: a row for each document, and one for each shard and term in it.
 
-
-def build_index(docs: DataFrame, vocabulary: dict[bytes, int], id_col: str, text_col: str, shard_bytes: int) -> DataFrame:
-    """The index as a written table: a row for each document, and one for each shard and term of the vocabulary in it."""
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    ``name`` is a struct of file and at that names each row; without one both are null.
+    """
+    def batch(size: int, shard: int, **columns: pa.Array) -> pa.RecordBatch:
+        columns["shard"] = pa.array(np.full(size, shard, np.int64))
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _ARROW], schema=_ARROW)
+
+    def out(shard: int, documents: list[tuple], code_of: dict[bytes, int], terms: list[np.ndarray], places: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        ids, files, ats, bases, counts = zip(*documents)
+        yield batch(len(ids), shard, doc_id=pa.array(ids, pa.int64()), file=pa.array(files, pa.int64()), at=pa.array(ats, pa.int64()), base=pa.array(bases, pa.int32()), n_words=pa.array(counts, pa.int64()))
+        code, place, listed = np.concatenate(terms), np.concatenate(places), list(code_of)
+        place = place[np.argsort(code, kind="stable")].astype(np.int32)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(listed)))])
+        for at in range(0, len(listed), 50_000):
+            part = listed[at : at + 50_000]
+            cut = ends[at : at + len(part) + 1]
+            lists = pa.ListArray.from_arrays(pa.array(cut - cut[0], pa.int32()), pa.array(place[cut[0] : cut[-1]]))
+            yield batch(len(part), shard, term=pa.array(part, pa.binary()).cast(pa.string()), places=lists)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        term_of = sent.value.get
-        shard, size, base = TaskContext.get().partitionId() << 24, 0, GAP
+        shard = TaskContext.get().partitionId() << 24
         documents: list[tuple] = []
-        terms: list[np.ndarray] = []
-        places: list[np.ndarray] = []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            ids, bases, counts = zip(*documents)
-            none = [None] * len(ids)
-            yield _batch([shard] * len(ids), ids, bases, counts, none, none, none)
-            t, p = np.concatenate(terms), np.concatenate(places)
-            order = np.argsort(t, kind="stable")
-            t, p = t[order], p[order]
-            cut = np.flatnonzero(np.diff(t)) + 1
-            lists = np.split(p, cut) if len(t) else []
-            heads = t[np.concatenate([[0], cut])].tolist() if len(t) else []
-            none = [None] * len(lists)
-            packed = [zstandard.compress(np.diff(x, prepend=0).astype("<u4").tobytes(), 1) for x in lists]
-            yield _batch([shard] * len(lists), none, none, none, heads, packed, [len(x) for x in lists])
-
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = words_of(text or b"")
-                held = np.fromiter((term_of(w, -1) for w in words), np.int32, len(words))
-                at = np.flatnonzero(held >= 0)
-                terms.append(held[at])
-                places.append(at + base)
-                documents.append((doc_id, base, len(words)))
+            for doc_id, text, file, at in zip(*[c.to_pylist() for c in b.columns]):
+                if not documents:
+                    size, base, code_of, terms, places = 0, GAP, {}, [], []
+                words, place = words_of(text or b""), code_of
+                terms.append(np.fromiter((place.setdefault(w, len(place)) for w in words), np.int32, len(words)))
+                places.append(np.arange(base, base + len(words)))
+                documents.append((doc_id, file, at, base, len(words)))
                 base += len(words) + GAP
                 size += len(text or b"")
                 if size >= shard_bytes:
-                    yield from out()
-                    shard, size, base = shard + 1, 0, GAP
-                    documents.clear(), terms.clear(), places.clear()
+                    yield from out(shard, documents, code_of, terms, places)
+                    shard, documents = shard + 1, []
         if documents:
-            yield from out()
+            yield from out(shard, documents, code_of, terms, places)
 
-    table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(rows, INDEX)
+    name = F.lit(None).cast("struct<file:long,at:long>") if name is None else name
+    table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), name["file"].alias("file"), name["at"].alias("at")).mapInArrow(rows, INDEX)
     return write_table(table, "positional-index")
 
 
-def _batch(*columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(columns, ARROW)], schema=ARROW)
-
-
-def _among(wanted: np.ndarray, places: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(places, wanted)
-    return (at < len(places)) & (places[np.minimum(at, len(places) - 1)] == wanted)
-
-
-def _query(index: DataFrame, plan: list[tuple], slop: int, near_terms: int) -> DataFrame:
-    """Matches of the planned windows (terms with offsets, the rarest first; length; items) in every shard."""
-    sent = index.sparkSession.sparkContext.broadcast(plan)
-    live = {t for terms, _, _ in plan for t, _ in terms}
-
-    def shard(documents: pa.Table, lists: pa.Table) -> pa.Table:
-        ids, bases, counts = (documents[c].to_numpy() for c in ("doc_id", "base", "n_words"))
-        ids = documents["doc_id"].to_pylist()
-        order = np.argsort(bases)
-        ids, bases, counts = [ids[i] for i in order], bases[order], counts[order]
-        places = {t: np.cumsum(np.frombuffer(zstandard.decompress(p), "<u4"), dtype=np.int64) for t, p in zip(lists["term"].to_pylist(), lists["places"].to_pylist()) if t in live}
-        cover = np.zeros(int(bases[-1] + counts[-1]) + 2, np.int32)
-        items: list[set] = [set() for _ in ids]
-        near: list[set] = [set() for _ in ids]
-        for terms, length, of in sent.value:
-            first = places.get(terms[0][0])
-            if first is None:
-                continue
-            starts = first - terms[0][1]
-            for t, offset in terms[1:]:
+def windows_of(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """(window long, words) of the distinct windows of ``size`` consecutive words, and (window, item) of the items that hold them; a shorter item is one window."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(*[c.to_pylist() for c in b.columns]):
+                words = words_of(text or b"")
+                found = sorted({b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1) if words else 0)})
+                for at in range(0, len(found), 10_000):
+                    part = found[at : at + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string())], ["item", "words"])
+
+    held = write_table(benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("binary")).mapInArrow(rows, "item string, words string"), "item-windows")
+    windows = write_table(held.select("words").distinct().select(F.monotonically_increasing_id().alias("window"), "words"), "windows")
+    return windows, write_table(held.join(windows, "words").select("window", "item").distinct(), "window-items")
+
+
+def matches(index: DataFrame, windows: DataFrame, slop: int, near_terms: int, windows_at_once: int) -> DataFrame:
+    """(shard, base, spans, exact, near): the documents with matches, the disjoint stretches of their words inside windows, and the windows found."""
+    placed = windows.select("window", F.posexplode(F.split("words", " ")).alias("offset", "term"))
+    terms = write_table(placed.select("term").distinct().select("term", F.monotonically_increasing_id().alias("id")), "terms")
+    postings = write_table(index.where("term is not null").select("shard", "term", "places").join(terms, "term").select("shard", "id", "places"), "postings")
+    frequency = postings.groupBy("id").agg(F.sum(F.size("places")).alias("n"))
+    ranked = placed.join(terms.join(frequency, "id"), "term", "left").select("window", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset", "id").alias("t"))
+    # A window has at most ``size`` words; one with a word that no document has occurs nowhere.
+    plan = ranked.groupBy("window").agg(F.array_sort(F.collect_list("t")).alias("t")).where("t[0].n > 0")
+    chunks = max(1, -(-windows.count() // windows_at_once))
+    plan = plan.select("window", F.col("t")[0]["id"].alias("id"), F.transform("t", lambda t: t["id"]).alias("ids"), F.transform("t", lambda t: t["offset"]).alias("offsets"), F.pmod("window", F.lit(chunks)).alias("chunk"))
+    routed = plan.join(postings.select("shard", "id"), "id").select(F.col("shard").alias("s"), F.col("chunk").alias("c"), "window", "ids", "offsets")
+    documents = index.where("term is null").select("shard", F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<int>").alias("places"), "base", "n_words")
+    lists = postings.select("shard", "id", "places", F.lit(None).cast("int").alias("base"), F.lit(None).cast("long").alias("n_words"))
+    asked = documents.unionByName(lists).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+
+    def shard(held: pa.Table, asked: pa.Table) -> pa.Table:
+        if not held.num_rows or not asked.num_rows:
+            return pa.table({"shard": pa.array([], pa.int64()), "base": pa.array([], pa.int32()), "spans": pa.array([], _SPANS), "exact": pa.array([], pa.list_(pa.int64())), "near": pa.array([], pa.list_(pa.int64()))})
+        of_term = held["id"].is_valid()
+        documents, lists = held.filter(held["id"].is_null()), held.filter(of_term)
+        bases = np.sort(documents["base"].to_numpy())
+        column = lists["places"].combine_chunks()
+        flat, ends = column.flatten().to_numpy().astype(np.int64), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        places = {t: flat[ends[i] : ends[i + 1]] for i, t in enumerate(lists["id"].to_pylist())}
+        steps: list[np.ndarray] = []
+        exact: dict[int, set[int]] = {}
+        near: dict[int, set[int]] = {}
+        for window, terms, offsets in zip(asked["window"].to_pylist(), asked["ids"].to_pylist(), asked["offsets"].to_pylist()):
+            first = places[terms[0]]
+            starts = first - offsets[0]
+            for t, offset in zip(terms[1:], offsets[1:]):
                 if not len(starts) or t not in places:
                     starts = starts[:0]
                     break
                 starts = starts[_among(starts + offset, places[t])]
             if len(starts):
-                np.add.at(cover, starts, 1)
-                np.add.at(cover, starts + length, -1)
+                steps.append(np.stack([starts, starts + len(terms)]))
                 for d in np.unique(np.searchsorted(bases, starts, "right") - 1).tolist():
-                    items[d].update(of)
+                    exact.setdefault(d, set()).add(window)
             close = first
-            for t, offset in terms[1:near_terms]:
+            for t, offset in zip(terms[1:near_terms], offsets[1:near_terms]):
                 if not len(close) or t not in places:
                     close = close[:0]
                     break
-                reach = abs(offset - terms[0][1]) + slop
+                reach = abs(offset - offsets[0]) + slop
                 close = close[np.searchsorted(places[t], close + reach, "right") > np.searchsorted(places[t], close - reach)]
             for d in np.unique(np.searchsorted(bases, close, "right") - 1).tolist():
-                near[d].update(of)
-        hit = np.concatenate([[0], np.cumsum(np.cumsum(cover) > 0)])
-        n_hit = hit[bases + counts] - hit[bases]
-        return pa.table([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(s) for s in items], pa.list_(pa.string())), pa.array([sorted(s) for s in near], pa.list_(pa.string()))], names=["doc_id", "n_words", "n_hit", "items", "near_items"])
+                near.setdefault(d, set()).add(window)
+        spans: dict[int, list[dict]] = {}
+        for a, b in zip(*_joined(steps)):
+            spans.setdefault(int(np.searchsorted(bases, a, "right")) - 1, []).append({"first": a, "end": b})
+        found = sorted(exact.keys() | near.keys())
+        return pa.table({
+            "shard": pa.array([held["shard"][0].as_py()] * len(found), pa.int64()), "base": pa.array(bases[found] if found else [], pa.int32()), "spans": pa.array([spans.get(d, []) for d in found], _SPANS),
+            **{n: pa.array([sorted(x.get(d, ())) for d in found], pa.list_(pa.int64())) for n, x in (("exact", exact), ("near", near))}})
+
+    return asked.groupBy("shard", "chunk").cogroup(routed.groupBy("s", "c")).applyInArrow(shard, "shard long, base int, spans array<struct<first:int,end:int>>, exact array<long>, near array<long>")
 
-    documents = index.where("term is null").select("shard", "doc_id", "base", "n_words")
-    lists = index.where("term is not null").select("shard", "term", "places")
-    return documents.groupBy("shard").cogroup(lists.groupBy("shard")).applyInArrow(shard, FOUND)
 
+def _among(wanted: np.ndarray, places: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(places, wanted)
+    return (at < len(places)) & (places[np.minimum(at, len(places) - 1)] == wanted)
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 13, slop: int = 8, near_terms: int = 4, shard_bytes: int = 16 << 20, max_benchmark_bytes: int = 8 << 20) -> DataFrame:
-    """One row for every row of ``docs``: (doc_id, n_words, n_hit, items, near_items).
+
+def _joined(steps: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the union of stretches."""
+    if not steps:
+        return [], []
+    first, end = np.concatenate(steps, axis=1)
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(end[order])
+    new = np.concatenate([[True], first[1:] > reach[:-1]])
+    return first[new].tolist(), reach[np.concatenate([new[1:], [True]])].tolist()
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 13, slop: int = 8, near_terms: int = 4, shard_bytes: int = 16 << 20, windows_at_once: int = 100_000, name: Column | None = None) -> DataFrame:
+    """One row for every row of ``docs``: (doc_id, n_words, n_hit, items, near_items, file, at).
 
     ``n_hit`` counts the words inside any occurrence of a window of test words; ``items`` are the ids,
     as strings and sorted so, of items with an occurring window; ``near_items`` those with a window
     whose ``near_terms`` rarest words occur within ``slop`` of their distances.  Null and empty texts,
-    and items without words, match nothing; repeated rows get a row each; an empty table on either
-    side gives no matches; other columns are ignored.  The test set goes to every shard, so it is held
-    to ``max_benchmark_bytes``; a larger one is an error, to be asked in parts.
+    and items without words, match nothing; a null item_id is no item of the lists, but its windows hit; repeated rows get a row each; an empty table on either
+    side gives no matches; other columns are ignored.  The test set may have any size: a shard is asked
+    ``windows_at_once`` windows at a time.
     """
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0))).first()[0]
-    if size > max_benchmark_bytes:
-        raise ValueError(f"the test set has {size} bytes; ask it in parts of {max_benchmark_bytes}")
-    items = [(r[0], bytes(r[1]) if r[1] is not None else None) for r in benchmark.select(item_col, F.col(item_text).cast("binary")).collect()]
-    windows = windows_of(items, window)
-    vocabulary = {t: i for i, t in enumerate(sorted({t for w in windows for t in w}))}
-    index = build_index(docs, vocabulary, id_col, text_col, shard_bytes)
-    frequency = dict(index.where("term is not null").groupBy("term").agg(F.sum("n")).collect())
-    plan = []
-    for words, of in windows.items():
-        terms = sorted(((vocabulary[w], k) for k, w in enumerate(words)), key=lambda x: (frequency.get(x[0], 0), x))
-        if frequency.get(terms[0][0]):  # a window with a term that no document has occurs nowhere
-            plan.append((terms, len(words), sorted(of)))
-    return _query(index, plan, slop, near_terms)
+    index = build_index(docs, id_col, text_col, shard_bytes, name)
+    windows, items = windows_of(benchmark, item_col, item_text, window)
+    found = write_table(matches(index, windows, slop, near_terms, windows_at_once), "matches")
+    # Disjoint stretches of each question, then of all: no more than the document has words.
+    spans = F.array_sort(F.flatten(F.collect_list("spans")))
+    start = F.struct(F.lit(0).alias("reach"), F.lit(0).cast("long").alias("n"))
+    covered = F.aggregate(spans, start, lambda s, x: F.struct(F.greatest(s["reach"], x["end"]).alias("reach"), (s["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(s["reach"], x["first"]))).alias("n")))["n"]
+    hits = found.groupBy("shard", "base").agg(covered.alias("n_hit"))
+    pairs = found.select("shard", "base", F.explode("exact").alias("window"), F.lit(True).alias("exact")).unionByName(found.select("shard", "base", F.explode("near").alias("window"), F.lit(False).alias("exact")))
+    owners = pairs.join(items, "window").groupBy("shard", "base").agg(*[F.array_sort(F.collect_set(F.when(F.col("exact") == e, F.col("item")))).alias(c) for e, c in ((True, "items"), (False, "near_items"))])
+    told = index.where("term is null").select("shard", "base", "doc_id", "n_words", "file", "at").join(hits.join(owners, ["shard", "base"], "left"), ["shard", "base"], "left")
+    none = F.array().cast("array<string>")
+    return told.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("near_items", none).alias("near_items"), "file", "at")
 
 
 def is_contaminated(n_hit="n_hit", n_words="n_words"):
@@ -177,9 +200,14 @@ def is_contaminated(n_hit="n_hit", n_words="n_words"):
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that aren't contaminated.  ``docs`` must be a plain read of files."""
-    place = F.monotonically_increasing_id()
-    rows = docs.select(place.alias("_row"), F.col(text_col).alias("_text"))
-    found = find_contamination(rows, benchmark, "_row", "_text", **options)
-    dirty = found.where(is_contaminated()).select(F.col("doc_id").alias("_row"))
-    return docs.withColumn("_row", place).join(dirty, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs``, all columns, that aren't contaminated.
+
+    Null and empty texts stay, and so do all rows of an empty test set; repeated rows stay or go together;
+    columns of any names stay as they are.  What isn't a plain read of Parquet files is written first.
+    """
+    rows = Rows(docs)
+    found = find_contamination(rows.docs, benchmark, id_col, text_col, name=rows.name(), **options)
+    file, at = fresh("_file", docs), fresh("_at", docs)
+    dirty = found.where(is_contaminated()).select(F.col("file").alias(file), F.col("at").alias(at))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return rows.docs.select(*own, rows.file().alias(file), rows.at().alias(at)).join(dirty, [file, at], "left_anti").select(*own)

@@ -50,3 +50,44 @@ def test_filter_keeps_all_columns_and_clean_rows(spark, tmp_path):
     kept = decontam.without_contaminated(docs, spark.createDataFrame(ITEMS, "item_id string, text string"))
     want = brute.contamination(DOCS, ITEMS)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(d for d, v in want.items() if not v[4])
+
+
+def test_windows_asked_in_parts_and_many_shards(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame(ITEMS, "item_id string, text string")
+    assert rows(decontam.find_contamination(docs, items, shard_bytes=200, windows_at_once=2)) == brute.contamination(DOCS, ITEMS)
+
+
+def test_a_test_set_of_over_eight_megabytes(spark):
+    """Words of twenty letters, so that a large test set has few windows; one item in a hundred has a passage in a document."""
+    from pyspark.sql import functions as F
+
+    word = lambda n: F.substring(F.sha2(n.cast("string"), 256), 1, 20)
+    passage = lambda item, first, last: F.array_join(F.transform(F.sequence(F.lit(first), F.lit(last)), lambda k: word(item * 100 + k)), " ")
+    items = spark.range(10_500).select(F.col("id").cast("string").alias("item_id"), passage(F.col("id"), 0, 39).alias("text"))
+    assert items.agg(F.sum(F.length("text"))).first()[0] > 8 << 20
+    docs = spark.range(105).select(F.col("id").alias("doc_id"), F.concat(F.lit("before "), passage(F.col("id") * 100, 5, 24), F.lit(" after")).alias("text"))
+    found = decontam.find_contamination(docs, items, windows_at_once=50_000).collect()
+    assert len(found) == 105 and all((r.n_words, r.n_hit, r["items"]) == (22, 20, [str(r.doc_id * 100)]) for r in found)
+
+
+def test_rows_that_stay_are_the_same_under_other_splits(spark, tmp_path):
+    names = ["_row", "_text", "_file", "_at", "file", "at", "shard", "base", "items"]
+    texts = [(i, DOCS[i % len(DOCS)][1], *[i] * len(names)) for i in range(3000)]
+    spark.createDataFrame(texts, "doc_id long, text string, " + ", ".join(f"{c} int" for c in names)).repartition(3).write.parquet(f"file://{tmp_path}/docs")
+    docs, items = spark.read.parquet(f"file://{tmp_path}/docs"), spark.createDataFrame(ITEMS, "item_id string, text string")
+    want = brute.contamination(DOCS, ITEMS)
+    stay = {i for i in range(3000) if not want[DOCS[i % len(DOCS)][0]][4]}
+    for first, second in (("128m", "9k"), ("9k", "128m")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", first)
+        try:
+            kept = decontam.without_contaminated(docs, items)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", second)
+            got = kept.collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert kept.columns == docs.columns and {r.doc_id for r in got} == stay and len(got) == len(stay)
+        assert all(r[c] == r.doc_id for r in got for c in names)
+    assert decontam.without_contaminated(docs.limit(0), items).collect() == [] and decontam.without_contaminated(docs, items.limit(0)).count() == 3000
+
+
