@@ -1,3 +1,9 @@
+import html
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
 from contactloom.llm import html_template, queries
 
 FRAME = """<html><head><title>{t}</title><style>p{{}}</style><script>var a = "<p>no</p>";</script></head><body>
@@ -56,3 +62,88 @@ def test_a_line_of_a_sections_articles_is_text(spark):
     rows = [(i, f"https://h.example.com/{'news' if i < 10 else 'blog'}/{i}", f"<body><article><p>Own words of {i}</p>{'<p>A line of some articles</p>' if i < 6 else ''}</article></body>") for i in range(60)]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert sum("A line of some articles" in r.text for r in html_template.extract_main_text(docs).collect()) == 6
+
+
+def plain_article(source):
+    """The text of a page's article by regexes alone, for pages as the driver writes them."""
+    own = re.search(r"(?s)<article>(.*?)</article>", source or "")
+    blocks = re.split(r"</?(?:p|h1)(?:\s[^>]*)?>", own[1]) if own else []
+    blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br[^>]*>", " ", b))).split()) for b in blocks]
+    return "\n\n".join(filter(None, blocks))
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_query_is_brute_force(spark, folder):
+    want = {r.page_id: plain_article(r.html) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    assert {r.page_id: r.text for r in queries.QUERIES["op6_main_text"](spark, folder).collect()} == want
+
+
+def counted(rows, min_pages=5, share=0.3, frame_share=0.25):
+    """Templates and shapes by host in plain Python."""
+    hosts = defaultdict(list)
+    for r in rows:
+        hosts[re.match(html_template.HOST, r.url)[1].lower()].append(html_template.page_subtrees(r.html or ""))
+    out = {}
+    for host, pages in hosts.items():
+        by_mark = {}
+        for mark, chars, content, _, shapes in pages:
+            seen = by_mark.setdefault(mark, (set(), {}))
+            seen[0].update(content)
+            for s in shapes:
+                before = seen[1].get(s["shape"], (0, 0))
+                seen[1][s["shape"]] = (max(before[0], s["chars"]), max(before[1], chars))
+        n, content, shapes = Counter(), Counter(), defaultdict(lambda: [0, 0, 0])
+        for c, s in by_mark.values():
+            content.update(c)
+            for h, (chars, whole) in s.items():
+                for i, x in enumerate((1, chars, whole)):
+                    shapes[h][i] += x
+        enough = max(min_pages, share * len(by_mark))
+        found = {h for h, k in content.items() if k >= enough}, {h for h, (k, chars, whole) in shapes.items() if k >= enough and chars <= frame_share * whole}
+        if any(found):
+            out[host] = found
+    return out
+
+
+def test_templates_are_those_counted_in_plain_python(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    want = counted(pages.collect())
+    found = {r.scope: (set(r.templates), set(r.shapes)) for r in html_template.site_templates(pages, "url", "html", 5, 0.3, 0.25).where("scope not like '%/%'").collect()}
+    assert found == want and len(want) > 40 and all(shapes for _, shapes in want.values())
+
+
+def test_counts_alone_remove_the_frame(spark, monkeypatch):
+    """With no tag, name, role or article to go by, hosts with templates lose menu, advert and footer."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    templates = counted(pages)
+    right = whole = removed = frame = 0
+    for r in pages:
+        host = re.match(html_template.HOST, r.url)[1].lower()
+        if host in templates:
+            page = html_template.Page(r.html)
+            content, shapes = (frozenset(x) for x in templates[host])
+            right += page.text(content, frozenset(), shapes, marked=False) == plain_article(r.html)
+            whole += 1
+            gone = page.by_templates(content, frozenset(), shapes)
+            for e in range(1, len(gone)):
+                gone[e] = gone[e] or gone[page.parent[e]]
+            outside = [e for e, *_ in page.blocks if not page.main[e]]
+            frame, removed = frame + len(outside), removed + sum(gone[e] for e in outside)
+    assert whole > 2000 and right > 0.95 * whole and removed > 0.98 * frame, (right, whole, removed, frame)
+
+
+def test_shapes_without_a_main_part(spark):
+    """Menus of links go by shape; a container of text that stands once on each page stays."""
+    page = lambda i: f"<body><div class='m'>{''.join(f'<a href=x>Link {i}-{k}</a> ' for k in range(3 + i % 3))}</div><div class='story'><p>Own words of {i} that go on for a while</p></div><div class='by'>By writer {i}</div></body>"
+    docs = spark.createDataFrame([(i, f"https://k.example.com/{i}", page(i)) for i in range(20)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_template.extract_main_text(docs).collect()} == {i: f"Own words of {i} that go on for a while\n\nBy writer {i}" for i in range(20)}
+
+
+def test_names_are_not_needed_on_driver_pages(spark, monkeypatch):
+    for name in ("NAMES", "FRAME", "ROLES"):
+        monkeypatch.setattr(html_template, name, set())
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    templates = counted(pages.collect())
+    for r in pages.collect():
+        content, shapes = (frozenset(x) for x in templates.get(re.match(html_template.HOST, r.url)[1].lower(), ((), ())))
+        assert html_template.Page(r.html).text(content, frozenset(), shapes) == plain_article(r.html)
