@@ -1,9 +1,12 @@
-"""Corpus-wide values for the strings of each document, without a row for each string and document.
+"""Documents as frequencies of their strings, in blocks, and the blocks' dictionaries.
 
 Tasks gather documents into blocks of bounded text.  A block holds each distinct string once, as a
-code; its documents hold codes.  The dictionaries of all blocks, packed and dealt into buckets by
-the string's hash, meet in Spark, so every distinct string of the corpus is seen in one place
+code; its documents are distinct codes and how often each occurs.  The dictionaries of all blocks, dealt into
+buckets by the string's hash, meet in Spark, so every distinct string of the corpus is seen in one place
 once; the values found there go back to the blocks and from there to the documents.
+
+Frequencies and dictionaries stand in binary columns, because as arrays and rows of strings they take
+more than twice the space in an exchange.
 """
 
 from __future__ import annotations
@@ -18,9 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIELDS = 3  # longs that a document carries
-#: Documents of a block, packed by column, or a bucket of its dictionary.
-SCHEMA = "block long, total0 long, total1 long, ids binary, nulls binary, " + ", ".join(f"f{i} binary" for i in range(FIELDS)) + ", sizes binary, codes binary, times binary, bucket int, pieces binary, counts binary"
+#: Some documents of a block, packed by column, or a bucket of its dictionary.
+SCHEMA = "block long, ids binary, nulls binary, fact binary, sizes binary, codes binary, times binary, bucket int, pieces binary"
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
 ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split() for c in SCHEMA.split(", "))])
 DOCUMENTS_A_ROW = 4000
@@ -48,125 +50,78 @@ def read_numbers(packed: bytes, kind: str) -> np.ndarray:
 
 
 class Block:
-    """Strings of one block and their codes, in order of their first use; counts if documents add to them."""
+    """Strings of one block and their codes, in order of their first use."""
 
     def __init__(self) -> None:
         self.code_of: dict[bytes, int] = {}
         self.memo: dict = {}
         self.documents: list[tuple] = []
-        self.counts = np.zeros(1024, np.int64)
-        self.totals = [0, 0]
         self.bytes = 0
 
     def code(self, piece: bytes) -> int:
         return self.code_of.setdefault(piece, len(self.code_of))
 
-    def add_counts(self, codes: np.ndarray) -> None:
-        if len(self.code_of) > len(self.counts):
-            self.counts = np.concatenate([self.counts, np.zeros(len(self.code_of), np.int64)])
-        found = np.bincount(codes)
-        self.counts[: len(found)] += found
-
-    def add(self, doc_id: int | None, longs: tuple, codes: np.ndarray) -> None:
-        """A document as the frequencies of its strings: distinct codes in order, by their gaps, and how often each stands there."""
+    def add(self, doc_id: int | None, fact: int, codes: np.ndarray) -> None:
+        """A document with one number of its own, and its strings' codes: distinct ones in order, by their gaps, and how often each occurs."""
         distinct, times = np.unique(codes, return_counts=True)
-        self.documents.append((doc_id, longs, np.diff(distinct, prepend=0).astype("<u4"), times.astype("<u4")))
+        self.documents.append((doc_id, fact, np.diff(distinct, prepend=0).astype("<u4"), times.astype("<u4")))
 
     def rows(self, number: int, buckets: int) -> Iterator[pa.RecordBatch]:
         """Rows of the documents, then one row for each bucket of the dictionary."""
         for at in range(0, len(self.documents), DOCUMENTS_A_ROW):
-            part = self.documents[at : at + DOCUMENTS_A_ROW]
-            ids, longs, gaps, times = zip(*part)
-            fields = np.zeros((FIELDS, len(part)), "<i8")
-            for k, own in enumerate(longs):
-                fields[: len(own), k] = own
+            ids, facts, gaps, times = zip(*self.documents[at : at + DOCUMENTS_A_ROW])
             yield _row(
-                block=number, total0=self.totals[0] if at == 0 else 0, total1=self.totals[1] if at == 0 else 0, ids=numbers(np.array([i or 0 for i in ids], "<i8")), nulls=numbers(np.array([i is None for i in ids], np.uint8)),
-                **{f"f{i}": numbers(fields[i]) for i in range(FIELDS)}, sizes=numbers(np.array([len(g) for g in gaps], "<u4")), codes=numbers(np.concatenate(gaps)), times=numbers(np.concatenate(times)))
+                block=number, ids=numbers(np.array([i or 0 for i in ids], "<i8")), nulls=numbers(np.array([i is None for i in ids], np.uint8)), fact=numbers(np.array(facts, "<i8")),
+                sizes=numbers(np.array([len(g) for g in gaps], "<u4")), codes=numbers(np.concatenate(gaps)), times=numbers(np.concatenate(times)))
         if not self.code_of:
             return
         pieces = list(self.code_of)
         of = np.fromiter((zlib.crc32(p) % buckets for p in pieces), np.int32, len(pieces))
         order = np.argsort(of, kind="stable")
         for group in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-            yield _row(block=number, codes=numbers(group.astype("<u4")), bucket=int(of[group[0]]), pieces=pack([pieces[i] for i in group]), counts=numbers(self.counts[group].astype("<u8")) if self.counts.any() else None)
+            yield _row(block=number, codes=numbers(group.astype("<u4")), bucket=int(of[group[0]]), pieces=pack([pieces[i] for i in group]))
 
 
 def _row(**values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([values.get(t.name)], t.type) for t in ARROW], schema=ARROW)
 
 
-def encoded(docs: DataFrame, encoder: Callable[[], tuple[Callable, Callable]], buckets: int, block_bytes: int, rows_at_once: int = 500) -> DataFrame:
-    """Document and dictionary rows of ``docs`` (doc_id, text as binary, then what ``encode`` reads).
-
-    ``encoder()`` makes ``encode(block, row) -> (longs, codes)`` in each task, and what sees the texts of
-    ``rows_at_once`` rows before that; a null text is empty.
-    """
+def encoded(docs: DataFrame, encoder: Callable[[], Callable], buckets: int, block_bytes: int) -> DataFrame:
+    """Document and dictionary rows of ``docs`` (doc_id, text as binary); ``encoder()`` makes ``encode(block, text) -> (fact, codes)`` in each task."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (encode, prepare), block = encoder(), Block()
+        encode, block = encoder(), Block()
         number = TaskContext.get().partitionId() << 24
         for whole in batches:
-            for at in range(0, whole.num_rows, rows_at_once):
-                part = whole.slice(at, rows_at_once)
-                texts = [t or b"" for t in part.column(1).to_pylist()]
-                prepare(texts)
-                for doc_id, text, *more in zip(part.column(0).to_pylist(), texts, *[c.to_pylist() for c in part.columns[2:]]):
-                    block.add(doc_id, *encode(block, text, *more))
-                    block.bytes += len(text)
-                    if block.bytes >= block_bytes:
-                        yield from block.rows(number, buckets)
-                        number, block = number + 1, Block()
+            for doc_id, text in zip(*[c.to_pylist() for c in whole.columns]):
+                block.add(doc_id, *encode(block, text or b""))
+                block.bytes += len(text or b"")
+                if block.bytes >= block_bytes:
+                    yield from block.rows(number, buckets)
+                    number, block = number + 1, Block()
         yield from block.rows(number, buckets)
 
     return docs.mapInArrow(rows, SCHEMA)
 
 
-def looked_up(table: DataFrame, value_of: Callable[[dict[bytes, int]], np.ndarray]) -> DataFrame:
-    """(block, codes, value_bytes): the value of each dictionary string, worked out once for each distinct one.
-
-    ``value_of`` gets the distinct strings of a bucket and their counts, and returns a number each.
-    A row with a null block holds how many of the bucket's strings have a positive count.
-    """
+def looked_up(table: DataFrame, value_of: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """(of, codes, found): the value of each dictionary string by block, worked out once for each distinct one."""
     def bucket(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
         place: dict[bytes, int] = {}
-        total = np.zeros(1, np.int64)
-        spots = []
-        for r in rows:
-            at = np.fromiter((place.setdefault(p, len(place)) for p in unpack(r["pieces"])), np.int64)
-            spots.append(at)
-            if len(place) > len(total):
-                total = np.concatenate([total, np.zeros(len(place), np.int64)])
-            if r["counts"] is not None:
-                np.add.at(total, at, read_numbers(r["counts"], "<u8").astype(np.int64))
-        total = total[: len(place)]
-        values = np.asarray(value_of(dict(zip(place, total.tolist()))), "<u8")
-        blocks = [r["block"] for r in rows] + [None]
-        codes = [r["codes"] for r in rows] + [b""]
-        found = [numbers(values[at]) for at in spots] + [int((total > 0).sum()).to_bytes(8, "big")]
-        return pa.table({"block": pa.array(blocks, pa.int64()), "codes": pa.array(codes, pa.binary()), "found": pa.array(found, pa.binary())})
-
-    strings = table.where("bucket is not null").select("bucket", "block", "codes", "pieces", "counts")
-    return strings.groupBy("bucket").applyInArrow(bucket, "block long, codes binary, found binary")
-
-
-def summed(table: DataFrame, values: DataFrame, per_block: Callable[[np.ndarray], tuple[list[np.ndarray], Callable]], schema: str) -> DataFrame:
-    """A row for each document from the sums over its strings.
-
-    ``per_block(values)`` gives arrays by code to be summed for each document, and what makes the columns
-    after doc_id from these sums and the documents' longs.
-    """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+        spots = [np.fromiter((place.setdefault(p, len(place)) for p in unpack(packed)), np.int64) for packed in group["pieces"].to_pylist()]
+        values = np.asarray(value_of(list(place)), "<u8")
+        return pa.table({"of": group["block"], "codes": group["codes"], "found": pa.array([numbers(values[at]) for at in spots], pa.binary())})
+
+    strings = table.where("bucket is not null").select("bucket", "block", "codes", "pieces")
+    return strings.groupBy("bucket").applyInArrow(bucket, "of long, codes binary, found binary")
+
 
+def summed(table: DataFrame, values: DataFrame) -> DataFrame:
+    """(doc_id, fact, total): for each document its number and the sum of its strings' values, each as often as it occurs."""
     def block(documents: pa.Table, found: pa.Table) -> pa.Table:
         parts = [(read_numbers(r["codes"], "<u4"), read_numbers(r["found"], "<u8")) for r in found.to_pylist()]
-        value = np.zeros(sum(len(c) for c, _ in parts), np.int64)
+        value = np.zeros(sum(len(c) for c, _ in parts))
         for codes, v in parts:
             value[codes] = v
-        weights, columns = per_block(value)
         out = []
         for r in documents.to_pylist():
             sizes, gaps, times = (read_numbers(r[c], "<u4").astype(np.int64) for c in ("sizes", "codes", "times"))
@@ -174,19 +129,18 @@ def summed(table: DataFrame, values: DataFrame, per_block: Callable[[np.ndarray]
             # Gaps start anew with each document.
             run = np.concatenate([[0], np.cumsum(gaps)])
             codes, of = run[1:] - np.repeat(run[starts], sizes), np.repeat(np.arange(len(sizes)), sizes)
-            sums = [np.bincount(of, weights=w[codes] * times, minlength=len(sizes)) for w in weights]
+            total = np.bincount(of, weights=value[codes] * times, minlength=len(sizes)).astype(np.int64)
             ids = pa.array(read_numbers(r["ids"], "<i8"), mask=read_numbers(r["nulls"], np.uint8) != 0)
-            made = columns(sums, [read_numbers(r[f"f{i}"], "<i8") for i in range(FIELDS)])
-            out.append(pa.table([ids, *made], schema=arrow))
-        return pa.concat_tables(out) if out else arrow.empty_table()
+            out.append(pa.table({"doc_id": ids, "fact": read_numbers(r["fact"], "<i8"), "total": total}))
+        return pa.concat_tables(out) if out else pa.table({c: pa.array([], pa.int64()) for c in ("doc_id", "fact", "total")})
 
-    documents = table.where("bucket is null").select("block", "ids", "nulls", *[f"f{i}" for i in range(FIELDS)], "sizes", "codes", "times")
-    return documents.groupBy("block").cogroup(values.where("block is not null").groupBy("block")).applyInArrow(block, schema)
+    documents = table.where("bucket is null").select("block", "ids", "nulls", "fact", "sizes", "codes", "times")
+    return documents.groupBy("block").cogroup(values.groupBy("of")).applyInArrow(block, "doc_id long, fact long, total long")
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """Buckets that grow with the input, so that each holds a bounded share of the dictionaries."""
-    return 2 * max(docs.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Buckets that grow with the input, so that each meets a bounded share of the dictionaries; enough for all cores in any case."""
+    return max(docs.rdd.getNumPartitions(), 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def as_bytes(docs: DataFrame, id_col: str, text_col: str) -> list:

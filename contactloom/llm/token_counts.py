@@ -1,32 +1,29 @@
-"""Token counts from the distinct pre-tokens of the corpus, without token ids for any document.
-
-Tasks gather documents into blocks of bounded text.  A document is its pre-token frequencies, as codes of
-its block; a block's distinct pre-tokens are rows of (block, code, piece).  Every distinct piece of the corpus
-is counted once, the counts are joined to the blocks' pieces, and each block sums them over its documents.
-"""
+"""Token counts from the distinct pre-tokens of the corpus, without token ids for any document."""
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 import tiktoken
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import Block, as_bytes, bucket_count, encoded, looked_up, summed
 from .scratch import write_table
 
 # The split of byte-level BPE before its merges, and the same for texts whose
 # characters beyond ASCII are all letters.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SINGLE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"""  # where no blank follows another
 PLAIN_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ɏ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ɏ]+|\s+(?!\S)|\s+"""
 #: Characters on whose class the two splits, or two Unicode versions, may not agree.
 NOT_PLAIN = re.compile("[\x1c-\x1f\u0080-¿×÷ɐ-\U0010ffff]")
+LONG_RUN = 400
+TWO_BLANKS, LONG_BLANK = re.compile(r"\s\s|\s\Z"), re.compile(r"(?<!\s)\s{%d}" % LONG_RUN)
 
 
 def pre_tokens(tokenizer) -> Callable[[str], list[str]]:
@@ -105,13 +102,23 @@ def _byte_ranks(model: dict) -> dict[bytes, int] | None:
 def ids_of(spec: Spec) -> Callable[[str], list[int]]:
     """A text's ids as the library gives them.
 
-    The same merges over byte ranks give the same ids several times faster; texts with characters on
-    whose class two splits may not agree, special strings or very long runs go to the library itself.
+    The same merges over byte ranks give the same ids several times faster, most of all where no blank follows
+    another and the split needs no look ahead; texts with characters on whose class two splits may not
+    agree, special strings or very long runs go to the library itself.
     """
-    tokenizer = spec.tokenizer()
-    fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=spec.ranks, special_tokens={}).encode_ordinary if spec.ranks else None
-    odd = re.compile("|".join([NOT_PLAIN.pattern, r"\S{400}", r"\s{400}", *map(re.escape, spec.special)])).search
-    return lambda text: fast(text) if fast and odd(text) is None else tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer, special = spec.tokenizer(), spec.special
+    if not spec.ranks:
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    full, single = (tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=spec.ranks, special_tokens={}).encode_ordinary for p in (SPLIT, SINGLE_SPLIT))
+
+    def ids(text: str) -> list[int]:
+        if NOT_PLAIN.search(text) or any(s in text for s in special) or max(map(len, text.split()), default=0) >= LONG_RUN:
+            return tokenizer.encode(text, add_special_tokens=False).ids
+        if TWO_BLANKS.search(text) is None:
+            return single(text)
+        return tokenizer.encode(text, add_special_tokens=False).ids if LONG_BLANK.search(text) else full(text)
+
+    return ids
 
 
 def chunk_split(special: tuple[str, ...]) -> Callable[[str], list[str] | None]:
@@ -127,91 +134,37 @@ def chunk_split(special: tuple[str, ...]) -> Callable[[str], list[str] | None]:
     return cut
 
 
-FREQUENCIES = "block long, doc_id long, n_bytes long, codes array<int>, times array<int>, code int, piece string"
-_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("codes", pa.list_(pa.int32())), ("times", pa.list_(pa.int32())), ("code", pa.int32()), ("piece", pa.string())])
-ROWS_AT_ONCE = 4000
-
-
-class _Block:
-    """Documents as pre-token frequencies, and the codes of the block's distinct pre-tokens in order of their first use."""
+def _encoder(spec: Spec) -> Callable:
+    """``encode(block, text)``: the text's bytes and the codes of all its pre-tokens."""
+    special = spec.special
+    split, cut = pre_tokens(spec.tokenizer()), chunk_split(special)
+    marks = re.compile("|".join(f"({re.escape(s)})" for s in special)) if special else None
 
-    def __init__(self, number: int) -> None:
-        self.number, self.bytes = number, 0
-        self.code_of: dict[str, int] = {}
-        self.memo: dict[str, bytes] = {}
-        self.documents: list[tuple] = []
+    def codes_of(block: Block, pieces: list[str]) -> bytes:
+        return np.fromiter((block.code(p.encode()) for p in pieces), "<u4", len(pieces)).tobytes()
 
-    def codes(self, pieces: list[str]) -> bytes:
-        place = self.code_of
-        return np.fromiter((place.setdefault(p, len(place)) for p in pieces), np.int32, len(pieces)).tobytes()
-
-    def add(self, doc_id: int | None, n_bytes: int, codes: bytes) -> None:
-        distinct, times = np.unique(np.frombuffer(codes, np.int32), return_counts=True)
-        self.documents.append((doc_id, n_bytes, distinct, times))
-        self.bytes += n_bytes
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        def batch(n: int, **columns: pa.Array) -> pa.RecordBatch:
-            columns["block"] = pa.array(np.full(n, self.number, np.int64))
-            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in _ARROW], schema=_ARROW)
+    def encode(block: Block, raw: bytes) -> tuple[int, np.ndarray]:
+        text, memo = raw.decode(), block.memo
+        chunks = cut(text)
+        if chunks is None:
+            parts = [p for p in (marks.split(text) if marks else [text]) if p]
+            found = b"".join(codes_of(block, [p] if marks and marks.fullmatch(p) else split(p)) for p in parts)
+        else:
+            for c in set(chunks).difference(memo):
+                memo[c] = codes_of(block, split(c))
+            found = b"".join(map(memo.__getitem__, chunks))
+        return len(raw), np.frombuffer(found, "<u4")
 
-        for at in range(0, len(self.documents), ROWS_AT_ONCE):
-            ids, sizes, codes, times = zip(*self.documents[at : at + ROWS_AT_ONCE])
-            ends = pa.array(np.cumsum([0, *map(len, codes)]), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int32())) for x in (codes, times)]
-            yield batch(len(ids), doc_id=pa.array(ids, pa.int64()), n_bytes=pa.array(sizes, pa.int64()), codes=lists[0], times=lists[1])
-        pieces = list(self.code_of)
-        for at in range(0, len(pieces), 10 * ROWS_AT_ONCE):
-            part = pieces[at : at + 10 * ROWS_AT_ONCE]
-            yield batch(len(part), code=pa.array(np.arange(at, at + len(part)), pa.int32()), piece=pa.array(part, pa.string()))
+    return encode
 
 
 def frequencies(docs: DataFrame, spec: Spec, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
-    """Rows of documents (block, doc_id, n_bytes, codes, times) and of the blocks' distinct pre-tokens (block, code, piece)."""
+    """Documents as pre-token frequencies, and the dictionaries of their blocks, by ``blocks``."""
     sent = docs.sparkSession.sparkContext.broadcast(spec)  # one tokenizer file
+    return encoded(docs.select(*as_bytes(docs, id_col, text_col)), lambda: _encoder(sent.value), bucket_count(docs), block_bytes)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special = sent.value.special
-        split, cut = pre_tokens(sent.value.tokenizer()), chunk_split(special)
-        marks = re.compile("|".join(f"({re.escape(s)})" for s in special)) if special else None
-        block = _Block(TaskContext.get().partitionId() << 24)
-
-        def codes(text: str) -> bytes:
-            chunks, memo = cut(text), block.memo
-            if chunks is None:
-                parts = [p for p in (marks.split(text) if marks else [text]) if p]
-                return b"".join(block.codes([p] if marks and marks.fullmatch(p) else split(p)) for p in parts)
-            for c in set(chunks).difference(memo):
-                memo[c] = block.codes(split(c))
-            return b"".join(map(memo.__getitem__, chunks))
 
-        for batch in batches:
-            for doc_id, text in zip(*[c.to_pylist() for c in batch.columns]):
-                block.add(doc_id, len((text or "").encode()), codes(text or ""))
-                if block.bytes >= block_bytes:
-                    yield from block.rows()
-                    block = _Block(block.number + 1)
-        yield from block.rows()
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(rows, FREQUENCIES)
-
-
-def piece_counts(pieces: DataFrame, spec: Spec) -> DataFrame:
-    """(piece, tokens) of distinct pre-tokens, as the tokenizer's library counts each alone."""
-    sent = pieces.sparkSession.sparkContext.broadcast(spec)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = sent.value.tokenizer().encode_batch_fast
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.column(0).slice(at, 1000)
-                found = [len(e.ids) for e in encode(part.to_pylist(), add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([part, pa.array(found, pa.int64())], ["piece", "tokens"])
-
-    return pieces.mapInArrow(rows, "piece string, tokens long")
-
-
-def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for every row of ``docs``, as the tokenizer's library counts whole texts.
 
     Special strings inside texts are one token each, the library's default.  Every distinct pre-token of
@@ -220,18 +173,17 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     result; other columns are ignored.
     """
     spec = load(tokenizer_path)
+    sent = docs.sparkSession.sparkContext.broadcast(spec)
+    held: list[Callable] = []  # one encoder for all buckets of a task
+
+    def tokens_of(pieces: list[bytes]) -> np.ndarray:
+        if not held:
+            held.append(sent.value.tokenizer().encode_batch_fast)
+        found = np.empty(len(pieces), np.int64)
+        for at in range(0, len(pieces), 5000):
+            part = [p.decode() for p in pieces[at : at + 5000]]
+            found[at : at + len(part)] = [len(e.ids) for e in held[0](part, add_special_tokens=False)]
+        return found
+
     table = write_table(frequencies(docs, spec, id_col, text_col, block_bytes), "pre-tokens")
-    pieces = table.where("piece is not null").select("block", "code", "piece")
-    counted = write_table(piece_counts(pieces.select("piece").distinct(), spec), "piece-counts")
-
-    def block(documents: pa.Table, values: pa.Table) -> pa.Table:
-        tokens = np.zeros(values.num_rows, np.int64)
-        tokens[values["code"].to_numpy()] = values["tokens"].to_numpy()
-        codes, times = (documents[c].combine_chunks() for c in ("codes", "times"))
-        of = np.repeat(np.arange(documents.num_rows), codes.value_lengths().to_numpy(zero_copy_only=False))
-        total = np.bincount(of, weights=tokens[codes.flatten().to_numpy()] * times.flatten().to_numpy(), minlength=documents.num_rows)
-        return pa.table({"doc_id": documents["doc_id"], "n_bytes": documents["n_bytes"], "n_tokens": pa.array(total.astype(np.int64))})
-
-    documents = table.where("codes is not null").select("block", "doc_id", "n_bytes", "codes", "times")
-    values = pieces.join(counted, "piece").select(F.col("block").alias("of"), "code", "tokens")
-    return documents.groupBy("block").cogroup(values.groupBy("of")).applyInArrow(block, "doc_id long, n_bytes long, n_tokens long")
+    return summed(table, looked_up(table, tokens_of)).select("doc_id", F.col("fact").alias("n_bytes"), F.col("total").alias("n_tokens"))

@@ -2,7 +2,7 @@ import public_tokenizers
 from brute import AWKWARD
 from tokenizers import Tokenizer
 
-from contactloom.llm import queries, token_counts
+from contactloom.llm import blocks, queries, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,7 +30,7 @@ def test_every_pre_token_meets_the_join(spark):
     split = Tokenizer.from_file(PATH).pre_tokenizer.pre_tokenize_str
     want = {r.text[a:b] for r in docs.collect() for _, (a, b) in split(r.text or "")}
     table = token_counts.frequencies(docs, token_counts.load(PATH), "doc_id", "text", 1 << 16)
-    assert {r.piece for r in table.where("piece is not null").select("piece").collect()} == want
+    assert {p.decode() for r in table.where("bucket is not null").select("pieces").collect() for p in blocks.unpack(r.pieces)} == want
 
 
 def test_ranks_stand_in_for_merges_only_where_every_piece_is_reached():
