@@ -17,6 +17,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import fresh
+
 
 @dataclass(frozen=True)
 class Model:
@@ -75,20 +77,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 5
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 1500, sample_bytes: int = 8 << 20, dictionary_bytes: int = 64 << 10, level: int = 3) -> Model:
     """A model from a bounded sample of labelled rows: by label at most ``sample_rows`` rows and ``sample_bytes`` bytes.
 
-    The sample is that of the least hashes of the ids, whole texts.  Two thirds make the dictionaries,
-    one third fits the curve.  A label without texts gives an empty dictionary and a flat curve.
+    The sample is that of the least hashes of the ids, whole texts; one that doesn't fit into what is left of the bytes is
+    passed over.  Two thirds make the dictionaries, one third fits the curve.  A label without texts gives an
+    empty dictionary and a flat curve, and so do empty tables.  Null ids, null or empty texts and other labels
+    than 0 and 1 are not learnt from; an id with several labels has the larger one, an id with several texts
+    the first in order of bytes; other columns are ignored.
     """
-    narrow = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("_label"))
-    sized = docs.where(F.coalesce(F.octet_length(text_col), F.lit(0)) > 0).select(id_col, F.octet_length(text_col).alias("_size")).join(narrow, id_col)
+    mark, size = fresh("_label", docs, labels), fresh("_size", docs, labels)
+    narrow = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias(mark))
+    sized = docs.where(F.coalesce(F.octet_length(text_col), F.lit(0)) > 0).select(id_col, F.octet_length(text_col).alias(size)).join(narrow, id_col)
     order = F.xxhash64(F.lit(11), F.col(id_col))
     chosen: dict = {}
     for label in (0, 1):
         left = sample_bytes
-        for r in sized.where(F.col("_label") == label).orderBy(order, id_col, "_size").limit(sample_rows).collect():
-            left -= r["_size"]
-            if left >= 0:
+        for r in sized.where((F.col(mark) == label) & (F.col(size) <= sample_bytes)).orderBy(order, id_col, size).limit(sample_rows).collect():
+            if r[size] <= left:  # a text that doesn't fit leaves room for the next ones
+                left -= r[size]
                 chosen.setdefault(r[id_col], label)
-    got = {r[0]: bytes(r[1]) for r in docs.where(F.col(id_col).isin(list(chosen)) & F.col(text_col).isNotNull()).select(id_col, F.col(text_col).cast("binary")).collect()} if chosen else {}
+    # Of rows that share an id the text that comes first in order is read, whatever the order of files.
+    own = docs.where(F.col(id_col).isin(list(chosen)) & (F.octet_length(text_col).between(1, sample_bytes)))
+    got = {r[0]: bytes(r[1]) for r in own.groupBy(id_col).agg(F.min(F.col(text_col).cast("binary"))).collect()} if chosen else {}
     samples = [(got[i], y, k) for k, (i, y) in enumerate(chosen.items()) if i in got]
     train = [[t for t, y, k in samples if y == label and k % 3] for label in (1, 0)]
     (good, raw_good), (bad, raw_bad) = (_dictionary(t, dictionary_bytes) for t in train)
@@ -121,7 +129,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that score ``threshold`` or more."""
+    """The rows of ``docs``, all columns, that score ``threshold`` or more; null texts are scored as empty ones.
+
+    Repeated rows stay or go together, a score of just ``threshold`` stays; an empty table stays empty.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(astuple(model))
 
     @F.pandas_udf("double")
