@@ -17,33 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import write_table
-from .token_counts import Spec, chunk_split, ids_of, load
+from .token_counts import Spec, ids_of, load
 
 DIMENSIONS, ORDER, BUCKETS = 4, 15, 1 << 12
 
 
-MEMO = 1 << 18  # chunks whose ids a task remembers
-
-
 def _encoder(spec: Spec) -> Callable[[str], bytes]:
-    """A text's ids as little-endian bytes.
-
-    Pre-tokens end before a single space, so a plain text's chunks between them are encoded one by one, and frequent ones once a task.
-    """
-    ids, cut, kind = ids_of(spec), chunk_split(spec.special), f"<u{spec.width}"
-    memo: dict[str, bytes] = {}
-
-    def encode(text: str) -> bytes:
-        chunks = cut(text)
-        if chunks is None:
-            return np.array(ids(text), kind).tobytes()
-        if len(memo) > MEMO:
-            memo.clear()
-        for c in set(chunks).difference(memo):
-            memo[c] = np.array(ids(c), kind).tobytes()
-        return b"".join(map(memo.__getitem__, chunks))
-
-    return encode
+    """A text's ids as little-endian bytes."""
+    ids, kind = ids_of(spec), f"<u{spec.width}"
+    return lambda text: np.array(ids(text), kind).tobytes()
 
 
 def hilbert(points: np.ndarray, order: int) -> np.ndarray:
