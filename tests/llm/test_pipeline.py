@@ -59,3 +59,44 @@ def test_run_packs_what_the_stages_kept(spark, stages):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert {r.doc_id for r in rows} == {r[0] for r in stages["secret_scan"][1]}
     assert "pipeline" in __import__("__spark_entry__").queries() and set(queries.QUERIES) <= set(__import__("__spark_entry__").queries())
+
+
+AWKWARD_ROWS = [(i, t, None if k % 3 else "en", None if k % 4 else "web", None if k % 5 else len(t or "")) for k, (i, t) in enumerate(brute.AWKWARD)]
+CLASHES = "_row string, _file string, fp string, file string, at string, score string, shard string, base string, ids string, key string, n_hit string"
+
+
+@pytest.fixture(scope="module", params=["read", "made"])
+def awkward_docs(request, spark, tmp_path_factory):
+    """Nulls in every column, empty and long texts, repeats, and columns named as those used inside; read from files, and not."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, " + CLASHES
+    docs = spark.createDataFrame([(*r, *["x"] * len(CLASHES.split(","))) for r in AWKWARD_ROWS], kind).repartition(3)
+    if request.param == "made":
+        return docs
+    path = f"file://{tmp_path_factory.mktemp('awkward')}/docs"
+    docs.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def plain(df):
+    return sorted((tuple(r[c] for c in corpus_pipeline.COLUMNS) for r in df.collect()), key=str)
+
+
+def test_awkward_rows_through_each_filter(spark, awkward_docs):
+    stages = dict(corpus_pipeline.STAGES)
+    every = sorted(AWKWARD_ROWS, key=str)
+    kept = stages["quality_classifier"](spark, awkward_docs, FOLDER)
+    assert tuple(kept.columns) == corpus_pipeline.COLUMNS and set(plain(kept)) <= set(every)
+    once = stages["near_dedup"](spark, awkward_docs, FOLDER)
+    assert tuple(once.columns) == corpus_pipeline.COLUMNS
+    assert sorted(r[0] for r in plain(once) if r[0] is not None) == [1, 4, 5, 6, 9, 10, 11, 12] and sum(r[0] is None for r in plain(once)) == 1
+    assert plain(stages["decontamination"](spark, awkward_docs, FOLDER)) == every
+    assert plain(stages["secret_scan"](spark, awkward_docs, FOLDER)) == sorted(((i, t, lang, source, n if t is None else len(t)) for i, t, lang, source, n in AWKWARD_ROWS), key=str)
+    packed = stages["packing"](spark, awkward_docs, FOLDER).collect()
+    assert sum(r.start == 0 for r in packed) == len(AWKWARD_ROWS)
+
+
+def test_empty_table_through_all_stages(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        assert out.collect() == [], name
