@@ -23,47 +23,48 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words in windows of three that the text holds twice or more, the first included."""
-    def covered(order: Column) -> Column:
-        n = F.size(order)
-        same = lambda i, j: reduce(Column.__and__, (F.get(order, i)[c] == F.get(order, j)[c] for c in "habc"))
-        twice = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ((i > 0) & same(i, i - 1)) | ((i < n - 1) & same(i, i + 1)))
-        at = F.array_sort(F.transform(twice, lambda i: F.get(order, i)["i"]))
-        # Each window adds the words that the window before it in the text has not covered yet.
-        return _let(at, lambda p: F.aggregate(F.transform(p, lambda x, k: F.when(k == 0, 3).otherwise(F.least(F.lit(3), x - F.get(p, k - 1)))), F.lit(0), lambda s, x: s + x))
+def _with_repeat_words(df: DataFrame, words: str, name: str) -> DataFrame:
+    """``df`` with ``name``: how many of ``words`` are in windows of three that the text holds twice or more, the first included.
 
-    def window(w: Column, i: Column) -> Column:
-        three = [F.get(w, i + k if k else i) for k in range(3)]
-        # The hash stands first, so words are compared only where hashes are equal.
-        return F.struct(F.xxhash64(*three).alias("h"), *[x.alias(c) for x, c in zip(three, "abc")], i.alias("i"))
-
-    windows = lambda w: F.array_sort(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: window(w, i)))
-    return F.when(F.size(words) < 4, 0).otherwise(_let(words, lambda w: _let(windows(w), covered)))
+    A window's key is its hash with its place in the low bits, so sorting plain numbers brings alike windows
+    together; only those that share a hash with a neighbour are then compared by their words.
+    """
+    mask, keys, alike = (fresh(c, df) for c in ("_mask", "_keys", "_alike"))
+    w = F.col(words)
+    place = lambda x: x.bitwiseAND(F.col(mask)).cast("int")
+    shared = lambda x, i: F.coalesce(x.bitwiseXOR(F.get(keys, i)).between(0, F.col(mask)), F.lit(False))
+    key = lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).bitwiseAND(F.bitwise_not(F.col(mask))).bitwiseOR(i)
+    staged = df.withColumn(mask, F.expr(f"shiftleft(1L, length(bin(size({words})))) - 1")).withColumn(keys, F.sort_array(F.transform(w, key)))
+    window = lambda i: F.struct(F.get(w, i).alias("a"), F.get(w, i + 1).alias("b"), F.get(w, i + 2).alias("c"), i.alias("i"))
+    some = F.filter(keys, lambda x, i: (place(x) < F.size(w) - 2) & (shared(x, i + 1) | ((i > 0) & shared(x, i - 1))))
+    staged = staged.withColumn(alike, F.array_sort(F.transform(some, lambda x: window(place(x)))))
+    same = lambda x, i: F.coalesce(reduce(Column.__and__, (x[c] == F.get(alike, i)[c] for c in "abc")), F.lit(False))
+    twice = F.filter(alike, lambda x, i: same(x, i + 1) | ((i > 0) & same(x, i - 1)))
+    at = F.array_sort(F.transform(twice, lambda x: x["i"]))
+    # Each window adds the words that the window before it in the text has not covered yet.
+    covered = _let(at, lambda p: F.aggregate(F.transform(p, lambda x, k: F.when(k == 0, 3).otherwise(F.least(F.lit(3), x - F.get(p, k - 1)))), F.lit(0), lambda s, x: s + x))
+    return staged.withColumn(name, covered).drop(mask, keys, alike)
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with a struct column ``measures`` (long each); a null text has no words, so all are 0."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(rf"[^{BLANK}]"))
-    held_words, held_lines = fresh("_words", docs), fresh("_lines", docs)
-    held = docs.withColumn(held_words, words).withColumn(held_lines, lines)
-    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
-    without = lambda chars: count(rf"(?<![^{BLANK}])[^{chars}{BLANK}]++(?![^{BLANK}])")  # noqa: E731  words that hold none of chars
-    n_words = F.size(held_words)
+    words, lines, repeated = (fresh(c, docs) for c in ("_words", "_lines", "_repeated"))
+    held = docs.withColumn(words, F.filter(F.split(text, SPACE), lambda w: w != "")).withColumn(lines, F.filter(F.split(text, "\n"), lambda x: x.rlike(rf"[^{BLANK}]")))
+    held = _with_repeat_words(held, words, repeated)
+    count = lambda test: F.size(F.filter(words, test))
     values = {
-        "n_words": n_words,
-        "word_chars": F.length(F.array_join(held_words, "")),
-        "n_symbols": count(r"[#*$%&|<>]"),
-        "n_dup_lines": F.size(held_lines) - F.size(F.array_distinct(held_lines)),
-        "n_repeat_words": _repeat_words(F.col(held_words)),
-        "n_lines": F.size(held_lines),
-        "n_caps_words": without("a-z") - without("A-Za-z"),
-        "n_mark_words": count(rf"[#*$%&|<>!][^{BLANK}]*+"),
-        "n_alpha_words": n_words - without(r"A-Za-z\x{80}-\x{10FFFF}"),
+        "n_words": F.size(words),
+        "word_chars": F.length(F.array_join(words, "")),
+        "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": F.col(repeated),
+        "n_lines": F.size(lines),
+        "n_caps_words": count(lambda w: w.rlike(r"[A-Z]") & ~w.rlike(r"[a-z]")),
+        "n_mark_words": F.regexp_count(text, F.lit(rf"[#*$%&|<>!][^{BLANK}]*+")),  # one match for each word with a mark
+        "n_alpha_words": count(lambda w: w.rlike(r"[A-Za-z\x{80}-\x{10FFFF}]")),
     }
-    return held.withColumn("measures", F.struct(*[values[m].cast("long").alias(m) for m in MEASURES])).drop(held_words, held_lines)
+    return held.withColumn("measures", F.struct(*[values[m].cast("long").alias(m) for m in MEASURES])).drop(words, lines, repeated)
 
 
 @dataclass(frozen=True)
