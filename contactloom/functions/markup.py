@@ -12,6 +12,13 @@ from .names import SPACE, trimmed
 # References that are decoded, in this order.
 ENTITIES = (("(?i)&nbsp;", " "), ("(?i)&amp;", "&"), ("(?i)&quot;", '"'), ("(?i)&#0?39;|&apos;", "'"), ("(?i)&lt;", "<"), ("(?i)&gt;", ">"))
 ASSET_PATH = r"(?i)\.(?:css|js|json|xml|pdf|jpe?g|png|gif|webp|svg|ico|woff2?|zip|mp4)\z"
+MARKUP = r"(?i)<(?:!doctype|html|head|body|div|main|section)\b"
+# Patterns of visible text, links, data addresses and controls.
+SILENT = ("script", "style", "noscript")
+COMMENT, BREAK, TAG = r"(?s)<!--.*?-->", r"(?i)<(?:br|hr)[^>]*>|</(?:p|div|li|tr|h[1-6]|section|article|header|footer)>", r"<[^>]+>"
+ANCHOR = r"(?is)<a\b[^>]*href=[\"'][^\"'#]+[\"'][^>]*>.*?</a>"
+DATA_URLS = (r"(?i)(?:src|href)=[\"']([^\"']+\.m?js(?:\?[^\"']*)?)[\"']", r"(?i)[\"'`]((?:https?://[^\"'`\s]+|/[^\"'`\s]+)\.(?:json|csv)(?:\?[^\"'`\s]*)?)[\"'`]", r"(?i)[\"'`](/(?:api|data)/[^\"'`\s]{2,100})[\"'`]")
+CONTROL = r"(?is)<(button|a|div|span)\b[^>]*>.{0,160}?</\1>"
 LOAD_MORE = r"(?i)(?<![A-Za-z0-9_])(?:(?:load|show|view|see)\s+(?:more|all)|more\s+(?:results|doctors|people|team))(?![A-Za-z0-9_])"
 
 
@@ -30,9 +37,17 @@ def _character(code: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """The six named references and decimal ones, each in its turn; others stay as they are."""
+    """The six named references and decimal ones, each in its turn; others stay as they are.  A text without an ampersand is left alone."""
+    return F.when(F.contains(text, F.lit("&")), let(text, _decoded)).otherwise(text)
+
+
+def _decoded(text: Column) -> Column:
     for pattern, to in ENTITIES:
         text = F.regexp_replace(text, pattern, to)
+    return let(text, _numbered)
+
+
+def _numbered(text: Column) -> Column:
     parts = F.split(text, r"&#(?=[0-9]{1,7};)")
     decoded = F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(_character(F.regexp_extract(p, r"^([0-9]+);", 1)), F.regexp_replace(p, r"^[0-9]+;", ""))))
     return F.when(text.rlike(r"&#[0-9]{1,7};"), F.array_join(decoded, "")).otherwise(text)
@@ -40,11 +55,10 @@ def decode_entities(text: Column) -> Column:
 
 def html_to_text(source: Column) -> Column:
     """Visible text: code and comments gone, ends of blocks as line feeds, other tags as spaces, blanks squeezed."""
-    for element in ("script", "style", "noscript"):
+    for element in SILENT:
         source = F.regexp_replace(source, rf"(?is)<{element}.*?</{element}>", " ")
-    source = F.regexp_replace(source, r"(?s)<!--.*?-->", " ")
-    source = F.regexp_replace(source, r"(?i)<(?:br|hr)[^>]*>|</(?:p|div|li|tr|h[1-6]|section|article|header|footer)>", "\n")
-    text = decode_entities(F.regexp_replace(source, r"<[^>]+>", " "))
+    source = F.regexp_replace(F.regexp_replace(source, COMMENT, " "), BREAK, "\n")
+    text = decode_entities(F.regexp_replace(source, TAG, " "))
     text = F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r" ?\n ?", "\n")
     return trimmed(F.regexp_replace(text, r"\n{2,}", "\n"))
 
@@ -55,7 +69,7 @@ def anchor_text(markup: Column) -> Column:
 
 def extract_links(source: Column, page_url: Column, cap: int = 150) -> Column:
     """Array of (url, text): links to the page's host and its subdomains, the first of each host, path and query."""
-    anchors = F.regexp_extract_all(source, F.lit(r"(?is)<a\b[^>]*href=[\"'][^\"'#]+[\"'][^>]*>.*?</a>"), F.lit(0))
+    anchors = F.regexp_extract_all(source, F.lit(ANCHOR), F.lit(0))
     site = urls.site_key(page_url)
 
     def link(a: Column) -> Column:
@@ -86,7 +100,7 @@ def data_urls(source: Column, page_url: Column, cap: int = 20) -> Column:
     """Same-site scripts, quoted .json and .csv paths, and /api/ or /data/ paths, in that order."""
     found = F.concat(*[
         F.regexp_extract_all(source, F.lit(p), F.lit(1))
-        for p in (r"(?i)(?:src|href)=[\"']([^\"']+\.m?js(?:\?[^\"']*)?)[\"']", r"(?i)[\"'`]((?:https?://[^\"'`\s]+|/[^\"'`\s]+)\.(?:json|csv)(?:\?[^\"'`\s]*)?)[\"'`]", r"(?i)[\"'`](/(?:api|data)/[^\"'`\s]{2,100})[\"'`]")
+        for p in DATA_URLS
     ])
     site = urls.site_key(page_url)
     full = F.transform(found, lambda u: urls.resolve(u, page_url))
@@ -96,7 +110,7 @@ def data_urls(source: Column, page_url: Column, cap: int = 20) -> Column:
 
 def load_more(source: Column, cap: int = 5) -> Column:
     """Array of (selector, text) of controls that promise more entries, the first of each selector."""
-    controls = F.regexp_extract_all(source, F.lit(r"(?is)<(button|a|div|span)\b[^>]*>.{0,160}?</\1>"), F.lit(0))
+    controls = F.regexp_extract_all(source, F.lit(CONTROL), F.lit(0))
 
     def control(c: Column) -> Column:
         tag, attributes = F.lower(F.regexp_extract(c, r"^<([A-Za-z]+)", 1)), F.regexp_extract(c, r"(?is)^<[a-z]+\b([^>]*)>", 1)
@@ -122,7 +136,7 @@ def is_csv(text: Column) -> Column:
 
 
 def is_markup(text: Column) -> Column:
-    return F.coalesce(F.substring(text, 1, 4000).rlike(r"(?i)<(?:!doctype|html|head|body|div|p|a|span|table)\b"), F.lit(False))
+    return F.coalesce(F.substring(text, 1, 4000).rlike(MARKUP), F.lit(False))
 
 
 def chunks(text: Column, size: int = 50_000, most: int | None = 24) -> Column:

@@ -9,6 +9,8 @@ from functools import cache, reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .let import let
+
 # Honorifics, and local-part patterns in rank order.
 HONORIFICS = ("dr", "mr", "mrs", "ms", "miss", "mx", "prof", "professor", "sir", "madam", "rev", "hon")
 PATTERNS = (
@@ -38,10 +40,14 @@ def _folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 def fold(name: Column) -> Column:
-    """ASCII letters of a name's compatibility decomposition; other characters stay for later steps to drop."""
+    """ASCII letters of a name's compatibility decomposition; other characters stay for later steps to drop.
+
+    Only texts beyond ASCII are translated, and ligatures looked for only where there are any.
+    """
     one, to, more = _folds()
-    plain = F.translate(name, one, to)
-    return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), more, plain)
+    ligatures = "[" + "".join(c for c, _ in more) + "]"
+    spelt = lambda plain: F.when(plain.rlike(ligatures), reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), more, plain)).otherwise(plain)
+    return F.when(name.rlike(r"[^\x00-\x7F]"), let(F.translate(name, one, to), spelt)).otherwise(name)
 
 
 def name_tokens(name: Column, ascii_only: bool = False) -> Column:
@@ -50,8 +56,8 @@ def name_tokens(name: Column, ascii_only: bool = False) -> Column:
     ``ascii_only`` leaves out the accent table where a column is known not to need it.
     """
     given = F.coalesce(name, F.lit(""))
-    words = F.split(F.lower(given if ascii_only else fold(given)), SPACE)
-    return F.filter(F.transform(words, lambda t: F.regexp_replace(t, "[^a-z]", "")), lambda t: (t != "") & ~t.isin(*HONORIFICS))
+    letters = F.regexp_replace(F.lower(given if ascii_only else fold(given)), rf"[^a-z\s{WIDE_SPACE}]+", "")
+    return F.filter(F.split(letters, SPACE), lambda t: (t != "") & ~t.isin(*HONORIFICS))
 
 
 def first_last(tokens: Column) -> Column:
@@ -62,7 +68,7 @@ def first_last(tokens: Column) -> Column:
 def display_name(name: Column) -> Column:
     """(first, last) for people to read: case and particles stay, honorifics go, last is all that remains."""
     words = F.filter(F.split(F.coalesce(name, F.lit("")), SPACE), lambda t: (t != "") & ~F.regexp_replace(F.lower(t), "[^a-z]", "").isin(*HONORIFICS))
-    return F.struct(F.coalesce(F.get(words, F.lit(0)), F.lit("")).alias("first"), F.array_join(F.slice(words, 2, 1000), " ").alias("last"))
+    return F.struct(F.coalesce(F.get(words, F.lit(0)), F.lit("")).alias("first"), F.array_join(F.filter(words, lambda _, i: i > 0), " ").alias("last"))
 
 
 def person_key(name: Column) -> Column:

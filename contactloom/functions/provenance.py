@@ -31,7 +31,7 @@ def basis_status(basis: Column) -> Column:
 def _meaning(basis: Column, parsed: Column) -> Column:
     stem, ai, unverified = parsed["stem"], parsed["ai"], parsed["unverified"]
     meaning = lambda status, source, ok: F.struct(F.lit(status).alias("status"), source.alias("source"), F.lit(ok).alias("sendable"))
-    confidence = F.when(stem == "web-found:", F.lit("low")).otherwise(F.substring(stem, 11, 1000))
+    confidence = F.when(stem == "web-found:", F.lit("low")).otherwise(F.substring(stem, F.lit(11), F.length(stem)))
     return (
         F.when(stem == "known", meaning(READY, F.lit("Published on their website"), True))
         .when(F.startswith(stem, F.lit("web-found:")), meaning(READY, F.concat(F.lit("Found on the web ("), confidence, F.lit(" confidence)")), True))

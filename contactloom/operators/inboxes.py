@@ -25,15 +25,21 @@ def build_inboxes(business: DataFrame, render: DataFrame, related: DataFrame) ->
         usable(render, "size(business_emails) > 0").select("domain", "company", "website", F.lit(1).alias("kind"), F.col("_seq").alias("seq"), F.col("business_emails").alias("own"), F.array().cast("array<string>").alias("rel"), _first_source("business_emails", "business_email_source_url")),
         usable(related, "size(own_emails) + size(related_emails) > 0").select("domain", "company", "website", F.lit(2).alias("kind"), F.col("_seq").alias("seq"), F.col("own_emails").alias("own"), F.col("related_emails").alias("rel"), F.map_entries("sources").alias("src")),
     ]
-    at = F.struct("kind", "seq")
-    # A domain has a bounded number of records: one for each run of a stage.
-    rows = kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).groupBy("domain").agg(
+    at, place = F.struct("kind", "seq"), F.struct("kind", "seq", "i")
+    records = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    heads = records.groupBy("domain").agg(
         F.min_by("company", F.when(_filled(F.col("company")).isNotNull(), at)).alias("company"), F.min_by("website", F.when(_filled(F.col("website")).isNotNull(), at)).alias("website"),
-        F.max_by("own", F.when(F.col("kind") == 0, at)).alias("base"), F.array_sort(F.collect_list(F.when(F.col("kind") > 0, F.struct("kind", "seq", "own")))).alias("added"),
-        F.max_by("rel", F.when(F.col("kind") == 2, at)).alias("related"), F.array_sort(F.collect_list(F.when(F.size("src") > 0, F.struct("kind", "seq", "src")))).alias("pages"))
-    own = F.array_distinct(F.concat(F.coalesce("base", F.array().cast("array<string>")), F.flatten(F.transform("added", lambda r: r["own"]))))
-    pages = F.aggregate(F.flatten(F.transform("pages", lambda r: r["src"])), F.create_map().cast("map<string,string>"), lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["key"]), F.map_from_entries(F.array(e))))
-    return rows.select("domain", "company", "website", own.alias("business"), F.coalesce("related", F.array().cast("array<string>")).alias("related"), pages.alias("sources"))
+        F.max_by("own", F.when(F.col("kind") == 0, at)).alias("base"), F.max_by("rel", F.when(F.col("kind") == 2, at)).alias("related"))
+    # A domain may have any number of records; only its distinct addresses, which the result holds anyway, are gathered.
+    emails = records.where("kind > 0").select("domain", "kind", "seq", F.posexplode("own").alias("i", "email"))
+    added = emails.groupBy("domain", "email").agg(F.min(place).alias("first")).groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("first", "email"))).alias("added"))
+    entries = records.select("domain", "kind", "seq", F.posexplode("src").alias("i", "e"))
+    pages = entries.groupBy("domain", "e.key").agg(F.max(place).alias("last"), F.max_by("e.value", place).alias("value")).groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("last", "key", "value"))).alias("pages"))
+    rows = heads.join(added, "domain", "left").join(pages, "domain", "left")
+    none = F.array().cast("array<string>")
+    own = F.array_distinct(F.concat(F.coalesce("base", none), F.coalesce(F.transform("added", lambda r: r["email"]), none)))
+    sources = F.map_from_entries(F.coalesce(F.transform("pages", lambda r: F.struct(r["key"], r["value"])), F.array().cast("array<struct<key:string,value:string>>")))
+    return rows.select("domain", "company", "website", own.alias("business"), F.coalesce("related", none).alias("related"), sources.alias("sources"))
 
 
 def _first_source(emails: str, url: str):

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..functions.let import with_fields
 
 
 def _domain(company: str, mail: str) -> Column:
@@ -19,9 +20,10 @@ def with_candidates(rows: DataFrame, name: str, company: str = "company_domain",
     """``rows`` with ``_d`` (domain, source), ``_fl`` (first, last) and ``_list``: (local, pattern) in rank order, empty where a part is missing."""
     if limit < 1:
         raise ValueError("limit must be a positive number")
-    split = rows.withColumn("_d", _domain(company, mail)).withColumn("_fl", names.first_last(names.name_tokens(F.col(name), ascii_only)))
+    # Worked out once for each row: a generator's fields are not merged into what reads them.
+    split = with_fields(rows, F.struct(_domain(company, mail).alias("_d"), names.first_last(names.name_tokens(F.col(name), ascii_only)).alias("_fl")))
     made = names.candidates(F.col("_fl.first"), F.col("_fl.last"), limit)
-    return split.withColumn("_list", F.when(F.col("_d").isNotNull() & F.col("_fl").isNotNull(), made).otherwise(F.array().cast("array<struct<local:string,pattern:string>>")))
+    return with_fields(split, F.struct(F.when(F.col("_d").isNotNull() & F.col("_fl").isNotNull(), made).otherwise(F.array().cast("array<struct<local:string,pattern:string>>")).alias("_list")))
 
 
 def _address(c: Column) -> Column:

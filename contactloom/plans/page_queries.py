@@ -71,7 +71,7 @@ def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _links(spark, sf_dir).select("page_id", (F.col("_at") + 1).alias("rank"), "_l.url", "_l.text")
 
 
-_CAP = 20
+_CAP = 500  # the operator's own
 CANDIDATES_SQL = f"""{LINKS_SQL}, sites AS (SELECT {KEY} AS key, arg_min({SCHEME} || '://' || {HOST} || {PATH} || {QUERY}, page_id) AS own FROM pages GROUP BY 1),
 pooled AS (SELECT key, own AS url, -1 AS pos FROM sites UNION ALL SELECT site, url, page_id * 1000 + pos FROM (SELECT site, url, page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS pos FROM firsts) WHERE pos < 150),
 parts AS (SELECT key, url, pos, {KEY} AS host, {PATH} AS path, {QUERY} AS q FROM pooled),
@@ -90,13 +90,13 @@ def _site_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 @query(f"WITH {CANDIDATES_SQL} SELECT key, CAST(entry AS INTEGER) AS entry, url FROM numbered WHERE entry <= {_CAP}")
 def filter_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first pages of each site to rank: its own address, then its links without files and repeats."""
-    return crawl.candidate_links(*_site_links(spark, sf_dir), cap=_CAP).select("key", "entry", "url")
+    return crawl.candidate_links(*_site_links(spark, sf_dir)).select("key", "entry", "url")
 
 
 @query(f"WITH {CANDIDATES_SQL} SELECT key, least(count(*), {_CAP}) AS n_entries, greatest(count(*) - {_CAP}, 0) AS n_dropped FROM numbered GROUP BY key")
 def candidate_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many pages of each site the cap keeps and leaves out."""
-    return crawl.overflow(*_site_links(spark, sf_dir), cap=_CAP)
+    return crawl.overflow(*_site_links(spark, sf_dir))
 
 
 @query(f"""WITH parts AS (SELECT page_id, {KEY} AS key, {PATH} AS path, url FROM pages),
@@ -220,9 +220,12 @@ def brief_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", provenance.brief(F.col("text"), url_tokens=False).alias("line"))
 
 
-@query()
+_OPAQUE = "regexp_replace(url, '[?#].*', '') || '/' || sha256(url)[1:24] || '/end'"
+
+
+@query(rf"""SELECT page_id, regexp_replace({_OPAQUE}, '(https?://[^\s"''<>]*?/)[A-Za-z0-9_-]{{16,}}(/|$)', '\1<redacted>\2', 'g') AS url FROM pages""")
 def redact_url_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page addresses with an opaque segment put in, redacted; SQL has no lookbehind, so tests hold it."""
+    """Page addresses with an opaque segment put in, redacted."""
     opaque = F.concat(F.regexp_replace("url", r"[?#].*", ""), F.lit("/"), F.substring(F.sha2(F.col("url"), 256), 1, 24), F.lit("/end"))
     return table(spark, sf_dir, "pages", "page_id", "url").select("page_id", provenance.redact(opaque).alias("url"))
 
@@ -249,29 +252,61 @@ def _csv_sql(text: str) -> str:
     return f"coalesce(len(string_split({text}, chr(10))) >= 3 AND {marks(1)} AND {marks(2)}, false)"
 
 
-@query(f"SELECT doc_id, {_csv_sql('text')} AS is_csv, {_csv_sql('replace(text, chr(32), chr(44))')} AS spaced_is_csv, coalesce(regexp_matches(text[1:4000], '(?i)<(!doctype|html|head|body|div|p|a|span|table)\\b'), false) AS is_markup FROM documents")
+@query(f"SELECT doc_id, {_csv_sql('text')} AS is_csv, {_csv_sql('replace(text, chr(32), chr(44))')} AS spaced_is_csv, coalesce(regexp_matches(text[1:4000], '(?i)<(!doctype|html|head|body|div|main|section)\\b'), false) AS is_markup FROM documents")
 def text_sniffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether texts are tables (as they are, and with commas for spaces) or markup."""
     text = F.col("text")
     return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", markup.is_csv(text).alias("is_csv"), markup.is_csv(F.translate(text, " ", ",")).alias("spaced_is_csv"), markup.is_markup(text).alias("is_markup"))
 
 
-@query()
+_CHUNK = 2000
+_CHUNK_SQL = f"""WITH RECURSIVE texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls, {_csv_sql('text')} AS csv FROM documents WHERE length(text) > {_CHUNK}),
+bodies AS (SELECT doc_id, CASE WHEN csv THEN ls[1] ELSE '' END AS header, CASE WHEN csv THEN ls[2:] ELSE ls END AS ls FROM texts),
+packed AS (SELECT doc_id, 1 AS i, 0 AS chunk, length(header) + length(ls[1]) + 1 AS size FROM bodies UNION ALL
+  SELECT p.doc_id, i + 1, chunk + (size + length(ls[i + 1]) > {_CHUNK})::INT, CASE WHEN size + length(ls[i + 1]) > {_CHUNK} THEN length(header) ELSE size END + length(ls[i + 1]) + 1 FROM packed p JOIN bodies b USING (doc_id) WHERE i < len(ls)),
+joined AS (SELECT doc_id, chunk, string_agg(ls[i], chr(10) ORDER BY i) AS body, any_value(header) AS header FROM packed JOIN bodies USING (doc_id) GROUP BY 1, 2)"""
+
+
+@query(f"""{_CHUNK_SQL} SELECT doc_id, chunk::INTEGER AS chunk, CASE WHEN header <> '' THEN header || chr(10) || body ELSE body END AS text FROM joined
+UNION ALL SELECT doc_id, 0, text FROM documents WHERE length(text) <= {_CHUNK}""")
 def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of whole lines of about 2,000 characters, all of every text; tests hold them against brute force."""
-    return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(markup.chunks(F.col("text"), 2000, most=None)).alias("chunk", "text"))
+    """Chunks of whole lines of about 2,000 characters, all of every text."""
+    return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(markup.chunks(F.col("text"), _CHUNK, most=None)).alias("chunk", "text"))
+
 
+# The data's pages name no data and have no controls, so both sides read some more markup after each page.
+_MORE = """<script src="/app.js?v=7"></script><script src="https://cdn.elsewhere.net/x.js"></script><a href="/lib.mjs">m</a><script>load("/feed/team.json"); load('https://elsewhere.net/t.csv'); load("/feed/team.json"); get("/api/people?p=2"); get('/data/x/y');</script>
+<button id="more" class="btn big">Load more</button><a class="next-page more" href="/p2">Show <b>all</b> doctors</a><span>View more</span><div id="1x" class="9y ok">See all &amp; more</div><a class="next-page" href="/p3">show more</a><button class="save">Save</button>"""
+_MORE_SQL = "'" + _MORE.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
 
-@query()
+
+def _with_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", "url", F.concat("html", F.lit(_MORE)).alias("html"))
+
+
+@query(rf"""WITH h AS (SELECT page_id, {KEY} AS site, {SCHEME} || '://' || {HOST} AS root, html || {_MORE_SQL} AS html FROM pages),
+found AS (SELECT page_id, site, root, list_concat(list_concat(regexp_extract_all(html, '(?i)(?:src|href)=["'']([^"'']+\.m?js(?:\?[^"'']*)?)["'']', 1), regexp_extract_all(html, '(?i)["''`]((?:https?://[^"''`\s]+|/[^"''`\s]+)\.(?:json|csv)(?:\?[^"''`\s]*)?)["''`]', 1)), regexp_extract_all(html, '(?i)["''`](/(?:api|data)/[^"''`\s]{{2,100}})["''`]', 1)) AS us FROM h),
+each AS (SELECT page_id, site, root, unnest(us) AS u, generate_subscripts(us, 1) AS i FROM found),
+full_ AS (SELECT page_id, site, CASE WHEN u LIKE 'http%' THEN u ELSE root || u END AS url, min(i) AS i FROM each GROUP BY 1, 2, 3),
+inside AS (SELECT *, {KEY} AS host FROM full_)
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS at, url FROM inside WHERE host = site OR ends_with(host, '.' || site)""")
 def data_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scripts and data paths of every page's own site."""
-    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(markup.data_urls(F.col("html"), F.col("url"))).alias("at", "url"))
+    return _with_more(spark, sf_dir).select("page_id", F.posexplode(markup.data_urls(F.col("html"), F.col("url"))).alias("at", "url"))
+
+
+_CONTROLS_SQL = " UNION ALL ".join(rf"SELECT page_id, html, '{t}' AS tag, unnest(regexp_extract_all(html, '(?is)<{t}\b[^>]*>.{{0,160}}?</{t}>')) AS c FROM h" for t in ("button", "a", "div", "span"))
 
 
-@query()
+@query(rf"""WITH h AS (SELECT page_id, html || {_MORE_SQL} AS html FROM pages), c AS ({_CONTROLS_SQL}),
+told AS (SELECT page_id, tag, strpos(html, c) AS spot, trim(regexp_replace({_decoded_sql("regexp_replace(c, '<[^>]+>', ' ', 'g')")}, '\s+', ' ', 'g')) AS text, regexp_extract(c, '(?i)^<[^>]*\bid=["'']([^"'']+)["'']', 1) AS own,
+  list_filter(regexp_split_to_array(regexp_extract(c, '(?i)^<[^>]*\bclass=["'']([^"'']+)["'']', 1), '\s+'), lambda k: regexp_matches(k, '^[A-Za-z][A-Za-z0-9_-]*$')) AS classes FROM c),
+named AS (SELECT page_id, spot, text, CASE WHEN regexp_matches(own, '^[A-Za-z][A-Za-z0-9_-]*$') THEN '#' || own WHEN len(classes) > 0 THEN tag || '.' || classes[1] END AS selector FROM told
+  WHERE length(text) <= 60 AND regexp_matches(text, '(?i)\b(?:(?:load|show|view|see)\s+(?:more|all)|more\s+(?:results|doctors|people|team))\b'))
+SELECT page_id, selector, arg_min(text, spot) AS text FROM named WHERE selector IS NOT NULL GROUP BY 1, 2""")
 def load_more(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Controls of every page that promise more entries."""
-    return table(spark, sf_dir, "pages").select("page_id", F.explode(markup.load_more(F.col("html"))).alias("c")).select("page_id", "c.selector", "c.text")
+    return _with_more(spark, sf_dir).select("page_id", F.explode(markup.load_more(F.col("html"))).alias("c")).select("page_id", "c.selector", "c.text")
 
 
 @query(f"""WITH s AS (SELECT DISTINCT {KEY} AS key FROM pages), d AS (SELECT {KEY} AS key, bool_or(html LIKE '%@%') AS any_at FROM pages GROUP BY 1)

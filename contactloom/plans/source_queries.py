@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import crawl, harvest
 from ..sources import files, providers
 from ..sources.shared import new_folder
-from .page_queries import ADDRESSES_SQL, KEY
+from .page_queries import ADDRESSES_SQL, KEY, _csv_sql, _decoded_sql, _squeezed_sql, _text_sql
 from .registry import query, table
 
 
@@ -24,13 +24,27 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path).drop("_pos")
 
 
-@query("""SELECT user_id AS domain, event_id, CASE WHEN event_type = 'error' THEN 'key <redacted> refused' END AS error, 'sk-' || event_type AS company FROM events""")
+@query("""SELECT user_id AS domain, event_id, CASE WHEN event_type = 'error' THEN 'key <redacted> refused' END AS error, 'sk-' || event_type AS company,
+  row_number() OVER (ORDER BY event_id % 3, event_id) AS seq FROM events""")
 def ledger_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events appended to a JSON-lines ledger and read again: only errors lose what looks like a key."""
+    """Events appended to a JSON-lines ledger in three runs and read again, in the order of appends: only errors lose what looks like a key."""
     rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("domain"), "event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("key sk-abcd"), "event_id", F.lit(" refused"))).alias("error"), F.concat(F.lit("sk-"), "event_type").alias("company"))
     path = new_folder(spark, "ledger")
-    files.append_ledger(rows, path)
-    return files.read_ledger(spark, path, "domain long, event_id long, error string, company string").drop("_seq")
+    for run in range(3):
+        files.append_ledger(rows.where(F.col("event_id") % 3 == run).orderBy("event_id"), path)
+    read = files.read_ledger(spark, path, "domain long, event_id long, error string, company string")
+    return read.withColumn("seq", F.row_number().over(Window.orderBy("_seq")).cast("long")).drop("_seq")
+
+
+@query("""WITH runs AS (SELECT user_id AS domain, event_id, event_id % 3 AS run, CASE WHEN event_type = 'error' THEN 'error' ELSE 'high' END AS confidence FROM events WHERE event_id % 3 = 0 OR user_id % (event_id % 3 + 1) = 0),
+good AS (SELECT * FROM runs WHERE confidence <> 'error') SELECT domain, arg_max(event_id, (run, event_id)) AS event_id, 'high' AS confidence FROM good GROUP BY 1""")
+def cache_after_three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last good lookup of each domain after three appends, each smaller than the one before."""
+    e, path = table(spark, sf_dir, "events"), new_folder(spark, "cache")
+    rows = e.select(F.col("user_id").alias("domain"), "event_id", F.when(F.col("event_type") == "error", "error").otherwise("high").alias("confidence"))
+    for run in range(3):
+        files.append_ledger(rows.where((F.col("event_id") % 3 == run) & (F.col("domain") % (run + 1) == 0)).orderBy("event_id"), path)
+    return files.read_cache(spark, path, "domain long, event_id long, confidence string")
 
 
 @query("SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0")
@@ -59,13 +73,19 @@ def search_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", providers.search_answer(said).alias("a")).select("event_id", "a.email", "a.identity_match", "a.confidence")
 
 
-@query("""SELECT doc_id, text IS NULL OR text = '' OR (length(text) < 600 AND NOT coalesce(json_valid(text) AND regexp_matches(text, '^[\\[{]'), false)
-  AND NOT (len(string_split(text, chr(10))) >= 3 AND len(regexp_extract_all(split_part(text, chr(10), 1), '[,\\t]')) >= 2 AND len(regexp_extract_all(split_part(text, chr(10), 2), '[,\\t]')) >= 2)) AS needs_render FROM documents WHERE NOT coalesce(regexp_matches(text[1:4000], '(?i)<(!doctype|html|head|body|div|p|a|span|table)\\b'), false)""")
-def needs_render(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which plain texts are so thin that a page like them would be fetched again by a browser."""
-    from ..functions.markup import is_markup
+_RENDER_SQL = f"""shown AS (SELECT 'document' AS kind, doc_id AS id, text AS s FROM documents UNION ALL SELECT 'page', page_id, html FROM pages
+  UNION ALL SELECT 'stub', doc_id, '<main>' || text[1:590] || '</main>' FROM documents UNION ALL SELECT 'empty', doc_id, CASE WHEN doc_id % 2 = 0 THEN '' END FROM documents),
+told AS (SELECT kind, id, s, coalesce(regexp_matches(s[1:4000], '(?i)<(!doctype|html|head|body|div|main|section)\\b'), false) AS markup, {_squeezed_sql(_decoded_sql(_text_sql('s')))} AS seen FROM shown)"""
 
-    return table(spark, sf_dir, "documents", "doc_id", "text").where(~is_markup(F.col("text"))).select("doc_id", providers.needs_render(F.col("text")).alias("needs_render"))
+
+@query(f"""WITH {_RENDER_SQL} SELECT kind, id, coalesce(s, '') = '' OR (markup AND length(seen) < 600 AND NOT coalesce(json_valid(trim(s)) AND regexp_matches(trim(s), '^[\\[{{]'), false) AND NOT {_csv_sql('s')}) AS needs_render FROM told""")
+def needs_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which sources a browser would fetch again: none at all, and markup with little text; texts that are no markup are data."""
+    docs, kind = table(spark, sf_dir, "documents", "doc_id", "text"), lambda k: F.lit(k).alias("kind")
+    shown = docs.select(kind("document"), F.col("doc_id").alias("id"), F.col("text").alias("s")).union(table(spark, sf_dir, "pages").select(kind("page"), "page_id", "html"))
+    stubs = docs.select(kind("stub"), "doc_id", F.concat(F.lit("<main>"), F.substring("text", 1, 590), F.lit("</main>")))
+    shown = shown.union(stubs).union(docs.select(kind("empty"), "doc_id", F.when(F.col("doc_id") % 2 == 0, "")))
+    return shown.select("kind", "id", providers.needs_render(F.col("s")).alias("needs_render"))
 
 
 @query(f"""WITH {ADDRESSES_SQL}, s AS (SELECT {KEY} AS key, min(page_id) AS page_id FROM pages GROUP BY 1), n AS (SELECT id, count(*) AS n FROM found WHERE kind = 'page' GROUP BY 1)

@@ -2,30 +2,47 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructType
 
 from ..functions.provenance import redact
 from ..operators.ledger import latest_per_key
-from .shared import exists, move
+from .shared import exists
 
 MASTER = ("company", "domain", "website", "name", "title", "email", "email_source_url", "updated_at")
+STORE = "domain string, pattern string, confidence string, source string, evidence array<string>"
+SEQUENCE = "struct<run:long,written:timestamp,file:string,split:long,at:long>"
+POINTER = "at long, version string"
 PATTERN = "struct<pattern:string,confidence:string,source:string,evidence:array<string>>"
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+#: A row's place: its file, the split's start in it, and a number that rises within a split.
+def _place() -> Column:
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+
+
+def _opens_cells(spark: SparkSession, path: str) -> bool:
+    """Whether any line leaves a quote open, so that a cell goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A CSV table, every column a string, with ``_pos`` in file order; rows of blank cells are left out.
 
     Quotes are doubled inside quoted cells; a byte order mark, CRLF line ends and short rows are read.
-    ``multi_line`` allows line feeds in cells but keeps a file in one task: switch it off for large ones.
+    Cells with line feeds keep a file in one task, so files are split unless a line leaves a quote open;
+    ``multi_line`` says so where it is known.
     """
+    multi_line = _opens_cells(spark, path) if multi_line is None else multi_line
     df = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE", inferSchema=False)
     blank = reduce(Column.__and__, (F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))) == "" for c in df.columns))
     cells = [F.regexp_replace(F.col(f"`{c}`"), r"\r\n?", "\n").alias(c.replace("﻿", "").strip("\r")) for c in df.columns]
-    return df.withColumn("_pos", F.monotonically_increasing_id()).where(~blank).select(*cells, "_pos")
+    return df.withColumn("_pos", _place()).where(~blank).select(*cells, "_pos")
 
 
 def read_master(spark: SparkSession, path: str, base_only: bool = False) -> DataFrame:
@@ -54,12 +71,20 @@ def write_master(df: DataFrame, path: str) -> None:
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of a JSON-lines ledger with ``_seq`` in file order; no file gives no records, torn lines are passed over."""
+    """Records of a JSON-lines ledger with ``_seq`` in the order of appends; no file gives no records, torn lines are passed over.
+
+    Records that ``append_ledger`` wrote are ordered by their run and their place in it, whatever the files' names
+    and sizes; records from elsewhere stand before them, by age of the file, then by place.
+    """
     whole = StructType.fromDDL(schema)
     if not exists(spark, path):
-        return spark.createDataFrame([], whole).withColumn("_seq", F.lit(0).cast("long"))
-    lines = spark.read.schema(StructType(whole.fields).add("_torn", StringType())).option("columnNameOfCorruptRecord", "_torn").json(path)
-    return lines.withColumn("_seq", F.monotonically_increasing_id()).where("_torn is null").drop("_torn")
+        return spark.createDataFrame([], whole).withColumn("_seq", F.lit(None).cast(SEQUENCE))
+    read = StructType(whole.fields).add("_run", LongType()).add("_at", LongType()).add("_torn", StringType())
+    lines = spark.read.schema(read).option("columnNameOfCorruptRecord", "_torn").json(path)
+    foreign = F.col("_run").isNull()
+    place = [F.when(foreign, F.col(f"_metadata.{c}")) for c in ("file_modification_time", "file_path", "file_block_start")]
+    seq = F.struct(F.coalesce("_run", F.lit(0)), *place, F.coalesce("_at", F.monotonically_increasing_id())).cast(SEQUENCE)
+    return lines.withColumn("_seq", seq).where("_torn is null").drop("_torn", "_run", "_at")
 
 
 def _without_secrets(column: Column, kind: DataType, name: str, secrets: tuple[str, ...]) -> Column:
@@ -71,8 +96,12 @@ def _without_secrets(column: Column, kind: DataType, name: str, secrets: tuple[s
 
 
 def append_ledger(df: DataFrame, path: str, secrets: tuple[str, ...] = ()) -> None:
-    """Append records; ``error`` and ``message`` fields at any depth lose credentials, everything else stays as it is."""
-    df.select(*[_without_secrets(F.col(f"`{f.name}`"), f.dataType, f.name, secrets).alias(f.name) for f in df.schema.fields]).write.mode("append").json(path)
+    """Append records as one run; ``error`` and ``message`` fields at any depth lose credentials, everything else stays as it is.
+
+    Every record gets the run's number, the time in nanoseconds, and its place in ``df``; columns named _run or _at are replaced.
+    """
+    kept = [_without_secrets(F.col(f"`{f.name}`"), f.dataType, f.name, secrets).alias(f.name) for f in df.schema.fields if f.name not in ("_run", "_at")]
+    df.select(*kept, F.lit(time.time_ns()).alias("_run"), F.monotonically_increasing_id().alias("_at")).write.mode("append").json(path)
 
 
 def read_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -81,29 +110,39 @@ def read_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_patterns(spark: SparkSession, path: str) -> DataFrame:
-    """(domain, pattern, confidence, source, evidence) of a stored JSON object; no file or an unreadable one is an empty store."""
+    """(domain, pattern, confidence, source, evidence) as ``write_patterns`` left them; no file is an empty store, unreadable lines are passed over."""
     if not exists(spark, path):
-        return spark.createDataFrame([], "domain string, pattern string, confidence string, source string, evidence array<string>")
+        return spark.createDataFrame([], STORE)
+    lines = spark.read.schema(STORE + ", _torn string").option("columnNameOfCorruptRecord", "_torn").json(path)
+    return lines.where("_torn is null and domain is not null").drop("_torn")
+
+
+def import_patterns(spark: SparkSession, path: str) -> DataFrame:
+    """The same from one JSON object of patterns by domain, a small file; no file or an unreadable one is an empty store."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], STORE)
     held = spark.read.text(path, wholetext=True).select(F.from_json("value", f"map<string,{PATTERN}>").alias("m")).where("m is not null")
     return held.select(F.explode("m").alias("domain", "p")).select("domain", "p.*")
 
 
 def write_patterns(store: DataFrame, path: str) -> None:
-    """One JSON line for each domain; ``read_ledger`` reads it back at any size."""
+    """One JSON line for each domain."""
     store.write.mode("overwrite").json(path)
 
 
 def write_versioned(df: DataFrame, path: str, version: str) -> str:
-    """Write a whole table beside its older versions, then point to it; readers never see half of one."""
+    """Write a whole table beside its older versions, then point to it; readers never see half of one.
+
+    Pointers are only ever added, and the latest counts, so a reader finds the old table or the new one at any time.
+    """
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{path}/{version}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/_next")
-    move(spark, f"{path}/_next", f"{path}/_current")
+    spark.createDataFrame([(time.time_ns(), version)], POINTER).coalesce(1).write.mode("append").json(f"{path}/_pointers")
     return f"{path}/{version}"
 
 
 def read_versioned(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.schema("version string").json(f"{path}/_current/*.json").first()["version"]
+    version = spark.read.schema(POINTER).json(f"{path}/_pointers").agg(F.max_by("version", "at").alias("version")).first()["version"]
     return spark.read.parquet(f"{path}/{version}")
 
 
@@ -112,3 +151,12 @@ def context(df: DataFrame, website_key: Column, specialty: str, suburb: str, sta
     pick = lambda c: (F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")).alias
     rows = df.select(website_key.alias("domain"), pick(specialty)("specialty"), pick(suburb)("suburb"), pick(state)("state"), F.col(order).alias("_p")).where("domain is not null")
     return rows.groupBy("domain").agg(F.min_by(F.struct("specialty", "suburb", "state"), "_p").alias("c")).select("domain", "c.*")
+
+
+def write_companies(outcomes: DataFrame, path: str) -> None:
+    """One JSON document for each company, below a folder of its domain; a company's older document is replaced, those of others stay.
+
+    ``outcomes`` (domain, ...), one row for each domain.
+    """
+    named = outcomes.withColumn("company_domain", F.col("domain"))
+    named.write.option("partitionOverwriteMode", "dynamic").partitionBy("company_domain").mode("overwrite").json(path)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
-from ..functions import markup, provenance, urls
+from ..functions import markup, names, provenance, urls
 
 
 @dataclass(frozen=True)
@@ -99,9 +99,9 @@ def recorded(requests: DataFrame, answers: DataFrame, key: str) -> DataFrame:
 
 
 def needs_render(html: Column) -> Column:
-    """A page without source, or with under 600 characters of text that are no data, is worth rendering."""
-    text = F.when(markup.is_markup(html), markup.html_to_text(html)).otherwise(html)
-    return html.isNull() | (html == "") | ((F.length(text) < 600) & ~markup.is_json(html) & ~markup.is_csv(html))
+    """A page without source, or markup with under 600 characters of text, is worth rendering; what is no markup is data and never is."""
+    data = ~markup.is_markup(html) | markup.is_json(names.trimmed(html)) | markup.is_csv(html)
+    return F.coalesce(html == "", F.lit(True)) | (~data & (F.length(markup.html_to_text(html)) < 600))
 
 
 def fetch_pages(requests: DataFrame, static: Callable[[DataFrame], DataFrame], rendered: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -9,8 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that ``spark.checkpoint.dir`` names; below the temporary folder only where that is unset."""
+    """A fresh path in the folder that ``spark.checkpoint.dir`` names.
+
+    Where that is unset a local session takes one below the temporary folder; on a cluster it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     base = folder.rstrip("/") if folder else f"{tempfile.gettempdir()}/checkpoints"
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
@@ -18,12 +23,3 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename within one file system; an existing target is replaced."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path(target), True)
-    if not fs.rename(path(source), path(target)):
-        raise OSError(f"cannot move {source} to {target}")

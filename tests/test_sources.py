@@ -40,12 +40,58 @@ def test_ledger_torn_lines_and_redaction(spark, tmp_path):
     assert {r.domain: r.confidence for r in files.read_cache(spark, path, schema).where("confidence is not null").collect()} == {"d": "high"}
 
 
+def test_appends_keep_their_order_whatever_their_sizes(spark, tmp_path):
+    """Three appends of falling, then rising size: the last one counts for readers of caches and ledgers."""
+    from contactloom.operators import ledger
+
+    schema = "domain string, confidence string, value long"
+    for name, sizes in (("falling", (300, 30, 1)), ("rising", (1, 30, 300))):
+        path = f"{tmp_path}/{name}"
+        for run, size in enumerate(sizes):
+            rows = spark.range(size).selectExpr("concat('d', id) domain", "'high' confidence", f"{run} * 1000 + id value").repartition(3)
+            files.append_ledger(rows, path)
+        found = {r.domain: r.value for r in files.read_cache(spark, path, schema).collect()}
+        assert found == {f"d{i}": max(run * 1000 + i for run, size in enumerate(sizes) if i < size) for i in range(300)}
+        read = files.read_ledger(spark, path, schema)
+        assert {r.domain: r.value for r in ledger.latest_per_key(read, "domain", "_seq").collect()} == found
+        assert [r.value // 1000 for r in read.orderBy("_seq").collect()] == [run for run, size in enumerate(sizes) for _ in range(size)]
+    files.append_ledger(spark.createDataFrame([("d0", "error", 9)], schema), path)
+    assert {r.domain: r.value for r in files.read_cache(spark, path, schema).where("domain = 'd0'").collect()} == {"d0": 2000}
+
+
+def test_master_of_many_files_keeps_the_last_row_of_a_person(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "part-0.csv").write_text("domain,name,title\nd,Ann,first\n")
+    (tmp_path / "m" / "part-1.csv").write_text("domain,name,title\n" + "".join(f"e{i},Bob,x\n" for i in range(200)) + "d,ann,last\n")
+    found = files.read_master(spark, f"{tmp_path}/m", base_only=True).where("domain = 'd'").collect()
+    assert [(r.name, r.title) for r in found] == [("ann", "last")]
+
+
+def test_csv_is_split_unless_a_cell_goes_on(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"two\nlines"\n')
+    (tmp_path / "b.csv").write_text('x,y\n1,"a ""quoted"" word"\n')
+    assert [files._opens_cells(spark, f"{tmp_path}/{n}.csv") for n in "ab"] == [True, False]
+    assert [r.y for n in "ab" for r in files.read_csv(spark, f"{tmp_path}/{n}.csv").collect()] == ["two\nlines", 'a "quoted" word']
+
+
+def test_documents_of_companies(spark, tmp_path):
+    path = f"{tmp_path}/companies"
+    files.write_companies(spark.createDataFrame([("a.example", 1), ("b.example", 2)], "domain string, people int"), path)
+    files.write_companies(spark.createDataFrame([("b.example", 5)], "domain string, people int"), path)
+    found = {json.loads(p.read_text())["domain"]: json.loads(p.read_text())["people"] for p in (tmp_path / "companies").glob("company_domain=*/*.json")}
+    assert found == {"a.example": 1, "b.example": 5}
+
+
 def test_pattern_store(spark, tmp_path):
-    assert files.read_patterns(spark, f"{tmp_path}/none.json").count() == 0
+    assert files.import_patterns(spark, f"{tmp_path}/none.json").count() == 0 and files.read_patterns(spark, f"{tmp_path}/none").count() == 0
+    store = spark.createDataFrame([("a.example", "first", "ai", "s", ["e"]), ("b.example", "last", None, None, None)], files.STORE)
+    files.write_patterns(store, f"{tmp_path}/store")
+    (tmp_path / "store" / "torn.json").write_text('{"domain": "half')
+    assert sorted(map(tuple, files.read_patterns(spark, f"{tmp_path}/store").collect()), key=str) == sorted(map(tuple, store.collect()), key=str)
     (tmp_path / "p.json").write_text(json.dumps({"a.example": {"pattern": "first", "confidence": "ai", "source": "s", "evidence": ["e"]}}))
     (tmp_path / "bad.json").write_text("{not json")
-    assert [tuple(r) for r in files.read_patterns(spark, f"{tmp_path}/p.json").collect()] == [("a.example", "first", "ai", "s", ["e"])]
-    assert files.read_patterns(spark, f"{tmp_path}/bad.json").count() == 0
+    assert [tuple(r) for r in files.import_patterns(spark, f"{tmp_path}/p.json").collect()] == [("a.example", "first", "ai", "s", ["e"])]
+    assert files.import_patterns(spark, f"{tmp_path}/bad.json").count() == 0
 
 
 def test_versions_swap_whole(spark, tmp_path):
@@ -77,11 +123,11 @@ def test_providers_retry_and_report(spark):
 
 def test_two_phase_fetch(spark):
     long = "<p>" + "words " * 200 + "</p>"
-    static = spark.createDataFrame([("https://a.example/", long, None), ("https://b.example/", "<p>thin</p>", None), ("https://c.example/", None, "down"), ("https://d.example/", '{"data": [1, 2]}', None), ("https://e.example/", "<p>thin</p>", None)], "url string, html string, error string")
+    static = spark.createDataFrame([("https://a.example/", long, None), ("https://b.example/", "<div>in</div>", None), ("https://c.example/", None, "down"), ("https://d.example/", '{"data": [1, 2]}', None), ("https://e.example/", "<div>in</div>", None)], "url string, html string, error string")
     dear = spark.createDataFrame([("https://b.example/", long, None), ("https://c.example/", None, "down too"), ("https://e.example/", None, "no")], "url string, html string, error string")
     got = providers.fetch_pages(static.select(F.regexp_replace("url", "https", "http").alias("url")), lambda u: providers.recorded(u, static, "url"), lambda u: providers.recorded(u, dear, "url"))
     found = {r.url[7:8]: (r.rendered, r.error, len(r.html or "")) for r in got.collect()}
-    assert found == {"a": (False, None, len(long)), "b": (True, None, len(long)), "c": (False, "down too", 0), "d": (False, None, 16), "e": (False, None, 11)}
+    assert found == {"a": (False, None, len(long)), "b": (True, None, len(long)), "c": (False, "down too", 0), "d": (False, None, 16), "e": (False, None, 13)}
 
 
 def test_captures_and_answers(spark):
