@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from ..functions.let import with_fields
 from .ledger import first_per_key
 
 # What marks a contact page, the paths to guess, and titles of people easily found.
@@ -92,9 +93,10 @@ def under_prefixes(pages: DataFrame, prefixes: DataFrame) -> DataFrame:
     """
     lists = prefixes.select("key", urls.normalize_prefix(F.col("prefix")).alias("p")).where("p != ''").groupBy("key").agg(F.collect_set("p").alias("_prefixes"))
     path = F.lower(urls.path_of(F.col("url")))
-    bare = F.regexp_replace(path, r"/+\z", "")
-    below = F.exists("_prefixes", lambda p: F.startswith(path, p) & (bare != F.regexp_replace(p, r"/+\z", "")))
-    return pages.join(lists, "key").where(below).drop("_prefixes")
+    # Paths are worked out before the join, as fields that the optimiser can't put back into the test.
+    placed = with_fields(pages, F.struct(path.alias("_path"), F.regexp_replace(path, r"/+\z", "").alias("_bare")))
+    below = F.exists("_prefixes", lambda p: F.startswith(F.col("_path"), p) & (F.col("_bare") != F.regexp_replace(p, r"/+\z", "")))
+    return placed.join(lists, "key").where(below).drop("_prefixes", "_path", "_bare")
 
 
 def contact_pages(links: Column, origin: Column, most: int = 2) -> Column:

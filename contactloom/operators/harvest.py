@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import addresses, markup
+from ..sources.shared import keep
 from .crawl import contact_pages
 
 
@@ -19,7 +20,7 @@ def harvest(sites: DataFrame, fetch: Callable[[DataFrame], DataFrame], kind: str
     related ones.  A contact page that fails is passed over; a home page that fails is the site's error.
     The first page with an address is its source.  At most 1 + ``contact_limit`` pages a site are read.
     """
-    home = fetch(sites.select(F.col("original").alias("url")).distinct()).select(F.col("url").alias("original"), "html", "error")
+    home = keep(fetch(sites.select(F.col("original").alias("url")).distinct()).select(F.col("url").alias("original"), "html", "error"), "home-pages")
     first = sites.join(home, "original", "left").withColumn("error", F.when(F.col("html").isNull(), F.coalesce("error", F.lit("no page"))))
     next_ = F.when(F.col("error").isNull(), contact_pages(markup.extract_links(F.col("html"), F.col("original"), 1000), F.col("origin"), contact_limit))
     visits = first.select("key", F.posexplode(next_).alias("_at", "url"))

@@ -39,6 +39,11 @@ def pending(targets: DataFrame, ledger: DataFrame, key: str, failed: Column) ->
     return targets.join(done, key, "left_anti")
 
 
+def unfinished(targets: DataFrame, ledger: DataFrame, master: DataFrame, key: str, failed: Column) -> DataFrame:
+    """Targets without a good record and without a row in the master, which an earlier run may have filled without a ledger."""
+    return pending(targets, ledger, key, failed).join(master.select(key).distinct(), key, "left_anti")
+
+
 def has_any(df: DataFrame, key: str, test: Column, name: str = "has_any") -> DataFrame:
     return df.groupBy(key).agg(F.coalesce(F.bool_or(test), F.lit(False)).alias(name))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import markup, urls
 from ..sources.providers import Provider, ask, json_answer
+from ..sources.shared import keep
 from .crawl import ranked_candidates, under_prefixes
 from .patterns import proof_gate
 from .people import dedupe_people
@@ -30,7 +31,7 @@ def rank_pages(entries: DataFrame, model: Provider, top: int = 15, fan_out: int
 
     ``model`` takes key and prompt and gives ``answer``, its raw text.
     """
-    said = ask(page_list(entries), model, fan_out).withColumn("a", json_answer(F.col("answer"), RANKING)).where("a is not null")
+    said = keep(ask(page_list(entries), model, fan_out), "rankings").withColumn("a", json_answer(F.col("answer"), RANKING)).where("a is not null")
     answers = said.select("key", F.posexplode("a.candidates").alias("said", "c")).select("key", "said", "c.index", "c.score", "c.reason", F.coalesce("c.kind", F.lit("other")).alias("kind"))
     prefixes = said.select("key", F.explode("a.profilePrefixes").alias("prefix"))
     return ranked_candidates(entries, answers, top), under_prefixes(entries.select("key", "url"), prefixes)
@@ -44,7 +45,7 @@ def extract_people(pages: DataFrame, model: Provider, fan_out: int | None = 6, s
     text = F.when(markup.is_markup(F.col("html")), markup.html_to_text(F.col("html"))).otherwise(F.col("html"))
     parts = pages.select("domain", "url", "pos", F.posexplode(markup.chunks(text, size)).alias("chunk", "prompt"))
     said = ask(parts, model, fan_out).select("domain", "url", "pos", "chunk", F.posexplode(json_answer(F.col("answer"), PEOPLE)["people"]).alias("at", "p"))
-    return said.where("trim(p.name) != ''").select("domain", "p.name", "p.title", F.lower(F.trim("p.email")).alias("email"), F.col("url").alias("source_url"), (F.col("pos") * (1 << 24) + F.col("chunk") * (1 << 16) + F.col("at")).alias("pos"))
+    return said.where("trim(p.name) != ''").select("domain", "p.name", "p.title", F.lower(F.trim("p.email")).alias("email"), F.col("url").alias("source_url"), (F.col("pos").cast("long") * (1 << 24) + F.col("chunk") * (1 << 16) + F.col("at")).alias("pos"))
 
 
 def organise_people(raw: DataFrame, model: Provider | None = None, most: int = 250) -> DataFrame:
@@ -59,13 +60,20 @@ def organise_people(raw: DataFrame, model: Provider | None = None, most: int = 2
     counted = merged.groupBy("domain").agg(F.count("*").alias("_n"))
     small = merged.join(counted.where(F.col("_n") <= most).select("domain"), "domain", "left_semi")
     prompts = small.groupBy("domain").agg(F.array_join(F.sort_array(F.collect_list("name")), "\n").alias("prompt"))
-    said = ask(prompts, model).withColumn("a", json_answer(F.col("answer"), "keep array<string>"))
+    said = keep(ask(prompts, model), "organised").withColumn("a", json_answer(F.col("answer"), "keep array<string>"))
     answered = said.where("a.keep is not null").select("domain")
     kept = said.select("domain", F.explode("a.keep").alias("name")).distinct()
     unasked = merged.join(answered, "domain", "left_anti")
     return merged.join(kept, ["domain", "name"], "left_semi").unionByName(unasked)
 
 
+def by_name(people: DataFrame, most: int = 250) -> DataFrame:
+    """``people`` with ``rank``: from 1 in the order of names at sites of over ``most`` people, which no model sees; null elsewhere."""
+    site = Window.partitionBy("domain")
+    rank = F.row_number().over(site.orderBy(F.collate("name", "UNICODE"), "name", "person_key"))
+    return people.withColumn("rank", F.when(F.count("*").over(site) > most, rank))
+
+
 def judge_patterns(unlearned: DataFrame, people: DataFrame, evidence: DataFrame, model: Provider, names: int = 25, emails: int = 12) -> DataFrame:
     """(domain, pattern, source): formats that a model proposes and that reproduce a published address.
 

@@ -5,7 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import addresses, names
+from ..functions.let import with_fields
+
+
+ADDRESS_COLUMNS = ("email", "business_email", "all_business_emails", "related_email", "web_found_email")
+
+
+def master_evidence(master: DataFrame, resolved: DataFrame, columns: tuple[str, ...] = ADDRESS_COLUMNS) -> DataFrame:
+    """(domain, email, pos, personal): the distinct addresses of each domain's rows that stand on its own or its mail domain.
+
+    Cells are split at ; and , trimmed and lower-cased; ``pos`` is the first place (row, column, part).  An address is
+    the domain's own by its mail domain, its bare domain or their first label; ``personal`` leaves role words
+    out and is what can prove a format.  ``master`` (domain, pos, ...), ``resolved`` (domain, email_domain).
+    """
+    cells = F.array(*[F.split(F.coalesce(F.col(c) if c in master.columns else F.lit(""), F.lit("")), "[;,]") for c in columns])
+    parts = master.select("domain", "pos", F.posexplode(cells).alias("_column", "_parts")).select("domain", "pos", "_column", F.posexplode("_parts").alias("_part", "_email"))
+    given = parts.select("domain", F.lower(F.trim("_email")).alias("email"), F.struct("pos", "_column", "_part").alias("pos")).where("domain is not null and email != ''").groupBy("domain", "email").agg(F.min("pos").alias("pos"))
+    mail = resolved.where("email_domain is not null").groupBy("domain").agg(F.min("email_domain").alias("_mail"))
+    bare = F.regexp_replace("domain", r"^www\.", "")
+    own = addresses.evidence(F.array("email"), F.lower(F.coalesce("_mail", bare)), bare)
+    return with_fields(given.join(mail, "domain", "left"), F.struct(own.alias("_own"))).where("size(_own.own) > 0").select("domain", "email", "pos", (F.size("_own.personal") > 0).alias("personal"))
 
 
 def learn_patterns(people: DataFrame, evidence: DataFrame, ascii_only: bool = False, by_rank: bool = False) -> DataFrame:

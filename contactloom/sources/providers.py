@@ -185,3 +185,89 @@ def explain(status: int | None, message: str, model: str, endpoint: str) -> str:
     if status == 400 and re.search(r"(?i)not allowed|not supported|batch", message):
         return f"{model!r} exists at {endpoint} but does not take this kind of call"
     return f"the call of {model!r} at {endpoint} failed: {plain_redacted(message)[:120]}"
+
+
+Service = Callable[[DataFrame], DataFrame]
+STATIC_SECONDS, RENDERED_SECONDS = 20, 60  # fixed values: how long a fetch may take
+
+
+def asking(provider: Provider, fan_out: int | None = None) -> Service:
+    """A provider as a service over tables."""
+    return lambda requests: ask(requests, provider, fan_out)
+
+
+def fetching(provider: Provider, rendered: bool = False, fan_out: int | None = None) -> Service:
+    """A service over a table of urls that asks for https addresses with a mode and a time limit; adds html and error."""
+    def fetch(requests: DataFrame) -> DataFrame:
+        asked = requests.withColumns({"fetch_url": F.regexp_replace("url", "^http://", "https://"), "mode": F.lit("rendered" if rendered else "static"), "seconds": F.lit(RENDERED_SECONDS if rendered else STATIC_SECONDS)})
+        return ask(asked, provider, fan_out).drop("fetch_url", "mode", "seconds")
+
+    return fetch
+
+
+def map_sites(sites: DataFrame, service: Service, limit: int = 1000, seconds: int = 60) -> DataFrame:
+    """(key, links array<struct<url,title>>, error) of sites (key, original): at most ``limit`` pages that a service knows of each.
+
+    ``service`` adds links and error to key, url, limit and seconds; a failed site has no links.
+    """
+    asked = service(sites.select("key", F.col("original").alias("url"), F.lit(limit).alias("limit"), F.lit(seconds).alias("seconds")))
+    links = F.when(F.col("error").isNull(), F.slice("links", 1, limit))
+    return asked.select("key", F.coalesce(links, F.array().cast("array<struct<url:string,title:string>>")).alias("links"), "error")
+
+
+def reachable(requests: DataFrame, service: Service, seconds: int = 10) -> DataFrame:
+    """``requests`` with ``alive``: any status of an answer means that the host is up, only a failure to connect that it is down.
+
+    ``service`` adds status to requests with seconds.
+    """
+    asked = service(requests.withColumn("seconds", F.lit(seconds)))
+    return asked.select(*requests.columns, F.col("status").isNotNull().alias("alive"))
+
+
+def models(reasoning: Provider, extraction: Provider | None = None) -> tuple[Provider, Provider]:
+    """The model that ranks and judges, and the one that extracts; one can do both."""
+    return reasoning, extraction or reasoning
+
+
+def looked_up(targets: DataFrame, *sources: DataFrame) -> DataFrame:
+    """(domain, priority, exchange, rcode) of ``targets`` (domain), each from the first source that says anything about it for certain.
+
+    A source (domain, priority, exchange, rcode) has a row for each exchanger, or one without an exchanger.  The first is the native
+    lookup, where NOERROR, NODATA and NXDOMAIN are certain; in the others, asked one after another where
+    it failed, any code is an answer.  Where none answers, the rcode is the first source's, or SERVFAIL.
+    """
+    best = None
+    for n, source in enumerate(sources):
+        certain = F.col("rcode").isin("NOERROR", "NODATA", "NXDOMAIN") if n == 0 else F.col("rcode").isNotNull()
+        host = F.when(F.col("rcode") != "NXDOMAIN", F.regexp_replace(F.regexp_replace("exchange", r"^[0-9]+\s+", ""), r"\.\z", ""))
+        rows = source.select("domain", "priority", host.alias("exchange"), F.when(certain & (F.col("rcode") != "NXDOMAIN"), "NOERROR").otherwise(F.col("rcode")).alias("rcode"), certain.alias("_certain"), F.lit(n).alias("_n"))
+        best = rows if best is None else best.unionByName(rows)
+    first = best.where("_certain").groupBy("domain").agg(F.min("_n").alias("_n"))
+    native = best.where("_n = 0").groupBy("domain").agg(F.min("rcode").alias("_code"))
+    told = targets.select("domain").distinct().join(first, "domain", "left")
+    found = told.join(best.drop("_certain"), ["domain", "_n"]).drop("_n")
+    failed = told.where("_n is null").join(native, "domain", "left").select("domain", F.lit(None).cast("int").alias("priority"), F.lit(None).cast("string").alias("exchange"), F.coalesce("_code", F.lit("SERVFAIL")).alias("rcode"))
+    return found.select("domain", F.col("priority").cast("int").alias("priority"), F.when(F.col("exchange") != "", F.col("exchange")).alias("exchange"), "rcode").unionByName(failed)
+
+
+def ask_within(requests: DataFrame, provider: Provider, key: str, order: str, seconds: float, clock: Callable[[], float] = time.monotonic) -> DataFrame:
+    """As ``ask``, but the calls of one key, in their order, share a time limit: once it is up the rest are errors and nothing is asked.
+
+    What was answered before stays, so a slow site keeps its partial results.
+    """
+    rows = requests.repartition(key).sortWithinPartitions(key, order)
+    whole = StructType(rows.schema.fields + StructType.fromDDL(provider.fields).fields).add("error", StringType())
+    arrow = to_arrow_schema(whole)
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, spent = None, 0.0
+        for batch in batches:
+            for request in batch.to_pylist():
+                if request[key] != now:
+                    now, spent = request[key], 0.0
+                began = clock()
+                answer = provider.answer(request) if spent < seconds else {"error": "over the time limit"}
+                spent += clock() - began
+                yield pa.RecordBatch.from_pylist([{**dict.fromkeys(arrow.names), **request, **answer}], schema=arrow)
+
+    return rows.mapInArrow(answered, whole)

@@ -113,3 +113,36 @@ def test_crawl_choices(spark):
     rows = crawl.rank_report(spark.createDataFrame([("A", "w", [("u1", "t", 90, "r", "directory")], ["u1", "u2"], None), ("B", "w", [], [], None), ("C", "w", [], [], "bad")], kinds)).collect()
     assert [(r.company, r["rank"], r.url, r.reason, r.error) for r in rows] == [("A", 1, "u1", "r", None), ("A", None, "u2", "expanded from profile prefix", None), ("B", None, None, "no candidate pages found", None), ("C", None, None, None, "bad")]
     assert [r.Name for r in crawl.only_fragments(spark.createDataFrame([("Alpha",), ("beta",)], "Name string"), ["LPH"], "Name").collect()] == ["Alpha"]
+
+
+def test_cap_of_candidates_and_what_it_drops(spark):
+    """A cap of three: the site's own page and its first two others stay, the rest are counted."""
+    sites = spark.createDataFrame([("a.test", "https://a.test/")], "key string, original string")
+    links = spark.createDataFrame([("a.test", f"https://a.test/p{i}", "t", i) for i in range(6)], "key string, url string, title string, pos long")
+    assert [r.url for r in crawl.candidate_links(sites, links, cap=3).orderBy("entry").collect()] == ["https://a.test/", "https://a.test/p0", "https://a.test/p1"]
+    assert tuple(crawl.overflow(sites, links, cap=3).first()) == ("a.test", 3, 4)
+
+
+def test_no_service_is_asked_twice(spark, tmp_path):
+    """Every call leaves a file; a stage whose answers are read several times still asks once for each site."""
+    from contactloom.operators import stages
+    from contactloom.sources.providers import Provider, asking
+
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def logged(kind, answer):
+        def call(request):
+            import uuid
+
+            (calls / f"{kind}-{uuid.uuid4().hex}").touch()
+            return answer
+
+        return call
+
+    sites = spark.createDataFrame([("a.test", "A", "https://a.test/"), ("b.test", "B", "https://b.test/")], "key string, company string, original string")
+    mapping = Provider("map", logged("map", {"links": [{"url": "https://a.test/team", "title": "Team"}]}), "links array<struct<url:string,title:string>>")
+    model = Provider("rank", logged("rank", {"answer": '{"candidates": [{"index": 1, "score": 90, "reason": "r", "kind": "directory"}], "profilePrefixes": ["/team"]}'}), "answer string")
+    rows = {r.key: [p.url for p in r.pages] for r in stages.team_pages(sites, asking(mapping), model).collect()}
+    assert rows == {"a.test": ["https://a.test/team"], "b.test": []}
+    assert sorted(p.name.split("-")[0] for p in calls.iterdir()) == ["map", "map", "rank", "rank"]

@@ -183,3 +183,23 @@ def test_resume_goes_on_where_it_stopped(spark, tmp_path):
     spark.range(3, 5).coalesce(1).write.parquet(f"{tmp_path}/in/two.parquet")
     next((tmp_path / "in" / "two.parquet").glob("*.parquet")).rename(folder / "b.parquet")
     assert run() == 1 and sorted(seen) == [0, 1, 2, 3, 4]
+
+
+def test_calls_of_one_site_share_a_time_limit(spark):
+    """Each call takes a second by this clock: two sites of four pages get two each, in order, and keep what was answered."""
+    ticks = iter(range(10_000))
+    slow = providers.Provider("slow", lambda request: {"answer": request["key"] + str(request["pos"])}, "answer string")
+    requests = spark.createDataFrame([(k, p) for p in range(4) for k in "ab"], "key string, pos int").coalesce(1)
+    rows = providers.ask_within(requests, slow, "key", "pos", 2, clock=lambda: next(ticks)).collect()
+    assert {(r.key, r.pos): (r.answer, r.error) for r in rows} == {(k, p): ((f"{k}{p}", None) if p < 2 else (None, "over the time limit")) for k in "ab" for p in range(4)}
+
+
+def test_services_by_mode_and_limit(spark):
+    seen = providers.Provider("echo", lambda r: {"html": f"{r['fetch_url']} {r['mode']} {r['seconds']}"}, "html string")
+    urls = spark.createDataFrame([("http://a.test/",)], "url string")
+    assert [r.html for r in providers.fetching(seen)(urls).collect()] == ["https://a.test/ static 20"]
+    assert [r.html for r in providers.fetching(seen, rendered=True)(urls).collect()] == ["https://a.test/ rendered 60"]
+    maps = providers.Provider("map", lambda r: {"links": [{"url": f"{r['url']}{i}", "title": None} for i in range(5)]}, "links array<struct<url:string,title:string>>")
+    found = providers.map_sites(spark.createDataFrame([("a", "https://a.test/")], "key string, original string"), providers.asking(maps), limit=3).first()
+    assert [x.url for x in found.links] == ["https://a.test/0", "https://a.test/1", "https://a.test/2"] and found.error is None
+    assert providers.models(seen) == (seen, seen) and providers.models(seen, maps) == (seen, maps)
