@@ -6,9 +6,11 @@ and order are broken by the whole row, so results don't depend on partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import keep
+
 
 def _pick(df: DataFrame, key: str, order: str, last: bool) -> DataFrame:
     # Map columns have no order; everything else breaks ties.
@@ -55,24 +57,21 @@ def histogram(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
 
 
 def stride_sample(df: DataFrame, order: str, size: int) -> DataFrame:
-    """Every n-th row in the order of a unique column, ``size`` rows: numbered by partition counts, not in one task."""
+    """Every n-th row in the order of a unique column, ``size`` rows: numbered by ranges, not in one task."""
     stride = F.greatest(F.lit(1), F.floor(F.col("_total") / size))
     return _numbered(df, order).where((F.col("_n") % stride == 0) & (F.floor(F.col("_n") / stride) < size)).drop("_n", "_total")
 
 
-def _numbered(df: DataFrame, order: str) -> DataFrame:
-    """Rows with their number from 0 in the order: ranks in blocks of equal share, then the blocks' starts."""
-    from pyspark.sql import Window
+BLOCK_ROWS = 500_000
 
+
+def _numbered(df: DataFrame, order: str) -> DataFrame:
+    """Rows with ``_n``, their number from 0 in the order of a column of any kind, and ``_total``: ranges of bounded size, then the ranges' starts."""
     total = df.count()
-    width = max(1, total // 256)
-    bounds = df.stat.approxQuantile(order, [i / 256 for i in range(1, 256)], 0.001) if total > width else []
-    block = F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(bounds))]), lambda b: b < F.col(order))) if bounds else F.lit(0)
-    placed = df.withColumn("_block", block)
-    counts = {r["_block"]: r["n"] for r in placed.groupBy("_block").agg(F.count("*").alias("n")).collect()}
-    starts, at = {}, 0
-    for b in sorted(counts):
-        starts[b], at = at, at + counts[b]
-    start = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])[F.col("_block")] if starts else F.lit(0)
+    ranges = df.repartitionByRange(max(1, -(-total // BLOCK_ROWS)), order)
+    placed = keep(ranges.withColumn("_block", F.spark_partition_id()), "ordered")
+    counts = placed.groupBy("_block").agg(F.count("*").alias("n"))
+    # One row for each range.
+    starts = counts.select("_block", (F.sum("n").over(Window.orderBy("_block")) - F.col("n")).alias("_start"))
     within = F.row_number().over(Window.partitionBy("_block").orderBy(order)) - 1
-    return placed.withColumn("_n", start + within).withColumn("_total", F.lit(total)).drop("_block")
+    return placed.withColumn("_at", within).join(starts, "_block").withColumn("_n", F.col("_start") + F.col("_at")).withColumn("_total", F.lit(total)).drop("_block", "_at", "_start")
