@@ -7,6 +7,7 @@ logistic curve fitted on labelled texts that no dictionary has seen.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import astuple, dataclass
 
@@ -17,6 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .scratch import fresh
 
 
@@ -110,6 +112,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return Model(good, bad, raw, level, tuple(mean), tuple(scale), tuple(_logistic((x - mean) / scale, y)))
 
 
+def scorer(m: Model) -> Callable[[bytes], float]:
+    """A text's score, worked out text by text, so that equal texts score alike in any batch."""
+    measure, parts = features(m.good, m.bad, m.raw, m.level), list(zip(m.mean, m.scale, m.weights))
+
+    def of(text: bytes) -> float:
+        z = sum(((v - mean) / scale * w for v, (mean, scale, w) in zip(measure(text), parts)), m.weights[-1])
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+    return of
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score double) for every row: nearer 1 for text like the good one; whole texts, null as empty.
 
@@ -118,14 +131,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = docs.sparkSession.sparkContext.broadcast(astuple(model))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*sent.value)
-        measure, mean, scale, w = features(m.good, m.bad, m.raw, m.level), np.array(m.mean), np.array(m.scale), np.array(m.weights)
+        of = scorer(Model(*sent.value))
         for b in batches:
-            x = np.array([measure(t or b"") for t in b.column(1).to_pylist()]).reshape(-1, len(mean))
-            p = 1 / (1 + np.exp(-np.clip((x - mean) / scale @ w[:-1] + w[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([of(t or b"") for t in b.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary")).mapInArrow(rows, "doc_id long, score double")
+    return spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary"))).mapInArrow(rows, "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
@@ -137,11 +147,9 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: s
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = Model(*sent.value)
-        measure, mean, scale, w = features(m.good, m.bad, m.raw, m.level), np.array(m.mean), np.array(m.scale), np.array(m.weights)
+        of = scorer(Model(*sent.value))
         for texts in batches:
-            x = np.array([measure(t or b"") for t in texts]).reshape(-1, len(mean))
-            yield pd.Series(1 / (1 + np.exp(-np.clip((x - mean) / scale @ w[:-1] + w[-1], -30, 30))))
+            yield pd.Series([of(t or b"") for t in texts], dtype="float64")
 
     return docs.where(scored(F.col(text_col).cast("binary")) >= threshold)
 
