@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .scratch import write_table
 
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S)
@@ -260,7 +261,7 @@ def site_templates(pages: DataFrame, url_col: str, html_col: str, min_pages: int
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, f.type) for c, f in zip(found, list(_ARROW)[2:])]], schema=_ARROW)
 
     host, section = scopes(F.col(url_col))
-    seen = write_table(pages.select(host.alias("host"), section.alias("section"), html_col).mapInArrow(rows, SUBTREES), "subtrees")
+    seen = write_table(spread(pages.select(host.alias("host"), section.alias("section"), html_col)).mapInArrow(rows, SUBTREES), "subtrees")
 
     def frequent(scope: str, subtrees: str) -> DataFrame:
         own = seen.select(F.col(scope).alias("scope"), "page", F.col(subtrees).alias("subtrees"))
@@ -300,5 +301,6 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     keyed = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"), section.alias("section"))
     of_host = templates.where(~F.col("scope").contains("/")).select(F.col("scope").alias("host"), F.col("templates").alias("of_host"), "shapes")
     of_section = templates.where(F.col("scope").contains("/")).select(F.col("scope").alias("section"), F.col("templates").alias("of_section"))
+    keyed = spread(keyed)
     # Spark broadcasts the written templates if their size allows it, and else splits a large host.
     return keyed.join(of_host, "host", "left").join(of_section, "section", "left").select("page_id", "url", "html", "of_host", "of_section", "shapes").mapInArrow(rows, "page_id long, url string, text string")

@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .scratch import write_table
 from .token_counts import Spec, ids_of, load
 
@@ -85,7 +86,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
                 keys = curve_keys([np.frombuffer(r, f"<u{width}") for r in raw])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), part.column(0), pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array([width] * len(raw), pa.int32()), pa.array(raw, pa.binary()), pa.array([len(r) for r in raw], pa.int64())], ["key", "doc_id", "tie", "width", "ids", "size"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(rows, "key long, doc_id long, tie long, width int, ids binary, size long")
+    return spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))).mapInArrow(rows, "key long, doc_id long, tie long, width int, ids binary, size long")
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .scratch import fresh
 
 BLANK = r"\x20\x09-\x0D"
@@ -105,7 +106,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     Null and empty texts fail too_few_words; repeated rows get a row each; an empty table an empty
     ledger; other columns are ignored.  Texts are read whole.
     """
-    table = measured(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text").drop("_text").select("doc_id", "measures", "measures.*")
+    table = measured(spread(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))), "_text").drop("_text").select("doc_id", "measures", "measures.*")
     failures = None
     for r in RULES:
         bit = F.when(F.expr(r.fails), F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long"))

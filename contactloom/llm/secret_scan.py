@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -297,7 +299,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in spans(t or b"")] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, SPANS)], ["doc_id", "found"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary")).mapInArrow(rows, "doc_id long, found array<struct<kind:string,start:int,end:int>>")
+    return spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary"))).mapInArrow(rows, "doc_id long, found array<struct<kind:string,start:int,end:int>>")
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

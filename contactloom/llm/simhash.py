@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .components import connected_components
 from .scratch import Rows, fresh, write_table
 
@@ -57,7 +58,7 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     name = F.lit(None).cast("struct<file:long,at:long>") if name is None else name
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"), name["file"].alias("file"), name["at"].alias("at"))
-    return narrow.mapInArrow(rows, "doc_id long, fp long, file long, at long")
+    return spread(narrow).mapInArrow(rows, "doc_id long, fp long, file long, at long")
 
 
 def _signed(x: int) -> int:

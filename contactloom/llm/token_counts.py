@@ -12,6 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .blocks import Block, as_bytes, bucket_count, encoded, looked_up, summed
 from .scratch import write_table
 
@@ -161,7 +162,7 @@ def _encoder(spec: Spec) -> Callable:
 def frequencies(docs: DataFrame, spec: Spec, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     """Documents as pre-token frequencies, and the dictionaries of their blocks, by ``blocks``."""
     sent = docs.sparkSession.sparkContext.broadcast(spec)  # one tokenizer file
-    return encoded(docs.select(*as_bytes(docs, id_col, text_col)), lambda: _encoder(sent.value), bucket_count(docs), block_bytes)
+    return encoded(spread(docs.select(*as_bytes(docs, id_col, text_col))), lambda: _encoder(sent.value), bucket_count(docs), block_bytes)
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
