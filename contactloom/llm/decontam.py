@@ -1,7 +1,8 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is partitioned by documents, as a search cluster's is: each shard holds, for every term of its
-documents, the ascending positions at which they have that term.  It is written once.  A test set is asked
+The index is partitioned by documents, as a search cluster's is: each shard holds, for the terms of its
+documents, the ascending positions at which they have that term.  It is written once; where it is built for one
+test set, a bitmap of fixed size leaves out most terms that the test set doesn't have.  A test set is asked
 by joins: the windows of its items, each word with its offset and its frequency in the whole corpus, go to
 the shards that hold their rarest term; there the lists are shifted by the offsets and intersected, rarest first.
 Neither the index's terms nor the windows pass through the driver.
@@ -13,14 +14,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .scratch import Rows, fresh, write_table
 
 #: Words are runs of [0-9a-z] and of characters beyond ASCII, after A-Z are lower-cased.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+SLOTS = 1 << 22
 GAP = 128  # free positions between documents, so that nothing reaches from one into the next
 
 INDEX = "shard long, doc_id long, file long, at long, base int, n_words long, term string, places array<int>"
@@ -32,11 +36,22 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16 << 20, name: Column | None = None) -> DataFrame:
+def term_bitmap(terms: DataFrame) -> np.ndarray:
+    """Which of 2^22 hash slots the terms (term string) take; 4 MB, however many terms there are."""
+    slots = terms.select(F.xxhash64("term").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
+    taken = np.zeros(SLOTS, bool)
+    taken[slots] = True
+    return taken
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 16 << 20, name: Column | None = None, wanted: np.ndarray | None = None) -> DataFrame:
     """The index as a written table: a row for each document, and one for each shard and term in it.
 
-    ``name`` is a struct of file and at that names each row; without one both are null.
+    ``name`` is a struct of file and at that names each row; without one both are null.  ``wanted``, from
+    ``term_bitmap``, leaves out terms whose slot no wanted term takes; without it the index serves any test set.
     """
+    sent = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
+
     def batch(size: int, shard: int, **columns: pa.Array) -> pa.RecordBatch:
         columns["shard"] = pa.array(np.full(size, shard, np.int64))
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _ARROW], schema=_ARROW)
@@ -45,6 +60,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ids, files, ats, bases, counts = zip(*documents)
         yield batch(len(ids), shard, doc_id=pa.array(ids, pa.int64()), file=pa.array(files, pa.int64()), at=pa.array(ats, pa.int64()), base=pa.array(bases, pa.int32()), n_words=pa.array(counts, pa.int64()))
         code, place, listed = np.concatenate(terms), np.concatenate(places), list(code_of)
+        if sent is not None:
+            keep = sent.value[np.fromiter((xxhash.xxh64_intdigest(t, 42) & (SLOTS - 1) for t in listed), np.int64, len(listed))]
+            place, code = place[keep[code]], (np.cumsum(keep) - 1)[code[keep[code]]]
+            listed = [t for t, k in zip(listed, keep.tolist()) if k]
         place = place[np.argsort(code, kind="stable")].astype(np.int32)
         ends = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(listed)))])
         for at in range(0, len(listed), 50_000):
@@ -73,7 +92,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield from out(shard, documents, code_of, terms, places)
 
     name = F.lit(None).cast("struct<file:long,at:long>") if name is None else name
-    table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), name["file"].alias("file"), name["at"].alias("at")).mapInArrow(rows, INDEX)
+    table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), name["file"].alias("file"), name["at"].alias("at"))
+    table = spread(table).mapInArrow(rows, INDEX)
     return write_table(table, "positional-index")
 
 
@@ -179,8 +199,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     side gives no matches; other columns are ignored.  The test set may have any size: a shard is asked
     ``windows_at_once`` windows at a time.
     """
-    index = build_index(docs, id_col, text_col, shard_bytes, name)
     windows, items = windows_of(benchmark, item_col, item_text, window)
+    index = build_index(docs, id_col, text_col, shard_bytes, name, term_bitmap(windows.select(F.explode(F.split("words", " ")).alias("term"))))
     found = write_table(matches(index, windows, slop, near_terms, windows_at_once), "matches")
     # Disjoint stretches of each question, then of all: no more than the document has words.
     spans = F.array_sort(F.flatten(F.collect_list("spans")))

@@ -91,3 +91,20 @@ def test_rows_that_stay_are_the_same_under_other_splits(spark, tmp_path):
     assert decontam.without_contaminated(docs.limit(0), items).collect() == [] and decontam.without_contaminated(docs, items.limit(0)).count() == 3000
 
 
+
+
+def test_a_whole_index_gives_the_same_matches(spark):
+    """The bitmap only leaves out terms that no window has; false hits of it change nothing."""
+    import numpy as np
+
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").repartition(3)
+    windows, _ = decontam.windows_of(spark.createDataFrame(ITEMS, "item_id string, text string"), "item_id", "text", 13)
+    some = decontam.term_bitmap(windows.selectExpr("explode(split(words, ' ')) term"))
+    assert 20 < some.sum() < 30
+    told = []
+    for wanted in (None, some, np.ones(decontam.SLOTS, bool)):
+        index = decontam.build_index(docs, wanted=wanted)
+        found = decontam.matches(index, windows, 8, 4, 100)
+        told.append(sorted((r.doc_id, [tuple(x) for x in r.spans], r.exact, r.near) for r in found.join(index.where("term is null").select("shard", "base", "doc_id"), ["shard", "base"]).collect()))
+        told[-1].append(index.where("term is not null").count() if wanted is not None and wanted is some else 0)
+    assert told[0][:-1] == told[1][:-1] == told[2][:-1] and len(told[0]) > 4 and 0 < told[1][-1] < 100
