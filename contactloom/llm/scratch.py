@@ -40,7 +40,7 @@ class Rows:
 
     A row's name is (file, at): a hash of its file, which no other file of the table has, and its place there.
     A plain read of Parquet files is taken as it is; where rows were filtered, joined or made, the table is
-    written once first.  ``files`` maps each file to its number of rows, one entry for every file that
+    written once first.  A bare ``limit`` has no fixed rows and looks like a shorter file, so write it before.  ``files`` maps each file to its number of rows, one entry for every file that
     the driver lists anyway.
     """
 
