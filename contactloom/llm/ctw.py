@@ -25,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import spread
 from .scratch import write_table
 
 EDGE = 0xFF  # never in UTF-8: stands before a text's start and is its last symbol
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 19  # grams that a task works on at once
 BITS_AT = 48  # a node's key: the bits so far, then up to six bytes of context
 
 
@@ -107,6 +108,7 @@ def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
                     learnt[w] = learnt.get(w, 0) + 1
         if learnt:
             yield batch(len(learnt), number, word=pa.array(learnt, pa.binary()), n=pa.array(learnt.values(), pa.int64()))
+        learnt.clear()
         values: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         learns = ~np.array([out for *_, out in documents], bool)
@@ -114,12 +116,13 @@ def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
             codes, distinct = pd.factorize(part)
             values.append(distinct.astype(np.int64))
             counts.append(np.bincount(codes, weights=learns[owner], minlength=len(distinct)).astype(np.int64))
-            if sum(map(len, values)) > 4 * AT_ONCE:
+            if sum(map(len, values)) > 3 * AT_ONCE + len(values[0]):
                 values, counts = ([x] for x in merged(values, counts))
         gram, count = merged(values, counts)
         for at in range(0, len(gram), 100_000):
             own = gram[at : at + 100_000]
             yield batch(len(own), number, gram=pa.array(own), n=pa.array(count[at : at + 100_000]))
+        pa.default_memory_pool().release_unused()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 24, [], 0
@@ -309,7 +312,8 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     and one end.  Null and empty texts have only the end; repeated rows get a row each; an empty table
     gives an empty result; other columns are ignored.  Without training rows every count is 0.
     """
-    table = write_table(gathered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")), depth, block_bytes), "gathered")
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    table = write_table(gathered(spread(narrow), depth, block_bytes), "gathered")
     documents = table.where("text is not null").select("block", "doc_id", "held_out", "text")
     words, grams = (table.where(f"{c} is not null").select("block", c, "n") for c in ("word", "gram"))
     counts = write_table(words.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
@@ -318,20 +322,19 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     tokens, distinct = told["tokens"] + ends, told["distinct"] + (ends > 0)
     total = math.log10(tokens + distinct + 1)
     costs = gram_costs(grams.groupBy("gram").agg(F.sum("n").alias("n")), depth, part_grams)
-    of_grams = grams.join(costs, "gram").select(F.col("block").alias("of"), F.lit(None).cast("binary").alias("word"), "gram", "cost")
-    of_words = words.join(counts, "word").select(F.col("block").alias("of"), "word", F.lit(None).cast("long").alias("gram"), F.col("c").cast("double").alias("cost"))
+    # The distinct side is hashed by partition, so the blocks' many rows need no sorting.
+    of_grams = grams.join(costs.hint("shuffle_hash"), "gram").select(F.col("block").alias("of"), F.lit(None).cast("binary").alias("word"), "gram", "cost")
+    of_words = words.join(counts.hint("shuffle_hash"), "word").select(F.col("block").alias("of"), "word", F.lit(None).cast("long").alias("gram"), F.col("c").cast("double").alias("cost"))
 
     def block(documents: pa.Table, values: pa.Table) -> pa.Table:
         texts, of_gram = documents["text"].to_pylist(), values["gram"].is_valid().to_numpy()
         cost = values["cost"].to_numpy()
         known = dict(zip(values["word"].drop_null().to_pylist(), cost[~of_gram].tolist()))
         gram, cost = values["gram"].drop_null().to_numpy(), cost[of_gram]
-        order = np.argsort(gram)
-        gram, cost = gram[order], cost[order]
-        score = np.zeros(len(texts))
+        places, score = pd.Index(gram), np.zeros(len(texts))
         for part, owner in packed_grams(enumerate(texts), depth):
-            codes, found = pd.factorize(part)
-            score += np.bincount(owner, weights=cost[np.searchsorted(gram, found.astype(np.int64))][codes], minlength=len(texts))
+            score += np.bincount(owner, weights=cost[places.get_indexer(part.astype(np.int64))], minlength=len(texts))
+        del gram, cost, places
         n, seen, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
         for i, text in enumerate(texts):
             c = np.fromiter((known[w] for w in text.split()), float)
