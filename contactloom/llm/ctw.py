@@ -125,6 +125,7 @@ def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
         pa.default_memory_pool().release_unused()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what an earlier task of this worker left
         number, held, size = TaskContext.get().partitionId() << 24, [], 0
         for b in batches:
             for doc_id, text, out in zip(*[c.to_pylist() for c in b.columns]):
@@ -327,6 +328,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     of_words = words.join(counts.hint("shuffle_hash"), "word").select(F.col("block").alias("of"), "word", F.lit(None).cast("long").alias("gram"), F.col("c").cast("double").alias("cost"))
 
     def block(documents: pa.Table, values: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         texts, of_gram = documents["text"].to_pylist(), values["gram"].is_valid().to_numpy()
         cost = values["cost"].to_numpy()
         known = dict(zip(values["word"].drop_null().to_pylist(), cost[~of_gram].tolist()))
