@@ -29,7 +29,7 @@ from ..sources.shared import spread
 from .scratch import write_table
 
 EDGE = 0xFF  # never in UTF-8: stands before a text's start and is its last symbol
-AT_ONCE = 1 << 19  # grams that a task works on at once
+AT_ONCE = 1 << 18  # grams that a task works on at once
 BITS_AT = 48  # a node's key: the bits so far, then up to six bytes of context
 
 
