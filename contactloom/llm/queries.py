@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontam, html_template, oracle, packing, rules, secret_scan, sharding, simhash, token_counts, zstd_quality
+from . import ctw, decontam, html_template, merkle, oracle, packing, rules, secret_scan, sharding, simhash, token_counts, toxicity, tput, zstd_quality
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -76,5 +76,25 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_curve_packing, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op6_main_text, op7_quality_rules, op8_secret_scan, op9_decontamination, op10_compression_quality)}
-ORACLE_SQL = {"op7_quality_rules": oracle.RULES_SQL, "op9_decontamination": oracle.DECONTAMINATION_SQL}
+def op11_tput_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tput.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    manifest = merkle.manifest(_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", {"text": F.when(tampered, lower).otherwise(F.col("text"))})
+    return manifest.audit().withColumnRenamed("id", "doc_id")
+
+
+def op13_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(toxicity.in_training()))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_near_dedup, op2_curve_packing, op3_context_tree_scores, op4_token_counts, op5_exact_sharding, op6_main_text, op7_quality_rules, op8_secret_scan, op9_decontamination, op10_compression_quality, op11_tput_search, op12_merkle_manifest,
+    op13_ftrl_toxicity)}
+ORACLE_SQL = {"op7_quality_rules": oracle.RULES_SQL, "op9_decontamination": oracle.DECONTAMINATION_SQL, "op11_tput_search": oracle.SEARCH_SQL, "op12_merkle_manifest": oracle.MERKLE_SQL}
