@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructT
 
 from ..functions.provenance import redact
 from ..operators.ledger import latest_per_key
+from . import quoted
 from .shared import exists
 
 MASTER = ("company", "domain", "website", "name", "title", "email", "email_source_url", "updated_at")
@@ -31,18 +32,21 @@ def _opens_cells(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None, split_bytes: int | None = None) -> DataFrame:
     """A CSV table, every column a string, with ``_pos`` in file order; rows of blank cells are left out.
 
     Quotes are doubled inside quoted cells; a byte order mark, CRLF line ends and short rows are read.
-    Cells with line feeds keep a file in one task, so files are split unless a line leaves a quote open;
-    ``multi_line`` says so where it is known.
+    Files are split among tasks in any case: where a line leaves a quote open, ``quoted`` finds the rows, which are
+    then written once.  ``multi_line`` says whether there are such cells, where that is known; ``split_bytes`` bounds their splits.
     """
     multi_line = _opens_cells(spark, path) if multi_line is None else multi_line
     df = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE", inferSchema=False)
-    blank = reduce(Column.__and__, (F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))) == "" for c in df.columns))
-    cells = [F.regexp_replace(F.col(f"`{c}`"), r"\r\n?", "\n").alias(c.replace("﻿", "").strip("\r")) for c in df.columns]
-    return df.withColumn("_pos", _place()).where(~blank).select(*cells, "_pos")
+    # Reading lines as rows, Spark says what the header's cells are; it needs the first row only.
+    df = quoted.read(spark, path, df.columns, split_bytes) if multi_line else df.withColumn("_pos", _place())
+    names = [c for c in df.columns if c != "_pos"]
+    blank = reduce(Column.__and__, (F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))) == "" for c in names))
+    cells = [F.regexp_replace(F.col(f"`{c}`"), r"\r\n?", "\n").alias(c.replace("﻿", "").strip("\r")) for c in names]
+    return df.where(~blank).select(*cells, "_pos")
 
 
 def read_master(spark: SparkSession, path: str, base_only: bool = False) -> DataFrame:
