@@ -1 +1,10 @@
-"""Contact enrichment as Spark dataflow: sites in, people, inboxes and trust-labelled addresses out."""
+"""Contact enrichment as Spark dataflow: sites in, people, inboxes and trust-labelled addresses out.
+
+Functions that run in Python workers are pickled by value, so executors need no copy of the package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

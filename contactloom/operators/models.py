@@ -37,14 +37,14 @@ def rank_pages(entries: DataFrame, model: Provider, top: int = 15, fan_out: int
     return ranked_candidates(entries, answers, top), under_prefixes(entries.select("key", "url"), prefixes)
 
 
-def extract_people(pages: DataFrame, model: Provider, fan_out: int | None = 6, size: int = 50_000) -> DataFrame:
-    """(domain, name, title, email, source_url, pos): people that the model reads from each chunk of each page.
+def extract_people(pages: DataFrame, model: Provider, fan_out: int | None = 6, size: int = 50_000, at_once: int = 4) -> DataFrame:
+    """(domain, name, title, email, source_url, pos): people that the model reads from each chunk of each page, ``at_once`` chunks of a task at a time.
 
     ``pages`` (domain, url, html, pos).  The source is the page's own address, whatever the model says.
     """
     text = F.when(markup.is_markup(F.col("html")), markup.html_to_text(F.col("html"))).otherwise(F.col("html"))
     parts = pages.select("domain", "url", "pos", F.posexplode(markup.chunks(text, size)).alias("chunk", "prompt"))
-    said = ask(parts, model, fan_out).select("domain", "url", "pos", "chunk", F.posexplode(json_answer(F.col("answer"), PEOPLE)["people"]).alias("at", "p"))
+    said = ask(parts, model, fan_out, at_once).select("domain", "url", "pos", "chunk", F.posexplode(json_answer(F.col("answer"), PEOPLE)["people"]).alias("at", "p"))
     return said.where("trim(p.name) != ''").select("domain", "p.name", "p.title", F.lower(F.trim("p.email")).alias("email"), F.col("url").alias("source_url"), (F.col("pos").cast("long") * (1 << 24) + F.col("chunk") * (1 << 16) + F.col("at")).alias("pos"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import asyncio
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +75,25 @@ def search_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", providers.search_answer(said).alias("a")).select("event_id", "a.email", "a.identity_match", "a.confidence")
 
 
+@query("""SELECT c_custkey AS id, CASE WHEN c_custkey % 7 <> 3 THEN 'answer ' || c_custkey * 2 END AS answer, CASE WHEN c_custkey % 7 <> 3 THEN CASE c_custkey % 5 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END END::INTEGER AS tries,
+  CASE WHEN c_custkey % 7 = 3 THEN 'ValueError: no such host' END AS error FROM customer""")
+def answers_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A service with recorded delays, asked forty times at once in a task: some calls are slow, some heal when asked again, some fail."""
+    async def call(request: dict) -> dict:
+        k = request["id"]
+        tried[k] = tried.get(k, 0) + 1
+        await asyncio.sleep(k % 4 / 1000)
+        if k % 7 == 3:
+            raise ValueError("no such host")
+        if tried[k] <= k % 5 < 3:
+            raise ConnectionError("try again")
+        return {"answer": f"answer {2 * k}", "tries": tried.pop(k)}
+
+    tried: dict[int, int] = {}
+    service = providers.Provider("recorded delays", call, "answer string, tries int", providers.Retry(attempts=3, first_wait=0.001))
+    return providers.ask(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), service, at_once=40)
+
+
 _RENDER_SQL = f"""shown AS (SELECT 'document' AS kind, doc_id AS id, text AS s FROM documents UNION ALL SELECT 'page', page_id, html FROM pages
   UNION ALL SELECT 'stub', doc_id, '<main>' || text[1:590] || '</main>' FROM documents UNION ALL SELECT 'empty', doc_id, CASE WHEN doc_id % 2 = 0 THEN '' END FROM documents),
 told AS (SELECT kind, id, s, coalesce(regexp_matches(s[1:4000], '(?i)<(!doctype|html|head|body|div|main|section)\\b'), false) AS markup, {_squeezed_sql(_decoded_sql(_text_sql('s')))} AS seen FROM shown)"""

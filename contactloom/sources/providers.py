@@ -1,15 +1,17 @@
 """Outside services behind plain callables, and their recorded forms.
 
-A provider is a function of one request that returns a mapping or raises.  It runs in tasks, one
-partition after another, with retries; what it raises becomes the row's ``error``, redacted.  Recorded
+A provider is a function of one request, plain or a coroutine, that returns a mapping or raises.  It runs in tasks, several
+calls at once, with retries; what it raises becomes the row's ``error``, redacted.  Recorded
 answers are tables, so a recorded run is a join and gives the same rows every time.
 """
 
 from __future__ import annotations
 
+import asyncio
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Awaitable, Callable, Iterator
+from contextlib import AbstractAsyncContextManager, nullcontext
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
 from ..functions import markup, names, provenance, urls
+from .in_flight import Loop, in_order
 
 
 @dataclass(frozen=True)
@@ -40,25 +43,33 @@ class Retry:
 
 @dataclass(frozen=True)
 class Provider:
-    """A named service: ``call(request) -> answer`` and the answer's fields."""
+    """A named service: ``call(request) -> answer`` and the answer's fields.
+
+    ``seconds`` limits one call, where it is given; a plain function that hangs keeps its thread, a coroutine is
+    given up.  ``sleep`` waits between attempts, on the event loop if it is None.
+    """
 
     name: str
-    call: Callable[[dict], dict]
+    call: Callable[[dict], dict] | Callable[[dict], Awaitable[dict]]
     fields: str
     retry: Retry = field(default_factory=Retry)
     secrets: tuple[str, ...] = ()
-    sleep: Callable[[float], None] = time.sleep
+    sleep: Callable[[float], None] | None = None
+    seconds: float | None = None
 
-    def answer(self, request: dict) -> dict:
+    async def answer(self, loop: Loop, request: dict, place: AbstractAsyncContextManager | None = None) -> dict:
         for attempt in range(self.retry.attempts):
+            limit = asyncio.timeout(self.seconds)
             try:
-                return {**self.call(request), "error": None}
+                async with place or loop.free, limit:
+                    return {**await loop.call(self.call, request), "error": None}
             except Exception as e:  # noqa: BLE001  a row's failure is its result
-                last = e
+                last = TimeoutError(f"no answer in {self.seconds:g} seconds") if limit.expired() else e
                 if self.retry.gives_up(e):
                     break
-                if attempt + 1 < self.retry.attempts:
-                    self.sleep(self.retry.wait(attempt))
+            if attempt + 1 < self.retry.attempts:
+                wait = self.retry.wait(attempt)
+                await (asyncio.sleep(wait) if self.sleep is None else loop.call(self.sleep, wait))
         return {"error": plain_redacted(f"{type(last).__name__}: {last}", self.secrets)[:200]}
 
 
@@ -70,25 +81,31 @@ def plain_redacted(text: str, secrets: tuple[str, ...] = ()) -> str:
     return re.sub(r"(https?://[^\s\"'<>]*?/)[A-Za-z0-9_-]{16,}(?=[/\s\"'<>]|\Z)", r"\1<redacted>", text)
 
 
-def ask(requests: DataFrame, provider: Provider, fan_out: int | None = None) -> DataFrame:
-    """``requests`` with the provider's fields and ``error``, one call for each row.
+AnswerOne = Callable[[Loop, dict], Awaitable[dict]]
 
-    ``fan_out`` partitions bound how many calls run at once.  A lost task is run again, so write the
-    answers to a ledger and ask only for what is pending there.
-    """
-    rows = requests.repartition(fan_out) if fan_out else requests
+
+def _answered(rows: DataFrame, provider: Provider, at_once: int, one: Callable[[], AnswerOne]) -> DataFrame:
+    """``rows`` with what ``one()``, made once in each task, answers to each; ``at_once`` calls of a task run at a time."""
     whole = StructType(rows.schema.fields + StructType.fromDDL(provider.fields).fields).add("error", StringType())
     arrow = to_arrow_schema(whole)
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for request in batch.to_pylist():
-                row = {**dict.fromkeys(arrow.names), **request, **provider.answer(request)}
-                yield pa.RecordBatch.from_pylist([row], schema=arrow)
+        requests = (r for b in batches for i in range(0, b.num_rows, at_once) for r in b.slice(i, at_once).to_pylist())
+        for group in in_order(requests, one(), at_once):
+            yield pa.RecordBatch.from_pylist([{**dict.fromkeys(arrow.names), **request, **answer} for request, answer in group], schema=arrow)
 
     return rows.mapInArrow(answered, whole)
 
 
+def ask(requests: DataFrame, provider: Provider, fan_out: int | None = None, at_once: int = 1) -> DataFrame:
+    """``requests`` with the provider's fields and ``error``, one call for each row.
+
+    ``fan_out`` partitions with ``at_once`` calls each bound how many run at a time; rows keep their order.  A lost
+    task is run again, so write the answers to a ledger and ask only for what is pending there.
+    """
+    return _answered(requests.repartition(fan_out) if fan_out else requests, provider, at_once, lambda: provider.answer)
+
+
 def recorded(requests: DataFrame, answers: DataFrame, key: str) -> DataFrame:
     """``requests`` with recorded answers; one that was not recorded is an error."""
     known = answers.withColumn("_known", F.lit(True))
@@ -191,16 +208,16 @@ Service = Callable[[DataFrame], DataFrame]
 STATIC_SECONDS, RENDERED_SECONDS = 20, 60  # fixed values: how long a fetch may take
 
 
-def asking(provider: Provider, fan_out: int | None = None) -> Service:
+def asking(provider: Provider, fan_out: int | None = None, at_once: int = 1) -> Service:
     """A provider as a service over tables."""
-    return lambda requests: ask(requests, provider, fan_out)
+    return lambda requests: ask(requests, provider, fan_out, at_once)
 
 
-def fetching(provider: Provider, rendered: bool = False, fan_out: int | None = None) -> Service:
+def fetching(provider: Provider, rendered: bool = False, fan_out: int | None = None, at_once: int = 8) -> Service:
     """A service over a table of urls that asks for https addresses with a mode and a time limit; adds html and error."""
     def fetch(requests: DataFrame) -> DataFrame:
         asked = requests.withColumns({"fetch_url": F.regexp_replace("url", "^http://", "https://"), "mode": F.lit("rendered" if rendered else "static"), "seconds": F.lit(RENDERED_SECONDS if rendered else STATIC_SECONDS)})
-        return ask(asked, provider, fan_out).drop("fetch_url", "mode", "seconds")
+        return ask(asked, provider, fan_out, at_once).drop("fetch_url", "mode", "seconds")
 
     return fetch
 
@@ -250,24 +267,38 @@ def looked_up(targets: DataFrame, *sources: DataFrame) -> DataFrame:
     return found.select("domain", F.col("priority").cast("int").alias("priority"), F.when(F.col("exchange") != "", F.col("exchange")).alias("exchange"), "rcode").unionByName(failed)
 
 
-def ask_within(requests: DataFrame, provider: Provider, key: str, order: str, seconds: float, clock: Callable[[], float] = time.monotonic) -> DataFrame:
+def ask_within(requests: DataFrame, provider: Provider, key: str, order: str, seconds: float, clock: Callable[[], float] = time.monotonic, at_once: int = 1) -> DataFrame:
     """As ``ask``, but the calls of one key, in their order, share a time limit: once it is up the rest are errors and nothing is asked.
 
-    What was answered before stays, so a slow site keeps its partial results.
+    What was answered before stays, so a slow site keeps its partial results.  ``at_once`` keys of a task are served at a
+    time, the calls of each one after another.
     """
-    rows = requests.repartition(key).sortWithinPartitions(key, order)
-    whole = StructType(rows.schema.fields + StructType.fromDDL(provider.fields).fields).add("error", StringType())
-    arrow = to_arrow_schema(whole)
-
-    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, spent = None, 0.0
-        for batch in batches:
-            for request in batch.to_pylist():
-                if request[key] != now:
-                    now, spent = request[key], 0.0
-                began = clock()
-                answer = provider.answer(request) if spent < seconds else {"error": "over the time limit"}
-                spent += clock() - began
-                yield pa.RecordBatch.from_pylist([{**dict.fromkeys(arrow.names), **request, **answer}], schema=arrow)
-
-    return rows.mapInArrow(answered, whole)
+    def one() -> AnswerOne:
+        chain: dict = {"key": None, "last": None, "spent": None}
+
+        def begin(loop: Loop, request: dict) -> Awaitable[dict]:
+            # Requests come in order, so the one before is of the same key or ends another's turn.
+            if chain["last"] is None or request[key] != chain["key"]:
+                chain.update(key=request[key], last=None, spent=[0.0])
+            before, spent, done = chain["last"], chain["spent"], asyncio.Event()
+            chain["last"] = done
+
+            async def turn() -> dict:
+                try:
+                    if before is not None:
+                        await before.wait()
+                    if spent[0] >= seconds:
+                        return {"error": "over the time limit"}
+                    async with loop.free:  # time spent waiting for a place isn't the site's
+                        began = clock()
+                        answer = await provider.answer(loop, request, nullcontext())
+                        spent[0] += clock() - began
+                    return answer
+                finally:
+                    done.set()
+
+            return turn()
+
+        return begin
+
+    return _answered(requests.repartition(key).sortWithinPartitions(key, order), provider, at_once, one)
