@@ -11,13 +11,12 @@ from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructT
 
 from ..functions.provenance import redact
 from ..operators.ledger import latest_per_key
-from . import quoted
+from . import commits, quoted
 from .shared import exists
 
 MASTER = ("company", "domain", "website", "name", "title", "email", "email_source_url", "updated_at")
 STORE = "domain string, pattern string, confidence string, source string, evidence array<string>"
 SEQUENCE = "struct<run:long,written:timestamp,file:string,split:long,at:long>"
-POINTER = "at long, version string"
 PATTERN = "struct<pattern:string,confidence:string,source:string,evidence:array<string>>"
 
 
@@ -134,20 +133,26 @@ def write_patterns(store: DataFrame, path: str) -> None:
     store.write.mode("overwrite").json(path)
 
 
-def write_versioned(df: DataFrame, path: str, version: str) -> str:
-    """Write a whole table beside its older versions, then point to it; readers never see half of one.
+def write_versioned(df: DataFrame, path: str, version: str, after: commits.Commit | None = None) -> str:
+    """Write a whole table beside its older versions, then commit it; readers never see half of one.
 
-    Pointers are only ever added, and the latest counts, so a reader finds the old table or the new one at any time.
+    ``after`` is the commit that the writer read, from ``commits.latest``; where it isn't given, the last one when writing begins.
+    If somebody else has committed meanwhile, or a version of this name is there, this is a Conflict and nothing changes.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}/{version}")
-    spark.createDataFrame([(time.time_ns(), version)], POINTER).coalesce(1).write.mode("append").json(f"{path}/_pointers")
+    at = after or commits.latest(spark, path)
+    if exists(spark, f"{path}/{version}"):
+        raise commits.Conflict(f"{path} has a version {version} already")
+    df.write.parquet(f"{path}/{version}")
+    commits.add(spark, path, at, {"version": version})
     return f"{path}/{version}"
 
 
 def read_versioned(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.schema(POINTER).json(f"{path}/_pointers").agg(F.max_by("version", "at").alias("version")).first()["version"]
-    return spark.read.parquet(f"{path}/{version}")
+    at = commits.latest(spark, path)
+    if at is None:
+        raise FileNotFoundError(f"nothing is committed at {path}")
+    return spark.read.parquet(f"{path}/{at.content['version']}")
 
 
 def context(df: DataFrame, website_key: Column, specialty: str, suburb: str, state: str, order: str) -> DataFrame:

@@ -79,14 +79,14 @@ def test_time_limits_and_retries():
 
 def test_rows_keep_their_order_in_a_task(spark):
     async def slow(request):
-        await asyncio.sleep(0.05)
+        await asyncio.sleep(0.1)
         return {"answer": request["k"] * 2}
 
-    rows = spark.range(100).withColumnRenamed("id", "k").coalesce(1)
+    rows = spark.range(200).withColumnRenamed("id", "k").coalesce(1)
     began = time.perf_counter()
     told = providers.ask(rows, providers.Provider("test", slow, "answer long"), at_once=40).collect()
-    assert [(r.k, r.answer, r.error) for r in told] == [(k, 2 * k, None) for k in range(100)]
-    assert time.perf_counter() - began < 5  # a hundred calls of 50 ms
+    assert [(r.k, r.answer, r.error) for r in told] == [(k, 2 * k, None) for k in range(200)]
+    assert time.perf_counter() - began < 12  # two hundred calls of 100 ms
 
 
 def test_sites_share_a_task_but_not_their_time(spark):
@@ -100,4 +100,4 @@ def test_sites_share_a_task_but_not_their_time(spark):
     told = providers.ask_within(rows, providers.Provider("test", call, "answer int"), "site", "pos", 0.3, at_once=16).collect()
     late = {(r.site, r.pos) for r in told if r.error == "over the time limit"}
     assert late == {(f"s{s}", p) for s in range(8) for p in (3, 4)} and all(r.answer == r.pos for r in told if r.error is None)
-    assert time.perf_counter() - began < 8
+    assert time.perf_counter() - began < 12
