@@ -98,13 +98,17 @@ def _without_secrets(column: Column, kind: DataType, name: str, secrets: tuple[s
     return redact(column, secrets) if isinstance(kind, StringType) and name in ("error", "message") else column
 
 
+def without_secrets(df: DataFrame, secrets: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` without the columns that place a ledger's records, and without credentials in ``error`` and ``message`` fields at any depth."""
+    return df.select(*[_without_secrets(F.col(f"`{f.name}`"), f.dataType, f.name, secrets).alias(f.name) for f in df.schema.fields if f.name not in ("_run", "_at")])
+
+
 def append_ledger(df: DataFrame, path: str, secrets: tuple[str, ...] = ()) -> None:
     """Append records as one run; ``error`` and ``message`` fields at any depth lose credentials, everything else stays as it is.
 
     Every record gets the run's number, the time in nanoseconds, and its place in ``df``; columns named _run or _at are replaced.
     """
-    kept = [_without_secrets(F.col(f"`{f.name}`"), f.dataType, f.name, secrets).alias(f.name) for f in df.schema.fields if f.name not in ("_run", "_at")]
-    df.select(*kept, F.lit(time.time_ns()).alias("_run"), F.monotonically_increasing_id().alias("_at")).write.mode("append").json(path)
+    without_secrets(df, secrets).select("*", F.lit(time.time_ns()).alias("_run"), F.monotonically_increasing_id().alias("_at")).write.mode("append").json(path)
 
 
 def read_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
