@@ -5,8 +5,8 @@ so a frequent term's list is several parts and a list's head stands at their sta
 question can tell apart, because they have the same length and the same asked terms, are one entry.
 
 A batch of questions then takes three passes.  The heads of its lists give each question a lower bound of its k-th
-score.  The bound gives a threshold, one for all lists of the question, under which an entry that is in none of
-the fetched parts can't reach the bound; postings from the threshold on go to blocks of entries, which sum them, bound
+score.  A fraction of the bound gives a threshold, one for all lists of the question, under which an entry that is in none of
+the fetched parts can't reach that fraction; postings from the threshold on go to blocks of entries, which sum them, bound
 what is missing from above and keep what may still be among the best.  These candidates' exact
 scores are then looked up in all lists.
 """
@@ -30,6 +30,7 @@ from .scratch import write_table
 
 BLOCK_BITS = 14  # entries that are summed together
 SMALL = 1_000_000  # rows of a table that is sent to every task; a larger one is joined by exchange
+SLACK = 16  # what no fetched part holds of an entry is no more than one in so many of the bound
 PAIRS_AT_ONCE = 100_000  # (question, term) pairs of a batch, 24 bytes each in every task
 
 _ENTRIES = "row long, doc_id long, n long, alike binary, terms array<string>, times array<int>"
@@ -173,7 +174,7 @@ def _answers(index: Index, pairs: DataFrame, k: int, depth: int) -> DataFrame:
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(q)) + 1, [len(q)]]) if len(q) else np.zeros(1, np.int64)
     limit = np.empty(len(q), np.int64)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        limit[a:b] = max(0, level(weight[a:b] * best[a:b], bound.get(int(q[a]), 0)))
+        limit[a:b] = max(0, level(weight[a:b] * best[a:b], bound.get(int(q[a]), 0) // SLACK))
     least = limit // weight + 1
     order = np.argsort(term, kind="stable")
     listed, first = np.unique(term[order], return_index=True)
