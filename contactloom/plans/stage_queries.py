@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import domains, ledger, models, patterns, people, stages
+from ..operators import domains, frontier, ledger, models, patterns, people, stages
 from ..sources import files, providers
 from ..sources.shared import new_folder
 from .page_queries import HOST, KEY, PATH, QUERY, SCHEME
@@ -153,3 +153,41 @@ def company_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_companies(outcomes.select("domain", "people"), path)
     files.write_companies(outcomes.where("c_nationkey % 2 = 0").select("domain", F.lit(-1).alias("people")), path)
     return spark.read.schema("domain string, people long").json(path).select("domain", "people")
+
+
+def _explorer(request: dict) -> dict:
+    """The next wish by rule: a page without text is rendered at once, else the first known link that was not visited, in the order in which links were seen."""
+    last, tried = request["history"][-1], {h["url"] for h in request["history"]}
+    if last["error"] is None and last["mode"] == "none" and not last["chars"]:
+        return {"tool": "visit", "url": last["url"], "mode": "render", "selector": None}
+    ahead = [x["url"] for h in request["history"] for x in h["links"] or [] if x["url"] not in tried]
+    return {"tool": "visit" if ahead else "done", "url": ahead[0] if ahead else None, "mode": "none", "selector": None}
+
+
+@query(f"""WITH RECURSIVE held AS (SELECT {KEY} AS key, page_id, row_number() OVER (PARTITION BY {KEY} ORDER BY page_id) - 1 AS r, count(*) OVER (PARTITION BY {KEY}) AS n, length(html) % 4 = 0 AS thin FROM (SELECT page_id, replace(url, 'example', 'clinic') AS url, html FROM pages)),
+site AS (SELECT key, r, page_id % 7 = 3 AS fails, thin, list_filter([2 * r + 1, 2 * r + 2], lambda x: x < n) AS kids FROM held),
+walk AS (SELECT key, 1 AS step, 0::BIGINT AS r, 'none' AS mode, [0::BIGINT] AS tried, []::BIGINT[] AS links FROM site WHERE r = 0 UNION ALL
+  SELECT key, step + 1, CASE WHEN again THEN r ELSE ahead END, CASE WHEN again THEN 'render' ELSE 'none' END, CASE WHEN again THEN tried ELSE list_append(tried, ahead) END, seen FROM (
+    SELECT *, list_filter(seen, lambda x: NOT list_contains(tried, x))[1] AS ahead FROM (
+      SELECT w.*, mode = 'none' AND thin AND NOT fails AS again, list_concat(links, CASE WHEN fails OR mode = 'none' AND thin THEN [] ELSE kids END) AS seen FROM walk w JOIN site USING (key, r))) WHERE step < 16 AND (again OR ahead IS NOT NULL))
+SELECT key, step, 'https://' || key || '/p' || r AS url, mode, CASE WHEN fails THEN 'HTTP 500' END AS error FROM walk JOIN site USING (key, r)""")
+def explored_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites explored by a rule, at most 16 steps each: a page links to two more, some fail, some show nothing until they are rendered."""
+    pages = table(spark, sf_dir, "pages")
+    key = providers.urls.site_key(F.replace("url", F.lit("example"), F.lit("clinic")))
+    placed = ledger.numbered_within(pages.select(key.alias("key"), "page_id", (F.length("html") % 4 == 0).alias("thin")), "key", "page_id")
+    counts = placed.groupBy("key").agg(F.count("*").alias("n"))
+    page = lambda r: F.concat(F.lit("https://"), "key", F.lit("/p"), r.cast("string"))
+    link = lambda r: F.when(r < F.col("n"), F.concat(F.lit('<a href="'), page(r), F.lit('">page</a>'))).otherwise("")
+    r = F.col("r")
+    shown = F.concat(F.lit("<body>"), link(2 * r + 1), link(2 * r + 2), F.lit("<p>text</p></body>"))
+    recorded = placed.join(counts, "key").select("key", page(r).alias("url"), "thin", F.when(F.col("page_id") % 7 != 3, shown).alias("full"), F.when(F.col("page_id") % 7 == 3, "HTTP 500").alias("error"))
+
+    def fetch(asked: DataFrame) -> DataFrame:
+        html = F.when(F.col("thin") & (F.col("mode") == "none") & F.col("full").isNotNull(), "<body></body>").otherwise(F.col("full"))
+        return asked.join(recorded, ["key", "url"], "left").select(*asked.columns, html.alias("html"), "error")
+
+    sites = counts.select("key", page(F.lit(0)).alias("original"))
+    model = providers.asking(providers.Provider("rule", _explorer, "tool string, url string, mode string, selector string"), at_once=8)
+    found = frontier.explore(sites, fetch, model, new_folder(spark, "exploration"))
+    return found.answers.select("key", "step", "url", "mode", "error")
