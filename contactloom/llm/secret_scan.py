@@ -234,26 +234,33 @@ class Scanner:
         self.rules, self.arrays = rules, arrays or compiled(rules)
         (self.step, self.accepts), self.each = self.arrays
         self.first = 256 * next(k for k, a in enumerate(self.accepts) if a)
-
-    def starts(self, data: bytes) -> list[tuple[int, int]]:
-        """(place, bitmask of the rules with a match that starts there), ascending: one pass over the bytes through one array."""
-        step, first, accepts, last, state, found = self.step, self.first, self.accepts, len(data) - 1, 0, []
+        self.sets = list(dict.fromkeys([0, *self.accepts]))  # sets of rules that matches of one place can belong to, as bitmasks
+        if len(self.sets) > 256:
+            raise ValueError("these rules start together in more than 255 ways; scan for them in two parts")
+        self.set_of = [self.sets.index(a) for a in self.accepts]
+        self.starts_of = [bytes(n < len(self.sets) and self.sets[n] >> k & 1 for n in range(256)) for k in range(len(self.rules))]
+
+    def starts(self, data: bytes) -> bytearray:
+        """A byte for each place: 0, or the number of the set of rules with a match that starts there; one pass over the bytes through one array.
+
+        Empty where nothing matches.  A byte a place is all that a text takes, however many matches may start in it.
+        """
+        step, first, of, last, state, marks = self.step, self.first, self.set_of, len(data) - 1, 0, bytearray()
         for i, b in enumerate(reversed(data)):
             state = step[state + b]
             if state >= first:
-                found.append((last - i, accepts[state >> 8]))
-        found.reverse()
-        return found
+                if not marks:
+                    marks = bytearray(len(data))
+                marks[last - i] = of[state >> 8]
+        return marks
 
-    def _rule_spans(self, k: int, starts: list[int], data: bytes) -> list[tuple[int, int]]:
-        """Byte spans of a rule: leftmost, longest, not overlapping; too short ones are then left out."""
+    def _rule_spans(self, k: int, starts: bytes, data: bytes) -> list[tuple[int, int]]:
+        """Byte spans of a rule whose matches start where ``starts`` isn't 0: leftmost, longest, not overlapping; too short ones are then left out."""
         step, accepts = self.each[k]
         tail, least = self.rules[k].tail, self.rules[k].least
         out, after, n = [], 0, len(data)
-        for at in starts:
-            if at < after:
-                continue
-            state, i = 256, at
+        while (at := starts.find(1, after)) >= 0:
+            state, i, after = 256, at, at + 1
             while i < n and (state := step[state + data[i]]):
                 i += 1
                 if accepts[state >> 8]:
@@ -276,7 +283,11 @@ class Scanner:
         starts = self.starts(data)
         if not starts:
             return []
-        hits = [(a, k, b) for k in range(len(self.rules)) for a, b in self._rule_spans(k, [at for at, rules in starts if rules >> k & 1], data)]
+        seen = [m for n, m in enumerate(self.sets) if n and n in starts]
+        hits = []
+        for k in range(len(self.rules)):
+            if any(m >> k & 1 for m in seen):
+                hits += [(a, k, b) for a, b in self._rule_spans(k, starts.translate(self.starts_of[k]), data)]
         out, byte, point = [], 0, 0
         for a, k, b in sorted(hits):
             point += len(data[byte:a].decode())
