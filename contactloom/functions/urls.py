@@ -76,10 +76,21 @@ def resolve(link: Column, base: Column) -> Column:
         .when(F.startswith(link, F.lit("?")), F.concat(F.lower(_part(base, 1)), F.lit("://"), host_of(base), _part(base, 3), path_of(base), link))
         .otherwise(F.concat(folder, link))
     )
-    plain = without_fragment(full)
-    for _ in range(3):  # "a/../" and "./" steps
-        plain = F.regexp_replace(F.regexp_replace(plain, r"(?<!/)/\./", "/"), r"(?<![:/])/(?!\.\./)[^/?#]+/\.\./", "/")
-    return plain
+    return without_dots(without_fragment(full))
+
+
+def without_dots(url: Column) -> Column:
+    """A URL whose path has no "." and ".." steps, however many there were; a step above the root stays there."""
+    parts = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)/([^?#]*)(.*)\z"
+    steps = F.split(F.regexp_extract(url, parts, 2), "/")
+    back, stay = (lambda s: F.lower(s).isin("..", ".%2e", "%2e.", "%2e%2e")), (lambda s: F.lower(s).isin(".", "%2e"))
+    walk = lambda done, s: F.when(back(s), F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(stay(s), done).otherwise(F.array_append(done, s))
+    kept = F.aggregate(steps, F.array().cast("array<string>"), walk)
+    last = F.element_at(steps, -1)
+    # A path that ends in such a step is a folder.
+    ended = F.when(back(last) | stay(last), F.array_append(kept, F.lit(""))).otherwise(kept)
+    plain = F.concat(F.regexp_extract(url, parts, 1), F.lit("/"), F.array_join(ended, "/"), F.regexp_extract(url, parts, 3))
+    return F.when(url.rlike(r"(?i)^[^?#]*/(\.|%2e){1,2}(/|\?|\z)"), plain).otherwise(url)
 
 
 def same_site(host: Column, key: Column) -> Column:

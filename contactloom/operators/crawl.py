@@ -88,15 +88,19 @@ def shortlist(candidates: Column, min_score: int = 85, most: int = 5) -> Column:
 def under_prefixes(pages: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Rows of ``pages`` (key, url) below one of the site's path prefixes and not that page itself.
 
-    ``prefixes`` (key, prefix) are normalised and gathered by site, so a page meets one short array and
-    no pair of page and prefix is made.
+    ``prefixes`` (key, prefix) are normalised, slashes at both ends; a page's path is cut at each of its slashes, and these
+    few folders meet the prefixes in a join by equality, so a site may have any number of either.
     """
-    lists = prefixes.select("key", urls.normalize_prefix(F.col("prefix")).alias("p")).where("p != ''").groupBy("key").agg(F.collect_set("p").alias("_prefixes"))
+    known = prefixes.select("key", urls.normalize_prefix(F.col("prefix")).alias("_folder")).where("_folder != ''").distinct()
     path = F.lower(urls.path_of(F.col("url")))
-    # Paths are worked out before the join, as fields that the optimiser can't put back into the test.
-    placed = with_fields(pages, F.struct(path.alias("_path"), F.regexp_replace(path, r"/+\z", "").alias("_bare")))
-    below = F.exists("_prefixes", lambda p: F.startswith(F.col("_path"), p) & (F.col("_bare") != F.regexp_replace(p, r"/+\z", "")))
-    return placed.join(lists, "key").where(below).drop("_prefixes", "_path", "_bare")
+    bare = F.regexp_replace(path, r"/+\z", "")
+    parts = F.split(path, "/")
+    cut = F.when(F.size(parts) > 2, F.sequence(F.lit(2), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
+    # What a page's own path is without its last slashes is the page itself.
+    above = F.transform(cut, lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
+    folders = F.filter(above, lambda f: F.regexp_replace(f, r"/+\z", "") != bare)
+    placed = pages.select("key", "url").distinct().select("key", "url", F.explode(folders).alias("_folder"))
+    return pages.join(placed.join(known, ["key", "_folder"], "left_semi").select("key", "url").distinct(), ["key", "url"], "left_semi")
 
 
 def contact_pages(links: Column, origin: Column, most: int = 2) -> Column:

@@ -65,14 +65,14 @@ def stride_sample(df: DataFrame, order: str, size: int) -> DataFrame:
 BLOCK_ROWS = 500_000
 
 
-def numbered_within(df: DataFrame, group: str, order: str, name: str = "r") -> DataFrame:
+def numbered_within(df: DataFrame, group: str, *order: str | Column, name: str = "r") -> DataFrame:
     """``df`` with each row's number from 0 in its group, in the order of ``order`` and then of the row.
 
     Rows are laid out by ranges of (group, order), not by group, so a group with a third of all rows is many ranges; a
     range's first number in a group is the sum of the group's rows in the ranges before.
     """
-    ties = [c for c, kind in df.dtypes if c not in (group, order) and "map<" not in kind and "variant" not in kind]
-    laid = df.repartitionByRange(group, order, *ties).sortWithinPartitions(group, order, *ties)
+    ties = [c for c, kind in df.dtypes if c != group and "map<" not in kind and "variant" not in kind]
+    laid = df.repartitionByRange(group, *order, *ties).sortWithinPartitions(group, *order, *ties)
     placed = keep(laid.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_spot")), "numbered")
     counts = placed.groupBy(group, "_range").agg(F.count("*").alias("_n"), F.min("_spot").alias("_first"))
     # One row for each range of a group.
@@ -82,6 +82,11 @@ def numbered_within(df: DataFrame, group: str, order: str, name: str = "r") -> D
     return joined.select(*df.columns, (F.col("_spot") + F.col("_shift")).alias(name))
 
 
+def numbered(df: DataFrame, order: str, name: str = "n") -> DataFrame:
+    """``df`` with each row's number from 0 in the order of a column of any kind, worked out by ranges."""
+    return numbered_within(df.withColumn("_all", F.lit(0)), "_all", order, name=name).drop("_all")
+
+
 def _numbered(df: DataFrame, order: str) -> DataFrame:
     """Rows with ``_n``, their number from 0 in the order of a column of any kind, and ``_total``: ranges of bounded size, then the ranges' starts."""
     total = df.count()

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import markup, urls
+from ..functions.names import person_key
 from ..sources.providers import Provider, ask, json_answer
 from ..sources.shared import keep
 from .crawl import ranked_candidates, under_prefixes
+from .ledger import numbered_within
 from .patterns import proof_gate
 from .people import dedupe_people
 
@@ -48,41 +50,60 @@ def extract_people(pages: DataFrame, model: Provider, fan_out: int | None = 6, s
     return said.where("trim(p.name) != ''").select("domain", "p.name", "p.title", F.lower(F.trim("p.email")).alias("email"), F.col("url").alias("source_url"), (F.col("pos").cast("long") * (1 << 24) + F.col("chunk") * (1 << 16) + F.col("at")).alias("pos"))
 
 
-def organise_people(raw: DataFrame, model: Provider | None = None, most: int = 250) -> DataFrame:
-    """People merged by code; a model that drops what is no person sees only sites of at most ``most`` people.
+def organise_people(raw: DataFrame, model: Provider | None = None, most: int = 250, at_once: int = 4) -> DataFrame:
+    """(domain, person_key, name, title, email, source_url, place): people merged by code, then by a model at sites of at most ``most``.
 
-    The model takes domain and prompt (names, one a line) and answers with the names to keep; addresses
-    and sources are never taken from it.
+    The model takes domain and prompt, a person a line as "name | title | email", and answers with the people that it
+    merged, leaders first; ``place`` is their place in its answer.  It never sees or gives a page: that is found again by the
+    person's key, and is null where the model renamed someone past recognition.  Larger sites, and those without
+    a usable answer, keep the people that code merged, without a place.
     """
-    merged = dedupe_people(raw)
+    merged = dedupe_people(raw).withColumn("place", F.lit(None).cast("int"))
     if model is None:
         return merged
     counted = merged.groupBy("domain").agg(F.count("*").alias("_n"))
     small = merged.join(counted.where(F.col("_n") <= most).select("domain"), "domain", "left_semi")
-    prompts = small.groupBy("domain").agg(F.array_join(F.sort_array(F.collect_list("name")), "\n").alias("prompt"))
-    said = keep(ask(prompts, model), "organised").withColumn("a", json_answer(F.col("answer"), "keep array<string>"))
-    answered = said.where("a.keep is not null").select("domain")
-    kept = said.select("domain", F.explode("a.keep").alias("name")).distinct()
-    unasked = merged.join(answered, "domain", "left_anti")
-    return merged.join(kept, ["domain", "name"], "left_semi").unionByName(unasked)
+    line = F.concat_ws(" | ", "name", F.coalesce("title", F.lit("")), F.coalesce("email", F.lit("")))
+    lines = F.array_sort(F.collect_list(F.struct("name", line.alias("line"))))  # at most ``most``
+    prompts = small.groupBy("domain").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("prompt"))
+    said = keep(ask(prompts, model, at_once=at_once), "organised").withColumn("a", json_answer(F.col("answer"), PEOPLE)["people"]).where("a is not null")
+    told = said.select("domain", F.posexplode("a").alias("place", "p")).where("trim(coalesce(p.name, '')) != ''")
+    filled = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    named = told.select("domain", F.trim("p.name").alias("name"), filled("p.title").alias("title"), F.lower(filled("p.email")).alias("email"), "place").withColumn("person_key", person_key(F.col("name")))
+    pages = merged.select("domain", "person_key", "source_url")
+    kept = named.join(pages, ["domain", "person_key"], "left").select(*merged.columns)
+    return kept.unionByName(merged.join(said.select("domain"), "domain", "left_anti"))
 
 
 def by_name(people: DataFrame, most: int = 250) -> DataFrame:
-    """``people`` with ``rank``: from 1 in the order of names at sites of over ``most`` people, which no model sees; null elsewhere."""
-    site = Window.partitionBy("domain")
-    rank = F.row_number().over(site.orderBy(F.collate("name", "UNICODE"), "name", "person_key"))
-    return people.withColumn("rank", F.when(F.count("*").over(site) > most, rank))
+    """``people`` with ``rank``: from 1 in the order of names at sites of over ``most`` people, which no model sees; null elsewhere.
 
+    Sites are numbered by ranges of names, so one with a third of all people is no task of its own.
+    """
+    counts = people.groupBy("domain").agg(F.count("*").alias("_people"))
+    placed = numbered_within(people, "domain", F.collate("name", "UNICODE"), "name", "person_key", name="rank").join(counts, "domain")
+    return placed.withColumn("rank", F.when(F.col("_people") > most, F.col("rank") + 1).cast("int")).drop("_people")
+
+
+def first_of_group(df: DataFrame, group: str, value: str, order: str, n: int) -> DataFrame:
+    """(group, value, order): the first ``n`` different rows of each group; a task sends no more than that of a group."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(order, value))
+    return df.select(group, value, order).distinct().withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
-def judge_patterns(unlearned: DataFrame, people: DataFrame, evidence: DataFrame, model: Provider, names: int = 25, emails: int = 12) -> DataFrame:
+
+def judge_patterns(unlearned: DataFrame, people: DataFrame, evidence: DataFrame, model: Provider, names: int = 25, emails: int = 12, at_once: int = 8) -> DataFrame:
     """(domain, pattern, source): formats that a model proposes and that reproduce a published address.
 
-    ``unlearned`` (domain).  The prompt holds at most ``names`` names and ``emails`` addresses; without
+    ``unlearned`` (domain).  The prompt holds at most ``names`` names and ``emails`` addresses, and no more are gathered; without
     the proof a proposal is dropped.
     """
-    some = lambda df, c, n: df.join(unlearned, "domain", "left_semi").groupBy("domain").agg(F.array_join(F.slice(F.transform(F.array_sort(F.collect_set(F.struct("pos", c))), lambda x: x[c]), 1, n), "\n").alias(c))
+    def some(df: DataFrame, value: str, n: int) -> DataFrame:
+        first = first_of_group(df.join(unlearned, "domain", "left_semi"), "domain", value, "pos", n)
+        lines = F.transform(F.array_sort(F.collect_list(F.struct("pos", value))), lambda x: x[value])
+        return first.groupBy("domain").agg(F.array_join(lines, "\n").alias(value))
+
     prompts = some(people, "name", names).join(some(evidence, "email", emails), "domain").select("domain", F.concat_ws("\n\n", "name", "email").alias("prompt"))
-    said = ask(prompts, model).select("domain", json_answer(F.col("answer"), "pattern string")["pattern"].alias("pattern")).where("pattern is not null")
+    said = keep(ask(prompts, model, at_once=at_once), "judged").select("domain", json_answer(F.col("answer"), "pattern string")["pattern"].alias("pattern")).where("pattern is not null")
     return proof_gate(said, people, evidence)
 
 

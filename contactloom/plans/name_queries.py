@@ -124,9 +124,13 @@ def template_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", "template", names.build_email(F.when(F.col("template").contains("{"), F.col("template")), names.name_tokens(F.col("p_name"), True), F.col("company_domain")).alias("email"))
 
 
-@query("SELECT p AS pattern, r AS rank, t AS template FROM (VALUES " + ", ".join(
-    f"('{p}', {i}, '" + p.replace("first", "[A]").replace("last", "[B]").replace("fi", "{fi}").replace("li", "{li}").replace("[A]", "{first}").replace("[B]", "{last}") + "')" for i, p in enumerate(names.PATTERNS)) + ") v(p, r, t)")
+_TEMPLATE_OF = ", ".join(f"({i}, '{p}', '" + p.replace("first", "[A]").replace("last", "[B]").replace("fi", "{fi}").replace("li", "{li}").replace("[A]", "{first}").replace("[B]", "{last}") + "')" for i, p in enumerate(names.PATTERNS))
+
+
+@query(f"""SELECT p_partkey, pattern, template, p_partkey % 3 <> 0 AS usable FROM part JOIN (VALUES {_TEMPLATE_OF}) v(i, pattern, template) ON p_partkey % {len(names.PATTERNS)} = i""")
 def canonical_to_template(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every canonical pattern as a template, in rank order."""
-    listed = spark.range(1).select(F.posexplode(F.array(*map(F.lit, names.PATTERNS))).alias("rank", "pattern"))
-    return listed.select("pattern", "rank", names.template_of(F.col("pattern")).alias("template"))
+    """A canonical pattern for every part, as a template; a third of them get a character that no template may have."""
+    pattern = F.get(F.array(*map(F.lit, names.PATTERNS)), (F.col("p_partkey") % len(names.PATTERNS)).cast("int"))
+    rows = table(spark, sf_dir, "part", "p_partkey").withColumn("pattern", pattern).withColumn("template", names.template_of(F.col("pattern")))
+    marred = F.when(F.col("p_partkey") % 3 == 0, F.concat("template", F.lit("!"))).otherwise(F.col("template"))
+    return rows.select("p_partkey", "pattern", "template", names.is_template(marred).alias("usable"))

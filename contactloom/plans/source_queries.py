@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import asyncio
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import crawl, harvest
-from ..sources import files, providers
+from ..operators.ledger import numbered, numbered_within
+from ..sources import files, ledger_source, providers
 from ..sources.shared import bytes_of, new_folder
+from ..streaming import resume
 from .page_queries import ADDRESSES_SQL, KEY, _csv_sql, _decoded_sql, _squeezed_sql, _text_sql
 from .registry import query, table
 
@@ -35,7 +37,33 @@ def ledger_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run in range(3):
         files.append_ledger(rows.where(F.col("event_id") % 3 == run).orderBy("event_id"), path)
     read = files.read_ledger(spark, path, "domain long, event_id long, error string, company string")
-    return read.withColumn("seq", F.row_number().over(Window.orderBy("_seq")).cast("long")).drop("_seq")
+    return numbered(read, "_seq", "seq").withColumn("seq", F.col("seq") + 1).drop("_seq")
+
+
+@query("""WITH runs AS (SELECT user_id AS domain, event_id, event_type, event_id % 3 + 1 AS run, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) - 1 AS place FROM events WHERE event_id % 3 <> 2 OR event_id % 2 = 0)
+SELECT domain, event_id, CASE WHEN event_type = 'error' THEN 'key <redacted> refused' END AS error, run, place FROM runs WHERE run >= 2""")
+def ledger_source_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended to a ledger in three runs by its data source and read from the second run on; the filter on runs leaves the first run's files out."""
+    e, path = F.col("event_id"), new_folder(spark, "ledger-source")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("domain"), "event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("key sk-abcd"), e, F.lit(" refused"))).alias("error"))
+    for run in range(3):
+        ledger_source.append(rows.where((e % 3 == run) & ((e % 3 != 2) | (e % 2 == 0))).orderBy("event_id"), path)
+    read = spark.read.format("ledger").load(path).where("_run >= 2")
+    return numbered_within(read, "_run", "_at", name="place").select("domain", "event_id", "error", F.col("_run").alias("run"), "place")
+
+
+@query("SELECT user_id AS domain, event_id, event_id % 4 + 1 AS run FROM events")
+def ledger_source_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over a ledger's runs: two are there when it starts, one comes before each of two restarts on its checkpoint."""
+    path, checkpoint, out = (new_folder(spark, f"ledger-{n}") for n in ("streamed", "checkpoint", "followed"))
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("domain"), "event_id")
+    for run in range(4):
+        ledger_source.append(rows.where(F.col("event_id") % 4 == run), path)
+        if run:
+            stream = spark.readStream.format("ledger").schema(ledger_source.with_places(rows.schema)).load(path)
+            each = resume.ledger_batch(out, lambda df: df.select("domain", "event_id", F.col("_run").alias("run")))
+            stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("domain", "event_id", "run")
 
 
 @query("""WITH runs AS (SELECT user_id AS domain, event_id, event_id % 3 AS run, CASE WHEN event_type = 'error' THEN 'error' ELSE 'high' END AS confidence FROM events WHERE event_id % 3 = 0 OR user_id % (event_id % 3 + 1) = 0),

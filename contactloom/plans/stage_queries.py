@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import domains, frontier, ledger, models, patterns, people, stages
 from ..sources import files, providers
 from ..sources.shared import new_folder
+from .ledger_queries import RAW_SQL, _raw_people
 from .page_queries import HOST, KEY, PATH, QUERY, SCHEME
 from .registry import query, table
 
@@ -46,7 +47,7 @@ def recover_related(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ENTRIES_SQL = f"""{_SITES_SQL}, placed AS (SELECT {KEY} AS key, url, row_number() OVER (PARTITION BY {KEY} ORDER BY page_id) - 1 AS pos FROM clinics),
-pooled AS (SELECT key, url, pos FROM placed JOIN sites USING (key) WHERE n % 4 <> 3),
+pooled AS (SELECT key, url, pos FROM placed JOIN sites USING (key) WHERE n % 4 <> 3 AND pos < 1000),
 parts AS (SELECT key, url, pos, {HOST} AS host, {PATH} AS path, {QUERY} AS q, {SCHEME} AS scheme FROM pooled),
 usable AS (SELECT * FROM parts WHERE NOT regexp_matches(lower(path), '(^|/)(sitemap([_-][^/]*)?\\.xml(\\.gz)?|robots\\.txt)$|\\.(css|js|mjs|map|json|xml|pdf|jpe?g|png|gif|webp|svg|ico|woff2?|ttf|eot|zip|gz|mp[34]|webm|avi|mov)$')),
 each AS (SELECT key, min(pos) AS pos, arg_min(regexp_replace(url, '#.*$', ''), pos) AS url, arg_min(path, pos) AS path FROM usable GROUP BY key, regexp_replace(host, '^www\\.', ''), CASE WHEN rtrim(path, '/') = '' THEN '/' ELSE rtrim(path, '/') END, q),
@@ -61,12 +62,14 @@ def _rank(request: dict) -> dict:
 
 
 @query(f"""WITH {_ENTRIES_SQL}, c AS (SELECT key, string_agg(url, ' ' ORDER BY entry) FILTER (WHERE entry IN (1, 2, 4)) AS pages, count(*) AS listed, count(DISTINCT url) FILTER (WHERE starts_with(lower(path), '/en/') AND rtrim(lower(path), '/') <> '/en') AS n_profiles FROM numbered WHERE entry <= 800 GROUP BY 1)
-SELECT key, coalesce(pages, '') AS pages, coalesce(listed, 0)::INTEGER AS listed, coalesce(n_profiles, 0)::INTEGER AS n_profiles, CASE WHEN n % 4 = 3 THEN 0 ELSE n END::INTEGER AS mapped, CASE WHEN n % 4 = 3 THEN 'HTTP 500' END AS error FROM sites LEFT JOIN c USING (key)""")
+SELECT key, coalesce(pages, '') AS pages, coalesce(listed, 0)::INTEGER AS listed, coalesce(n_profiles, 0)::INTEGER AS n_profiles, CASE WHEN n % 4 = 3 THEN 0 ELSE least(n, 1000) END::INTEGER AS mapped, CASE WHEN n % 4 = 3 THEN 'HTTP 500' END AS error FROM sites LEFT JOIN c USING (key)""")
 def team_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of every site that may name people: its map is its pages in the table, a rule ranks them, every fourth site can't be mapped."""
     held = _clinics(spark, sf_dir).withColumn("key", providers.urls.site_key(F.col("url"))).withColumn("l", F.struct("url", F.lit(None).cast("string").alias("title")))
-    # A map service answers with at most its limit of pages for a site; here a site has that many at most.
-    maps = held.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("page_id", "l"))).alias("p")).select("key", F.transform("p", lambda p: p["l"]).alias("links"), F.when(F.size("p") % 4 == 3, "HTTP 500").alias("error"))
+    # A map service answers with at most its limit of pages for a site.
+    first = held.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("page_id"))).where(F.col("r") <= 1000)
+    listed = first.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("r", "l"))).alias("p")).select("key", F.transform("p", lambda p: p["l"]).alias("links"))
+    maps = listed.join(held.groupBy("key").agg(F.count("*").alias("n")), "key").select("key", "links", F.when(F.col("n") % 4 == 3, "HTTP 500").alias("error"))
     found = stages.team_pages(_sites(spark, sf_dir), lambda asked: providers.recorded(asked, maps, "key"), providers.Provider("rule", _rank, "answer string"))
     return found.select("key", F.array_join(F.transform("pages", lambda p: p["url"]), " ").alias("pages"), "listed", F.size("profile_pages").alias("n_profiles"), "mapped", "error")
 
@@ -191,3 +194,39 @@ def explored_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = providers.asking(providers.Provider("rule", _explorer, "tool string, url string, mode string, selector string"), at_once=8)
     found = frontier.explore(sites, fetch, model, new_folder(spark, "exploration"))
     return found.answers.select("key", "step", "url", "mode", "error")
+
+
+def _organised(request: dict) -> dict:
+    """Leaders first, then by name; some lines are no people, and some people get another name."""
+    rows = [[x.strip() for x in line.split(" | ")] for line in request["prompt"].split("\n")]
+    kept = sorted((r for r in rows if r[0].lower() >= "c"), key=lambda r: ("BRASS" not in r[1], r[0]))
+    return {"answer": json.dumps({"people": [{"name": r[0] + " Jr" if r[0].lower().rstrip("!").endswith("e") else r[0], "title": r[1], "email": r[2].upper()} for r in kept]})}
+
+
+@query(f"""WITH {RAW_SQL}, counted AS (SELECT *, trim(name) AS shown, CASE WHEN email IS NULL THEN first_url ELSE email_url END AS url, count(*) OVER (PARTITION BY domain) AS n FROM merged),
+asked AS (SELECT *, regexp_matches(lower(rtrim(shown, '!')), 'e$') AS renamed, row_number() OVER (PARTITION BY domain ORDER BY coalesce(title, '') NOT LIKE '%BRASS%', shown) - 1 AS place FROM counted WHERE n <= 250 AND lower(shown) >= 'c')
+SELECT domain, CASE WHEN renamed THEN shown || ' Jr' ELSE shown END AS name, title, email, CASE WHEN NOT renamed THEN url END AS source_url, place::INTEGER AS place FROM asked UNION ALL SELECT domain, name, title, email, url, NULL FROM counted WHERE n > 250""")
+def organised_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People of each brand merged by code, then put in order by a rule that drops and renames some; brands of over 250 people are not asked for."""
+    return models.organise_people(_raw_people(spark, sf_dir), providers.Provider("rule", _organised, "answer string")).select("domain", "name", "title", "email", "source_url", "place")
+
+
+def _judged(request: dict) -> dict:
+    """A format by the first name and how many there are; none where the prompt isn't what was promised."""
+    shown, given = (x.split("\n") for x in request["prompt"].split("\n\n"))
+    if len(shown) > 25 or len(given) > 12 or not given[0].startswith("ann."):
+        return {"answer": json.dumps({"pattern": None})}
+    return {"answer": json.dumps({"pattern": "{first}.{last}" if len(shown) == 25 or shown[0][-1] in "acegi" else "{last}"})}
+
+
+@query("""WITH p AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 'hot.test' ELSE 'n' || c_nationkey || '.test' END AS domain, c_custkey AS pos, 'x' || translate(c_custkey::VARCHAR, '0123456789', 'abcdefghij') AS last FROM customer),
+n AS (SELECT domain, count(*) AS names, right(arg_min(last, pos), 1) AS l FROM p GROUP BY 1), e AS (SELECT domain, pos, 'ann.' || last || '@' || domain AS email FROM p WHERE pos % 4 = 1)
+SELECT domain, '{first}.{last}' AS pattern, arg_min(email, pos) AS source FROM n JOIN e USING (domain) WHERE names >= 25 OR l IN ('a', 'c', 'e', 'g', 'i') GROUP BY 1""")
+def judged_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats that a rule proposes from 25 names and 12 addresses of each domain; one domain has a third of all names."""
+    k = F.col("c_custkey")
+    last = F.concat(F.lit("x"), F.translate(k.cast("string"), "0123456789", "abcdefghij"))
+    rows = table(spark, sf_dir, "customer").select(F.when(k % 3 == 0, "hot.test").otherwise(F.concat(F.lit("n"), "c_nationkey", F.lit(".test"))).alias("domain"), k.alias("pos"), last.alias("last"))
+    named = rows.select("domain", "pos", F.concat(F.lit("Ann "), "last").alias("name"))
+    given = rows.where("pos % 4 = 1").select("domain", "pos", F.concat(F.lit("ann."), "last", F.lit("@"), "domain").alias("email"))
+    return models.judge_patterns(rows.select("domain").distinct(), named, given, providers.Provider("rule", _judged, "answer string"))

@@ -162,9 +162,18 @@ def test_model_steps_with_recorded_answers(spark):
     reader = providers.Provider("read", lambda r: {"answer": '{"people": [{"name": "Ann Lee", "title": "Dr", "email": "ANN@s "}, {"name": " "}, {"name": "Nav Bar"}]}'}, "answer string")
     raw = models.extract_people(pages, reader)
     assert [(r.name, r.email, r.source_url) for r in raw.collect()] == [("Ann Lee", "ann@s", "https://s/team"), ("Nav Bar", None, "https://s/team")]
-    keeper = providers.Provider("keep", lambda r: {"answer": '{"keep": ["Ann Lee"]}'}, "answer string")
-    assert [r.name for r in models.organise_people(raw, keeper).collect()] == ["Ann Lee"]
-    assert sorted(r.name for r in models.organise_people(raw, keeper, most=1).collect()) == ["Ann Lee", "Nav Bar"]
+    more = raw.unionByName(spark.createDataFrame([("s", "A. Bo", "Head", None, "https://s/bo", 9), ("t", "Cy Dee", None, None, "https://t/", 1)], raw.schema))
+
+    def organise(request):
+        if request["domain"] == "t":
+            return {"answer": "no JSON"}
+        assert request["prompt"] == "A. Bo | Head | \nAnn Lee | Dr | ann@s\nNav Bar |  | "
+        return {"answer": '{"people": [{"name": " Ann LEE ", "title": " ", "email": "Ann@S"}, {"name": "Abe Bo", "title": "Head"}, {"name": ""}]}'}
+
+    found = {(r.domain, r.name): (r.title, r.email, r.source_url, r.place) for r in models.organise_people(more, providers.Provider("organise", organise, "answer string")).collect()}
+    assert found == {("s", "Ann LEE"): (None, "ann@s", "https://s/team", 0), ("s", "Abe Bo"): ("Head", None, None, 1), ("t", "Cy Dee"): (None, None, "https://t/", None)}
+    large = models.organise_people(more, providers.Provider("organise", organise, "answer string"), most=2)
+    assert sorted(r.name for r in large.collect()) == ["A. Bo", "Ann Lee", "Cy Dee", "Nav Bar"]
     folk = spark.createDataFrame([("s", "Ann Lee", 1)], "domain string, name string, pos long")
     proof = spark.createDataFrame([("s", "lee-a@s", 1)], "domain string, email string, pos long")
     judge = lambda t: providers.Provider("judge", lambda r: {"answer": json.dumps({"pattern": t})}, "answer string")
