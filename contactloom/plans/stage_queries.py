@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import domains, frontier, ledger, models, patterns, people, stages
+from ..operators import domains, frontier, ledger, models, patterns, people, rounds, stages
 from ..sources import files, providers
 from ..sources.shared import new_folder
 from .ledger_queries import RAW_SQL, _raw_people
@@ -230,3 +230,19 @@ def judged_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = rows.select("domain", "pos", F.concat(F.lit("Ann "), "last").alias("name"))
     given = rows.where("pos % 4 = 1").select("domain", "pos", F.concat(F.lit("ann."), "last", F.lit("@"), "domain").alias("email"))
     return models.judge_patterns(rows.select("domain").distinct(), named, given, providers.Provider("rule", _judged, "answer string"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS id, row_number() OVER (ORDER BY c_custkey) - 1 AS n, count(*) OVER () AS total FROM customer), s AS (SELECT *, greatest(1, total // 8) AS size FROM c),
+p AS (SELECT *, n // size AS round, id % 11 = 5 AS fails FROM s), again AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS m FROM p WHERE round >= 3 OR fails)
+SELECT id, 'answer ' || id AS answer, 0 AS run, round::INTEGER AS asked FROM p WHERE round < 3 AND NOT fails UNION ALL SELECT id, 'answer ' || id, 1, (m // size)::INTEGER FROM again""")
+def metered_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dear calls in rounds of an eighth of all keys: a recorded meter stops the first run after three; the second asks for what is left and for what failed."""
+    requests = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    path, size = new_folder(spark, "metered"), max(1, requests.count() // 8)
+    for run, readings in enumerate(([10.0, 50.0, 89.0, 90.0], [0.0] * 20)):
+        read = iter(readings)
+        fails = (F.col("id") % 11 == 5) & F.lit(run == 0)
+        service = lambda asked: asked.select("id", F.when(~fails, F.concat(F.lit("answer "), "id")).alias("answer"), F.lit(run).alias("run"), F.when(fails, "no luck").alias("error"))  # noqa: B023, E731
+        rounds.ask_in_rounds(requests, service, path, "id", "id", "answer string, run int", lambda: next(read), size)  # noqa: B023
+    told = files.read_ledger(spark, path, "id long, answer string, run int, error string, asked int")
+    return ledger.latest_per_key(told, "id", "_seq", F.col("error").isNotNull()).select("id", "answer", "run", "asked")

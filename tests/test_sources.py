@@ -214,3 +214,26 @@ def test_services_by_mode_and_limit(spark):
     found = providers.map_sites(spark.createDataFrame([("a", "https://a.test/")], "key string, original string"), providers.asking(maps), limit=3).first()
     assert [x.url for x in found.links] == ["https://a.test/0", "https://a.test/1", "https://a.test/2"] and found.error is None
     assert providers.models(seen) == (seen, seen) and providers.models(seen, maps) == (seen, maps)
+
+
+def test_a_meter_stops_a_run_and_the_next_goes_on(spark, tmp_path):
+    from contactloom.operators import rounds
+
+    path, log, bad = f"{tmp_path}/ledger", [], {3}
+    requests = spark.range(10).withColumnRenamed("id", "k").repartition(3)
+
+    def service(asked):
+        log.append(sorted(r.k for r in asked.collect()))
+        return asked.withColumns({"said": F.col("k") * 2, "error": F.when(F.col("k").isin(list(bad)), "no luck")})
+
+    def run(*readings, **more):
+        left = iter(readings)
+        return rounds.ask_in_rounds(requests, service, path, "k", "k", "said long", lambda: next(left), size=3, **more)
+
+    assert run(1, 2, 95) == (2, True) and log == [[0, 1, 2], [3, 4, 5]]
+    assert run(None) == (0, True) and len(log) == 2
+    bad.clear()
+    assert run(1, 1, limit=4) == (2, False) and log[2:] == [[3, 6, 7], [8]]
+    assert run(1) == (1, False) and log[4:] == [[9]] and run() == (0, False)
+    told = files.read_ledger(spark, path, "k long, said long, error string, asked int").where("error is null").collect()
+    assert sorted(r.k for r in told) == list(range(10)) and all(r.said == 2 * r.k for r in told)
