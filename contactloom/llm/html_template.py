@@ -40,6 +40,7 @@ NAMES = {
     "recommendations", "share", "sharing", "social", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "nav", "navbar", "navigation", "menu", "submenu", "breadcrumb", "breadcrumbs",
     "footer", "masthead", "topbar", "toolbar", "pagination", "pager", "login", "search", "searchbox", "skip", "disclaimer", "copyright",
 }
+COMMENTS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond"}
 MAIN = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CONTAINERS = {"address", "aside", "center", "details", "dialog", "div", "dl", "fieldset", "footer", "form", "header", "menu", "nav", "ol", "section", "table", "ul"}
@@ -56,8 +57,14 @@ class Page:
         self.content: list[list[str | int]] = [[]]  # text and child elements in order
         self.title = ""
         self._open, self._text, self._linked, self._links = [0], [], 0, 0
-        at, end = 0, len(source)
+        self._owners, self._times = [0], {"#root": 1}  # open blocks, and how often each tag is open
+        # After the last ">" no tag ends, so only a comment can begin there.
+        at, end, last = 0, len(source), source.rfind(">")
         while at < end:
+            if at > last:
+                comment = source.find("<!--", at)
+                self._add(source[at : comment if comment >= 0 else end])
+                break
             m = MARKUP.search(source, at)
             if m is None:
                 self._add(source[at:])
@@ -70,11 +77,12 @@ class Page:
             if m[1]:
                 self._close(name)
             elif name in RAW:
+                if m[3].endswith("/"):
+                    continue
                 close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
                 if name == "title" and not self.title:
                     self.title = " ".join(html.unescape(source[at : close.start() if close else end]).split())
-                if not m[3].endswith("/"):
-                    at = close.end() if close else end
+                at = close.end() if close else end
             else:
                 self._start(name, m[3])
         self._flush()
@@ -89,7 +97,7 @@ class Page:
         if self._text:
             text = " ".join(html.unescape("".join(self._text)).split())
             if text:
-                owner = next(e for e in reversed(self._open) if self.tag[e] in BLOCK or e == 0)
+                owner = self._owners[-1]
                 self.blocks.append((owner, text, self._linked))
                 self.content[owner].append(text)
             self._text, self._linked = [], 0
@@ -103,7 +111,7 @@ class Page:
             return
         if name in BLOCK:
             self._flush()
-            if "p" in (self.tag[e] for e in self._open):
+            if self._times.get("p"):
                 self._pop("p", {"table", "td", "th", "li", "div", "section", "article", "blockquote"} - {name})
         for shut in CLOSES.get(name, ()):
             self._pop(shut, STOPS.get(name, set()))
@@ -115,8 +123,11 @@ class Page:
             found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
             mark = f"{found.get('class', '')}#{found.get('id', '')}"
             main = main or found.get("role", "").lower() == "main"
-            words = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{found.get('class', '')} {found.get('id', '')}").lower()))
-            dropped = dropped or name not in ("html", "body", "main") and bool(words & NAMES) or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+            # A heading's or paragraph's id is an anchor; inside the main part words of authors only mark reader comments.
+            named = found.get("class", "") if name in HEADINGS or name == "p" else f"{found.get('class', '')} {found.get('id', '')}"
+            words = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", named).lower()))
+            marks = bool(words & NAMES) and name not in ("html", "body", "main") if not self.main[above] and name not in MAIN else bool(words & COMMENTS) and name in CONTAINERS
+            dropped = dropped or marks or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
         self.parent.append(above)
         self.tag.append(name)
         self.dropped.append(dropped)
@@ -125,6 +136,9 @@ class Page:
         self.content.append([])
         self.content[above].append(len(self.tag) - 1)
         self._open.append(len(self.tag) - 1)
+        self._times[name] = self._times.get(name, 0) + 1
+        if name in BLOCK:
+            self._owners.append(len(self.tag) - 1)
         self._links += name == "a"
 
     def _close(self, name: str) -> None:
@@ -133,12 +147,19 @@ class Page:
         self._pop(name, set())
 
     def _pop(self, name: str, stops: set[str]) -> None:
+        """Close the innermost ``name`` and all in it, unless one of ``stops`` stands between; nothing is walked where none is open."""
+        if not self._times.get(name):
+            return
         for k in range(len(self._open) - 1, 0, -1):
             tag = self.tag[self._open[k]]
             if tag == name:
-                if any(self.tag[e] in BLOCK for e in self._open[k:]):
+                if self._owners[-1] >= self._open[k]:
                     self._flush()
-                self._links -= sum(self.tag[e] == "a" for e in self._open[k:])
+                for e in self._open[k:]:
+                    self._times[self.tag[e]] -= 1
+                    self._links -= self.tag[e] == "a"
+                while self._owners[-1] >= self._open[k]:
+                    self._owners.pop()
                 del self._open[k:]
                 return
             if tag in stops:
@@ -202,21 +223,17 @@ class Page:
         gone = self.by_templates(templates, outside, shapes)
         if marked:
             gone = [g or d for g, d in zip(gone, self.dropped)]
+        header = [0] * len(gone)  # 1: in an article's header, of which all but headings goes; 2: in a heading there
         for e in range(1, len(gone)):
-            gone[e] = gone[e] or gone[self.parent[e]]
-        stay = [(e, t, n) for e, t, n in self.blocks if not gone[e] and not (marked and self._in_header(e))]
-        inside = [t for e, t, _ in stay if self.main[e] and marked]
-        return "\n\n".join(inside or [t for _, t, linked in stay if linked < 0.7 * len(t)])
-
-    def _in_header(self, e: int) -> bool:
-        """In an article's header, all but headings goes."""
-        heading = False
-        while e > 0:
-            heading = heading or self.tag[e] in HEADINGS
-            if self.tag[e] == "header":
-                return not heading
-            e = self.parent[e]
-        return False
+            up = self.parent[e]
+            gone[e] = gone[e] or gone[up]
+            header[e] = 1 if self.tag[e] == "header" else 2 if header[up] and self.tag[e] in HEADINGS else header[up]
+        stay = [(e, t, n) for e, t, n in self.blocks if not gone[e] and not (marked and header[e] == 1)]
+        inside = [(e, t) for e, t, _ in stay if self.main[e] and marked]
+        if any(self.tag[e] not in HEADINGS for e, _ in inside):
+            return "\n\n".join(t for _, t in inside)
+        # Without a main part, or with one that holds headings only: lines of links go, sentences stay.
+        return "\n\n".join(t for _, t, linked in stay if linked < 0.7 * len(t) or len(t) >= 40 and t.rstrip("\"'”’»)")[-1:] in (".", "!", "?"))
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"

@@ -147,3 +147,28 @@ def test_names_are_not_needed_on_driver_pages(spark, monkeypatch):
     for r in pages.collect():
         content, shapes = (frozenset(x) for x in templates.get(re.match(html_template.HOST, r.url)[1].lower(), ((), ())))
         assert html_template.Page(r.html).text(content, frozenset(), shapes) == plain_article(r.html)
+
+
+PAPER = """<body><nav><a href="/">Home</a></nav><main><article><h1>Title</h1><p>First paragraph.</p><h2 id="related-work">Related work</h2><p>What others did.</p><section id="search"><h3 id="search">Search</h3><p>How we search.</p></section>
+<p class="notice">Important result.</p><div class="menu"><p>The menu of the day.</p></div><p id="footer-note">A note.</p><aside>Aside</aside><div id="comments"><p>Great post!</p></div></article></main><footer>Imprint</footer></body>"""
+
+
+def test_words_in_ids_and_classes_drop_no_article_text():
+    text = html_template.Page(PAPER).text(frozenset())
+    assert text.split("\n\n") == ["Title", "First paragraph.", "Related work", "What others did.", "Search", "How we search.", "Important result.", "The menu of the day.", "A note."]
+    sentence = '<body><p><a href="/x">A whole sentence that is a link from its begin to its end.</a></p><p>Text.</p><ul><li><a href="/a">Short link</a></li></ul></body>'
+    assert html_template.Page(sentence).text(frozenset()) == "A whole sentence that is a link from its begin to its end.\n\nText."
+    outside = "<body><main><h1>Only a heading</h1></main><div><p>The text stands outside of it.</p></div></body>"
+    assert html_template.Page(outside).text(frozenset()) == "Only a heading\n\nThe text stands outside of it."
+
+
+def test_bad_pages_take_time_in_proportion():
+    """Five megabytes of each: unclosed elements, stray ends, tags without an end, lines between inline elements, self-closing drawings."""
+    import time
+
+    bad = ["<div>", "<div></b>", "<div></p>x", "<a ", "<b>x<hr>", "<li>x", "<svg/>x", "<!", "<!--", "<p><b>", '<a href="', "<table><td>x", "<dd>x<dt>y", "<header><div>x", "<article><div>x"]
+    for piece in bad:
+        source = "<body><p>Begin.</p>" + piece * ((5 << 20) // len(piece) // (1 if piece in ("<div>", "<a ") else 10))
+        began = time.process_time()
+        assert html_template.Page(source).text(frozenset()).startswith("Begin.") or piece in ("<article><div>x", "<header><div>x")
+        assert time.process_time() - began < 25, (piece, time.process_time() - began)
