@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import spread
-from .scratch import write_table
+from .scratch import drop_table, write_table
 
 EDGE = 0xFF  # never in UTF-8: stands before a text's start and is its last symbol
 AT_ONCE = 1 << 18  # grams that a task works on at once
@@ -267,6 +267,7 @@ def gram_costs(grams: DataFrame, depth: int, part_grams: int) -> DataFrame:
     distinct = write_table(grams, "grams")
     count = max(1, -(-distinct.count() // part_grams))
     parts = write_table(distinct.repartitionByRange(count, "gram").select(F.spark_partition_id().alias("part"), "gram", "n"), "gram-parts")
+    drop_table(distinct)
     cut = write_table(cut_nodes(parts, depth), "cut-nodes")
     known = weighted_cut_nodes(cut, depth)
     given = cut.select(F.col("part").alias("of"), "d", "key").join(known, ["d", "key"])
@@ -304,12 +305,12 @@ def gram_costs(grams: DataFrame, depth: int, part_grams: int) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, block_bytes: int = 32 << 20, part_grams: int = 1 << 19) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte) for every row of ``docs``.
 
     The tree and the add-one word model learn from all whole texts whose ``held_out`` isn't true; the
     tree is whole, whatever its size; ``depth`` is at most 6.
     ``score`` is the log10 probability that the tree gives to the lower-cased words, joined by single
-    spaces, and the end; divided by -log10(2) and the bytes it is the code length per byte.  ``base_score`` sums log10((c+1)/(N+V+1)) over words
+    spaces, and the end; ``bits_per_byte`` is its code length over ``n_bytes``, the end counted as one.  ``base_score`` sums log10((c+1)/(N+V+1)) over words
     and one end.  Null and empty texts have only the end; repeated rows get a row each; an empty table
     gives an empty result; other columns are ignored.  Without training rows every count is 0.
     """
@@ -333,16 +334,21 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         cost = values["cost"].to_numpy()
         known = dict(zip(values["word"].drop_null().to_pylist(), cost[~of_gram].tolist()))
         gram, cost = values["gram"].drop_null().to_numpy(), cost[of_gram]
-        places, score = pd.Index(gram), np.zeros(len(texts))
+        del values, of_gram
+        order = np.argsort(gram)
+        gram, cost, score = gram[order], cost[order], np.zeros(len(texts))
+        del order
         for part, owner in packed_grams(enumerate(texts), depth):
-            score += np.bincount(owner, weights=cost[places.get_indexer(part.astype(np.int64))], minlength=len(texts))
-        del gram, cost, places
+            score += np.bincount(owner, weights=cost[np.searchsorted(gram, part.astype(np.int64))], minlength=len(texts))
+        del gram, cost
         n, seen, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
         for i, text in enumerate(texts):
             c = np.fromiter((known[w] for w in text.split()), float)
             n[i], seen[i] = len(c) + 1, (c > 0).sum() + (ends > 0)
             base[i] = np.log10(c + 1).sum() + math.log10(ends + 1) - n[i] * total
+        size = np.array([len(t) + 1 for t in texts], np.int64)
         return pa.table({
-            "doc_id": documents["doc_id"], "held_out": documents["held_out"], "n_tokens": n, "n_known": seen, "train_tokens": np.full(len(texts), tokens, np.int64), "base_score": base, "score": score})
+            "doc_id": documents["doc_id"], "held_out": documents["held_out"], "n_tokens": n, "n_known": seen, "train_tokens": np.full(len(texts), tokens, np.int64), "base_score": base, "score": score, "n_bytes": size,
+            "bits_per_byte": -score / math.log10(2) / size})
 
-    return documents.groupBy("block").cogroup(of_grams.unionByName(of_words).groupBy("of")).applyInArrow(block, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return documents.groupBy("block").cogroup(of_grams.unionByName(of_words).groupBy("of")).applyInArrow(block, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double")
