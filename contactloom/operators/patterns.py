@@ -37,31 +37,41 @@ def learn_patterns(people: DataFrame, evidence: DataFrame, ascii_only: bool = Fa
     multiplied out.
     """
     hits = _hits(people, evidence, ascii_only)
-    votes = hits.groupBy("domain", "pattern", "rank").agg(F.count("*").alias("votes"), F.min(F.struct("email_pos", "name_pos", "rank")).alias("first"), F.min(F.struct("email_pos", "email")).alias("proof"))
+    votes = hits.groupBy("domain", "pattern", "rank").agg(F.sum("names").alias("votes"), F.min(F.struct("email_pos", "name_pos", "rank")).alias("first"), F.min(F.struct("email_pos", "email")).alias("proof"))
     tie = F.col("rank") if by_rank else F.col("first")
     best = votes.groupBy("domain").agg(F.min_by(F.struct("pattern", "votes"), F.struct(-F.col("votes"), tie.alias("t"))).alias("b"), F.min("proof").alias("p"))
     return best.select("domain", "b.pattern", "b.votes", F.lit("deterministic").alias("confidence"), F.col("p.email").alias("source"))
 
 
-def _hits(people: DataFrame, evidence: DataFrame, ascii_only: bool) -> DataFrame:
-    """A row for each name and pattern that gives a published address."""
-    split = people.select("domain", F.col("pos").alias("name_pos"), names.first_last(names.name_tokens(F.col("name"), ascii_only)).alias("n")).where("n is not null")
+def _made(people: DataFrame, ascii_only: bool) -> DataFrame:
+    """(domain, local, rank, pattern, names, name_pos): what each pattern makes of each distinct name of a domain, how many rows have the name, and the first of them."""
+    each = people.groupBy("domain", "name").agg(F.count("*").alias("names"), F.min("pos").alias("name_pos"))
+    split = each.select("domain", "names", "name_pos", names.first_last(names.name_tokens(F.col("name"), ascii_only)).alias("n")).where("n is not null")
     built = F.array(*[F.struct(names.local_part(p, F.col("n.first"), F.col("n.last")).alias("local"), F.lit(i).alias("rank"), F.lit(p).alias("pattern")) for i, p in enumerate(names.PATTERNS)])
-    made = split.select("domain", "name_pos", F.explode(built).alias("c")).select("domain", "name_pos", "c.*")
-    given = evidence.select("domain", "email", F.col("pos").alias("email_pos"), F.split("email", "@")[0].alias("local"))
-    return made.join(given, ["domain", "local"])
+    return split.select("domain", "names", "name_pos", F.explode(built).alias("c")).select("domain", "names", "name_pos", "c.*")
+
+
+def _given(evidence: DataFrame) -> DataFrame:
+    """Published addresses by local part.  Spark takes no side of a join for small that is exploded or aggregated from a small file: its estimate doesn't know of the new rows, and the driver would hold them all."""
+    return evidence.select("domain", "email", F.col("pos").alias("email_pos"), F.split("email", "@")[0].alias("local")).hint("merge")
+
+
+def _hits(people: DataFrame, evidence: DataFrame, ascii_only: bool) -> DataFrame:
+    """A row for each distinct name of a domain and pattern that give a published address."""
+    return _made(people, ascii_only).join(_given(evidence), ["domain", "local"])
 
 
 def matched_evidence(people: DataFrame, evidence: DataFrame, ascii_only: bool = False) -> DataFrame:
     """(domain, email, pos): the published addresses that some name and pattern give, a row for each."""
-    return _hits(people, evidence, ascii_only).select("domain", "email", F.col("email_pos").alias("pos")).distinct()
+    made = _made(people, ascii_only).select("domain", "local").distinct()
+    return _given(evidence).join(made, ["domain", "local"], "left_semi").select("domain", "email", F.col("email_pos").alias("pos")).distinct()
 
 
 def proof_gate(proposed: DataFrame, people: DataFrame, evidence: DataFrame, ascii_only: bool = False) -> DataFrame:
     """Proposed (domain, pattern) that reproduce a published address for some name, with the first such address."""
-    tokens = people.select("domain", names.name_tokens(F.col("name"), ascii_only).alias("tokens"))
+    tokens = people.select("domain", "name").distinct().select("domain", names.name_tokens(F.col("name"), ascii_only).alias("tokens"))
     made = proposed.join(tokens, "domain").withColumn("email", names.build_email(F.col("pattern"), F.col("tokens"), F.lit("x"))).where("email is not null")
-    given = evidence.select("domain", F.concat(F.split("email", "@")[0], F.lit("@x")).alias("email"), F.col("email").alias("published"), "pos")
+    given = evidence.select("domain", F.concat(F.split("email", "@")[0], F.lit("@x")).alias("email"), F.col("email").alias("published"), "pos").hint("merge")
     return made.join(given, ["domain", "email"]).groupBy("domain", "pattern").agg(F.min_by("published", "pos").alias("source"))
 
 

@@ -75,6 +75,19 @@ def test_patterns_vote_and_proof(spark):
     assert [(g.pattern, g.source) for g in gate.collect()] == [("{fi}{last}", "bash@d")]
 
 
+def test_published_addresses_are_never_sent_whole_to_the_driver(spark):
+    """Few names on many rows: votes count the rows, and neither side of the join is broadcast, however small its file."""
+    folk = spark.range(3000).selectExpr("concat('d', id % 2) domain", "if(id % 3 > 0, 'Ann Bell', 'Cy Dee') name", "id pos").repartition(3)
+    proof = spark.createDataFrame([("d0", "ann.bell@d0", 4), ("d0", "ann.bell@mail.d0", 5), ("d0", "cd@d0", 3), ("d1", "nobody@d1", 1)], "domain string, email string, pos long")
+    matched = patterns.matched_evidence(folk, proof)
+    assert sorted(map(tuple, matched.collect())) == [("d0", "ann.bell@d0", 4), ("d0", "ann.bell@mail.d0", 5), ("d0", "cd@d0", 3)]
+    learnt = patterns.learn_patterns(folk, proof)
+    assert [(r.domain, r.pattern, r.votes, r.source) for r in learnt.collect()] == [("d0", "first.last", 2000, "cd@d0")]
+    gate = patterns.proof_gate(spark.createDataFrame([("d0", "{first}.{last}"), ("d1", "{first}")], "domain string, pattern string"), folk, proof)
+    assert [tuple(r) for r in gate.collect()] == [("d0", "{first}.{last}", "ann.bell@d0")]
+    assert all("BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString() for df in (matched, learnt))
+
+
 def test_mail_domains(spark):
     records = spark.createDataFrame([("a.example", 20, "mail.other.example", "NOERROR"), ("a.example", 10, "aspmx.l.google.com.", "NOERROR"), ("n.example", None, None, "NXDOMAIN"), ("f.example", None, None, "SERVFAIL"), ("m.example", 5, "mx.m.example", "NOERROR")], "domain string, priority int, exchange string, rcode string")
     targets = spark.createDataFrame([(x,) for x in ("https://www.a.example/x", "n.example", "f.example", "m.example", "zz.example", "bad")], "raw string")
