@@ -80,15 +80,31 @@ def merged(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return value[first], np.add.reduceat(count, first) if len(first) else count
 
 
-GATHERED = "block long, doc_id long, held_out boolean, text binary, word binary, gram long, n long"
-_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+GATHERED = "block long, documents binary, learns long, word binary, gram long, n long"
+_ARROW = pa.schema([("block", pa.int64()), ("documents", pa.binary()), ("learns", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+_DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary())])
+
+
+def packed(documents: list[tuple]) -> bytes:
+    """Documents (doc_id, text, held_out) as a compressed Arrow stream: exchanges compress far less."""
+    ids, texts, outs = zip(*documents)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _DOCUMENTS, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as stream:
+        stream.write_batch(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(outs, pa.bool_()), pa.array(texts, pa.binary())], schema=_DOCUMENTS))
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(streams: pa.ChunkedArray) -> pa.Table:
+    """(doc_id, held_out, text) of what ``packed`` made."""
+    return pa.concat_tables([pa.ipc.open_stream(s.as_buffer()).read_all() for s in streams])
 
 
 def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
     """Documents (doc_id, text, held_out) in blocks of bounded text, as rows of three kinds.
 
-    (block, doc_id, held_out, text as ``normal`` leaves it) for each document; (block, word, n) and (block, gram, n)
-    for each distinct word and gram of a block, with their counts in its training texts.
+    (block, documents, learns) for each run of a block's documents, their texts as ``normal`` leaves them and packed, and
+    how many of them are training texts; (block, word, n) and (block, gram, n) for each distinct word and gram of a
+    block, with their counts in its training texts.
     """
     def batch(size: int, number: int, **columns: pa.Array) -> pa.RecordBatch:
         columns["block"] = pa.array(np.full(size, number, np.int64))
@@ -96,8 +112,8 @@ def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
 
     def block_rows(number: int, documents: list[tuple]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(documents), 1000):
-            ids, texts, outs = zip(*documents[at : at + 1000])
-            yield batch(len(ids), number, doc_id=pa.array(ids, pa.int64()), held_out=pa.array(outs, pa.bool_()), text=pa.array(texts, pa.binary()))
+            run = documents[at : at + 1000]
+            yield batch(1, number, documents=pa.array([packed(run)], pa.binary()), learns=pa.array([sum(not out for *_, out in run)], pa.int64()))
         learnt: dict[bytes, int] = {}
         for _, text, out in documents:
             if out:
@@ -316,11 +332,11 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     table = write_table(gathered(spread(narrow), depth, block_bytes), "gathered")
-    documents = table.where("text is not null").select("block", "doc_id", "held_out", "text")
+    documents = table.where("documents is not null").select("block", "documents", "learns")
     words, grams = (table.where(f"{c} is not null").select("block", c, "n") for c in ("word", "gram"))
     counts = write_table(words.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     told = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count_if(F.col("c") > 0).alias("distinct")).first()
-    ends = documents.where("not held_out").count()
+    ends = documents.agg(F.coalesce(F.sum("learns"), F.lit(0)).alias("n")).first()["n"]
     tokens, distinct = told["tokens"] + ends, told["distinct"] + (ends > 0)
     total = math.log10(tokens + distinct + 1)
     costs = gram_costs(grams.groupBy("gram").agg(F.sum("n").alias("n")), depth, part_grams)
@@ -330,7 +346,9 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
 
     def block(documents: pa.Table, values: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
+        documents = unpacked(documents["documents"])
         texts, of_gram = documents["text"].to_pylist(), values["gram"].is_valid().to_numpy()
+        documents = documents.drop_columns("text")
         cost = values["cost"].to_numpy()
         known = dict(zip(values["word"].drop_null().to_pylist(), cost[~of_gram].tolist()))
         gram, cost = values["gram"].drop_null().to_numpy(), cost[of_gram]
@@ -351,4 +369,4 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
             "doc_id": documents["doc_id"], "held_out": documents["held_out"], "n_tokens": n, "n_known": seen, "train_tokens": np.full(len(texts), tokens, np.int64), "base_score": base, "score": score, "n_bytes": size,
             "bits_per_byte": -score / math.log10(2) / size})
 
-    return documents.groupBy("block").cogroup(of_grams.unionByName(of_words).groupBy("of")).applyInArrow(block, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double")
+    return documents.select("block", "documents").groupBy("block").cogroup(of_grams.unionByName(of_words).groupBy("of")).applyInArrow(block, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double")

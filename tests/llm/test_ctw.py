@@ -127,3 +127,13 @@ def test_awkward_rows(awkward, empty):
     assert sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows) == sorted((d or -1, n, k, t, round(b, 5)) for d, n, k, t, b in base_scores(AWKWARD))
     assert all(r.score < 0 for r in rows)
     assert ctw.score_texts(empty, F.lit(False), depth=2).collect() == []
+
+
+def test_documents_travel_packed(spark):
+    """What a block's documents take in the exchange is a part of their texts, and comes out as it went in."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "cast(text as binary) text", "doc_id % 3 = 0 held_out")
+    rows = ctw.gathered(docs, 2, 1 << 16).where("documents is not null").toArrow()
+    found = [r for d in ctw.unpacked(rows["documents"]).to_pylist() for r in [(d["doc_id"], d["held_out"], d["text"])]]
+    want = [(r.doc_id, r.held_out, ctw.normal(bytes(r.text or b""))) for r in docs.collect()]
+    assert sorted(found) == sorted(want) and sum(rows["learns"].to_pylist()) == sum(not out for _, out, _ in want)
+    assert 2 * sum(len(d) for d in rows["documents"].to_pylist()) < sum(len(t) for *_, t in want)
