@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import addresses, names
 from ..functions.let import with_fields
+from ..sources.shared import scattered
 
 
 ADDRESS_COLUMNS = ("email", "business_email", "all_business_emails", "related_email", "web_found_email")
@@ -19,8 +20,11 @@ def master_evidence(master: DataFrame, resolved: DataFrame, columns: tuple[str,
     the domain's own by its mail domain, its bare domain or their first label; ``personal`` leaves role words
     out and is what can prove a format.  ``master`` (domain, pos, ...), ``resolved`` (domain, email_domain).
     """
-    cells = F.array(*[F.split(F.coalesce(F.col(c) if c in master.columns else F.lit(""), F.lit("")), "[;,]") for c in columns])
-    parts = master.select("domain", "pos", F.posexplode(cells).alias("_column", "_parts")).select("domain", "pos", "_column", F.posexplode("_parts").alias("_part", "_email"))
+    held = [c for c in columns if c in master.columns]
+    cells = F.array(*[F.split(F.coalesce(F.col(c) if c in held else F.lit(""), F.lit("")), "[;,]") for c in columns])
+    # Places are structs, so the first of them is found by sorting a task's rows.
+    rows = scattered(master.select("domain", "pos", *[c for c in held if c not in ("domain", "pos")]), "domain", "pos")
+    parts = rows.select("domain", "pos", F.posexplode(cells).alias("_column", "_parts")).select("domain", "pos", "_column", F.posexplode("_parts").alias("_part", "_email"))
     given = parts.select("domain", F.lower(F.trim("_email")).alias("email"), F.struct("pos", "_column", "_part").alias("pos")).where("domain is not null and email != ''").groupBy("domain", "email").agg(F.min("pos").alias("pos"))
     mail = resolved.where("email_domain is not null").groupBy("domain").agg(F.min("email_domain").alias("_mail"))
     bare = F.regexp_replace("domain", r"^www\.", "")

@@ -33,6 +33,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def scattered(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` in several tasks for each core by the hash of ``keys``, for work that makes many rows of each and sorts them: a split of a narrow table's file holds millions."""
+    return df.repartition(8 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def bytes_of(spark: SparkSession, path: str) -> int:
     """Bytes of a file, or of all files below a folder."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

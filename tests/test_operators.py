@@ -88,6 +88,14 @@ def test_published_addresses_are_never_sent_whole_to_the_driver(spark):
     assert all("BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString() for df in (matched, learnt))
 
 
+def test_addresses_of_a_master_in_one_file_are_found_in_many_tasks(spark):
+    rows = spark.range(0, 4000, 1, 1).selectExpr("'www.d.test' domain", "id pos", "concat('P', id % 50, '@d.test; info@d.test ') email", "'x@other.test,,box@mail.test' related_email")
+    found = patterns.master_evidence(rows, spark.createDataFrame([("www.d.test", "mail.test")], "domain string, email_domain string"))
+    got = {r.email: (tuple(r.pos), r.personal) for r in found.collect()}
+    assert got == {**{f"p{i}@d.test": ((i, 0, 0), True) for i in range(50)}, "info@d.test": ((0, 0, 1), False), "box@mail.test": ((0, 3, 2), True)}
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mail_domains(spark):
     records = spark.createDataFrame([("a.example", 20, "mail.other.example", "NOERROR"), ("a.example", 10, "aspmx.l.google.com.", "NOERROR"), ("n.example", None, None, "NXDOMAIN"), ("f.example", None, None, "SERVFAIL"), ("m.example", 5, "mx.m.example", "NOERROR")], "domain string, priority int, exchange string, rcode string")
     targets = spark.createDataFrame([(x,) for x in ("https://www.a.example/x", "n.example", "f.example", "m.example", "zz.example", "bad")], "raw string")
