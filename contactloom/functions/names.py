@@ -95,15 +95,16 @@ def local_part(pattern: str, first: Column, last: Column) -> Column:
     return F.concat(*pieces)
 
 
-def candidates(first: Column, last: Column, limit: int = len(PATTERNS)) -> Column:
-    """Array of (local, pattern) in rank order; of patterns that agree on a local part the first stays."""
-    built = F.array(*[F.struct(local_part(p, first, last).alias("local"), F.lit(p).alias("pattern")) for p in PATTERNS])
+def local_parts(first: Column, last: Column, limit: int = len(PATTERNS)) -> Column:
+    """Array of the distinct local parts that the patterns make, in rank order; null where a part is missing."""
+    return F.when(first.isNotNull() & last.isNotNull(), F.slice(F.array_distinct(F.array(*[local_part(p, first, last) for p in PATTERNS])), 1, limit))
 
-    def distinct(a: Column) -> Column:
-        locals_ = F.transform(a, lambda c: c["local"])
-        return F.transform(F.array(locals_), lambda ls: F.filter(a, lambda c, i: F.array_position(ls, c["local"]) == i + 1))[0]
 
-    return F.when(first.isNotNull() & last.isNotNull(), F.slice(F.transform(F.array(built), distinct)[0], 1, limit))
+def candidates(first: Column, last: Column, limit: int = len(PATTERNS)) -> Column:
+    """Array of (local, pattern) in rank order; of patterns that agree on a local part the first stays."""
+    made, patterns = F.array(*[local_part(p, first, last) for p in PATTERNS]), F.array(*map(F.lit, PATTERNS))
+    pair = lambda every: F.transform(F.slice(F.array_distinct(every), 1, limit), lambda x: F.struct(x.alias("local"), F.element_at(patterns, F.array_position(every, x).cast("int")).alias("pattern")))
+    return F.when(first.isNotNull() & last.isNotNull(), let(made, pair))
 
 
 def template_of(pattern: Column) -> Column:

@@ -20,12 +20,16 @@ def with_candidates(rows: DataFrame, name: str, company: str = "company_domain",
     """``rows`` with ``_d`` (domain, source), ``_fl`` (first, last) and ``_list``: (local, pattern) in rank order, empty where a part is missing."""
     if limit < 1:
         raise ValueError("limit must be a positive number")
-    # Worked out once for each row: a generator's fields are not merged into what reads them.
-    split = with_fields(rows, F.struct(_domain(company, mail).alias("_d"), names.first_last(names.name_tokens(F.col(name), ascii_only)).alias("_fl")))
+    split = _split(rows, name, company, mail, ascii_only)
     made = names.candidates(F.col("_fl.first"), F.col("_fl.last"), limit)
     return with_fields(split, F.struct(F.when(F.col("_d").isNotNull() & F.col("_fl").isNotNull(), made).otherwise(F.array().cast("array<struct<local:string,pattern:string>>")).alias("_list")))
 
 
+def _split(rows: DataFrame, name: str, company: str = "company_domain", mail: str = "email_domain", ascii_only: bool = False) -> DataFrame:
+    """``rows`` with ``_d`` and ``_fl``.  Worked out once for each row: a generator's fields are not merged into what reads them."""
+    return with_fields(rows, F.struct(_domain(company, mail).alias("_d"), names.first_last(names.name_tokens(F.col(name), ascii_only)).alias("_fl")))
+
+
 def _address(c: Column) -> Column:
     return F.concat(c["local"], F.lit("@"), F.col("_d.domain"))
 
@@ -43,8 +47,11 @@ def long_table(rows: DataFrame, ids: list[str], name: str, **options) -> DataFra
 
 def wide_table(rows: DataFrame, keep: list[str], name: str, limit: int = len(names.PATTERNS), **options) -> DataFrame:
     """``keep`` and email_1 to email_N for every row; no shuffle, the candidates are an array of the row."""
-    made = with_candidates(rows, name, limit=limit, **options)
-    return made.select(*keep, *[_address(F.get("_list", F.lit(k))).alias(f"email_{k + 1}") for k in range(limit)])
+    if limit < 1:
+        raise ValueError("limit must be a positive number")
+    split = _split(rows, name, **options)
+    made = with_fields(split, F.struct(F.when(F.col("_d").isNotNull() & F.col("_fl").isNotNull(), names.local_parts(F.col("_fl.first"), F.col("_fl.last"), limit)).alias("_locals")))
+    return made.select(*keep, *[F.concat(F.get("_locals", F.lit(k)), F.lit("@"), F.col("_d.domain")).alias(f"email_{k + 1}") for k in range(limit)])
 
 
 def counters(rows: DataFrame, name: str, **options) -> DataFrame:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -39,6 +41,23 @@ def test_candidates(spark):
     assert set(found) == {1, 2}
 
 
+def test_wide_rows_are_the_long_ones_and_take_no_search_for_patterns(spark):
+    names_ = ("Ada Quill", "Ada Ash", "A A", "Ab Ab", "Zed", "", None, "Dr Bo van Dee", "é ü")
+    df = spark.createDataFrame([(i, n, None if i == 3 else "Example.com ", None) for i, n in enumerate(names_)], "id long, name string, company_domain string, email_domain string")
+    for limit in (1, 5, 18):
+        wide = permute.wide_table(df, ["id"], "name", limit=limit)
+        long = Counter((r.id, r["rank"], r.email) for r in permute.long_table(df, ["id"], "name", limit=limit).collect())
+        assert wide.columns == ["id", *[f"email_{k + 1}" for k in range(limit)]] and wide.count() == len(names_)
+        assert Counter((r.id, k + 1, r[f"email_{k + 1}"]) for r in wide.collect() for k in range(limit) if r[f"email_{k + 1}"]) == long
+    assert "array_position" not in wide._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_of_a_table_in_one_file_are_worked_on_by_all_cores(spark):
+    from contactloom.plans import name_queries
+
+    assert name_queries.people(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.text("abcé -'", max_size=8), st.text("abcxyz", min_size=1, max_size=5)), min_size=1, max_size=20))
 def test_ranks_have_no_gaps_and_addresses_are_distinct(spark, given_names):
