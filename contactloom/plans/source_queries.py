@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import crawl, harvest
 from ..operators.ledger import numbered, numbered_within
 from ..sources import files, ledger_source, providers
-from ..sources.shared import bytes_of, new_folder
+from ..sources.shared import bytes_of, new_folder, scattered
 from ..streaming import resume
 from .page_queries import ADDRESSES_SQL, KEY, _csv_sql, _decoded_sql, _squeezed_sql, _text_sql
 from .registry import query, table
@@ -119,7 +119,8 @@ def answers_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tried: dict[int, int] = {}
     service = providers.Provider("recorded delays", call, "answer string, tries int", providers.Retry(attempts=3, first_wait=0.001))
-    return providers.ask(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), service, at_once=40)
+    asked = scattered(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), "id")
+    return providers.ask(asked, service, at_once=40)
 
 
 _RENDER_SQL = f"""shown AS (SELECT 'document' AS kind, doc_id AS id, text AS s FROM documents UNION ALL SELECT 'page', page_id, html FROM pages

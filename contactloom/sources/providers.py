@@ -101,7 +101,8 @@ def ask(requests: DataFrame, provider: Provider, fan_out: int | None = None, at_
     """``requests`` with the provider's fields and ``error``, one call for each row.
 
     ``fan_out`` partitions with ``at_once`` calls each bound how many run at a time; rows keep their order.  A lost
-    task is run again, so write the answers to a ledger and ask only for what is pending there.
+    task is run again, so write the answers to a ledger and ask only for what is pending there.  A split of a narrow
+    table's file may hold millions of requests: ``shared.scattered`` deals them to more tasks, of which no more run at a time than there are cores.
     """
     return _answered(requests.repartition(fan_out) if fan_out else requests, provider, at_once, lambda: provider.answer)
 

@@ -34,7 +34,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def scattered(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` in several tasks for each core by the hash of ``keys``, for work that makes many rows of each and sorts them: a split of a narrow table's file holds millions."""
+    """``df`` in several tasks for each core by the hash of ``keys``, for slow work on each row or work that makes many of it: a split of a narrow table's file holds millions."""
     return df.repartition(8 * df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 

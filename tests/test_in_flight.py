@@ -4,6 +4,8 @@ import asyncio
 import threading
 import time
 
+from pyspark.sql import functions as F
+
 from contactloom.sources import providers
 from contactloom.sources.in_flight import WAITING, in_order
 
@@ -101,3 +103,11 @@ def test_sites_share_a_task_but_not_their_time(spark):
     late = {(r.site, r.pos) for r in told if r.error == "over the time limit"}
     assert late == {(f"s{s}", p) for s in range(8) for p in (3, 4)} and all(r.answer == r.pos for r in told if r.error is None)
     assert time.perf_counter() - began < 12
+
+
+def test_requests_of_a_table_in_one_file_are_dealt_to_many_tasks(spark):
+    from contactloom.plans import source_queries
+
+    asked = source_queries.answers_in_flight(spark, "/root/testdata/sf0.1").withColumn("task", F.spark_partition_id())
+    tasks = {r.task: r.n for r in asked.groupBy("task").agg(F.count("*").alias("n")).collect()}
+    assert sum(tasks.values()) == 15_000 and len(tasks) > 2 * spark.sparkContext.defaultParallelism and max(tasks.values()) < 1000
