@@ -19,8 +19,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from .scratch import drop_table, write_table
 
 EDGE = 0xFF  # never in UTF-8: stands before a text's start and is its last symbol
 AT_ONCE = 1 << 18  # grams that a task works on at once
+RUN_BYTES = 4 << 20  # text whose words stand apart at once
 BITS_AT = 48  # a node's key: the bits so far, then up to six bytes of context
 
 
@@ -54,8 +55,8 @@ def grams(text: bytes, depth: int) -> Iterator[np.ndarray]:
         yield out
 
 
-def packed_grams(texts: Iterator[tuple[int, bytes]], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Grams of numbered texts that ``normal`` has been through, and the numbers of their texts, in parts of bounded size."""
+def packed_grams(texts: Iterator[tuple[int, bytes]], depth: int, at_once: int = AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams of numbered or marked texts that ``normal`` has been through, and the numbers or marks of their texts, in parts of bounded size."""
     held: list[np.ndarray] = []
     owners: list[int] = []
     size = 0
@@ -64,20 +65,62 @@ def packed_grams(texts: Iterator[tuple[int, bytes]], depth: int) -> Iterator[tup
             held.append(part)
             owners.append(owner)
             size += len(part)
-            if size >= AT_ONCE:
+            if size >= at_once:
                 yield np.concatenate(held), np.repeat(owners, [len(h) for h in held])
                 held, owners, size = [], [], 0
     if held:
         yield np.concatenate(held), np.repeat(owners, [len(h) for h in held])
 
 
-def merged(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values in order and the sums of their counts."""
-    value, count = np.concatenate(values), np.concatenate(counts)
-    order = np.argsort(value, kind="stable")
-    value, count = value[order], count[order]
-    first = np.flatnonzero(np.diff(value, prepend=-1))
-    return value[first], np.add.reduceat(count, first) if len(first) else count
+def counted(values: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, of under 63 bits, in order, and how often each is marked; sorting numbers alone takes no hash table and no places."""
+    key = values.astype(np.uint64)
+    key <<= 1
+    key |= marked
+    key.sort()
+    value = key >> 1
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    return value[first].astype(np.int64), np.add.reduceat((key & 1).astype(np.int64), first)
+
+
+def added(value: np.ndarray, count: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ascending values and their counts, with further ones of the same kind; ``count`` is written to."""
+    at = np.searchsorted(value, more)
+    known = np.append(value, -1)[at] == more
+    count[at[known]] += counts[known]
+    return np.insert(value, at[~known], more[~known]), np.insert(count, at[~known], counts[~known])
+
+
+def costs_at(gram: np.ndarray, cost: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The cost of each gram of a part; ``gram`` ascends.  Each distinct one is looked up once, in order, so the places read lie near each other."""
+    order = np.argsort(part)
+    ordered = part[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    out = np.empty(len(part))
+    out[order] = np.repeat(cost[np.searchsorted(gram, ordered[first].astype(np.int64))], np.diff(first, append=len(part)))
+    return out
+
+
+def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of texts that ``normal`` has been through, one after another, and how many every text has."""
+    full = pc.greater(pc.binary_length(texts), 0)
+    split = pc.split_pattern(texts.filter(full), " ")
+    lengths = np.zeros(len(texts), np.int64)
+    lengths[full.to_numpy(zero_copy_only=False)] = pc.list_value_length(split).to_numpy()
+    return split.flatten().dictionary_encode(), lengths
+
+
+def in_runs(documents: list[tuple]) -> Iterator[list[tuple]]:
+    """Documents (doc_id, text, held_out) in runs of at most 1,000 and about ``RUN_BYTES`` of text."""
+    run, size = [], 0
+    for d in documents:
+        run.append(d)
+        size += len(d[1])
+        if len(run) == 1000 or size >= RUN_BYTES:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
 
 
 GATHERED = "block long, documents binary, learns long, word binary, gram long, n long"
@@ -111,30 +154,24 @@ def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _ARROW], schema=_ARROW)
 
     def block_rows(number: int, documents: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(documents), 1000):
-            run = documents[at : at + 1000]
-            yield batch(1, number, documents=pa.array([packed(run)], pa.binary()), learns=pa.array([sum(not out for *_, out in run)], pa.int64()))
-        learnt: dict[bytes, int] = {}
-        for _, text, out in documents:
-            if out:
-                for w in text.split():
-                    learnt.setdefault(w, 0)
-            else:
-                for w in text.split():
-                    learnt[w] = learnt.get(w, 0) + 1
-        if learnt:
-            yield batch(len(learnt), number, word=pa.array(learnt, pa.binary()), n=pa.array(learnt.values(), pa.int64()))
-        learnt.clear()
-        values: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        learns = ~np.array([out for *_, out in documents], bool)
-        for part, owner in packed_grams(((i, t) for i, (_, t, _) in enumerate(documents)), depth):
-            codes, distinct = pd.factorize(part)
-            values.append(distinct.astype(np.int64))
-            counts.append(np.bincount(codes, weights=learns[owner], minlength=len(distinct)).astype(np.int64))
-            if sum(map(len, values)) > 3 * AT_ONCE + len(values[0]):
-                values, counts = ([x] for x in merged(values, counts))
-        gram, count = merged(values, counts)
+        found: list[pa.Array] = []
+        learnt: list[np.ndarray] = []
+        for run in in_runs(documents):
+            learns = ~np.array([out for *_, out in run], bool)
+            yield batch(1, number, documents=pa.array([packed(run)], pa.binary()), learns=pa.array([learns.sum()], pa.int64()))
+            words, lengths = words_of(pa.array([text for _, text, _ in run], pa.binary()))
+            found.append(words.dictionary)
+            learnt.append(np.bincount(words.indices.to_numpy()[np.repeat(learns, lengths)], minlength=len(words.dictionary)))
+            del words
+        coded = pa.concat_arrays(found).dictionary_encode()
+        if len(coded):
+            n = np.bincount(coded.indices.to_numpy(), weights=np.concatenate(learnt)).astype(np.int64)
+            yield batch(len(n), number, word=coded.dictionary, n=pa.array(n))
+        del coded, found, learnt
+        pa.default_memory_pool().release_unused()
+        gram, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for part, learn in packed_grams(((not out, t) for _, t, out in documents), depth, 2 * AT_ONCE):
+            gram, count = added(gram, count, *counted(part, learn))
         for at in range(0, len(gram), 100_000):
             own = gram[at : at + 100_000]
             yield batch(len(own), number, gram=pa.array(own), n=pa.array(count[at : at + 100_000]))
@@ -144,12 +181,13 @@ def gathered(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
         pa.default_memory_pool().release_unused()  # what an earlier task of this worker left
         number, held, size = TaskContext.get().partitionId() << 24, [], 0
         for b in batches:
-            for doc_id, text, out in zip(*[c.to_pylist() for c in b.columns]):
-                held.append((doc_id, normal(text or b""), out))
-                size += len(held[-1][1]) + 1
-                if size >= block_bytes:
-                    yield from block_rows(number, held)
-                    number, held, size = number + 1, [], 0
+            for at in range(0, b.num_rows, 1000):
+                for doc_id, text, out in zip(*[c.to_pylist() for c in b.slice(at, 1000).columns]):
+                    held.append((doc_id, normal(text or b""), out))
+                    size += len(held[-1][1]) + 1
+                    if size >= block_bytes:
+                        yield from block_rows(number, held)
+                        number, held, size = number + 1, [], 0
         if held:
             yield from block_rows(number, held)
 
@@ -347,26 +385,33 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     def block(documents: pa.Table, values: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
         documents = unpacked(documents["documents"])
-        texts, of_gram = documents["text"].to_pylist(), values["gram"].is_valid().to_numpy()
-        documents = documents.drop_columns("text")
-        cost = values["cost"].to_numpy()
-        known = dict(zip(values["word"].drop_null().to_pylist(), cost[~of_gram].tolist()))
+        of_gram, cost = values["gram"].is_valid().to_numpy(), values["cost"].to_numpy()
+        coded = [words_of(run) for run in documents["text"].chunks]
+        place = pc.index_in(pa.chunked_array([words.dictionary for words, _ in coded]), value_set=values["word"].drop_null().cast(pa.binary())).to_numpy()
+        count = cost[~of_gram]
+        logs = np.log10(count + 1)
+        n, seen, base, at = [], [], [], 0
+        for words, lengths in coded:
+            own = place[at : at + len(words.dictionary)][words.indices.to_numpy()]
+            owner, at = np.repeat(np.arange(len(lengths)), lengths), at + len(words.dictionary)
+            n.append(lengths + 1)
+            seen.append(np.bincount(owner[count[own] > 0], minlength=len(lengths)) + (ends > 0))
+            base.append(np.bincount(owner, weights=logs[own], minlength=len(lengths)) + math.log10(ends + 1) - n[-1] * total)
+        n, seen, base = np.concatenate(n), np.concatenate(seen), np.concatenate(base)
+        del coded, words, place, own, owner, count, logs
+        pa.default_memory_pool().release_unused()
         gram, cost = values["gram"].drop_null().to_numpy(), cost[of_gram]
         del values, of_gram
         order = np.argsort(gram)
-        gram, cost, score = gram[order], cost[order], np.zeros(len(texts))
+        gram, cost, score = gram[order], cost[order], np.zeros(len(n))
         del order
+        texts = (text for run in documents["text"].chunks for text in run.to_pylist())
         for part, owner in packed_grams(enumerate(texts), depth):
-            score += np.bincount(owner, weights=cost[np.searchsorted(gram, part.astype(np.int64))], minlength=len(texts))
+            score += np.bincount(owner, weights=costs_at(gram, cost, part), minlength=len(n))
         del gram, cost
-        n, seen, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            c = np.fromiter((known[w] for w in text.split()), float)
-            n[i], seen[i] = len(c) + 1, (c > 0).sum() + (ends > 0)
-            base[i] = np.log10(c + 1).sum() + math.log10(ends + 1) - n[i] * total
-        size = np.array([len(t) + 1 for t in texts], np.int64)
+        size = pc.binary_length(documents["text"]).to_numpy().astype(np.int64) + 1
         return pa.table({
-            "doc_id": documents["doc_id"], "held_out": documents["held_out"], "n_tokens": n, "n_known": seen, "train_tokens": np.full(len(texts), tokens, np.int64), "base_score": base, "score": score, "n_bytes": size,
+            "doc_id": documents["doc_id"], "held_out": documents["held_out"], "n_tokens": n, "n_known": seen, "train_tokens": np.full(len(n), tokens, np.int64), "base_score": base, "score": score, "n_bytes": size,
             "bits_per_byte": -score / math.log10(2) / size})
 
     return documents.select("block", "documents").groupBy("block").cogroup(of_grams.unionByName(of_words).groupBy("of")).applyInArrow(block, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double")

@@ -1,8 +1,11 @@
 import math
+import time
 from collections import Counter, defaultdict
 from functools import lru_cache
 
 import brute
+import numpy as np
+import pyarrow as pa
 from brute import AWKWARD
 from pyspark.sql import functions as F
 
@@ -137,3 +140,66 @@ def test_documents_travel_packed(spark):
     want = [(r.doc_id, r.held_out, ctw.normal(bytes(r.text or b""))) for r in docs.collect()]
     assert sorted(found) == sorted(want) and sum(rows["learns"].to_pylist()) == sum(not out for _, out, _ in want)
     assert 2 * sum(len(d) for d in rows["documents"].to_pylist()) < sum(len(t) for *_, t in want)
+
+
+def block_of(texts: dict[int, bytes], held_out: set[int], spark, depth: int) -> tuple[dict, dict]:
+    docs = spark.createDataFrame([(i, bytearray(t), i in held_out) for i, t in texts.items()], "doc_id long, text binary, held_out boolean").coalesce(1)
+    rows = ctw.gathered(docs, depth, 32 << 20).toArrow()
+    words, grams = ([(r[c], r["n"]) for r in rows.select([c, "n"]).to_pylist() if r[c] is not None] for c in ("word", "gram"))
+    assert len(dict(words)) == len(words) and len(dict(grams)) == len(grams)
+    return dict(words), dict(grams)
+
+
+def test_words_and_grams_of_a_block_are_counted_once_each_over_runs_and_parts(spark):
+    """A block of several runs of words and parts of grams, with a text longer than both, held-out words and empty texts; depth 6 takes the most bits."""
+    texts = {i: b" ".join(b"w%d" % (i * k % 97) for k in range(20)) for i in range(1, 2501)} | {2501: b"", 2502: b"\x00 a\x00 " + b"ab cd " * 200_000, 2503: b" \n", 2504: "ünï only here".encode()}
+    held_out = {i for i in texts if i % 5 == 0} | {2504}
+    for depth in (2, 3, 6):
+        words, grams = block_of(texts, held_out, spark, depth)
+        want: Counter = Counter()
+        for i, t in texts.items():
+            for w in ctw.normal(t).split():
+                want[w] += i not in held_out
+        assert words == dict(want) and words["ünï".encode()] == 0
+        want = Counter()
+        for i, t in texts.items():
+            data = b"\xff" * depth + ctw.normal(t) + b"\xff"
+            for at in range(depth, len(data)):
+                want[int.from_bytes(data[at - depth : at][::-1] + data[at : at + 1])] += i not in held_out
+        assert grams == dict(want)
+
+
+def cpu_of(work) -> float:
+    times = []
+    for _ in range(5):
+        began = time.thread_time()
+        work()
+        times.append(time.thread_time() - began)
+    return min(times)
+
+
+def test_costs_of_a_part_take_a_fraction_of_a_search_for_each_byte():
+    """As many distinct grams as a block of 32 MB had, a part in which they recur as in texts."""
+    rng = np.random.default_rng(1)
+    gram = np.unique(rng.integers(0, 1 << 48, 700_000))
+    cost, part = rng.random(len(gram)), rng.permutation(gram)[(rng.random(1 << 18) ** 4 * len(gram)).astype(int)].astype(np.uint64)
+    plain = lambda: cost[np.searchsorted(gram, part.astype(np.int64))]
+    assert (ctw.costs_at(gram, cost, part) == plain()).all()
+    assert cpu_of(lambda: ctw.costs_at(gram, cost, part)) < 0.7 * cpu_of(plain)
+
+
+def test_words_of_a_run_take_a_fraction_of_a_dictionary_of_objects():
+    rng = np.random.default_rng(2)
+    names = [b"w%x" % n for n in rng.integers(0, 1 << 40, 200_000)]
+    texts = [b" ".join(names[k] for k in (rng.random(500) ** 4 * len(names)).astype(int)) for _ in range(1000)] + [b""]
+
+    def plain():
+        counts: dict[bytes, int] = {}
+        for t in texts:
+            for w in t.split():
+                counts[w] = counts.get(w, 0) + 1
+        return counts
+
+    words, lengths = ctw.words_of(pa.array(texts, pa.binary()))
+    assert words.to_pylist() == [w for t in texts for w in t.split()] and lengths.tolist() == [500] * 1000 + [0]
+    assert cpu_of(lambda: ctw.words_of(pa.array(texts, pa.binary()))) < 0.7 * cpu_of(plain)
